@@ -56,13 +56,15 @@ def correlations(df: DataFrame, candidates: Sequence[str], targets: Sequence[str
 
 
 def column_check(df: DataFrame, expected: Sequence[str], forbidden: Sequence[str] = ()) -> DataFrame:
-    """Compare the column names of a table with a whitelist; reads the schema only."""
+    """Compare the column names of a table with a whitelist; existing columns come with their filled rows."""
     have = set(df.columns)
-    found = [("missing", c) for c in sorted(set(expected) - have)]
-    found += [("unexpected", c) for c in sorted(have - set(expected))]
-    found += [("forbidden", c) for c in sorted(have & set(forbidden))]
-    found += [("present", c) for c in sorted(have & set(expected))]
-    return df.sparkSession.createDataFrame(found, "status string, column_name string")
+
+    def row(c: str):
+        status = "missing" if c not in have else "forbidden" if c in forbidden else "present" if c in expected else "unexpected"
+        filled = F.count(F.col(c)) if c in have else F.lit(None).cast("long")
+        return F.struct(F.lit(status).alias("status"), F.lit(c).alias("column_name"), filled.alias("filled"))
+
+    return df.agg(F.array(*[row(c) for c in sorted(have | set(expected))]).alias("a")).select(F.inline("a"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trackmetrics.functions import text as X
-from trackmetrics.operators.skew import first_by
+from trackmetrics.operators.skew import first_by, lookup
 
 # Resolution methods in order of preference.
 METHODS = ("mbid_direct", "mbid_redirection", "lastfm", "cle_artiste_titre")
@@ -93,8 +93,7 @@ def resolve(combos: DataFrame, canon: DataFrame, redirect: DataFrame) -> DataFra
 
     Adds by_mbid, by_lastfm, by_key, route, method and rec_id.  The key step is
     used only when :func:`key_hypothesis` accepts it, decided inside the plan by
-    a scalar subquery.  Null ids never match, so they do not gather in one task:
-    each join runs on the distinct ids only and is attached back by AQE-split joins.
+    a scalar subquery.  :func:`lookup` spreads the rows that lack an id and splits hot ids.
     """
     known = resolver(canon, redirect)
     usable = key_hypothesis(canon).select("accepted").scalar() == 1
@@ -103,7 +102,9 @@ def resolve(combos: DataFrame, canon: DataFrame, redirect: DataFrame) -> DataFra
     by_key = single_owner(canon, "lookup_key", "rec_id").select(
         F.col("lookup_key").alias("match_key"), F.col("rec_id").alias("key_target")
     )
-    joined = combos.join(by_mbid, "mbid", "left").join(by_lastfm, "lastfm", "left").join(by_key, "match_key", "left")
+    joined = lookup(combos, by_mbid, "mbid", ["msid", "match_key", "lastfm"], combos)
+    joined = lookup(joined, by_lastfm, "lastfm", ["msid", "match_key", "mbid"], combos)
+    joined = lookup(joined, by_key, "match_key", ["msid", "mbid", "lastfm"], combos)
     joined = joined.withColumn("by_key", F.when(usable, F.col("key_target"))).drop("key_target")
     method = (
         F.when(F.col("by_mbid").isNotNull(), F.concat(F.lit("mbid_"), F.col("route")))
@@ -231,12 +232,11 @@ def match_catalog(listens: DataFrame, titles: DataFrame, correspondence: DataFra
         F.coalesce(X.spotify_track(F.col("spotify_id")), X.spotify_track(F.col("spotify_uri"))).alias("sp"),
         X.spotify_format(F.col("spotify_id")).alias("fmt"),
     ).agg(F.count(F.lit(1)).alias("listens"))
-    joined = (
-        combos.join(by_key.withColumnRenamed("track_id", "t_key"), "match_key", "left")
-        .join(by_sp.withColumnRenamed("track_id", "t_sp"), "sp", "left")
-        .join(correspondence.select("msid", "rec_id"), "msid", "left")
-        .join(by_rec.withColumnRenamed("track_id", "t_rec"), "rec_id", "left")
-    )
+    joined = lookup(combos, by_key.withColumnRenamed("track_id", "t_key"), "match_key", ["msid", "sp", "fmt"], combos)
+    joined = lookup(joined, by_sp.withColumnRenamed("track_id", "t_sp"), "sp", ["msid", "match_key", "fmt"], combos)
+    joined = lookup(joined, correspondence.select("msid", "rec_id"), "msid", ["sp", "match_key", "fmt"], combos)
+    # by_rec holds one row per catalogue track and rec_id follows msid, split above: AQE covers what skew is left.
+    joined = joined.join(by_rec.withColumnRenamed("track_id", "t_rec"), "rec_id", "left")
     route = (
         F.when(F.col("t_sp").isNotNull(), "spotify").when(F.col("t_rec").isNotNull(), "musicbrainz")
         .when(F.col("t_key").isNotNull(), "cle_artiste_titre")

@@ -45,6 +45,33 @@ def attach(
     return null_safe_join(salted, repeated, [*keys, "__salt"], "left").drop("__salt", "__parts")
 
 
+def lookup(
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    spread: Sequence[str],
+    hot_from: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left join to a table with one row per ``key``, for a key column that may be null or hot.
+
+    Rows without a key would all hash to one task, so they are spread by a salt
+    that matches nothing; keys with more than ``hot_rows`` rows are split as in
+    :func:`attach`.  In a chain of lookups pass the first input as ``hot_from``,
+    so that keys are counted there and not on the result of the joins before.
+    """
+    n = F.count(F.lit(1))
+    counted = rows if hot_from is None else hot_from
+    hot = counted.where(F.col(key).isNotNull()).groupBy(key).agg(n.alias("__n")).where(F.col("__n") > hot_rows)
+    hot = F.broadcast(hot.select(key, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__parts")))
+    parts = F.when(F.col(key).isNull(), F.lit(4096)).otherwise(F.coalesce(F.col("__parts"), F.lit(1)))
+    salted = rows.join(hot, key, "left").withColumn("__salt", F.pmod(F.xxhash64(*spread), parts).cast("int"))
+    repeated = table.join(hot, key, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1))
+    )
+    return salted.drop("__parts").join(repeated.drop("__parts"), [key, "__salt"], "left").drop("__salt")
+
+
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep the row that comes first in a total order for each key.
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("projections", "joins")
+FAMILIES = ("projections", "joins", "aggregates")
 
 
 def load() -> None:
