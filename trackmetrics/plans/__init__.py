@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("projections", "joins", "aggregates")
+FAMILIES = ("projections", "joins", "aggregates", "quality")
 
 
 def load() -> None:
