@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("projections", "joins", "aggregates", "quality")
+FAMILIES = ("projections", "joins", "aggregates", "quality", "contracts")
 
 
 def load() -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 FILE_BYTES = 256 * 2**20
 
@@ -17,3 +17,107 @@ def file_plan(df: DataFrame, partitions: Sequence[str], row_bytes: float, target
     """Number of files of each partition, from its row count: one row per partition value."""
     sizes = df.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n"))
     return sizes.select(*partitions, files_for(F.col("n").cast("double"), row_bytes, target_bytes).alias("files"))
+
+
+def write_planned(
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str],
+    spread: Sequence[str],
+    row_bytes: float,
+    target_bytes: int = FILE_BYTES,
+    rows_per_file: int = 0,
+) -> int:
+    """Write a partitioned table with as many files per partition as its volume asks for.
+
+    A hot partition is cut in buckets by a hash of ``spread``; partitions present
+    in ``df`` are replaced, all others stay.  Returns the number of planned files.
+    """
+    plan = file_plan(df, partitions, row_bytes, target_bytes)
+    total = plan.agg(F.coalesce(F.sum("files"), F.lit(1))).first()[0]  # one number
+    # One plan row per partition value (days or months): the calendar bounds the broadcast.
+    placed = df.join(F.broadcast(plan), list(partitions)).withColumn("__bucket", F.pmod(F.xxhash64(*spread), F.col("files")))
+    shuffled = placed.repartition(int(total), *partitions, "__bucket").drop("files", "__bucket")
+    writer = shuffled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
+    return int(total)
+
+
+def read_partitioned(spark: SparkSession, path: str, text_partitions: Sequence[str] = ()) -> DataFrame:
+    """Read with partition values kept as text (``2026-09``, ``_ancien``), whatever the session infers."""
+    conf = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(conf, before)
+
+
+def file_report(df: DataFrame, partition_pattern: str = "") -> DataFrame:
+    """Files, bytes, bytes per row and extreme file sizes of a file-backed table, per partition.
+
+    Uses the file metadata columns of the scan, so no driver lists files.
+    """
+    part = F.regexp_extract("f.file_path", partition_pattern, 1) if partition_pattern else F.lit("")
+    files = df.select(F.col("_metadata").alias("f")).groupBy("f.file_path", "f.file_size", part.alias("part")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return files.groupBy("part").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("n").alias("n_rows"), F.sum("file_size").alias("bytes"),
+        F.round(F.sum("file_size") / F.sum("n"), 2).alias("bytes_per_row"),
+        F.min("file_size").alias("smallest"), F.max("file_size").alias("largest"),
+    )
+
+
+def files_beyond_plan(report: DataFrame, plan: DataFrame, partition: str) -> DataFrame:
+    """Partitions that hold more files than planned."""
+    joined = report.join(plan.withColumnRenamed("files", "planned"), report["part"] == plan[partition])
+    return joined.where(F.col("files") > F.col("planned")).select("part", "files", "planned")
+
+
+def order_probe(df: DataFrame, key: str) -> DataFrame:
+    """Spread of a sort key inside each stored file: how well row groups can be skipped."""
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(key).alias("lowest"), F.max(key).alias("highest")
+    )
+
+
+def slices(volumes: DataFrame, lot: str, n: str, target: int) -> DataFrame:
+    """Greedy packing of consecutive lots: a slice closes when the next lot would pass the target.
+
+    Greedy packing is sequential, so the ordered series is folded in one array;
+    it holds one entry per calendar month.
+    """
+    ordered = volumes.agg(F.sort_array(F.collect_list(F.struct(F.col(lot).alias("lot"), F.col(n).cast("long").alias("n")))).alias("s"))
+    start = F.struct(
+        F.lit(0).alias("no"), F.lit(0).cast("long").alias("sum"),
+        F.array().cast("array<struct<no:int,lot:string,n:bigint>>").alias("out"),
+    )
+
+    def step(acc: Column, x: Column) -> Column:
+        opens = (acc["no"] == 0) | (acc["sum"] + x["n"] > target)
+        no = F.when(opens, acc["no"] + 1).otherwise(acc["no"])
+        total = F.when(opens, x["n"]).otherwise(acc["sum"] + x["n"])
+        entry = F.struct(no.alias("no"), x["lot"].alias("lot"), x["n"].alias("n"))
+        return F.struct(no.alias("no"), total.alias("sum"), F.concat(acc["out"], F.array(entry)).alias("out"))
+
+    folded = ordered.select(F.inline(F.aggregate("s", start, step)["out"]))
+    return folded.groupBy("no").agg(
+        F.min("lot").alias("first"), F.max("lot").alias("last"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("lots")
+    )
+
+
+def path_audit(paths: DataFrame, column: str, rules: dict[str, str]) -> DataFrame:
+    """Class of each stored path: the first rule whose pattern matches and whose date is real, else ``REFUSE``.
+
+    A pattern captures ``yyyy-MM-dd`` or ``yyyy-MM``.
+    """
+    found = F.lit(None).cast("string")
+    for name, pattern in reversed(list(rules.items())):
+        text = F.regexp_extract(column, pattern, 1)
+        real = F.try_to_date(F.when(F.length(text) == 7, F.concat(text, F.lit("-01"))).otherwise(text), "yyyy-MM-dd").isNotNull()
+        found = F.when(F.col(column).rlike(pattern) & real, F.lit(name)).otherwise(found)
+    return paths.select(column, F.coalesce(found, F.lit("REFUSE")).alias("class"))
