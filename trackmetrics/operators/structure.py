@@ -12,35 +12,48 @@ def _kind(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
 
 
+def _open(path: Column, v: Column, known: Column) -> Column:
+    """One step of the walk: a leaf stays, an object becomes its members, a list itself and its items."""
+    kind, nothing = _kind(v), F.lit(None)
+
+    def entry(at: Column, value: Column, of: Column) -> Column:
+        return F.struct(at.alias("path"), value.cast("variant").alias("v"), of.cast("string").alias("type"))
+
+    members = F.transform(
+        F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")),
+        lambda m: entry(F.when(path == "", m["key"]).otherwise(F.concat(path, F.lit("."), m["key"])), m["value"], nothing),
+    )
+    items = F.transform(
+        F.try_variant_get(v, "$", "array<variant>"), lambda x: entry(F.concat(path, F.lit("[]")), x, nothing)
+    )
+    return (
+        F.when(known.isNotNull(), F.array(entry(path, nothing, known)))
+        .when(kind == "OBJECT", members)
+        .when(kind == "ARRAY", F.concat(F.array(entry(path, nothing, kind)), items))
+        .otherwise(F.array(entry(path, nothing, kind)))
+    )
+
+
 def survey(lines: DataFrame, line: str, month: str = "mois", depth: int = 8) -> DataFrame:
     """Per (path, type): lines that hold it, first and last month.
 
-    Objects and lists are opened one level per step; an object still closed after
-    ``depth`` levels is reported as a path of type OBJECT, so nothing is lost.
-    Only paths inside lists can repeat in a line and need a distinct.
+    Objects and lists are opened one level per step, in one pass over the lines;
+    an object still closed after ``depth`` levels is reported as a path of type
+    OBJECT, so nothing is lost.  Only paths inside lists can repeat in a line and
+    need a distinct.
     """
-    closed = lines.select(line, month, F.try_parse_json("value").alias("v"), F.lit("").alias("path")).where(F.col("v").isNotNull())
-    found = []
-    for level in range(depth):
-        kind = _kind(F.col("v"))
-        if level:
-            found.append(closed.select(line, month, "path", kind.alias("type")).where(F.col("type") != "OBJECT"))
-        members = F.map_entries(F.try_variant_get("v", "$", "map<string,variant>"))
-        name = F.when(F.col("path") == "", F.col("m.key")).otherwise(F.concat("path", F.lit("."), "m.key"))
-        objects = closed.where(kind == "OBJECT").select(line, month, "path", F.explode(members).alias("m"))
-        items = F.try_variant_get("v", "$", "array<variant>")
-        lists = closed.where(kind == "ARRAY").select(line, month, "path", F.explode(items).alias("item"))
-        closed = objects.select(line, month, F.col("m.value").alias("v"), name.alias("path")).unionByName(
-            lists.select(line, month, F.col("item").alias("v"), F.concat("path", F.lit("[]")).alias("path"))
-        )
-    found.append(closed.select(line, month, "path", _kind(F.col("v")).alias("type")))
-    every = found[0]
-    for part in found[1:]:
-        every = every.unionByName(part)
-    repeated = F.col("path").contains("[]")
-    once = every.where(~repeated).drop(line).unionByName(every.where(repeated).distinct().drop(line))
-    return once.groupBy("path", "type").agg(
-        n_rows().alias("n"), F.count_distinct(month).alias("months"), F.min(month).alias("first"), F.max(month).alias("last")
+    walk = lines.select(line, month, F.lit("").alias("path"), F.try_parse_json("value").alias("v"), F.lit(None).cast("string").alias("type"))
+    walk = walk.where(F.col("v").isNotNull())
+    for _ in range(depth):
+        walk = walk.select(line, month, F.explode(_open(F.col("path"), F.col("v"), F.col("type"))).alias("x"))
+        walk = walk.select(line, month, "x.path", "x.v", "x.type")
+    found = walk.select(line, month, "path", F.coalesce("type", _kind(F.col("v"))).alias("type"))
+    # Paths outside lists are counted as they are; list paths first lose their repeats within a line.
+    inside = F.when(F.col("path").contains("[]"), F.col(line))
+    per_line = found.groupBy("path", "type", month, inside.alias("__line")).agg(n_rows().alias("n"))
+    rows = F.sum(F.when(F.col("__line").isNull(), F.col("n")).otherwise(1))
+    return per_line.groupBy("path", "type").agg(
+        rows.alias("n"), F.count_distinct(month).alias("months"), F.min(month).alias("first"), F.max(month).alias("last")
     )
 
 

@@ -220,7 +220,7 @@ def raw_zone_check(t):
 @query("src16_structure_survey", """
     WITH r AS (SELECT * FROM raw_listens WHERE NOT truncated)
     SELECT path, type, count(*) AS n, min(mois) AS first, max(mois) AS last FROM (
-        SELECT mois, unnest([{'p': 'user_id', 't': 'STRING'}, {'p': 'timestamp', 't': 'BIGINT'}, {'p': 'recording_msid', 't': 'STRING'},
+        SELECT mois, x.p AS path, x.t AS type FROM (SELECT mois, unnest([{'p': 'user_id', 't': 'STRING'}, {'p': 'timestamp', 't': 'BIGINT'}, {'p': 'recording_msid', 't': 'STRING'},
             {'p': 'track_metadata.artist_name', 't': 'STRING'}, {'p': CASE WHEN NOT no_track THEN 'track_metadata.track_name' END, 't': 'STRING'},
             {'p': 'track_metadata.release_name', 't': CASE WHEN drift THEN 'BIGINT' ELSE 'STRING' END},
             {'p': CASE WHEN mbid IS NOT NULL THEN 'track_metadata.additional_info.recording_mbid' END, 't': 'STRING'},
@@ -233,7 +233,7 @@ def raw_zone_check(t):
             {'p': CASE WHEN mbid IS NOT NULL THEN 'track_metadata.mbid_mapping.artists' END, 't': 'ARRAY'},
             {'p': CASE WHEN mbid IS NOT NULL THEN 'track_metadata.mbid_mapping.artists[].artist_mbid' END, 't': 'STRING'},
             {'p': CASE WHEN mbid IS NOT NULL THEN 'track_metadata.mbid_mapping.artists[].artist_credit_name' END, 't': 'STRING'},
-            {'p': CASE WHEN mbid IS NOT NULL THEN 'track_metadata.mbid_mapping.artists[].join_phrase' END, 't': 'STRING'}]) AS x, x.p AS path, x.t AS type FROM r) AS y
+            {'p': CASE WHEN mbid IS NOT NULL THEN 'track_metadata.mbid_mapping.artists[].join_phrase' END, 't': 'STRING'}]) AS x FROM r) AS z) AS y
     WHERE path IS NOT NULL GROUP BY path, type""")
 def structure_survey(t):
     return SV.survey(raw_json(t), "event_id").drop("months")

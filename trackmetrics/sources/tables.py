@@ -54,6 +54,14 @@ def check_properties(spark: SparkSession, name: str, wanted: Mapping[str, str])
     return joined.select("key", "wanted", "value", F.col("wanted").eqNullSafe(F.col("value")).cast("int").alias("ok"), n.alias("table_rows"))
 
 
-def drop_partitions_before(spark: SparkSession, name: str, column: str, limit: str) -> None:
-    """Retention: drop the partitions of a dated column that lie before ``limit``."""
-    spark.sql(f"ALTER TABLE {_identifier(name)} DROP IF EXISTS PARTITION ({_identifier(column)} < {_quoted(limit)})")
+def drop_partitions_before(spark: SparkSession, name: str, column: str, limit: str) -> int:
+    """Retention: drop the partitions of a dated column that lie before ``limit``; returns how many.
+
+    Partition names are catalog metadata, one per day.
+    """
+    value = F.regexp_extract("partition", rf"(?:^|/){_identifier(column)}=([^/]+)", 1)
+    old = spark.sql(f"SHOW PARTITIONS {_identifier(name)}").select(value.alias("v")).where(F.col("v") < limit).distinct().collect()
+    if old:
+        specs = ", ".join(f"PARTITION ({column} = {_quoted(r['v'])})" for r in old)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+    return len(old)
