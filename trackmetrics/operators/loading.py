@@ -7,9 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trackmetrics.functions.counting import n_rows
 from trackmetrics.operators import contract as CT
 from trackmetrics.operators.incremental import OLD, routing_errors
-from trackmetrics.sources.layout import read_partitioned, write_planned
+from trackmetrics.sources.layout import read_partitioned, write_rebalanced
 
-ROW_BYTES = 134.7
 LEDGER = "no int, start_s bigint, end_s bigint, announced bigint, n_rows bigint, recent bigint, old bigint, registered_s bigint, verdict string"
 
 
@@ -30,14 +29,13 @@ def load_batch(
     """
     spark = lines.sparkSession
     parsed = CT.parse(lines, contract)
-    checks = CT.verdict(parsed, contract, expected)
-    decision = CT.batch_outcome(parsed, checks, F.lit(expected)).first()
+    decision = CT.batch_outcome(CT.measures(parsed), contract, expected).first()
     outcome, written, bad_routing = decision["outcome"], 0, 0
     if outcome == "ECRIRE" and control_only:
         outcome = "CONTROLE_OK"
     if outcome == "ECRIRE":
         flat = CT.incremental_flat(parsed, dump, F.lit(reception).cast("date"))
-        write_planned(flat, target, ["mois", "jour", "dump"], ["user_id", "timestamp"], ROW_BYTES)
+        write_rebalanced(flat, target, ["mois", "jour", "dump"])
         if decision["rejected"]:
             out = CT.rejects(parsed).withColumn("dump", F.lit(dump))
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("mois", "dump").parquet(rejected)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("projections", "joins", "aggregates", "quality", "contracts", "privacy", "incremental")
+FAMILIES = ("projections", "joins", "aggregates", "quality", "contracts", "privacy", "incremental", "modelling")
 
 
 def load() -> None:

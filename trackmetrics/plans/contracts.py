@@ -111,7 +111,7 @@ def absent_fields(t):
     SELECT 'TYPE_MODIFIE' AS "check", 'tm.release_name' AS detail, count(*) FILTER (reason LIKE 'type_modifie%') AS n,
            CASE WHEN count(*) FILTER (reason LIKE 'type_modifie%') <= 0.0001 * count(*) THEN 0 ELSE 1 END AS failed FROM p""")
 def drift_tolerance(t):
-    checks = CT.verdict(parsed(t), CT.LISTENS).where(F.col("check") == "TYPE_MODIFIE")
+    checks = CT.verdict(CT.measures(parsed(t)), CT.LISTENS).where(F.col("check") == "TYPE_MODIFIE")
     return checks.withColumn("failed", F.col("failed").cast("int"))
 
 

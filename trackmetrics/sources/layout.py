@@ -45,7 +45,18 @@ def write_planned(
     return int(total)
 
 
-def read_partitioned(spark: SparkSession, path: str, text_partitions: Sequence[str] = ()) -> DataFrame:
+def write_rebalanced(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+    """Write a partitioned table in one pass, files sized by adaptive execution.
+
+    ``rebalance`` splits a hot partition and joins small ones towards
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, without a plan computed
+    beforehand.  Partitions present in ``df`` are replaced, all others stay.
+    """
+    balanced = df.hint("rebalance", *[F.col(p) for p in partitions])
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
+
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     """Read with partition values kept as text (``2026-09``, ``_ancien``), whatever the session infers."""
     conf = "spark.sql.sources.partitionColumnTypeInference.enabled"
     before = spark.conf.get(conf)
