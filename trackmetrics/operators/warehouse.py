@@ -52,6 +52,13 @@ def recent_top(facts: DataFrame, since: Column, k: int) -> DataFrame:
     return top_groups(facts.where(F.col("date") >= since), "msid", "listens", k, "listens")
 
 
+def date_range(facts: DataFrame, first: str, end: str, day: str = "date", month: str = "mois") -> DataFrame:
+    """Half-open range of days; the implied month range is added, so a table partitioned by month is pruned."""
+    exact = (F.col(day) >= F.lit(first).cast("date")) & (F.col(day) < F.lit(end).cast("date"))
+    last = F.date_format(F.date_sub(F.lit(end).cast("date"), 1), "yyyy-MM")
+    return facts.where(exact & (F.col(month) >= first[:7]) & (F.col(month) <= last))
+
+
 def replicate(df: DataFrame, user: str, factor: int) -> DataFrame:
     """``factor`` copies of every row; copy 0 keeps its user, the others get a derived one.
 

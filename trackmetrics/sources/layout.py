@@ -56,6 +56,34 @@ def write_rebalanced(df: DataFrame, path: str, partitions: Sequence[str]) -> Non
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
+def shuffle_width(n: Column, row_bytes: int = 80, target_bytes: int = 128 * 2**20, floor: int = 48) -> Column:
+    """Shuffle partitions for ``n`` rows; an option for sessions without adaptive sizing."""
+    return F.greatest(F.lit(floor), F.ceil(n * F.lit(float(row_bytes)) / F.lit(target_bytes))).cast("int")
+
+
+def sorted_export(df: DataFrame, path: str, order: Sequence[Column]) -> None:
+    """Empty the folder and write globally sorted files, in file-name order.
+
+    The range partitioning of ``orderBy`` is joined by adaptive execution, so a
+    small report ends up in one file and a large one never passes through one task.
+    """
+    df.orderBy(*order).write.mode("overwrite").parquet(path)
+
+
+def full_reload(tables: dict[str, DataFrame], base: str) -> DataFrame:
+    """Overwrite every table, then count what was written; ``ok`` is 0 for an empty table."""
+    counted = []
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+        stored = df.sparkSession.read.schema(df.schema).parquet(f"{base}/{name}")
+        n = F.count(F.lit(1))
+        counted.append(stored.agg(F.lit(name).alias("loaded"), n.alias("n"), (n > 0).cast("int").alias("ok")))
+    out = counted[0]
+    for part in counted[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     """Read with partition values kept as text (``2026-09``, ``_ancien``), whatever the session infers."""
     conf = "spark.sql.sources.partitionColumnTypeInference.enabled"
