@@ -180,26 +180,26 @@ def impurity_ranking(model: PipelineModel, features: Sequence[str]) -> list[tupl
     return sorted(((f, float(v)) for f, v in zip(features, values)), key=lambda x: (-x[1], x[0]))
 
 
-def permuted(df: DataFrame, column: str, row: str, seed: int = SEED) -> DataFrame:
-    """``column`` shuffled among the rows: each row takes the value of the row at a shifted hash rank.
+def with_donor(df: DataFrame, columns: Sequence[str], row: str, seed: int = SEED) -> DataFrame:
+    """Each row with a struct ``donor``: the columns of the row a third of the table further in a hash order.
 
-    Ranks come from :func:`value_ranks` on a row hash, so the shuffle is exact,
-    repeatable and distributed.
+    Ranks come from :func:`value_ranks` on a row hash, so the shuffle of the rows
+    is exact, repeatable and distributed, and one join serves all columns.
     """
     keyed = df.withColumn("__h", F.xxhash64(row, F.lit(seed)))
     ranks = value_ranks(keyed, "__h").select(F.col("value").alias("__h"), F.col("upto").alias("__r"), "total")
     placed = keyed.join(ranks, "__h")
     shift = F.floor(F.col("total") / 3)
-    giver = placed.select(F.pmod(F.col("__r") + shift, F.col("total")).alias("__slot"), F.col(column).alias("__given"))
+    giver = placed.select(F.pmod(F.col("__r") + shift, F.col("total")).alias("__slot"), F.struct(*columns).alias("donor"))
     taker = placed.withColumn("__slot", F.pmod(F.col("__r"), F.col("total")))
-    return taker.join(giver, "__slot").drop(column, "__slot", "__h", "__r", "total").withColumnRenamed("__given", column)
+    return taker.join(giver, "__slot").drop("__slot", "__h", "__r", "total")
 
 
-def permutation_ranking(model: PipelineModel, df: DataFrame, target: str, features: Sequence[str], row: str) -> list[tuple[str, float]]:
-    """Loss of AUC when one feature is shuffled."""
+def permutation_ranking(model: PipelineModel, paired: DataFrame, target: str, features: Sequence[str]) -> list[tuple[str, float]]:
+    """Loss of AUC when one feature comes from the donor row; ``paired`` is a stored :func:`with_donor`."""
     evaluator = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="probability")
-    base = evaluator.evaluate(model.transform(df))
-    drops = [(f, float(base - evaluator.evaluate(model.transform(permuted(df, f, row))))) for f in features]
+    base = evaluator.evaluate(model.transform(paired))
+    drops = [(f, float(base - evaluator.evaluate(model.transform(paired.withColumn(f, F.col(f"donor.{f}")))))) for f in features]
     return sorted(drops, key=lambda x: (-x[1], x[0]))
 
 

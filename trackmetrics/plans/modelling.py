@@ -83,7 +83,7 @@ _X = AUDIO + ["age", "duration_min", "artist_other_titles", "artist_other_mean_p
 
 def matrix(t, name: str):
     """Feature matrix written once: every fold reads it."""
-    table = features(t)
+    table = materialise(features(t), f"{name}-features")
     numeric = table.select("track_id", "artist", "is_hit", "total_plays", *[F.col(c).cast("double").alias(c) for c in _X],
                            *[F.col(c).cast("double").alias(c) for c in ("nb_tags", "unique_listeners", "plays_per_listener", "loyal_ratio", "max_playcount")])
     folded = M.group_folds(M.class_weights(numeric, "is_hit"), "artist", folds=3)
@@ -210,7 +210,8 @@ def feature_ranking(t):
     x = columns_of(df, _X)
     model = M.forest(x, "is_hit", trees=10, depth=5).fit(df)
     impurity = {f: i for i, (f, _) in enumerate(M.impurity_ranking(model, x), 1)}
-    loss = M.permutation_ranking(model, df, "is_hit", x, "track_id")
+    paired = materialise(M.with_donor(df, x, "track_id"), "ml15-donors")
+    loss = M.permutation_ranking(model, paired, "is_hit", x)
     rows = [(f, impurity[f], i, abs(impurity[f] - i), drop) for i, (f, drop) in enumerate(loss, 1)]
     ranks = t.spark.createDataFrame(rows, "variable string, impurity_rank int, permutation_rank int, gap int, auc_loss double")
     direction = P.correlations(df, x, ["is_hit"]).select("variable", F.signum("corr_is_hit").alias("direction"))
