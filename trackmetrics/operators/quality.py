@@ -132,9 +132,7 @@ def referential(rows: DataFrame, reference: DataFrame, key: str, coverage_pct: f
 
 def raw_key_checks(lines: DataFrame, contract: CT.Contract) -> DataFrame:
     """Keys outside the contract and forbidden keys; an empty batch proves nothing and fails."""
-    one_null = F.array(F.lit(None).cast("string"))
-    keys = lines.select(F.explode(F.concat(one_null, CT.unknown_keys(contract, F.col("value")))).alias("key"))
-    counted = keys.groupBy("key").agg(n_rows().alias("n")).withColumn(
+    counted = CT.unknown_key_totals(lines, contract).withColumn(
         "policy", F.when(F.col("key").isNotNull(), CT.key_policy(contract, F.col("key")))
     )
     total = F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("n"))), F.lit(0))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trackmetrics.functions import text as X
 from trackmetrics.operators.skew import first_by, lookup
+from trackmetrics.session import materialise
 
 # Resolution methods in order of preference.
 METHODS = ("mbid_direct", "mbid_redirection", "lastfm", "cle_artiste_titre")
@@ -115,6 +116,16 @@ def resolve(combos: DataFrame, canon: DataFrame, redirect: DataFrame) -> DataFra
     return joined.withColumns({"method": method, "rec_id": F.coalesce("by_mbid", "by_lastfm", "by_key")})
 
 
+def resolve_stored(listens: DataFrame, canon: DataFrame, redirect: DataFrame) -> DataFrame:
+    """:func:`resolve` with its two stages written to the shared folder.
+
+    The combinations are read by every lookup and the result by every measure,
+    so both are cheaper to store than to compute again.
+    """
+    combos = materialise(combinations(listens), "combinations")
+    return materialise(resolve(combos, canon, redirect), "resolved")
+
+
 def coverage(solved: DataFrame) -> DataFrame:
     """Listens covered by each source and by each step, in one aggregate."""
     def where(c: Column) -> Column:

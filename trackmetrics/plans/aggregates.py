@@ -143,7 +143,7 @@ def two_level_facts(t):
            count(lastfm) AS lastfm_present, count(*) FILTER (lastfm IN (SELECT rec_id FROM d)) AS lastfm_solved,
            count(*) FILTER (k % 11 <> 0) AS key_present FROM listens_flat""")
 def weighted_coverage(t):
-    solved = R.resolve(R.combinations(t.listens_flat), t.canon, t.redirect)
+    solved = R.resolve_stored(t.listens_flat, t.canon, t.redirect)
     return R.coverage(solved).drop("key_solved", "solved")
 
 
@@ -430,7 +430,7 @@ def leave_one_out(t):
     SELECT msid, rec_id, ['mbid_direct', 'mbid_redirection', 'lastfm', 'cle_artiste_titre'][r] AS method, m AS msid_listens, n AS choice_listens,
            round(n / m, 4) AS share FROM o JOIN (SELECT msid, count(*) AS m FROM listens_flat GROUP BY 1) AS t USING (msid) WHERE o = 1""")
 def majority_choice(t):
-    return R.majority(R.resolve(R.combinations(t.listens_flat), t.canon, t.redirect))
+    return R.majority(R.resolve_stored(t.listens_flat, t.canon, t.redirect))
 
 
 @query("wn3_main_category", """

@@ -70,8 +70,7 @@ def parse_and_reject(t):
     SELECT 'ai.new_key', count(*) FROM raw_listens WHERE has_new AND NOT truncated UNION ALL
     SELECT 'ai.origin_url', count(*) FROM raw_listens WHERE discarded AND NOT truncated""")
 def unknown_keys(t):
-    keys = raw_json(t).select(F.explode(CT.unknown_keys(CT.LISTENS, F.col("value"))).alias("key"))
-    return keys.groupBy("key").agg(n_rows().alias("n"))
+    return CT.unknown_key_totals(raw_json(t), CT.LISTENS).where("key IS NOT NULL")
 
 
 @query("ct4_type_drift", "SELECT event_id, 'tm.release_name' AS fields FROM raw_listens WHERE drift AND NOT truncated")
@@ -90,7 +89,7 @@ def missing_required(t):
     SELECT 'nouvelle', 'ai.new_key', count(*) FROM raw_listens WHERE has_new AND NOT truncated UNION ALL
     SELECT 'ecartee', 'ai.origin_url', count(*) FROM raw_listens WHERE discarded AND NOT truncated""")
 def key_policy(t):
-    keys = raw_json(t).select(F.explode(CT.unknown_keys(CT.LISTENS, F.col("value"))).alias("key")).groupBy("key").agg(n_rows().alias("n"))
+    keys = CT.unknown_key_totals(raw_json(t), CT.LISTENS).where("key IS NOT NULL")
     return keys.select(CT.key_policy(CT.LISTENS, F.col("key")).alias("family"), "key", "n")
 
 

@@ -73,7 +73,7 @@ def populations(t):
     FROM c LEFT JOIN d a ON c.mbid = a.rec_id LEFT JOIN d b ON c.lastfm = b.rec_id LEFT JOIN u ON c.key = u.lookup_key
     GROUP BY 1, 2, 3""")
 def lookup_cascade(t):
-    solved = R.resolve(R.combinations(t.listens_flat), t.canon, t.redirect)
+    solved = R.resolve_stored(t.listens_flat, t.canon, t.redirect)
     return solved.groupBy("msid", "rec_id", "method").agg(F.sum("listens").alias("listens"))
 
 
@@ -208,7 +208,7 @@ _AGREE = """
 
 @query("jn19_pairwise_agreement", _AGREE)
 def pairwise_agreement(t):
-    return R.agreement(R.resolve(R.combinations(t.listens_flat), t.canon, t.redirect))
+    return R.agreement(R.resolve_stored(t.listens_flat, t.canon, t.redirect))
 
 
 @query("jn20_unresolved_ids", """
@@ -218,7 +218,7 @@ def pairwise_agreement(t):
            count(DISTINCT CASE WHEN mbid IN (SELECT x FROM r) THEN mbid END) AS release_ids
     FROM listens_flat WHERE mbid IS NOT NULL AND mbid NOT IN (SELECT rec_id FROM d)""")
 def unresolved_ids(t):
-    solved = R.resolve(R.combinations(t.listens_flat), t.canon, t.redirect)
+    solved = R.resolve_stored(t.listens_flat, t.canon, t.redirect)
     return R.unresolved(solved, "mbid", "by_mbid", t.canon, t.release_redirect)
 
 

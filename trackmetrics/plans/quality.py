@@ -129,7 +129,7 @@ def reference_keys(t):
           OR lastfm IN (SELECT rec_id FROM redirect) OR (k % 11 <> 0 AND regexp_replace(lower(concat(artist_name, track_name)), '[^a-z0-9_]', '', 'g')
           IN (SELECT lookup_key FROM canon GROUP BY 1 HAVING count(*) = 1))"""))
 def correspondence(t):
-    corr = R.majority(R.resolve(R.combinations(t.listens_flat), t.canon, t.redirect))
+    corr = R.majority(R.resolve_stored(t.listens_flat, t.canon, t.redirect))
     return Q.correspondence(corr, t.canon).select(*PICK)
 
 
