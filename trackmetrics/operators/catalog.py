@@ -38,8 +38,7 @@ def clean_names(df: DataFrame) -> DataFrame:
 def clean_catalog(df: DataFrame) -> DataFrame:
     """One row per usable track: key present, at least one audio measure, texts and sentinels cleaned."""
     usable = df.where(X.not_blank(F.col("track_id").cast("string"))).where(X.any_present(AUDIO))
-    order = [F.col(c) for c in sorted(c for c in usable.columns if c != "track_id")]
-    return clean_names(first_by(usable, ["track_id"], order)).withColumns({
+    return clean_names(first_by(usable, ["track_id"])).withColumns({
         "year": X.real_year(F.col("year")),
         "duration_min": X.minutes(F.col("duration_ms")),
         "nb_tags": X.tag_count(F.col("tags")),

@@ -43,22 +43,22 @@ def group_folds(df: DataFrame, group: str, folds: int = FOLDS, seed: int = SEED)
     first, to the smallest fold; there are at most 20 x folds of them, so this
     fold runs on one short array.  All other groups are spread by hash.
     """
-    sizes = df.groupBy(F.col(group).alias("g")).agg(n_rows().alias("n"))
+    sizes = df.groupBy(F.col(group).alias("__g")).agg(n_rows().alias("n"))
     total = sizes.agg(F.sum("n")).scalar()
     large = sizes.where(F.col("n") * (20 * folds) > total)
-    ordered = large.agg(F.sort_array(F.collect_list(F.struct("n", "g")), asc=False).alias("s"))
+    ordered = large.agg(F.sort_array(F.collect_list(F.struct("n", "__g")), asc=False).alias("s"))
     zeros = F.array(*[F.lit(0).cast("long") for _ in range(folds)])
     key = dict(df.dtypes)[group]
-    start = F.struct(zeros.alias("load"), F.array().cast(f"array<struct<g:{key},fold:int>>").alias("out"))
+    start = F.struct(zeros.alias("load"), F.array().cast(f"array<struct<__g:{key},fold:int>>").alias("out"))
 
     def deal(acc: Column, x: Column) -> Column:
         pick = (F.array_position(acc["load"], F.array_min(acc["load"])) - 1).cast("int")
         load = F.transform(acc["load"], lambda v, i: F.when(i == pick, v + x["n"]).otherwise(v))
-        return F.struct(load.alias("load"), F.concat(acc["out"], F.array(F.struct(x["g"].alias("g"), pick.alias("fold")))).alias("out"))
+        return F.struct(load.alias("load"), F.concat(acc["out"], F.array(F.struct(x["__g"].alias("__g"), pick.alias("fold")))).alias("out"))
 
     dealt = ordered.select(F.inline(F.aggregate("s", start, deal)["out"]))
-    joined = df.join(F.broadcast(dealt), F.col(group).eqNullSafe(F.col("g")), "left")
-    return joined.withColumn("fold", F.coalesce("fold", bucket(F.col(group), seed, folds))).drop("g")
+    joined = df.join(F.broadcast(dealt), F.col(group).eqNullSafe(F.col("__g")), "left")
+    return joined.withColumn("fold", F.coalesce("fold", bucket(F.col(group), seed, folds))).drop("__g")
 
 
 # -- models -----------------------------------------------------------------------------

@@ -72,8 +72,8 @@ def lookup(
     return salted.drop("__parts").join(repeated.drop("__parts"), [key, "__salt"], "left").drop("__salt")
 
 
-def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep the row that comes first in a total order for each key.
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Keep the row that comes first for each key: by ``order``, then by the other columns, so the choice is total.
 
     Written as ``min(struct)``, so each map task already reduces a hot key to one
     row; a ``row_number`` window would send the whole key to one task.
