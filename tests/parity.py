@@ -1,6 +1,7 @@
 """Compare a Spark result with its oracle SQL in DuckDB, ignoring row order.
 
 ``python tests/parity.py [sf] [name-prefix ...]`` prints one line per query.
+With ``PARITY_EXACT=1`` numbers must also agree in type and to the last digit.
 """
 
 from __future__ import annotations
@@ -8,6 +9,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -18,6 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from trackmetrics.sources.views import BASE_TABLES  # noqa: E402
 
 DATA = Path("/root/testdata")
+EXACT = os.environ.get("PARITY_EXACT") == "1"
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
@@ -32,6 +35,8 @@ def plain(value):
     """One representation per value for both engines."""
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return None
+    if EXACT:
+        return f"{type(value).__name__}:{value!r}"
     if isinstance(value, bool):
         return int(value)
     if isinstance(value, decimal.Decimal):
@@ -82,6 +87,8 @@ def main() -> int:
     for name, build in entry.queries().items():
         if wanted and not any(name.startswith(w) for w in wanted):
             continue
+        if EXACT and name not in oracles:
+            continue
         start = time.time()
         try:
             df = build(spark, folder)
