@@ -92,11 +92,11 @@ def raw_volume_audit(t):
 
     audit = raw_audit(raw_json(t), "date")
     # Truncated lines keep no reliable fields, so the totals over all lines come from the partition columns.
-    whole = t.raw_listens.agg(
+    whole = t.raw_listens.agg(F.struct(
         F.count_distinct("user_tok").alias("listeners"), F.count("mbid").alias("with_mbid"),
         F.min("ts_s").alias("ts_min"), F.max("ts_s").alias("ts_max"),
-    )
-    picked = [whole.select(c).scalar().alias(c) for c in whole.columns]
+    )).scalar()
+    picked = [whole.getField(c).alias(c) for c in ("listeners", "with_mbid", "ts_min", "ts_max")]
     return audit.select("n", *picked, "bad_tokens", "outside_day", "rejects", "forbidden")
 
 

@@ -67,7 +67,7 @@ def batch_dedup(t):
     SELECT CAST(date AS STRING) AS date, msid, count(*) AS listens, count(DISTINCT user_tok) AS listeners FROM k GROUP BY 1, 2""")
 def rebuilt_facts(t):
     fresh = I.without_full_load(t.dumps, t.full_load)
-    return A.day_facts(fresh).select(F.col("date").cast("string").alias("date"), "msid", "listens", "listeners")
+    return A.day_facts(fresh, unique=True).select(F.col("date").cast("string").alias("date"), "msid", "listens", "listeners")
 
 
 @query("st6_lateness_profile", """

@@ -229,7 +229,8 @@ _ALT = """
 def alternative(t):
     labelled = FT.label(t.catalog.where("genre IS NOT NULL").join(W.engagement(t.history), "track_id")).select("track_id", "total_plays", "is_hit")
     other = t.plays.where("date >= DATE '1998-01-01'").groupBy("track_id").agg(F.sum("qty").alias("other"))
-    return S.alternative_targets(labelled, other, "other")
+    # Both thresholds and the result read these two small tables: one row per track.
+    return S.alternative_targets(materialise(labelled, "ml16-labels"), materialise(other, "ml16-other"), "other")
 
 
 @query("ml16_alternative_targets", _ALT + """
