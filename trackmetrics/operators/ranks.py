@@ -18,6 +18,16 @@ from trackmetrics.operators.skew import null_safe_join
 SLOTS = 256
 
 
+def _cuts_below(slots: int) -> Column:
+    """Number of entries of the sorted ``__cuts`` below ``value``, by binary search."""
+    steps = [1 << i for i in reversed(range(slots.bit_length()))]
+
+    def advance(at: Column, step: Column) -> Column:
+        return F.when(F.get("__cuts", at + step - 1) < F.col("value"), at + step).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+
+
 def value_ranks(
     df: DataFrame,
     value: str,
@@ -39,9 +49,7 @@ def value_ranks(
     )
     probabilities = [i / slots for i in range(1, slots)]
     cuts = counts.agg(F.percentile_approx("value", probabilities, 20 * slots)).scalar()
-    # Number of cuts below the value: its position once inserted in the sorted cuts.
-    slot = F.array_position(F.sort_array(F.array_append(cuts, F.col("value"))), F.col("value"))
-    placed = counts.withColumn("__slot", slot)
+    placed = counts.withColumn("__cuts", cuts).withColumn("__slot", _cuts_below(slots)).drop("__cuts")
 
     sums = ["n", *carry]
     per_slot = placed.groupBy(*by, "__slot").agg(*[F.sum(c).alias(f"__s_{c}") for c in sums])
