@@ -11,6 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackmetrics.functions.staging import compute_once
 from trackmetrics.session import pin_utc
 
 BASE_TABLES = (
@@ -255,4 +256,5 @@ def raw_json(t: Tables) -> DataFrame:
     ))
     line = F.replace(line, F.lit('"#1234"'), F.lit("1234"))
     cut = F.when(c("truncated"), F.substring(line, F.lit(1), F.length(line) - 10)).otherwise(line)
-    return t.raw_listens.select("event_id", "date", "mois", cut.alias("value"))
+    # Computed once: a filter on the text must not copy the writer expression below itself.
+    return compute_once(t.raw_listens, value=cut).select("event_id", "date", "mois", "value")
