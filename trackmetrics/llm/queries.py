@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmetrics.llm import decontaminate, jaccard_join, kd_shards, packing, token_store
+from trackmetrics.llm import decontaminate, jaccard_join, kd_shards, line_dedup, packing, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,11 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_exact", "n_near", "text")
+
+
 @query("op4_token_store")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.tokenise_to_files(table(spark, sf_dir, "documents"), vocabulary()).select("doc_id", "start", "n_tokens", "ids_crc32", "file")
