@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackmetrics.session import materialise
@@ -62,3 +64,23 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         joined = large.join(lowest, "u")
         small = joined.select("v", "m").where("v <> m").select(v.alias("u"), F.col("m").alias("v"))
         current = materialise(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), name)
+
+
+def merge_labels(labels: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Labels (indices of members) after joining the sets of members x[i] and y[i]; a set is labelled by its smallest label.
+
+    The number of rounds follows the length of chains of links, not their number.
+    """
+    while True:
+        low = np.minimum(labels[x], labels[y])
+        new = labels.copy()
+        np.minimum.at(new, labels[x], low)
+        np.minimum.at(new, labels[y], low)
+        new = new[new[labels]]
+        if (new == labels).all():
+            return labels
+        labels = new
+
+
+def record_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from trackmetrics.llm import textkernel
-from trackmetrics.llm.common import broadcast_if_small, components
+from trackmetrics.llm.common import broadcast_if_small, components, merge_labels, record_batch
 from trackmetrics.session import materialise
 
 WORDS = 5
@@ -41,10 +41,6 @@ def _needed(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
-
 def _summaries(source: DataFrame, k: int) -> DataFrame:
     """kind 0: one row (doc_id, n, d1, d2) per document; kind 1: (n = count, d1 = cell) per task and used cell."""
     schema = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("doc_id", "n", "d1", "d2")]])
@@ -57,9 +53,9 @@ def _summaries(source: DataFrame, k: int) -> DataFrame:
                 a, b = textkernel.digests(values)
                 n.append(len(values)), d1.append(a), d2.append(b)
                 np.add.at(counts, (values >> np.uint64(48)).astype(np.int64), 1)
-            yield _batch({"kind": [0] * len(n), "doc_id": ids, "n": n, "d1": d1, "d2": d2}, schema)
+            yield record_batch({"kind": [0] * len(n), "doc_id": ids, "n": n, "d1": d1, "d2": d2}, schema)
         used = np.flatnonzero(counts)
-        yield _batch({"kind": [1] * len(used), "doc_id": [None] * len(used), "n": counts[used], "d1": used, "d2": [0] * len(used)}, schema)
+        yield record_batch({"kind": [1] * len(used), "doc_id": [None] * len(used), "n": counts[used], "d1": used, "d2": [0] * len(used)}, schema)
 
     return source.mapInArrow(run, "kind int, doc_id long, n long, d1 long, d2 long")
 
@@ -92,7 +88,7 @@ def _postings(source: DataFrame, k: int, percent: int, counts: np.ndarray) -> Da
     def flush(parts):
         sizes = np.array([len(p[0]) for p in parts])
         ends = np.cumsum(sizes)
-        return _batch({
+        return record_batch({
             "token": np.concatenate([p[0] for p in parts]),
             "n": np.repeat(np.array([p[1] for p in parts], dtype=np.int32), sizes),
             "pos": (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32),
@@ -177,7 +173,7 @@ def _leaders(postings: DataFrame, percent: int) -> DataFrame:
 
     def flush(found):
         rows = np.unique(np.concatenate(found), axis=0)
-        return _batch({"l1": rows[:, 0], "l2": rows[:, 1], "d1": rows[:, 2], "d2": rows[:, 3], "n": rows[:, 4].astype(np.int32)}, schema)
+        return record_batch({"l1": rows[:, 0], "l2": rows[:, 1], "d1": rows[:, 2], "d2": rows[:, 3], "n": rows[:, 4].astype(np.int32)}, schema)
 
     ordered = postings.repartition("token").sortWithinPartitions("token", "n", "d1", "d2")
     return ordered.mapInArrow(run, "l1 long, l2 long, d1 long, d2 long, n int")
@@ -194,10 +190,10 @@ def _sets(source: DataFrame, k: int) -> DataFrame:
                 rows.append(row), d1.append(a), d2.append(b), out.append(values.tobytes())
                 held += len(values)
                 if held > 500_000:
-                    yield _batch({"doc_id": ids.take(pa.array(rows)), "d1": d1, "d2": d2, "values": out}, schema)
+                    yield record_batch({"doc_id": ids.take(pa.array(rows)), "d1": d1, "d2": d2, "values": out}, schema)
                     d1, d2, out, rows, held = [], [], [], [], 0
             if rows:
-                yield _batch({"doc_id": ids.take(pa.array(rows)), "d1": d1, "d2": d2, "values": out}, schema)
+                yield record_batch({"doc_id": ids.take(pa.array(rows)), "d1": d1, "d2": d2, "values": out}, schema)
 
     return source.mapInArrow(run, "doc_id long, d1 long, d2 long, values binary")
 
@@ -246,15 +242,7 @@ def group_links(sets: list[np.ndarray], leader: int, percent: int, left: np.ndar
     link = (100 * overlap >= percent * union) & may[np.ix_(rows, cols)]
     x, y = np.nonzero(link)
     x, y = rest[rows][x], cols[y]
-    while True:  # labels of linked sets become equal; the number of rounds is the depth of a chain of links
-        low = np.minimum(labels[x], labels[y])
-        new = labels.copy()
-        np.minimum.at(new, labels[x], low)
-        np.minimum.at(new, labels[y], low)
-        new = new[new[labels]]
-        if (new == labels).all():
-            return labels
-        labels = new
+    return merge_labels(labels, x, y)
 
 
 def _links(units: DataFrame, percent: int) -> DataFrame:
@@ -283,7 +271,7 @@ def _links(units: DataFrame, percent: int) -> DataFrame:
         labels = group_links(sets, max(lead, 0), percent, left)
         own = np.flatnonzero(labels != np.arange(len(ids)))
         if len(own):
-            yield _batch({"a": [ids[i] for i in own], "b": [ids[labels[i]] for i in own]}, schema)
+            yield record_batch({"a": [ids[i] for i in own], "b": [ids[labels[i]] for i in own]}, schema)
 
     ordered = units.repartition("l1", "l2", "bi", "bj").sortWithinPartitions("l1", "l2", "bi", "bj", "d1", "d2")
     return ordered.mapInArrow(run, "a long, b long")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from trackmetrics.llm import textkernel
-from trackmetrics.llm.common import broadcast_if_small
+from trackmetrics.llm.common import broadcast_if_small, record_batch
 from trackmetrics.session import materialise
 
 EDITS = 1
@@ -91,10 +91,6 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
-
 def _line_table(source: DataFrame) -> DataFrame:
     """Lines with words: (h, doc_id, doc_hash, line, words, half keys)."""
     names = ["h", "doc_id", "doc_hash", "line", "words", "p0", "s0", "p1", "s1"]
@@ -108,7 +104,7 @@ def _line_table(source: DataFrame) -> DataFrame:
                 some = np.flatnonzero(lines.words > 0)
                 rows = pa.array(lines.row[some] + first)
                 halves = [_signed(x[some]) for x in lines.halves()]
-                yield _batch({
+                yield record_batch({
                     "h": _signed(lines.keys()[some]), "doc_id": ids.take(rows), "doc_hash": marks.take(rows), "line": lines.number[some],
                     "words": lines.words[some], **dict(zip(names[5:], halves)),
                 }, schema)
@@ -141,7 +137,7 @@ def _variant_table(chosen: DataFrame) -> DataFrame:
 
     def flush(out):
         sizes = [len(o[0]) for o in out]
-        return _batch({
+        return record_batch({
             "key": np.concatenate([o[0] for o in out]), "place": np.concatenate([o[1] for o in out]).astype(np.int32),
             "words": np.repeat(np.array([o[2] for o in out], dtype=np.int32), sizes), "h": np.repeat(np.array([o[3] for o in out], dtype=np.int64), sizes),
         }, schema)
@@ -157,7 +153,7 @@ def _words_of(chosen: DataFrame) -> DataFrame:
         for batch in batches:
             for text, hashes, numbers in zip(batch.column("text"), batch.column("hs").to_pylist(), batch.column("lines").to_pylist()):
                 lines = text.as_py().encode().split(b"\n")
-                yield _batch({"h": hashes, "tokens": [lines[i].lower().split() for i in numbers]}, schema)
+                yield record_batch({"h": hashes, "tokens": [lines[i].lower().split() for i in numbers]}, schema)
 
     return chosen.mapInArrow(run, "h long, tokens array<binary>")
 
@@ -181,7 +177,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = zip(batch.column("h").to_pylist(), batch.column("own").to_pylist(), batch.column("other").to_pylist())
-            yield _batch({"h": [h for h, a, b in rows if within_one_edit(a, b)]}, schema)
+            yield record_batch({"h": [h for h, a, b in rows if within_one_edit(a, b)]}, schema)
 
     return pairs.mapInArrow(run, "h long")
 

@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmetrics.llm import decontaminate, jaccard_join, kd_shards, line_dedup, packing, token_store
+from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,20 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON comp.a = d.doc_id
 )
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_sets(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query(
+    "op2_embedding_dedup",
+    f"""
+WITH RECURSIVE u AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+ok AS (SELECT * FROM u WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+{_COMPONENTS},
+n AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id
+""",
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
