@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, token_store
+from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, repeats, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,8 @@ FROM embeddings LEFT JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id
 )
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_repeated_strings")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("starts", "stops")
