@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, repeats, token_store
+from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, quality, repeats, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,6 +62,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_exact", "n_near", "text")
 
 
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 @query("op4_token_store")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.tokenise_to_files(table(spark, sf_dir, "documents"), vocabulary()).select("doc_id", "start", "n_tokens", "ids_crc32", "file")
