@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, quality, repeats, token_store
+from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, pii, quality, repeats, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,6 +152,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+#: Key of the test tables' surrogates; a real run passes its own secret.
+PII_KEY = b"surrogates of the test tables"
+
+
+@query("op6_pii_surrogates")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 @query("op7_repeated_strings")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("starts", "stops")
