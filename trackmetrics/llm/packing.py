@@ -94,37 +94,33 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     ``first rank`` go one each to consecutive sequences from ``first sequence``, at ``offset``.
     """
     tree, bins, out, made = _Tightest(capacity), {}, [], 0
+
+    def keep(room: int, first: int, number: int) -> None:
+        if room and number:
+            bins.setdefault(room, []).append((first, number))
+            tree.set(room, True)
+
     for length in sorted(counts, reverse=True):
         rank, left = 0, counts[length]
         while left:
             room = tree.at_least(length)
-            if room is None:
-                # Nothing open fits: every new sequence takes as many pieces of this length as it holds.
-                per = capacity // length
-                full, rest = divmod(left, per)
-                for fill, number in ((per, full), (rest, 1 if rest else 0)):
-                    if number:
-                        for j in range(fill):
-                            out.append((length, rank + j * number, number, made, j * length))
-                        rank += fill * number
-                        if capacity - fill * length:
-                            bins.setdefault(capacity - fill * length, []).append((made, number))
-                            tree.set(capacity - fill * length, True)
-                        made += number
-                left = 0
-                continue
-            first, number = bins[room].pop()
-            if not bins[room]:
-                tree.set(room, False)
-            take = min(number, left)
-            if take < number:
-                bins[room].append((first + take, number - take))
-                tree.set(room, True)
-            out.append((length, rank, take, first, capacity - room))
-            rank, left = rank + take, left - take
-            if room - length:
-                bins.setdefault(room - length, []).append((first, take))
-                tree.set(room - length, True)
+            if room is None:  # nothing open fits
+                room, first, number = capacity, made, -(-left // (capacity // length))
+                made += number
+            else:
+                first, number = bins[room].pop()
+                if not bins[room]:
+                    tree.set(room, False)
+            # A bin that has taken a piece and has room for more of this length is the tightest, so it is filled before the next.
+            per = room // length
+            full = min(number, left // per)
+            part = min(left - full * per, per - 1) if full < number else 0
+            for fill, start, many in ((per, first, full), (part, first + full, 1)):
+                if fill and many:
+                    out += [(length, rank + j * many, many, start, capacity - room + j * length) for j in range(fill)]
+                    rank, left = rank + fill * many, left - fill * many
+                    keep(room - fill * length, start, many)
+            keep(room, first + full + (part > 0), number - full - (part > 0))
     return out
 
 
