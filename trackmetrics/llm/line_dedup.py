@@ -251,16 +251,18 @@ def _near(source: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with all their columns, ``text`` without dropped lines, and ``n_lines``, ``n_exact``, ``n_near`` (dropped lines)."""
     kept = kept_lines(docs, edits, min_words, id_col, text_col)
-    kept = kept.select(F.col("doc_id").alias("__d"), F.col("doc_hash").alias("__h"), "near", "kept")
+    kept = kept.select(F.col("doc_id").alias("__d"), F.col("doc_hash").alias("__h"), F.col("near").alias("__near"), F.col("kept").alias("__kept"))
     text = F.col(text_col).cast("string")
     joined = docs.join(kept, (F.col(id_col).cast("long").eqNullSafe(F.col("__d"))) & (F.xxhash64(text) == F.col("__h")), "left")
     parts = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     numbered = F.transform(parts, lambda line, i: F.struct(line.alias("line"), i.alias("i"), line.rlike(r"[^\x20\x09-\x0D]").alias("used")))
+    out = joined.withColumns({
+        "__lines": numbered, "__kept": F.coalesce("__kept", F.array().cast("array<bigint>")), "__near": F.coalesce("__near", F.lit(0)).cast("int"),
+    })
     # kept lines stay, and so do lines without words
-    flagged = F.filter(F.col("__lines"), lambda x: ~x["used"] | F.array_contains(F.col("__kept"), x["i"].cast("long")))
+    stays = F.filter(F.col("__lines"), lambda x: ~x["used"] | F.array_contains(F.col("__kept"), x["i"].cast("long")))
     used = F.size(F.filter(F.col("__lines"), lambda x: x["used"]))
-    out = joined.withColumn("__lines", numbered).withColumn("__kept", F.coalesce("kept", F.array().cast("array<bigint>")))
-    out = out.withColumn("__n", F.size("__lines")).withColumn("__near", F.coalesce("near", F.lit(0)).cast("int")).withColumn("__used", used)
-    new_text = F.when(text.isNotNull(), F.array_join(F.transform(flagged, lambda x: x["line"]), "\n"))
+    new_text = F.when(text.isNotNull(), F.array_join(F.transform(stays, lambda x: x["line"]), "\n"))
     columns = [new_text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_exact", "n_near")]
-    return out.select(*columns, F.col("__n").alias("n_lines"), (F.col("__used") - F.size("__kept") - F.col("__near")).alias("n_exact"), F.col("__near").alias("n_near"))
+    counts = {"n_lines": F.size("__lines"), "n_exact": used - F.size("__kept") - F.col("__near"), "n_near": F.col("__near")}
+    return out.select(*columns, *[c.alias(n) for n, c in counts.items()])
