@@ -28,7 +28,9 @@ from trackmetrics.session import materialise
 WORDS = 5
 #: Similarity as a percentage, so that the test is exact in integers.
 PERCENT = 80
-CELLS = 1 << 16
+CELLS = 1 << 22
+SHIFT = 64 - 22
+PART = 1 << 16
 #: Bounds of a block at a leader: sets, and shingles of all its sets.
 BLOCK_SETS = 1_000
 BLOCK_SHINGLES = 1_000_000
@@ -42,29 +44,62 @@ def _needed(a, b, percent: int):
 
 
 def _summaries(source: DataFrame, k: int) -> DataFrame:
-    """kind 0: one row (doc_id, n, d1, d2) per document; kind 1: (n = count, d1 = cell) per task and used cell."""
-    schema = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("doc_id", "n", "d1", "d2")]])
+    """kind 0: one row (doc_id, n, d1, d2) per document; kind 1: per task its shingles per cell, in parts of PART cells (doc_id = part)."""
+    schema = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("doc_id", "n", "d1", "d2")], ("cells", pa.binary())])
 
     def run(batches):
-        counts = np.zeros(CELLS, dtype=np.int64)
+        counts = np.zeros(CELLS, dtype=np.uint16)
         for batch in batches:
-            ids, n, d1, d2 = batch.column("doc_id"), [], [], []
+            ids, n, d1, d2, found = batch.column("doc_id"), [], [], [], []
             for _, values in textkernel.shingle_sets(batch.column("text"), k):
                 a, b = textkernel.digests(values)
-                n.append(len(values)), d1.append(a), d2.append(b)
-                np.add.at(counts, (values >> np.uint64(48)).astype(np.int64), 1)
-            yield record_batch({"kind": [0] * len(n), "doc_id": ids, "n": n, "d1": d1, "d2": d2}, schema)
-        used = np.flatnonzero(counts)
-        yield record_batch({"kind": [1] * len(used), "doc_id": [None] * len(used), "n": counts[used], "d1": used, "d2": [0] * len(used)}, schema)
+                n.append(len(values)), d1.append(a), d2.append(b), found.append(values >> np.uint64(SHIFT))
+                if len(found) == 512:
+                    _count(counts, found)
+                    found = []
+            _count(counts, found)
+            yield record_batch({"kind": [0] * len(n), "doc_id": ids, "n": n, "d1": d1, "d2": d2, "cells": [None] * len(n)}, schema)
+        if counts.any():
+            parts = counts.reshape(-1, PART)
+            zero = [0] * len(parts)
+            yield record_batch({"kind": [1] * len(parts), "doc_id": list(range(len(parts))), "n": zero, "d1": zero, "d2": zero, "cells": [p.tobytes() for p in parts]}, schema)
 
-    return source.mapInArrow(run, "kind int, doc_id long, n long, d1 long, d2 long")
+    return source.mapInArrow(run, "kind int, doc_id long, n long, d1 long, d2 long, cells binary")
 
 
-def _postings(source: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
+def _count(counts: np.ndarray, found: list[np.ndarray]) -> None:
+    """Add cells to 16-bit counts, which stay at their maximum."""
+    if found:
+        cells, times = np.unique(np.concatenate(found).astype(np.int64), return_counts=True)
+        counts[cells] = np.minimum(counts[cells].astype(np.int64) + times, 65_535)
+
+
+def _levels(parts: DataFrame) -> np.ndarray:
+    """Per cell how often its shingles occur in all documents, on a logarithmic scale of one byte."""
+    schema = pa.schema([("part", pa.int64()), ("levels", pa.binary())])
+
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, cells in zip(batch.column("part").to_pylist(), batch.column("cells")):
+                total.setdefault(part, np.zeros(PART, dtype=np.int64))
+                total[part] += np.frombuffer(cells.as_buffer(), dtype=np.uint16)
+        scaled = [np.minimum(255, 8 * np.log2(t + 1)).astype(np.uint8).tobytes() for t in total.values()]
+        yield record_batch({"part": list(total), "levels": scaled}, schema)
+
+    levels = np.zeros(CELLS, dtype=np.uint8)
+    summed = parts.select(F.col("doc_id").alias("part"), "cells").repartition("part").mapInArrow(run, "part long, levels binary")
+    for r in summed.toLocalIterator():  # CELLS bytes in all, whatever the corpus
+        levels[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["levels"], dtype=np.uint8)
+    return levels
+
+
+def _postings(source: DataFrame, k: int, percent: int, levels) -> DataFrame:
     """Prefix shingles of each set: (token, n, pos, d1, d2); equal sets of one task only once."""
     schema = pa.schema([("token", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())])
 
     def run(batches):
+        level = levels.value
         seen: set[tuple[int, int]] = set()
         parts: list[tuple] = []
         held = 0
@@ -75,7 +110,7 @@ def _postings(source: DataFrame, k: int, percent: int, counts: np.ndarray) -> Da
                 if not n or key in seen:
                     continue
                 seen.add(key)
-                order = np.argsort(counts[(values >> np.uint64(48)).astype(np.int64)], kind="stable")
+                order = np.argsort(level[(values >> np.uint64(SHIFT)).astype(np.int64)], kind="stable")
                 size = n - -(-percent * n // 100) + 1
                 parts.append((values[order[:size]].view(np.int64), n, key))
                 held += size
@@ -281,14 +316,11 @@ def similar_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id
     """Per document: doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id (smallest doc_id reachable by links)."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     summaries = materialise(_summaries(source, words), "summaries")
-    documents = summaries.where("kind = 0").drop("kind")
-    cells = summaries.where("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).collect()  # at most CELLS rows
-    counts = np.zeros(CELLS, dtype=np.int64)
-    for r in cells:
-        counts[r["d1"]] = r["n"]
+    documents = summaries.where("kind = 0").drop("kind", "cells")
+    levels = docs.sparkSession.sparkContext.broadcast(_levels(summaries.where("kind = 1")))
     classes = documents.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class_id"))
 
-    pairs = materialise(_leaders(_postings(source, words, percent, counts), percent).distinct(), "leaders")
+    pairs = materialise(_leaders(_postings(source, words, percent, levels), percent).distinct(), "leaders")
     groups = pairs.groupBy("l1", "l2").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     groups = groups.where("sets > 1").select("l1", "l2", blocks.alias("blocks"))
@@ -296,7 +328,6 @@ def similar_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id
     members = materialise(members, "members")
     wanted = broadcast_if_small(members.select("class_id").distinct())
     sets = _sets(source.join(wanted, F.col("doc_id") == F.col("class_id"), "left_semi"), words)
-    sets = materialise(sets.dropDuplicates(["d1", "d2"]), "sets")
 
     own = F.pmod(F.xxhash64("d1", "d2"), F.col("blocks")).cast("int")
     lead = (F.col("l1") == F.col("d1")) & (F.col("l2") == F.col("d2"))
