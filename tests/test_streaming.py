@@ -1,9 +1,7 @@
-"""The stream against the batch: late and repeated events, restart after a stop."""
+"""The stream: late and repeated events, open days, restart after a stop."""
 
 import datetime
 
-from pyspark.sql import functions as F
-
 from trackmetrics.sources.layout import read_partitioned
 from trackmetrics.streaming import daily as ST
 
@@ -15,30 +13,34 @@ def add(spark, folder, rows):
     spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
 
 
-def run(spark, folder, target, state, late_days):
-    counts = ST.daily_counts(ST.event_stream(spark, folder, "*.parquet"), late_days)
-    ST.start_daily(counts, target, state).awaitTermination()
-
-
-def test_late_and_repeated_events(spark, tmp_path):
-    folder, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    add(spark, folder, [(1, "2024-01-01T10:00:00", 5), (1, "2024-01-01T10:00:00", 5), (2, "2024-01-01T11:00:00", 5)])
-    run(spark, folder, target, state, 2)
-    add(spark, folder, [(3, "2024-01-01T12:00:00", 5), (1, "2024-01-01T10:00:00", 5), (4, "2024-01-02T09:00:00", 5)])
-    run(spark, folder, target, state, 2)  # one day late, inside the bound; one repeat across batches
-    add(spark, folder, [(9, "2024-01-20T00:00:00", 6)])
-    run(spark, folder, target, state, 2)  # closes the first days
-    add(spark, folder, [(8, "2024-01-01T13:00:00", 5), (9, "2024-02-20T00:00:00", 6)])
-    run(spark, folder, target, state, 2)  # far too late
-    got = {(str(r["date"]), r["msid"]): r["listens"] for r in spark.read.parquet(target).collect()}
-    assert got[("2024-01-01", "m5")] == 3 and got[("2024-01-02", "m5")] == 1
-
-
-def test_micro_batches_are_stored_once(spark, tmp_path):
-    folder, store, state = (str(tmp_path / n) for n in ("in", "store", "state"))
-    for day in ("2024-01-01", "2024-02-01"):
-        add(spark, folder, [(1, f"{day}T10:00:00", 5), (2, f"{day}T10:00:00", 5)])
-        for _ in range(2):  # the second run finds nothing new
-            ST.start_partition_replacement(ST.event_stream(spark, folder, "*.parquet"), store, state).awaitTermination()
-    stored = read_partitioned(spark, store)
-    assert {(r["mois"], r["n"]) for r in stored.groupBy("mois").agg(F.count(F.lit(1)).alias("n")).collect()} == {("2024-01", 2), ("2024-02", 2)}
+class Run:
+    def __init__(self, spark, base):
+        self.spark = spark
+        self.folder, self.store, self.counts, self.state = (str(base / n) for n in ("in", "store", "counts", "state"))
+
+    def take(self, *rows):
+        if rows:
+            add(self.spark, self.folder, rows)
+        ST.start_events(ST.event_stream(self.spark, self.folder, "*.parquet"), self.store, self.counts, self.state).awaitTermination()
+
+    def counted(self):
+        return {(str(r["date"]), r["msid"]): r["listens"] for r in read_partitioned(self.spark, self.counts).collect()}
+
+    def stored(self):
+        return sorted((str(r["ts"].date()), r["jour"]) for r in read_partitioned(self.spark, self.store).collect())
+
+
+def test_no_event_is_lost_or_counted_twice(spark, tmp_path):
+    run = Run(spark, tmp_path)
+    run.take((1, "2024-01-01T10:00:00", 5), (1, "2024-01-01T10:00:00", 5), (2, "2024-01-01T11:00:00", 5))
+    assert run.counted() == {("2024-01-01", "m5"): 2}  # an open day is published
+    run.take((3, "2024-01-01T12:00:00", 5), (1, "2024-01-01T10:00:00", 5), (4, "2024-01-02T09:00:00", 5))
+    assert run.counted() == {("2024-01-01", "m5"): 3, ("2024-01-02", "m5"): 1}
+    run.take((9, "2024-03-20T00:00:00", 6))
+    run.take((8, "2024-01-01T13:00:00", 5), (8, "2024-03-01T13:00:00", 5), (2, "2024-01-01T11:00:00", 5))
+    assert run.counted()[("2024-01-01", "m5")] == 4 and run.counted()[("2024-03-01", "m5")] == 1
+    late = [x for x in run.stored() if x[1] == "_ancien"]
+    assert late == [("2024-01-01", "_ancien")]  # the far too late event is kept apart
+    before = run.stored()
+    run.take()  # nothing new
+    assert run.stored() == before and len(before) == 7

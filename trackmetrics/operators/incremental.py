@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackmetrics.operators.ranks import existing_quantile, value_ranks
 from trackmetrics.operators.skew import null_safe_join
+from trackmetrics.session import materialise
+from trackmetrics.sources.layout import read_partitioned, write_rebalanced
 
 # Lateness limit in days, and the partition of older events.
 LATE_DAYS = 30
@@ -66,8 +68,9 @@ def duplicate_anatomy(df: DataFrame, keys: Sequence[str], batch: str) -> DataFra
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Row count and order-free digest of a table; equal tables give equal digests."""
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    """Row count and order-free digest of a table; equal tables give equal digests, and a null counts at its place."""
+    value = lambda c: F.coalesce(F.concat(F.length(c), F.lit(":"), c), F.lit("~"))
+    text = F.concat_ws("|", *[value(F.col(c).cast("string")) for c in columns])
     digest = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(digest).cast("string").alias("digest"))
 
@@ -231,6 +234,25 @@ def merge_groups(stored: DataFrame, staged: DataFrame, keys: Sequence[str], valu
     return latest.select(*keys, *[F.col(f"__row.{v}").alias(v) for v in values])
 
 
+def upsert(path: str, staged: DataFrame, keys: Sequence[str], values: Sequence[str], month: str = "mois") -> DataFrame:
+    """Upsert into a stored table partitioned by month: update, insert, never delete; returns the groups that differed.
+
+    Only the months of ``staged`` are read, only those with a difference are written again.  The names of the months pass through the
+    driver, so that the scan is pruned by literals; the calendar bounds them.
+    """
+    spark = staged.sparkSession
+    columns = [*keys, *values, *([month] if month not in keys else [])]
+    by = [*keys, *([month] if month not in keys else [])]
+    names = lambda df: [r[0] for r in df.select(month).distinct().collect()]
+    staged = materialise(staged.select(*columns), "upsert-staged")
+    stored = read_partitioned(spark, path).where(F.col(month).isin(names(staged))).select(*columns)
+    changes = materialise(differing_groups(stored, staged, by, values), "upsert-changes")
+    touched = stored.where(F.col(month).isin(names(changes)))
+    merged = materialise(merge_groups(touched, changes, by, values), "upsert-merged")  # the months read are the months replaced
+    write_rebalanced(merged.select(*columns), path, [month])
+    return changes
+
+
 def batch_statistics(df: DataFrame, day: str, month: str) -> DataFrame:
     """Manifest of a batch: per event month the rows, distinct days, first and last day."""
     return df.groupBy(month).agg(

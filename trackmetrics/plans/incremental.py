@@ -12,7 +12,7 @@ from trackmetrics.operators import quality as Q
 from trackmetrics.operators import resolve as R
 from trackmetrics.plans.registry import query
 from trackmetrics.session import materialise, work_folder
-from trackmetrics.sources.layout import read_partitioned, write_planned
+from trackmetrics.sources.layout import read_partitioned, write_planned, write_rebalanced
 from trackmetrics.sources.views import raw_json
 from trackmetrics.streaming import daily as ST
 
@@ -148,26 +148,27 @@ def alerts(t):
     return I.alerts(runs, t.bounds.agg(F.max("end_s") + 90000).scalar())
 
 
+def streamed(t):
+    """Folders of the events and the daily counts after the stream has read all files."""
+    store, counts, checkpoint = (work_folder(t.spark, f"st12-{n}") for n in ("store", "counts", "state"))
+    ST.start_events(ST.event_stream(t.spark, t.folder, "events.parquet"), store, counts, checkpoint).awaitTermination()
+    return store, counts
+
+
 @query("st12_daily_stream", """
     SELECT CAST(date AS STRING) AS date, msid, count(DISTINCT (user_tok, ts_us)) AS listens FROM (
-        SELECT date, msid, user_tok, epoch_us(ts) AS ts_us FROM listens_flat JOIN events USING (event_id)) AS x
-    WHERE date < (SELECT CAST(max(ts) AS DATE) - 1 FROM events) GROUP BY 1, 2""")
+        SELECT date, msid, user_tok, epoch_us(ts) AS ts_us FROM listens_flat JOIN events USING (event_id)) AS x GROUP BY 1, 2""")
 def daily_stream(t):
-    """The stream run to its end with a one-day bound; closed days only, the last ones stay in state."""
-    target, checkpoint = work_folder(t.spark, "st12"), work_folder(t.spark, "st12-state")
-    counts = ST.daily_counts(ST.event_stream(t.spark, t.folder, "events.parquet"), late_days=1)
-    ST.start_daily(counts, target, checkpoint).awaitTermination()
-    closed = t.spark.read.parquet(target)
-    limit = t.events.agg(F.max("ts").cast("date") - 1).scalar()
-    return closed.where(F.col("date") < limit).select(F.col("date").cast("string").alias("date"), "msid", "listens")
+    """Counts of all days, open ones included."""
+    return read_partitioned(t.spark, streamed(t)[1]).select(F.col("date").cast("string").alias("date"), "msid", "listens")
 
 
-@query("st12_stream_partitions", "SELECT mois, count(DISTINCT (user_tok, event_id)) AS n FROM listens_flat GROUP BY mois")
+@query("st12_stream_partitions", """
+    WITH e AS (SELECT DISTINCT mois, date, user_tok, msid, epoch_us(ts) AS ts_us FROM listens_flat JOIN events USING (event_id))
+    SELECT mois, CASE WHEN (SELECT max(date) FROM e) - date <= 30 THEN CAST(date AS STRING) ELSE '_ancien' END AS jour, count(*) AS n FROM e GROUP BY 1, 2""")
 def stream_partitions(t):
-    """Events stored by ``foreachBatch`` with partition replacement."""
-    store, checkpoint = work_folder(t.spark, "st12b"), work_folder(t.spark, "st12b-state")
-    ST.start_partition_replacement(ST.event_stream(t.spark, t.folder, "events.parquet"), store, checkpoint).awaitTermination()
-    return read_partitioned(t.spark, store).groupBy("mois").agg(n_rows().alias("n"))
+    """Events as stored: every one once, late ones under the partition of old events."""
+    return read_partitioned(t.spark, streamed(t)[0]).groupBy("mois", "jour").agg(n_rows().alias("n"))
 
 
 def merge_inputs(t):
@@ -183,13 +184,8 @@ def merge(t):
     """Upsert of the true facts into the damaged ones, only the touched months rewritten."""
     facts, damaged = merge_inputs(t)
     path = work_folder(t.spark, "st13")
-    write_planned(damaged, path, ["mois"], ["msid"], 43.8)
-    stored = read_partitioned(t.spark, path).select("date", "msid", "listens", "listeners", "mois")
-    changes = materialise(I.differing_groups(stored, facts, ["date", "msid", "mois"], ["listens", "listeners"]), "st13-changes")
-    months = changes.select("mois").distinct()  # bounded by the calendar
-    touched = stored.join(F.broadcast(months), "mois", "left_semi")
-    merged = I.merge_groups(touched, changes, ["date", "msid", "mois"], ["listens", "listeners"])
-    write_planned(materialise(merged, "st13-stage"), path, ["mois"], ["msid"], 43.8)
+    write_rebalanced(damaged, path, ["mois"])
+    I.upsert(path, facts, ["date", "msid"], ["listens", "listeners"])
     return read_partitioned(t.spark, path).select(F.col("date").cast("string").alias("date"), "msid", "listens", "listeners")
 
 

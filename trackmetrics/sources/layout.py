@@ -84,6 +84,28 @@ def full_reload(tables: dict[str, DataFrame], base: str) -> DataFrame:
     return out
 
 
+def has_partitions(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds partition folders, asked of the file system that serves its path."""
+    inside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*=*")
+    found = inside.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(inside)
+    return found is not None and len(found) > 0
+
+
+def delete_folders(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Delete partition folders with their files; returns how many existed."""
+    gone = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True))
+    return gone
+
+
+def partition_folder(base: str, **values: str) -> str:
+    """Path of one partition, values written as the Parquet writer escapes them."""
+    escape = lambda v: "".join(c if c.isalnum() or c in "_-. " else f"%{ord(c):02X}" for c in v)
+    return "/".join([base.rstrip("/"), *[f"{k}={escape(str(v))}" for k, v in values.items()]])
+
+
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     """Read with partition values kept as text (``2026-09``, ``_ancien``), whatever the session infers."""
     conf = "spark.sql.sources.partitionColumnTypeInference.enabled"

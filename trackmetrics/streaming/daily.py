@@ -1,16 +1,22 @@
-"""Daily counts per title as a stream over arriving files.
+"""Events and daily counts per title as a stream over arriving files.
 
-Late events are accepted for thirty days, a repeated event is counted once, and
-each micro-batch replaces the partitions of the days it touches.
+Nothing is dropped for being late: each micro-batch is joined with what is stored.
+An event already stored is a repeat; an event received more than ``late_days`` days
+after its day goes to the partition of old events; the counts of every day a
+micro-batch touches are replaced at once, so open days are published too.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackmetrics.functions import text as X
 from trackmetrics.functions.counting import n_rows
-from trackmetrics.operators.incremental import LATE_DAYS
+from trackmetrics.operators.incremental import LATE_DAYS, OLD, route_late
+from trackmetrics.session import materialise
+from trackmetrics.sources.layout import has_partitions, read_partitioned, write_rebalanced
 
 EVENT_KEY = ["user_tok", "ts", "msid"]
 
@@ -26,33 +32,43 @@ def event_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     )
 
 
-def daily_counts(events: DataFrame, late_days: int = LATE_DAYS) -> DataFrame:
-    """Tumbling one-day window per title after a watermark-bounded deduplication."""
-    once = events.withWatermark("ts", f"{late_days} days").dropDuplicatesWithinWatermark(EVENT_KEY)
-    counted = once.groupBy(F.window("ts", "1 day").alias("w"), "msid").agg(n_rows().alias("listens"))
-    return counted.select(F.to_date("w.start").alias("date"), "msid", "listens")
-
+def _stored(spark: SparkSession, store: str, months: list[str], without: int | None = None) -> DataFrame | None:
+    """Stored events of some months, without those of one micro-batch."""
+    if not has_partitions(spark, store):
+        return None
+    stored = read_partitioned(spark, store).where(F.col("mois").isin(months))
+    return stored if without is None else stored.where(F.col("dump") != str(without))
 
-def start_daily(counts: DataFrame, target: str, checkpoint: str):
-    """Write closed days in append mode, partitioned by month and day, once each."""
-    out = counts.withColumn("mois", X.month_of(F.col("date")))
-    return (
-        out.writeStream.outputMode("append").format("parquet").option("path", target)
-        .option("checkpointLocation", checkpoint).partitionBy("mois").trigger(availableNow=True).start()
-    )
 
+def start_events(events: DataFrame, store: str, counts: str, checkpoint: str, late_days: int = LATE_DAYS):
+    """Keep every event once under (mois, jour, dump) and the counts per title under (mois, date).
 
-def start_partition_replacement(events: DataFrame, store: str, checkpoint: str):
-    """Keep events by day and month: every micro-batch adds its new events under its own batch partition.
-
-    A replayed micro-batch has the same id and so replaces what it wrote before,
-    which makes the sink exactly-once.
+    Reception is the latest event day seen so far.  A replayed micro-batch has the same number, replaces its own
+    partitions and is not compared with them, which makes both sinks exactly-once.
     """
-    dated = events.withColumn("date", F.to_date("ts")).withColumn("mois", X.month_of(F.col("date")))
-    once = dated.withWatermark("ts", f"{LATE_DAYS} days").dropDuplicatesWithinWatermark(EVENT_KEY)
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch.withColumn("dump", F.lit(batch_id))
-        tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("mois", "dump").parquet(store)
-
-    return once.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        spark = batch.sparkSession
+        dated = batch.withColumn("date", F.to_date("ts")).withColumn("mois", X.month_of(F.col("date")))
+        once = materialise(dated.dropDuplicates(EVENT_KEY), "micro-batch")
+        seen = once.agg(F.max("date").alias("last"), F.collect_set("mois").alias("months")).first()  # months: bounded by the calendar
+        if seen["last"] is None:
+            return
+        reception = seen["last"]
+        known = _stored(spark, store, seen["months"], batch_id)
+        if known is not None:
+            same = reduce(lambda a, b: a & b, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in EVENT_KEY])
+            months = F.col("n.mois") == F.col("o.mois")
+            once = once.alias("n").join(known.select("mois", *EVENT_KEY).alias("o"), months & same, "left_anti")
+            newest = read_partitioned(spark, store).where((F.col("dump") != str(batch_id)) & (F.col("jour") != OLD)).agg(F.max("jour")).first()[0]
+            reception = max(reception, X.day_from_text(newest)) if newest else reception
+        routed = route_late(once.withColumn("reception", F.lit(reception)), "reception", "date", late_days)
+        routed = materialise(routed.withColumn("dump", F.lit(batch_id)), "routed")
+        write_rebalanced(routed, store, ["mois", "jour", "dump"])
+        days = [r["date"] for r in routed.select("date").distinct().collect()]  # bounded by the calendar
+        stored = _stored(spark, store, seen["months"])
+        if days and stored is not None:
+            counted = stored.where(F.col("date").isin(days)).groupBy("mois", "date", "msid").agg(n_rows().alias("listens"))
+            write_rebalanced(counted, counts, ["mois", "date"])
+
+    return events.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
