@@ -46,6 +46,10 @@ CASES = [
     (listen(info={"tracknumber": True}), ("rebut", "type_modifie:ai.tracknumber", [])),
     (listen(info={"artist_mbids": "a"}), ("rebut", "type_modifie:ai.artist_mbids", [])),
     (listen(info={"artist_mbids": []}), ("aplati", None, [])),
+    (listen(info={"artist_names": [1, 2]}), ("rebut", "type_modifie:ai.artist_names", [])),
+    (listen(info={"tracknumber": 3.5}), ("rebut", "type_modifie:ai.tracknumber", [])),
+    (listen(info={"tracknumber": 3}), ("aplati", None, [])),
+    (listen(meta={"additional_info": 5}), ("rebut", "type_modifie:tm.additional_info", [])),
     (listen(meta={"mbid_mapping": {"artists": [{"artist_mbid": "x", "artist_credit_name": 5}]}}),
      ("rebut", "type_modifie:mm.artists[].artist_credit_name", [])),
     (listen(meta={"mbid_mapping": {"artists": [{"artist_mbid": "x"}]}}), ("aplati", None, [])),

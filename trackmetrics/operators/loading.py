@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trackmetrics.functions.counting import n_rows
 from trackmetrics.operators import contract as CT
 from trackmetrics.operators.incremental import OLD, routing_errors
-from trackmetrics.sources.layout import read_partitioned, write_rebalanced
+from trackmetrics.session import materialise
+from trackmetrics.sources.layout import delete_folders, has_partitions, partition_folder, read_partitioned, write_rebalanced
 
 LEDGER = "no int, start_s bigint, end_s bigint, announced bigint, n_rows bigint, recent bigint, old bigint, registered_s bigint, verdict string"
 
@@ -35,10 +36,8 @@ def load_batch(
         outcome = "CONTROLE_OK"
     if outcome == "ECRIRE":
         flat = CT.incremental_flat(parsed, dump, F.lit(reception).cast("date"))
-        write_rebalanced(flat, target, ["mois", "jour", "dump"])
-        if decision["rejected"]:
-            out = CT.rejects(parsed).withColumn("dump", F.lit(dump))
-            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("mois", "dump").parquet(rejected)
+        _replace_batch(materialise(flat, "load"), target, ["mois", "jour", "dump"], dump)
+        _replace_batch(materialise(CT.rejects(parsed).withColumn("dump", F.lit(dump)), "load-rejects"), rejected, ["mois", "dump"], dump)
         stored = read_partitioned(spark, target).where(F.col("dump") == dump)
         check = routing_errors(stored.withColumn("r", F.lit(reception).cast("date")), "r", "date").first()
         written = check["n"]
@@ -52,6 +51,17 @@ def load_batch(
     ))
 
 
+def _replace_batch(rows: DataFrame, path: str, partitions: list[str], dump: str) -> None:
+    """Write a batch and remove what an earlier load of it left in partitions that it no longer fills."""
+    spark = rows.sparkSession
+    names = lambda df: {tuple(r) for r in df.select(*partitions).distinct().collect()}  # noqa: E731  partitions of one batch
+    stale = names(read_partitioned(spark, path).where(F.col("dump") == dump)) if has_partitions(spark, path) else set()
+    filled = names(rows)
+    if filled:
+        write_rebalanced(rows, path, partitions)
+    delete_folders(spark, [partition_folder(path, **dict(zip(partitions, map(str, p)))) for p in sorted(stale - filled, key=str)])
+
+
 def register_batch(spark: SparkSession, ledger: str, no: int, bounds: tuple[int, int], report: DataFrame, target: str, now_s: int, verdict: str) -> None:
     """Append a ledger row, only for a successful load whose counts agree."""
     r = report.first()

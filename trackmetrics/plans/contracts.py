@@ -10,7 +10,7 @@ from trackmetrics.operators import quality as Q
 from trackmetrics.operators import structure as SV
 from trackmetrics.plans.registry import query
 from trackmetrics.session import work_folder
-from trackmetrics.sources.layout import read_partitioned
+from trackmetrics.sources.layout import read_partitioned, write_rebalanced
 from trackmetrics.sources.views import raw_json
 
 _ROUTED = """
@@ -168,8 +168,8 @@ def verify_written(t):
     """Write the flattened lines and the rejects, then check what was written."""
     lines = parsed(t)
     target, rejected = work_folder(t.spark, "ct12"), work_folder(t.spark, "ct12-rejects")
-    CT.flatten(lines).write.partitionBy("mois").parquet(target)
-    CT.rejects(lines).write.partitionBy("mois").parquet(rejected)
+    write_rebalanced(CT.flatten(lines), target, ["mois"])
+    write_rebalanced(CT.rejects(lines), rejected, ["mois"])
     n_rejects = read_partitioned(t.spark, rejected).agg(n_rows()).scalar()
     return CT.verify_flat(read_partitioned(t.spark, target), CT.LISTENS).withColumn("rejects", n_rejects)
 
@@ -188,20 +188,19 @@ def minimise(t):
 
 
 @query("ct14_altered_batches", """
-    WITH r AS (SELECT *, event_id % 10 = 0 AS hit FROM raw_listens)
-    SELECT 'temoin' AS batch, count(*) FILTER (NOT truncated AND NOT has_new AND FALSE) AS new_key, count(*) FILTER (drift AND NOT truncated) AS drifted,
-           count(*) FILTER (no_track AND NOT truncated AND NOT drift) AS gone FROM r
-    UNION ALL SELECT 'champ_nouveau', count(*) FILTER (hit AND NOT truncated), count(*) FILTER (drift AND NOT truncated), count(*) FILTER (no_track AND NOT truncated AND NOT drift) FROM r
-    UNION ALL SELECT 'type_modifie', 0, count(*) FILTER ((drift OR hit) AND NOT truncated), count(*) FILTER (no_track AND NOT truncated AND NOT (drift OR hit)) FROM r
-    UNION ALL SELECT 'champ_disparu', 0, count(*) FILTER (drift AND NOT truncated), count(*) FILTER ((no_track OR hit) AND NOT truncated AND NOT drift) FROM r
-    UNION ALL SELECT 'champ_purge', 0, count(*) FILTER (drift AND NOT truncated), count(*) FILTER (no_track AND NOT truncated AND NOT drift) FROM r""")
+    WITH r AS (SELECT *, event_id % 10 = 0 AS hit FROM raw_listens WHERE NOT truncated)
+    SELECT batch, count(*) FILTER (batch = 'champ_nouveau' AND hit) AS new_key, count(*) FILTER (batch = 'champ_purge' AND hit) AS purged,
+           count(*) FILTER (drift OR (batch = 'type_modifie' AND hit)) AS drifted,
+           count(*) FILTER (NOT drift AND NOT (batch = 'type_modifie' AND hit) AND (no_track OR (batch = 'champ_disparu' AND hit))) AS gone
+    FROM r, (VALUES ('temoin'), ('champ_nouveau'), ('type_modifie'), ('champ_disparu'), ('champ_purge')) AS c(batch) GROUP BY batch""")
 def altered_batches(t):
     """Every tenth line altered in five ways; the parser must see each alteration."""
     out = []
-    for case in ("temoin", "champ_nouveau", "type_modifie", "champ_disparu", "champ_purge"):
-        p = CT.parse(CT.alter(raw_json(t), case, F.col("event_id") % 10 == 0), CT.LISTENS)
+    for case in CT.ALTERATIONS:
+        p = CT.parse(CT.alter(raw_json(t), case, F.col("event_id") % 10 == 0), CT.LISTENS).where("valid_json")
         out.append(p.agg(
-            F.lit(case).alias("batch"), F.count_if(F.array_contains("unknown", "ai.champ_nouveau_test")).alias("new_key"),
+            F.lit(case).alias("batch"), F.count_if(F.array_contains("unknown", "racine.essai_inconnu")).alias("new_key"),
+            F.count_if(F.array_contains("unknown", "ai.conn_country")).alias("purged"),
             F.count_if(F.size("drift") > 0).alias("drifted"), F.count_if(F.col("reason").startswith("champ_disparu:")).alias("gone"),
         ))
     return Q.union(*out)
