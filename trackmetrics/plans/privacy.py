@@ -1,5 +1,7 @@
 """Privacy operators."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from trackmetrics.functions import tokens as TK
@@ -12,6 +14,7 @@ from trackmetrics.operators import quality as Q
 from trackmetrics.operators import resolve as R
 from trackmetrics.plans.registry import query
 from trackmetrics.session import work_folder
+from trackmetrics.sources.layout import read_partitioned, write_rebalanced
 from trackmetrics.sources.tables import drop_partitions_before, register
 from trackmetrics.sources.views import raw_json
 
@@ -113,7 +116,7 @@ def same_salt(t):
 def output_without_tokens(t):
     """The written facts hold no listener column."""
     path = work_folder(t.spark, "pv10")
-    A.day_facts(t.listens_flat).write.partitionBy("mois").parquet(path)
+    write_rebalanced(A.day_facts(t.listens_flat), path, ["mois"])
     return P.column_check(t.spark.read.parquet(path), ["date", "msid", "listens", "listeners", "mois"], forbidden=["user_id", "user_tok"])
 
 
@@ -131,11 +134,15 @@ def access_and_erasure(t):
 
 
 @query("pv12_retention", """
-    SELECT CAST(date AS STRING) AS date, count(*) AS n FROM listens WHERE date >= DATE '2024-01-16' GROUP BY date""")
+    SELECT CAST(date AS STRING) AS date, count(*) AS n, count(*) AS in_files FROM listens WHERE date >= DATE '2024-01-16' GROUP BY date""")
 def retention(t):
-    """A dated table after the partitions older than the limit were dropped."""
+    """A dated table after retention: rows in the catalog's partitions, and rows in the files whatever the catalog says."""
     path = work_folder(t.spark, "pv12")
-    t.listens.select("event_id", F.col("date").cast("string").alias("day")).write.partitionBy("day").parquet(path)
-    name = register(t.spark, "pv12_raw_zone", path, "Raw zone by day", {}, ["day"])
+    dated = t.listens.select("event_id", F.col("date").cast("string").alias("day"))
+    write_rebalanced(dated, path, ["day"])
+    name = register(t.spark, f"pv12_{uuid.uuid4().hex}", path, "Raw zone by day", {}, ["day"])
     drop_partitions_before(t.spark, name, "day", "2024-01-16")
-    return t.spark.table(name).groupBy(F.col("day").cast("string").alias("date")).agg(n_rows().alias("n"))
+    t.spark.sql(f"MSCK REPAIR TABLE {name}")  # brings nothing back
+    files = read_partitioned(t.spark, path).groupBy("day").agg(n_rows().alias("in_files"))
+    listed = t.spark.table(name).groupBy("day").agg(n_rows().alias("n"))
+    return files.join(listed, "day", "full_outer").select(F.col("day").cast("string").alias("date"), "n", "in_files")

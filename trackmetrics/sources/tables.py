@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from trackmetrics.sources.layout import delete_folders
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -55,13 +57,18 @@ def check_properties(spark: SparkSession, name: str, wanted: Mapping[str, str])
 
 
 def drop_partitions_before(spark: SparkSession, name: str, column: str, limit: str) -> int:
-    """Retention: drop the partitions of a dated column that lie before ``limit``; returns how many.
+    """Retention: drop the partitions of a dated column that lie before ``limit`` and delete their files; returns how many.
 
-    Partition names are catalog metadata, one per day.
+    The table is external, so the catalog alone would keep the files.  Partition names are catalog metadata, one per day; the
+    folders are deleted first, so that an interrupted run is finished by the next one.
     """
-    value = F.regexp_extract("partition", rf"(?:^|/){_identifier(column)}=([^/]+)", 1)
-    old = spark.sql(f"SHOW PARTITIONS {_identifier(name)}").select(value.alias("v")).where(F.col("v") < limit).distinct().collect()
+    pattern = rf"(?:^|/){_identifier(column)}=([^/]+)"
+    listed = spark.sql(f"SHOW PARTITIONS {_identifier(name)}").select("partition", F.regexp_extract("partition", pattern, 1).alias("v"))
+    old = listed.where(F.col("v") < limit).collect()
     if old:
-        specs = ", ".join(f"PARTITION ({column} = {_quoted(r['v'])})" for r in old)
+        base = next(r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect() if r["col_name"] == "Location")
+        delete_folders(spark, [f"{base.rstrip('/')}/{r['partition']}" for r in old])
+        specs = ", ".join(f"PARTITION ({column} = {_quoted(v)})" for v in sorted({r["v"] for r in old}))
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+        spark.sql(f"REFRESH TABLE {name}")
     return len(old)
