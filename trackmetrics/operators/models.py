@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -14,13 +15,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trackmetrics.functions.counting import n_rows
 from trackmetrics.operators.ranks import average_rank, value_ranks
+from trackmetrics.operators.skew import attach
+from trackmetrics.session import materialise
 
 FOLDS = 5
 SEED = 42
-# The eight boosting settings compared (step, leaves as depth, leaf size, iterations).
+
+
+class Setting(NamedTuple):
+    """Boosting setting; a tree of so many leaves gets the depth that holds them."""
+
+    step: float
+    leaves: int
+    leaf_rows: int
+    rounds: int
+
+
+# The eight boosting settings compared.
 BOOSTING = (
-    (0.05, 31, 20, 400), (0.05, 63, 40, 400), (0.05, 15, 20, 600), (0.10, 31, 20, 300),
-    (0.10, 63, 40, 200), (0.10, 15, 50, 400), (0.03, 31, 30, 800), (0.15, 31, 20, 200),
+    Setting(step=0.05, leaves=31, leaf_rows=20, rounds=400), Setting(step=0.05, leaves=63, leaf_rows=40, rounds=400),
+    Setting(step=0.05, leaves=15, leaf_rows=20, rounds=600), Setting(step=0.10, leaves=31, leaf_rows=20, rounds=300),
+    Setting(step=0.10, leaves=63, leaf_rows=40, rounds=200), Setting(step=0.10, leaves=15, leaf_rows=50, rounds=400),
+    Setting(step=0.03, leaves=31, leaf_rows=30, rounds=800), Setting(step=0.15, leaves=31, leaf_rows=20, rounds=200),
 )
 
 
@@ -39,26 +55,17 @@ def group_holdout(df: DataFrame, group: str, test_pct: int = 20, seed: int = SEE
 def group_folds(df: DataFrame, group: str, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
     """``fold`` per row: whole groups, folds of similar size.
 
-    Groups larger than 1/(20 x folds) of the rows are dealt by size, largest
-    first, to the smallest fold; there are at most 20 x folds of them, so this
-    fold runs on one short array.  All other groups are spread by hash.
+    Groups are ranked by size, equal sizes by a hash, and dealt in a snake: 0 to folds - 1, then back.  The ranks are exact and
+    distributed, so one rule holds for any number of groups and any group size.
     """
-    sizes = df.groupBy(F.col(group).alias("__g")).agg(n_rows().alias("n"))
-    total = sizes.agg(F.sum("n")).scalar()
-    large = sizes.where(F.col("n") * (20 * folds) > total)
-    ordered = large.agg(F.sort_array(F.collect_list(F.struct("n", "__g")), asc=False).alias("s"))
-    zeros = F.array(*[F.lit(0).cast("long") for _ in range(folds)])
-    key = dict(df.dtypes)[group]
-    start = F.struct(zeros.alias("load"), F.array().cast(f"array<struct<__g:{key},fold:int>>").alias("out"))
-
-    def deal(acc: Column, x: Column) -> Column:
-        pick = (F.array_position(acc["load"], F.array_min(acc["load"])) - 1).cast("int")
-        load = F.transform(acc["load"], lambda v, i: F.when(i == pick, v + x["n"]).otherwise(v))
-        return F.struct(load.alias("load"), F.concat(acc["out"], F.array(F.struct(x["__g"].alias("__g"), pick.alias("fold")))).alias("out"))
-
-    dealt = ordered.select(F.inline(F.aggregate("s", start, deal)["out"]))
-    joined = df.join(F.broadcast(dealt), F.col(group).eqNullSafe(F.col("__g")), "left")
-    return joined.withColumn("fold", F.coalesce("fold", bucket(F.col(group), seed, folds))).drop("__g")
+    sizes = df.groupBy(group).agg(n_rows().alias("__n"))
+    # one number per group: size above, hash below; groups that agree in both share a fold
+    keyed = sizes.withColumn("__place", -(F.col("__n") * F.lit(1 << 31)) + F.pmod(F.xxhash64(group, F.lit(seed)), F.lit(1 << 31)))
+    ranks = value_ranks(keyed, "__place").select(F.col("value").alias("__place"), (F.col("upto") - 1).alias("__r"))
+    turn = F.pmod(F.col("__r"), F.lit(2 * folds))
+    fold = F.when(turn < folds, turn).otherwise(F.lit(2 * folds - 1) - turn).cast("int")
+    dealt = keyed.join(ranks, "__place").select(group, "__n", fold.alias("fold"))
+    return attach(df, dealt, [group], "__n", df.columns).drop("__n")
 
 
 # -- models -----------------------------------------------------------------------------
@@ -78,23 +85,22 @@ def forest(features: Sequence[str], target: str, trees: int = 300, depth: int =
     ])
 
 
-def logistic(features: Sequence[str], target: str) -> Estimator:
-    """Median imputation, scaling and regression; all fitted inside the fold."""
+def logistic(features: Sequence[str], target: str, indicators: Sequence[str] = ()) -> Estimator:
+    """Median imputation of the raw nulls, scaling and regression; all fitted inside the fold."""
     filled = [f"{c}_filled" for c in features]
     return Pipeline(stages=[
         Imputer(strategy="median", inputCols=list(features), outputCols=filled, relativeError=0.001),
-        VectorAssembler(inputCols=filled, outputCol="raw_x"),
+        VectorAssembler(inputCols=[*filled, *indicators], outputCol="raw_x"),
         StandardScaler(inputCol="raw_x", outputCol="x", withMean=True),
         LogisticRegression(featuresCol="x", labelCol=target, weightCol="weight", maxIter=100),
     ])
 
 
-def boosting(features: Sequence[str], target: str, setting: Sequence[float] = BOOSTING[0], iterations: int | None = None) -> Estimator:
-    step, leaves, leaf_rows, rounds = setting
+def boosting(features: Sequence[str], target: str, setting: Setting = BOOSTING[0], iterations: int | None = None) -> Estimator:
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="x"),
-        GBTClassifier(featuresCol="x", labelCol=target, weightCol="weight", stepSize=step, maxDepth=int(leaves).bit_length(),
-                      minInstancesPerNode=int(leaf_rows), maxIter=iterations or int(rounds), seed=SEED),
+        GBTClassifier(featuresCol="x", labelCol=target, weightCol="weight", stepSize=setting.step, maxDepth=setting.leaves.bit_length(),
+                      minInstancesPerNode=setting.leaf_rows, maxIter=iterations or setting.rounds, seed=SEED),
     ])
 
 
@@ -130,6 +136,14 @@ def auc(scored: DataFrame, target: str, p: str = "score") -> DataFrame:
     return ranked.agg(n.alias("n"), pos.alias("positives"), F.round(F.try_divide(u, pos * (n - pos)), 6).alias("auc"))
 
 
+def average_precision(scored: DataFrame, target: str, p: str = "score") -> DataFrame:
+    """Exact area under the precision-recall curve: precision at each distinct score, weighted by the recall it adds."""
+    flipped = scored.withColumn("__down", -F.col(p).cast("double"))
+    ranked = value_ranks(flipped, "__down", carry={"pos": (F.col(target) == 1).cast("long")})
+    area = F.sum(F.col("pos") * F.col("pos_upto") / F.col("upto"))
+    return ranked.agg(F.round(F.try_divide(area, F.sum("pos")), 6).alias("auc_pr"))
+
+
 def precision_at_recall(scored: DataFrame, target: str, p: str = "score", recall: float = 0.75) -> DataFrame:
     """The highest threshold whose recall reaches the level, with its precision and recall.
 
@@ -149,29 +163,31 @@ def precision_at_recall(scored: DataFrame, target: str, p: str = "score", recall
 # -- protocols ----------------------------------------------------------------------------
 
 
+def held_out(train: DataFrame, test: DataFrame, target: str, make: Callable[[], Estimator], name: str) -> DataFrame:
+    """Stored scores of ``test`` by a model that saw only ``train``, its class weights included."""
+    model = make().fit(class_weights(train, target))
+    return materialise(score(model, test).select(target, "score"), f"scored-{name}")
+
+
 def cross_validate(df: DataFrame, target: str, make: Callable[[], Estimator], name: str) -> list[tuple]:
-    """(name, fold, rows, AUC, AUC-PR) per fold; ``df`` has a ``fold`` column and weights."""
+    """(name, fold, rows, AUC, AUC-PR, threshold at the recall level) per fold; ``df`` has a ``fold`` column."""
     out = []
     folds = [r["fold"] for r in df.select("fold").distinct().orderBy("fold").collect()]  # a handful of folds
     for fold in folds:
-        scored = score(make().fit(df.where(F.col("fold") != fold)), df.where(F.col("fold") == fold))
-        roc, pr = (
-            BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="probability", metricName=m).evaluate(scored)
-            for m in ("areaUnderROC", "areaUnderPR")
-        )
-        out.append((name, fold, scored.count(), float(roc), float(pr)))
+        scored = held_out(df.where(F.col("fold") != fold), df.where(F.col("fold") == fold), target, make, name)
+        roc, area, cut = auc(scored, target).first(), average_precision(scored, target).first(), precision_at_recall(scored, target).first()
+        out.append((name, fold, roc["n"], roc["auc"], area["auc_pr"], cut["threshold"]))
     return out
 
 
 def mean_auc(results: DataFrame) -> DataFrame:
     return results.groupBy("model").agg(
-        n_rows().alias("folds"), F.round(F.avg("auc"), 4).alias("mean_auc"), F.round(F.stddev_pop("auc"), 4).alias("std_auc")
+        n_rows().alias("folds"), F.avg("threshold").alias("threshold"), F.round(F.avg("auc"), 4).alias("mean_auc"), F.round(F.stddev_pop("auc"), 4).alias("std_auc")
     )
 
 
 def holdout_auc(df: DataFrame, target: str, make: Callable[[], Estimator], is_test: Column) -> float:
-    scored = score(make().fit(df.where(~is_test)), df.where(is_test))
-    return float(BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="probability").evaluate(scored))
+    return auc(held_out(df.where(~is_test), df.where(is_test), target, make, "holdout"), target).first()["auc"]
 
 
 def impurity_ranking(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:

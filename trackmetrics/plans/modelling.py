@@ -81,21 +81,28 @@ def group_folds(t):
 _X = AUDIO + ["age", "duration_min", "artist_other_titles", "artist_other_mean_plays", "artist_other_hit_rate"]
 
 
-def matrix(t, name: str):
-    """Feature matrix written once: every fold reads it."""
+def matrix(t, name: str, filled: bool = True):
+    """Feature matrix written once: every fold reads it.  Unfilled, nulls stay for imputation inside the folds and get an indicator."""
     table = materialise(features(t), f"{name}-features")
     numeric = table.select("track_id", "artist", "is_hit", "total_plays", *[F.col(c).cast("double").alias(c) for c in _X],
                            *[F.col(c).cast("double").alias(c) for c in ("nb_tags", "unique_listeners", "plays_per_listener", "loyal_ratio", "max_playcount")])
-    folded = M.group_folds(M.class_weights(numeric, "is_hit"), "artist", folds=3)
-    return FT.fill_missing(materialise(folded, name), _X)
+    folded = materialise(M.group_folds(numeric, "artist"), name)
+    complete = FT.fill_missing(folded, _X)
+    if filled:
+        return complete
+    return folded.withColumns({c: F.col(c.removesuffix("_missing")).isNull().cast("double") for c in complete.columns if c.endswith("_missing")})
 
 
 def columns_of(df, wanted):
     return [c for c in df.columns if c in wanted or c.removesuffix("_missing") in wanted]
 
 
+def indicators(df):
+    return [c for c in df.columns if c.endswith("_missing")]
+
+
 def results(t, rows):
-    return t.spark.createDataFrame(rows, "model string, fold int, n_rows bigint, auc double, auc_pr double")
+    return t.spark.createDataFrame(rows, "model string, fold int, n_rows bigint, auc double, auc_pr double, threshold double")
 
 
 @query("ml7_random_forest")
@@ -107,9 +114,8 @@ def random_forest(t):
 
 @query("ml8_logistic_baseline")
 def logistic_baseline(t):
-    df = matrix(t, "ml8")
-    x = columns_of(df, _X)
-    return results(t, M.cross_validate(df, "is_hit", lambda: M.logistic(x, "is_hit"), "logistic"))
+    df = matrix(t, "ml8", filled=False)
+    return results(t, M.cross_validate(df, "is_hit", lambda: M.logistic(_X, "is_hit", indicators(df)), "logistic"))
 
 
 @query("ml9_boosting_grid")
@@ -118,7 +124,7 @@ def boosting_grid(t):
     df = M.group_holdout(matrix(t, "ml9"), "artist")
     x = columns_of(df, _X)
     rows = [
-        (f"boosting_{i}", 0, 0, M.holdout_auc(df, "is_hit", lambda s=s: M.boosting(x, "is_hit", (s[0], min(s[1], 7), s[2], s[3]), iterations=3), F.col("is_test")), None)
+        (f"boosting_{i}", 0, 0, M.holdout_auc(df, "is_hit", lambda s=s: M.boosting(x, "is_hit", s, iterations=5), F.col("is_test")), None, None)
         for i, s in enumerate(M.BOOSTING, 1)
     ]
     return results(t, rows)
@@ -163,10 +169,10 @@ def ablation(t):
     rows = []
     for name, wanted in sets.items():
         x = columns_of(df, wanted)
-        rows.append((name, 0, 0, M.holdout_auc(df, "is_hit", lambda x=x: M.forest(x, "is_hit", trees=10, depth=5), F.col("is_test")), None))
+        rows.append((name, 0, 0, M.holdout_auc(df, "is_hit", lambda x=x: M.forest(x, "is_hit", trees=10, depth=5), F.col("is_test")), None, None))
     x = columns_of(df, sets["C_artist"])
     random_side = M.bucket(F.col("track_id"), M.SEED, 100) < 20
-    rows.append(("C_artist_random_split", 0, 0, M.holdout_auc(df, "is_hit", lambda: M.forest(x, "is_hit", trees=10, depth=5), random_side), None))
+    rows.append(("C_artist_random_split", 0, 0, M.holdout_auc(df, "is_hit", lambda: M.forest(x, "is_hit", trees=10, depth=5), random_side), None, None))
     return results(t, rows)
 
 
@@ -181,7 +187,7 @@ def two_targets(t):
     sets = {"B_complete": context, "B_without_age": [c for c in context if c != "age"],
             "B_without_catalogue": [c for c in context if c != "artist_other_titles"], "age_only": ["age"]}
     rows = [
-        (f"{name}__{target}", 0, 0, M.holdout_auc(joined, target, lambda x=columns_of(joined, wanted), y=target: M.forest(x, y, trees=5, depth=4), F.col("is_test")), None)
+        (f"{name}__{target}", 0, 0, M.holdout_auc(joined, target, lambda x=columns_of(joined, wanted), y=target: M.forest(x, y, trees=5, depth=4), F.col("is_test")), None, None)
         for name, wanted in sets.items() for target in ("is_hit", "is_hit_common")
     ]
     return results(t, rows)
@@ -189,18 +195,25 @@ def two_targets(t):
 
 @query("ml14_published_model")
 def published_model(t):
-    """Best of two models by mean AUC, refitted on all rows, published and read back to score."""
+    """Best of three families by mean AUC, refitted on all rows, published with its mean threshold at the recall level and read back to score."""
     from pyspark.ml import PipelineModel
 
-    df = matrix(t, "ml14")
-    x = columns_of(df, _X)
-    makers = {"forest": lambda: M.forest(x, "is_hit", trees=10, depth=5), "logistic": lambda: M.logistic(x, "is_hit")}
-    table = M.mean_auc(results(t, [r for name, make in makers.items() for r in M.cross_validate(df, "is_hit", make, name)]))
+    df = matrix(t, "ml14", filled=False)
+    complete = FT.fill_missing(df, _X).select(*df.columns)
+    x = columns_of(complete, _X)
+    families = {
+        "forest": (complete, lambda: M.forest(x, "is_hit", trees=20, depth=6)),
+        "boosting": (complete, lambda: M.boosting(x, "is_hit", iterations=5)),
+        "logistic": (df, lambda: M.logistic(_X, "is_hit", indicators(df))),
+    }
+    table = M.mean_auc(results(t, [r for name, (rows, make) in families.items() for r in M.cross_validate(rows, "is_hit", make, name)]))
     best = table.orderBy(F.desc("mean_auc"), "model").first()
+    rows, make = families[best["model"]]
     path = work_folder(t.spark, "ml14-model")
-    M.publish(makers[best["model"]]().fit(df), path, {"model": best["model"], "features": x, "mean_auc": best["mean_auc"], "threshold": 0.5})
-    scored = M.score(PipelineModel.load(f"{path}/model"), df)
-    return M.metrics(scored, "is_hit").withColumn("model", F.lit(best["model"]))
+    facts = {"model": best["model"], "features": x, "mean_auc": best["mean_auc"], "threshold": best["threshold"]}
+    M.publish(make().fit(M.class_weights(rows, "is_hit")), path, facts)
+    scored = M.score(PipelineModel.load(f"{path}/model"), rows)
+    return M.metrics(scored, "is_hit", cut=best["threshold"]).withColumn("model", F.lit(best["model"]))
 
 
 @query("ml15_feature_ranking")
@@ -208,7 +221,7 @@ def feature_ranking(t):
     """Rank by impurity, rank by permutation, the gap, and the direction of the effect."""
     df = matrix(t, "ml15")
     x = columns_of(df, _X)
-    model = M.forest(x, "is_hit", trees=10, depth=5).fit(df)
+    model = M.forest(x, "is_hit", trees=10, depth=5).fit(M.class_weights(df, "is_hit"))
     impurity = {f: i for i, (f, _) in enumerate(M.impurity_ranking(model, x), 1)}
     paired = materialise(M.with_donor(df, x, "track_id"), "ml15-donors")
     loss = M.permutation_ranking(model, paired, "is_hit", x)
