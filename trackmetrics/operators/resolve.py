@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -76,7 +77,7 @@ def single_owner(df: DataFrame, key: str, owner: str) -> DataFrame:
 def latest_version(df: DataFrame, key: str, version: str) -> DataFrame:
     """One row per key: the newest version, ties broken by the other columns."""
     others = [F.col(c) for c in df.columns if c not in (key, version)]
-    newest = F.datediff(F.lit("9999-12-31").cast("date"), F.col(version))
+    newest = F.datediff(F.lit("9999-12-31").cast("date"), F.col(version))  # null versions come last
     return first_by(df, [key], [newest, *others])
 
 
@@ -89,31 +90,44 @@ def key_hypothesis(canon: DataFrame) -> DataFrame:
     return one.select("n", "ok", F.round(rate, 5).alias("rate"), (rate >= KEY_AGREEMENT).cast("int").alias("accepted"))
 
 
-def resolve(combos: DataFrame, canon: DataFrame, redirect: DataFrame) -> DataFrame:
-    """Cascade mbid -> second id -> match key.
+@dataclass(frozen=True)
+class Source:
+    """One way to a recording: the id column of the listens, the column of its answer, and the table (id, answer[, route])."""
+
+    key: str
+    answer: str
+    table: DataFrame
+
+
+def sources(canon: DataFrame, redirect: DataFrame) -> list[Source]:
+    """The sources in order of preference.
 
-    Adds by_mbid, by_lastfm, by_key, route, method and rec_id.  The key step is
-    used only when :func:`key_hypothesis` accepts it, decided inside the plan by
-    a scalar subquery.  :func:`lookup` spreads the rows that lack an id and splits hot ids.
+    The table of match keys is empty unless :func:`key_hypothesis` accepts the key, which a scalar subquery decides inside the plan.
     """
     known = resolver(canon, redirect)
-    usable = key_hypothesis(canon).select("accepted").scalar() == 1
-    by_mbid = known.select(F.col("rec_id").alias("mbid"), F.col("target").alias("by_mbid"), "route")
-    by_lastfm = known.select(F.col("rec_id").alias("lastfm"), F.col("target").alias("by_lastfm"))
-    by_key = single_owner(canon, "lookup_key", "rec_id").select(
-        F.col("lookup_key").alias("match_key"), F.col("rec_id").alias("key_target")
-    )
-    joined = lookup(combos, by_mbid, "mbid", ["msid", "match_key", "lastfm"], combos)
-    joined = lookup(joined, by_lastfm, "lastfm", ["msid", "match_key", "mbid"], combos)
-    joined = lookup(joined, by_key, "match_key", ["msid", "mbid", "lastfm"], combos)
-    joined = joined.withColumn("by_key", F.when(usable, F.col("key_target"))).drop("key_target")
-    method = (
-        F.when(F.col("by_mbid").isNotNull(), F.concat(F.lit("mbid_"), F.col("route")))
-        .when(F.col("by_lastfm").isNotNull(), METHODS[2])
-        .when(F.col("by_key").isNotNull(), METHODS[3])
-        .otherwise(NO_METHOD)
-    )
-    return joined.withColumns({"method": method, "rec_id": F.coalesce("by_mbid", "by_lastfm", "by_key")})
+    accepted = key_hypothesis(canon).select("accepted").scalar() == 1
+    owned = single_owner(canon, "lookup_key", "rec_id").where(accepted)
+    return [
+        Source("mbid", "by_mbid", known.select(F.col("rec_id").alias("mbid"), F.col("target").alias("by_mbid"), "route")),
+        Source("lastfm", "by_lastfm", known.select(F.col("rec_id").alias("lastfm"), F.col("target").alias("by_lastfm"))),
+        Source("match_key", "by_key", owned.select(F.col("lookup_key").alias("match_key"), F.col("rec_id").alias("by_key"))),
+    ]
+
+
+def resolve(combos: DataFrame, canon: DataFrame, redirect: DataFrame) -> DataFrame:
+    """Each combination with the answer of every source, and with method and rec_id of the first that answers.
+
+    :func:`lookup` spreads the rows that lack an id and splits hot ids.
+    """
+    found = combos
+    used = sources(canon, redirect)
+    for source in used:
+        spread = [c for c in combos.columns if c not in (source.key, "listens")]
+        found = lookup(found, source.table, source.key, spread, combos)
+    names = {"by_mbid": F.concat(F.lit("mbid_"), F.col("route")), "by_lastfm": F.lit(METHODS[2]), "by_key": F.lit(METHODS[3])}
+    answers = [F.when(F.col(s.answer).isNotNull(), F.struct(names[s.answer].alias("method"), F.col(s.answer).alias("rec_id"))) for s in used]
+    none = F.struct(F.lit(NO_METHOD).alias("method"), F.lit(None).cast("string").alias("rec_id"))
+    return found.withColumn("__best", F.coalesce(*answers, none)).select("*", "__best.method", "__best.rec_id").drop("__best")
 
 
 def resolve_stored(listens: DataFrame, canon: DataFrame, redirect: DataFrame) -> DataFrame:
@@ -126,18 +140,20 @@ def resolve_stored(listens: DataFrame, canon: DataFrame, redirect: DataFrame) ->
     return materialise(resolve(combos, canon, redirect), "resolved")
 
 
+#: What :func:`coverage` reports: name of the measure and the column that must hold a value (or a value to equal).
+COVERAGE = {
+    "mbid_present": "mbid", "mbid_solved": "by_mbid", "mbid_redirected": ("route", "redirection"), "lastfm_present": "lastfm",
+    "lastfm_solved": "by_lastfm", "key_present": "match_key", "key_solved": "by_key", "solved": "rec_id",
+}
+
+
 def coverage(solved: DataFrame) -> DataFrame:
     """Listens covered by each source and by each step, in one aggregate."""
-    def where(c: Column) -> Column:
-        return F.sum(F.when(c, F.col("listens")).otherwise(0))
-    return solved.agg(
-        F.sum("listens").alias("total"),
-        where(F.col("mbid").isNotNull()).alias("mbid_present"), where(F.col("by_mbid").isNotNull()).alias("mbid_solved"),
-        where(F.col("route") == "redirection").alias("mbid_redirected"),
-        where(F.col("lastfm").isNotNull()).alias("lastfm_present"), where(F.col("by_lastfm").isNotNull()).alias("lastfm_solved"),
-        where(F.col("match_key").isNotNull()).alias("key_present"), where(F.col("by_key").isNotNull()).alias("key_solved"),
-        where(F.col("rec_id").isNotNull()).alias("solved"),
-    )
+    measures = [F.sum("listens").alias("total")]
+    for name, wanted in COVERAGE.items():
+        holds = F.col(wanted).isNotNull() if isinstance(wanted, str) else F.col(wanted[0]) == wanted[1]
+        measures.append(F.sum(F.when(holds, F.col("listens")).otherwise(0)).alias(name))
+    return solved.agg(*measures)
 
 
 def majority(solved: DataFrame) -> DataFrame:
@@ -246,8 +262,8 @@ def match_catalog(listens: DataFrame, titles: DataFrame, correspondence: DataFra
     joined = lookup(combos, by_key.withColumnRenamed("track_id", "t_key"), "match_key", ["msid", "sp", "fmt"], combos)
     joined = lookup(joined, by_sp.withColumnRenamed("track_id", "t_sp"), "sp", ["msid", "match_key", "fmt"], combos)
     joined = lookup(joined, correspondence.select("msid", "rec_id"), "msid", ["sp", "match_key", "fmt"], combos)
-    # by_rec holds one row per catalogue track and rec_id follows msid, split above: AQE covers what skew is left.
-    joined = joined.join(by_rec.withColumnRenamed("track_id", "t_rec"), "rec_id", "left")
+    # most rows have no recording: lookup spreads their null key
+    joined = lookup(joined, by_rec.withColumnRenamed("track_id", "t_rec"), "rec_id", ["msid", "sp", "match_key", "fmt"])
     route = (
         F.when(F.col("t_sp").isNotNull(), "spotify").when(F.col("t_rec").isNotNull(), "musicbrainz")
         .when(F.col("t_key").isNotNull(), "cle_artiste_titre")

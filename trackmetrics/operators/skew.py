@@ -75,10 +75,11 @@ def lookup(
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """Keep the row that comes first for each key: by ``order``, then by the other columns, so the choice is total.
 
-    Written as ``min(struct)``, so each map task already reduces a hot key to one
-    row; a ``row_number`` window would send the whole key to one task.
+    Nulls come last, in ``order`` and in the columns.  Written as ``min(struct)``, so each map task already reduces a hot key to
+    one row; a ``row_number`` window would send the whole key to one task.
     """
     rest = [c for c in df.columns if c not in keys]
-    ordered = [c.alias(f"__o{i}") for i, c in enumerate(order)]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*ordered, *rest)).alias("__best"))
-    return best.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in rest])
+    ordered = [x for i, c in enumerate([*order, *[F.col(c) for c in rest]]) for x in (c.isNull().alias(f"__n{i}"), c.alias(f"__o{i}"))]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("__best"))
+    first = len(order)
+    return best.select(*keys, *[F.col(f"__best.__o{first + i}").alias(c) for i, c in enumerate(rest)])

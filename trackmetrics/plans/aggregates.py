@@ -256,7 +256,7 @@ def vocabulary(t):
 
 
 @query("ag24_fingerprint", """
-    SELECT count(*) AS n, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', user_tok, CAST(ts_s AS STRING), msid)), 1, 15))::BIGINT AS HUGEINT)) AS STRING) AS digest
+    SELECT count(*) AS n, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', length(user_tok) || ':' || user_tok, length(CAST(ts_s AS STRING)) || ':' || CAST(ts_s AS STRING), coalesce(length(msid) || ':' || msid, '~'))), 1, 15))::BIGINT AS HUGEINT)) AS STRING) AS digest
     FROM dumps""")
 def fingerprint(t):
     return I.fingerprint(t.dumps, ["user_tok", "ts_s", "msid"])
