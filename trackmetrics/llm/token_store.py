@@ -31,7 +31,7 @@ from trackmetrics.session import materialise, work_folder
 
 MAGIC = b"TMTOK001"
 END_ID = 2
-#: Bounds of the training sample of the dictionary: documents (those with the lowest hash), and the longest one taken.
+#: Bounds of the training sample of the dictionary: documents (chosen by a hash of the id; never twice as many), and the longest one taken.
 SAMPLE_DOCS = 1_000
 SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
@@ -60,7 +60,9 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_
     """Dictionary from a bounded sample of whole documents; empty if the sample is too small to train on."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     sample = docs.where((F.char_length(text) > 0) & (F.char_length(text) <= SAMPLE_CHARS)).select(text.alias("text"), F.xxhash64(F.col(id_col)).alias("h"))
-    some = [r["text"] for r in sample.orderBy("h", "text").limit(SAMPLE_DOCS).select("text").collect()]
+    share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
+    chosen = sample.where(F.pmod("h", F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).orderBy("h", "text").limit(2 * SAMPLE_DOCS)
+    some = [r["text"] for r in chosen.select("text").collect()]
     arrays = [serialise(raw) for _, batch in encoded_batches(pa.array(some, pa.string()), vocabulary, end_id) for raw in batch]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes()
