@@ -7,18 +7,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trackmetrics.functions.counting import n_rows
+from trackmetrics.functions.counting import n_distinct, n_rows
 from trackmetrics.functions.staging import compute_once
 
 
 def collision_control(df: DataFrame, user: str, token: Column) -> DataFrame:
     """Distinct ids against distinct tokens, nulls counted apart on both sides."""
     pairs = df.select(F.col(user).alias("u"), token.alias("t")).distinct()
-    return pairs.agg(
-        F.count_distinct("u").alias("users"), F.count_distinct("t").alias("tokens"),
-        F.count_if(F.col("u").isNull()).alias("null_users"),
-        (F.count_distinct("u") == F.count_distinct("t")).cast("int").alias("ok"),
-    )
+    one = pairs.agg(F.count_if(F.col("u").isNull()).alias("null_users"))
+    counted = one.select(n_distinct(pairs, "u").alias("users"), n_distinct(pairs, "t").alias("tokens"), "null_users")
+    return counted.withColumn("ok", (F.col("users") == F.col("tokens")).cast("int"))
 
 
 def _holds(key: str) -> Column:

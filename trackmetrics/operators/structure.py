@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackmetrics.functions.counting import n_rows
+from trackmetrics.session import materialise
 
 
 def _kind(v: Column) -> Column:
@@ -34,20 +37,22 @@ def _open(path: Column, v: Column, known: Column) -> Column:
     )
 
 
-def survey(lines: DataFrame, line: str, month: str = "mois", depth: int = 8) -> DataFrame:
+def survey(lines: DataFrame, line: str, month: str = "mois") -> DataFrame:
     """Per (path, type): lines that hold it, first and last month.
 
-    Objects and lists are opened one level per step, in one pass over the lines;
-    an object still closed after ``depth`` levels is reported as a path of type
-    OBJECT, so nothing is lost.  Only paths inside lists can repeat in a line and
-    need a distinct.
+    Objects and lists are opened one level per step until none is left; each step is stored, and the next one reads only
+    what is still closed.  Only paths inside lists can repeat in a line and need a distinct.
     """
     walk = lines.select(line, month, F.lit("").alias("path"), F.try_parse_json("value").alias("v"), F.lit(None).cast("string").alias("type"))
-    walk = walk.where(F.col("v").isNotNull())
-    for _ in range(depth):
-        walk = walk.select(line, month, F.explode(_open(F.col("path"), F.col("v"), F.col("type"))).alias("x"))
-        walk = walk.select(line, month, "x.path", "x.v", "x.type")
-    found = walk.select(line, month, "path", F.coalesce("type", _kind(F.col("v"))).alias("type"))
+    closed, parts = walk.where(F.col("v").isNotNull()), []
+    while True:
+        opened = closed.select(line, month, F.explode(_open(F.col("path"), F.col("v"), F.col("type"))).alias("x"))
+        step = materialise(opened.select(line, month, "x.path", "x.v", "x.type"), "survey")
+        parts.append(step.where(F.col("type").isNotNull()).select(line, month, "path", "type"))
+        closed = step.where(F.col("type").isNull())
+        if closed.limit(1).count() == 0:
+            break
+    found = reduce(DataFrame.unionByName, parts)
     # Paths outside lists are counted as they are; list paths first lose their repeats within a line.
     inside = F.when(F.col("path").contains("[]"), F.col(line))
     per_line = found.groupBy("path", "type", month, inside.alias("__line")).agg(n_rows().alias("n"))

@@ -3,7 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from trackmetrics.functions import text as X
-from trackmetrics.functions.counting import n_rows
+from trackmetrics.functions.counting import n_distinct, n_rows
 from trackmetrics.operators import facts as A
 from trackmetrics.operators import features as FT
 from trackmetrics.operators import incremental as I
@@ -30,8 +30,7 @@ def one_pass_profile(t):
     return t.listens_flat.agg(
         n_rows().alias("n"), F.count_if(F.col("mbid").isNull()).alias("null_mbid"), F.count_if(F.col("k") <= 0).alias("non_positive"),
         F.min("k").alias("k_min"), F.max("k").alias("k_max"), F.round(F.avg("k"), 6).alias("k_avg"),
-        F.count_distinct("user_tok").alias("users"), F.count_distinct("msid").alias("titles"),
-    )
+    ).select("*", n_distinct(t.listens_flat, "user_tok").alias("users"), n_distinct(t.listens_flat, "msid").alias("titles"))
 
 
 _LISTEN_COLS = ("mbid", "lastfm", "spotify_id", "spotify_uri", "msid")
@@ -353,10 +352,9 @@ def share_extremes(t):
 
 @query("ag31_class_coverage", """
     SELECT quality, count(*) AS items, count(n_chars) AS found, quantile_disc(n_chars, 0.5) AS median FROM labels
-    LEFT JOIN (SELECT doc_id, n_chars FROM documents WHERE lang = 'en') d USING (doc_id) GROUP BY quality""")
+    LEFT JOIN (SELECT doc_id, n_chars FROM documents) d USING (doc_id) GROUP BY quality""")
 def class_coverage(t):
-    english = t.documents.where("lang = 'en'").select("doc_id", "n_chars")
-    joined = t.labels.join(english, "doc_id", "left")
+    joined = t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id", "left")
     sizes = joined.groupBy("quality").agg(n_rows().alias("items"), F.count("n_chars").alias("found"))
     medians = K.quantiles(joined, "n_chars", {"median": K.existing_quantile(0.5)}, ["quality"])
     return null_safe_join(sizes, medians, ["quality"], "left")

@@ -23,12 +23,12 @@ def catalog_with_engagement(t):
 
 
 @query("jn2_orphan_keys", """
-    SELECT track_id, count(*) AS n_rows, CAST(sum(playcount) AS BIGINT) AS plays FROM history
-    WHERE track_id NOT IN (SELECT track_id FROM catalog WHERE genre IS NOT NULL) GROUP BY track_id""")
+    SELECT mbid, count(*) AS n_rows, min(ts_s) AS first_ts FROM listens_flat
+    WHERE mbid IS NOT NULL AND mbid NOT IN (SELECT rec_id FROM canon) GROUP BY mbid""")
 def orphan_keys(t):
-    """Played tracks absent from the part of the catalogue that has a genre."""
-    known = t.catalog.where(F.col("genre").isNotNull()).select("track_id")
-    return R.orphans(t.history, known, "track_id", {"n_rows": n_rows(), "plays": F.sum("playcount")})
+    """Recording ids of the listens that are no canonical ids."""
+    known = t.canon.select(F.col("rec_id").alias("mbid"))
+    return R.orphans(t.listens_flat.where("mbid IS NOT NULL"), known, "mbid", {"n_rows": n_rows(), "first_ts": F.min("ts_s")})
 
 
 @query("jn3_overlap_measure", """
@@ -41,23 +41,22 @@ def overlap_measure(t):
 
 
 @query("jn4_reconcile_counts", """
-    WITH a AS (SELECT mois, count(*) AS n FROM plays WHERE qty > 1 GROUP BY mois),
+    WITH a AS (SELECT mois, count(*) AS n FROM plays GROUP BY mois),
          b AS (SELECT substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 7) AS mois, count(*) AS n FROM orders GROUP BY 1)
     SELECT COALESCE(a.mois, b.mois) AS mois, a.n AS found, b.n AS announced,
            CASE WHEN a.n IS NOT DISTINCT FROM b.n THEN 0 ELSE 1 END AS differs FROM a FULL JOIN b ON a.mois = b.mois""")
 def reconcile_counts(t):
-    found = t.plays.where("qty > 1").groupBy("mois").agg(n_rows().alias("found"))
+    found = t.plays.groupBy("mois").agg(n_rows().alias("found"))
     announced = t.orders.groupBy(X.month_of(F.col("o_orderdate")).alias("mois")).agg(n_rows().alias("announced"))
     return R.reconcile(found, announced, "mois", "found", "announced")
 
 
 @query("jn5_populations", """
-    WITH l AS (SELECT doc_id, quality FROM labels), p AS (SELECT doc_id, n_chars FROM documents WHERE lang = 'en')
+    WITH l AS (SELECT doc_id, quality FROM labels), p AS (SELECT doc_id, n_chars FROM documents)
     SELECT CASE WHEN l.doc_id IS NULL THEN 'right_only' WHEN p.doc_id IS NULL THEN 'left_only' ELSE 'both' END AS population,
            count(*) AS n FROM l FULL JOIN p ON l.doc_id = p.doc_id GROUP BY 1""")
 def populations(t):
-    english = t.documents.where("lang = 'en'").select("doc_id")
-    return R.populations(t.labels.select("doc_id"), english, "doc_id")
+    return R.populations(t.labels.select("doc_id"), t.documents.select("doc_id"), "doc_id")
 
 
 @query("jn6_lookup_cascade", """

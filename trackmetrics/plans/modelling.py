@@ -232,16 +232,16 @@ def feature_ranking(t):
 
 
 _ALT = """
-    WITH l AS (SELECT track_id, total_plays, CASE WHEN total_plays >= (SELECT quantile_disc(total_plays, 0.75) FROM engagement JOIN catalog USING (track_id) WHERE genre IS NOT NULL) THEN 1 ELSE 0 END AS is_hit
-               FROM engagement JOIN catalog USING (track_id) WHERE genre IS NOT NULL),
-         o AS (SELECT track_id, CAST(sum(qty) AS BIGINT) AS other FROM plays WHERE date >= DATE '1998-01-01' GROUP BY 1),
+    WITH l AS (SELECT track_id, total_plays, CASE WHEN total_plays >= (SELECT quantile_disc(total_plays, 0.75) FROM engagement JOIN catalog USING (track_id)) THEN 1 ELSE 0 END AS is_hit
+               FROM engagement JOIN catalog USING (track_id)),
+         o AS (SELECT track_id, CAST(sum(qty) AS BIGINT) AS other FROM plays GROUP BY 1),
          j AS (SELECT o.track_id, total_plays, is_hit, other FROM o LEFT JOIN l ON o.track_id = l.track_id),
          q AS (SELECT *, (SELECT quantile_cont(other, 0.75) FROM j WHERE is_hit IS NOT NULL) AS a, (SELECT quantile_cont(other, 0.75) FROM j) AS b FROM j)"""
 
 
 def alternative(t):
-    labelled = FT.label(t.catalog.where("genre IS NOT NULL").join(W.engagement(t.history), "track_id")).select("track_id", "total_plays", "is_hit")
-    other = t.plays.where("date >= DATE '1998-01-01'").groupBy("track_id").agg(F.sum("qty").alias("other"))
+    labelled = FT.label(t.catalog.join(W.engagement(t.history), "track_id")).select("track_id", "total_plays", "is_hit")
+    other = t.plays.groupBy("track_id").agg(F.sum("qty").alias("other"))
     # Both thresholds and the result read these two small tables: one row per track.
     return S.alternative_targets(materialise(labelled, "ml16-labels"), materialise(other, "ml16-other"), "other")
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trackmetrics.functions.counting import n_rows
+from trackmetrics.functions.counting import n_distinct, n_rows
 from trackmetrics.operators import profiling as P
 from trackmetrics.operators import warehouse as W
 from trackmetrics.plans.registry import query
@@ -160,8 +160,8 @@ def load_volumetry(t):
 @query("ql_load_integrity", """
     SELECT count(DISTINCT track_id) AS tracks, count(DISTINCT user_id) AS listeners, min(playcount) AS lowest, max(playcount) AS highest FROM history""")
 def load_integrity(t):
-    return t.history.agg(F.count_distinct("track_id").alias("tracks"), F.count_distinct("user_id").alias("listeners"),
-                         F.min("playcount").alias("lowest"), F.max("playcount").alias("highest"))
+    ends = t.history.agg(F.min("playcount").alias("lowest"), F.max("playcount").alias("highest"))
+    return ends.select(n_distinct(t.history, "track_id").alias("tracks"), n_distinct(t.history, "user_id").alias("listeners"), "lowest", "highest")
 
 
 def copies(t, factor: int):
