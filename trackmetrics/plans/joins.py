@@ -311,3 +311,27 @@ def shuffled_order(t):
 def ordered_diagnostics(t):
     unknown = t.listens_flat.where("mbid IS NULL AND lastfm IS NULL")
     return unknown.groupBy("msid").agg(n_rows().alias("n")).orderBy(F.desc("n"), "msid").limit(40)
+
+
+@query("jn21_catalog_match", """
+    WITH lt AS (SELECT track_id, concat(artist, name) AS full_name, spotify_id FROM titles QUALIFY row_number() OVER (PARTITION BY track_id ORDER BY ingested DESC) = 1),
+         kk AS (SELECT track_id, CASE WHEN strlen(full_name) = length(full_name) THEN regexp_replace(lower(full_name), '[^a-z0-9_]', '', 'g') END AS key,
+                       CASE WHEN length(spotify_id) = 22 THEN spotify_id END AS sp FROM lt),
+         k1 AS (SELECT key, min(track_id) AS t FROM kk WHERE key IS NOT NULL GROUP BY 1 HAVING count(*) = 1),
+         s1 AS (SELECT sp, min(track_id) AS t FROM kk WHERE sp IS NOT NULL GROUP BY 1 HAVING count(*) = 1),
+         u AS (SELECT lookup_key AS key, min(rec_id) AS rec FROM canon WHERE lookup_key IS NOT NULL GROUP BY 1 HAVING count(*) = 1),
+         r1 AS (SELECT rec, min(t) AS t FROM k1 JOIN u USING (key) GROUP BY 1 HAVING count(*) = 1),
+         c AS (SELECT DISTINCT msid, mbid AS rec FROM listens_flat WHERE mbid IN (SELECT rec_id FROM canon)),
+         l AS (SELECT msid, CASE WHEN strlen(concat(artist_name, track_name)) = length(concat(artist_name, track_name))
+                                 THEN regexp_replace(lower(concat(artist_name, track_name)), '[^a-z0-9_]', '', 'g') END AS key,
+                      COALESCE(CASE WHEN length(spotify_id) = 22 THEN spotify_id WHEN spotify_id LIKE '%/track/%' THEN right(spotify_id, 22) END,
+                               right(spotify_uri, 22)) AS sp FROM listens_flat),
+         m AS (SELECT s1.t AS a, r1.t AS b, k1.t AS d FROM l LEFT JOIN s1 ON l.sp = s1.sp LEFT JOIN c ON l.msid = c.msid LEFT JOIN r1 ON c.rec = r1.rec LEFT JOIN k1 ON l.key = k1.key)
+    SELECT CASE WHEN a IS NOT NULL THEN 'spotify' WHEN b IS NOT NULL THEN 'musicbrainz' WHEN d IS NOT NULL THEN 'cle_artiste_titre' END AS route,
+           count(*) AS listens, count(DISTINCT COALESCE(a, b, d)) AS tracks FROM m GROUP BY 1""")
+def catalog_match(t):
+    """Listens matched to catalogue tracks by external id, reference recording or name key: volume and tracks per route."""
+    known = t.listens_flat.join(t.canon.select(F.col("rec_id").alias("mbid")).distinct(), "mbid", "left_semi").select("msid", F.col("mbid").alias("rec_id")).distinct()
+    found = R.match_catalog(t.listens_flat, R.latest_version(t.titles, "track_id", "ingested"), known, t.canon)
+    per_track = found.groupBy("route", "track_id").agg(F.sum("listens").alias("listens"))
+    return per_track.groupBy("route").agg(F.sum("listens").alias("listens"), F.count("track_id").alias("tracks"))

@@ -235,26 +235,26 @@ def raw_json(t: Tables) -> DataFrame:
     c = F.col
     info = F.struct(
         c("mbid").alias("recording_mbid"),
-        (c("k") * 1000 + 180000).alias("duration_ms"),
-        F.when(c("k") % 13 == 0, "3/12").otherwise((c("k") % 12 + 1).cast("string")).alias("tracknumber"),
+        (c("k") * 997 + 61_000).alias("duration_ms"),
+        F.when(c("k") % 13 == 0, "side B").otherwise((c("k") % 17 + 1).cast("string")).alias("tracknumber"),
         F.when(c("private_flag"), F.lit(True)).alias("incognito_mode"),
-        F.when(c("has_ip"), "192.0.2.1").alias("ip_addr"),
-        F.when(c("has_new"), "x").alias("new_key"),
-        F.when(c("discarded"), "https://example.org").alias("origin_url"),
+        F.when(c("has_ip"), "198.51.100.7").alias("ip_addr"),
+        F.when(c("has_new"), F.lit(0)).alias("new_key"),
+        F.when(c("discarded"), "player://local").alias("origin_url"),
     )
     artist = F.struct(F.md5("artist_name").alias("artist_mbid"), c("artist_name").alias("artist_credit_name"), F.lit("").alias("join_phrase"))
     mapping = F.struct(c("mbid").alias("recording_mbid"), F.array(artist).alias("artists"))
     metadata = F.struct(
         "artist_name",
         F.when(~c("no_track"), c("track_name")).alias("track_name"),
-        F.when(c("drift"), "#1234").otherwise(F.concat(F.lit("Album "), (c("k") % 3).cast("string"))).alias("release_name"),
+        F.when(c("drift"), "@77").otherwise(F.concat(F.lit("Record no. "), (c("k") % 4).cast("string"))).alias("release_name"),
         info.alias("additional_info"),
         F.when(c("mbid").isNotNull(), mapping).alias("mbid_mapping"),
     )
     line = F.to_json(F.struct(
         c("user_tok").alias("user_id"), c("ts_s").alias("timestamp"), c("msid").alias("recording_msid"), metadata.alias("track_metadata"),
     ))
-    line = F.replace(line, F.lit('"#1234"'), F.lit("1234"))
-    cut = F.when(c("truncated"), F.substring(line, F.lit(1), F.length(line) - 10)).otherwise(line)
+    line = F.replace(line, F.lit('"@77"'), F.lit("77"))
+    cut = F.when(c("truncated"), F.substring(line, F.lit(1), F.length(line) - 7)).otherwise(line)
     # Computed once: a filter on the text must not copy the writer expression below itself.
     return compute_once(t.raw_listens, value=cut).select("event_id", "date", "mois", "value")
