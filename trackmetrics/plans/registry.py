@@ -10,6 +10,7 @@ from trackmetrics.sources.views import Tables, duckdb_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+BODIES: dict[str, Callable[[Tables], DataFrame]] = {}
 
 
 def query(name: str, oracle: str | None = None):
@@ -18,6 +19,7 @@ def query(name: str, oracle: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
+        BODIES[name] = fn
         QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
         if oracle is not None:
             ORACLES[name] = duckdb_query(oracle)

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from trackmetrics.functions.staging import compute_once
-from trackmetrics.session import pin_utc
+from trackmetrics.session import materialise, pin_utc
 
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -210,6 +210,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = pin_utc(spark)
         self.folder = folder.rstrip("/")
+        self._kept: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}.parquet"
@@ -220,7 +221,15 @@ class Tables:
             text = re.sub(rf"\b(FROM|JOIN)\s+{table}\b", rf"\1 parquet.`{self.path(table)}` AS {table}", text)
         return self.spark.sql(text)
 
+    def keep(self, *views: str) -> Tables:
+        """Store views in the shared folder, so that queries read them like loaded tables."""
+        for view in views:
+            self._kept[view] = materialise(self.sql(f"SELECT * FROM {view}"), view)
+        return self
+
     def __getattr__(self, name: str) -> DataFrame:
+        if name in self.__dict__.get("_kept", {}):
+            return self._kept[name]
         if name in BASE_TABLES:
             return self.spark.read.parquet(self.path(name))
         if name in VIEWS:
