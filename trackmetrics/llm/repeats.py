@@ -11,7 +11,8 @@ its ``GRAM``-byte string of lowest hash, so equal windows have equal representat
 1. Representatives (about one per 39 bytes) are named by their hash; names that occur once leave.  A bitmap of fixed size
    keeps the names that occur more often; a false hit costs work, never a wrong result.
 2. Representatives with a repeated name are sorted by (name, doc_id, place) with the bytes their windows span.  Within
-   a name, equal windows are neighbours in question; the first stays, later ones are removed.
+   a name equal windows are found in order; the first stays, later ones are removed.  A task gives equal strings of its own only once,
+   so a passage of a third of all documents is a row per task here.
 3. Removed ranges are merged per document.
 
 Windows are compared by name and a second 64-bit hash.  Null and empty texts have no bytes; rows that repeat doc_id and text are one document;
@@ -141,6 +142,7 @@ def _candidates(source: DataFrame, bitmap, length: int, gram: int) -> DataFrame:
     def run(batches):
         bits = bitmap.value
         earliest: dict[int, int] = {}
+        spans: dict[int, tuple[int, int]] = {}  # earliest place of each string of this task, by its hash
         for batch in batches:
             ids, marks = batch.column("doc_id").to_pylist(), batch.column("doc_hash").to_pylist()
             for base, data, offsets in textkernel.slices(batch.column("text")):
@@ -164,15 +166,18 @@ def _candidates(source: DataFrame, bitmap, length: int, gram: int) -> DataFrame:
                 keep &= ~skip[row]
                 row, first, last, names = row[keep], first[keep], last[keep], names[keep]
                 start = offsets[row]
-                raw = data.tobytes()
-                spans = [raw[a:b] for a, b in zip((start + first).tolist(), (start + last + length).tolist())]
-                yield record_batch({
-                    "name": np.concatenate([names.view(np.int64), np.array([w[0] for w in whole], dtype=np.int64)]),
-                    "doc_id": [*[ids[base + k] for k in row.tolist()], *[w[0] for w in whole]],
-                    "doc_hash": [*[marks[base + k] for k in row.tolist()], *[w[1] for w in whole]],
-                    "first": [*first.tolist(), *[0] * len(whole)], "last": [*last.tolist(), *[w[2] for w in whole]],
-                    "bytes": [*spans, *[None] * len(whole)],
-                }, schema)
+                raw, rows = data.tobytes(), []
+                for name, k, s, a, b in zip(names.view(np.int64).tolist(), row.tolist(), start.tolist(), first.tolist(), last.tolist()):
+                    span, place = raw[s + a : s + b + length], (ids[base + k], a)
+                    known = spans.get(h := hash(span))
+                    if known is None or place < known:
+                        spans[h] = place
+                        rows.append((name, place[0], marks[base + k], a, b, span))
+                    elif known < place:  # all its windows stand earlier in this task: a range needs no comparison
+                        rows.append((place[0], place[0], marks[base + k], a, b, None))
+                rows += [(doc, doc, mark, 0, last, None) for doc, mark, last in whole]
+                if rows:
+                    yield record_batch(dict(zip(schema.names, zip(*rows))), schema)
 
     return source.mapInArrow(run, "name long, doc_id long, doc_hash long, first long, last long, bytes binary")
 
