@@ -22,12 +22,14 @@ from trackmetrics.llm import textkernel
 from trackmetrics.llm.common import record_batch
 from trackmetrics.session import materialise
 
-#: Bound of the fitting sample and number of hashed features.
-TRAIN_ROWS = 8_000
+#: Bound of the fitting sample, number of hashed features, and the score from which a text is rejected (above one half, to spare good texts).
+TRAIN_ROWS = 6_000
 DIMENSIONS = 2_048
 ROUNDS = 50
+#: Rows whose features are held at a time, some 50 bytes for each feature.
+SLICE_ROWS = 512
 STEPS = 300
-REJECT = 0.5
+REJECT = 0.7
 _OTHER, _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _STOP, _COMMA, _BANG, _BAR, _SIGN = range(11)
 
 
@@ -149,7 +151,7 @@ def _features(kinds, rows, n_rows, n_words, word_counts, bounds) -> np.ndarray:
 
 def analysed(column):
     """(first row, votes, words, features function) for slices of an Arrow text column."""
-    for first_row, data, offsets in textkernel.slices(column):
+    for first_row, data, offsets in textkernel.slices(column, max_rows=SLICE_ROWS):
         n_rows = len(offsets) - 1
         kinds = _CLASS[data]
         rows = np.repeat(np.arange(n_rows), np.diff(offsets))
@@ -183,9 +185,11 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
     return posterior, rates
 
 
-def fit(features: np.ndarray, target: np.ndarray, steps: int = STEPS) -> np.ndarray:
+def fit(features: list[np.ndarray], target: np.ndarray, steps: int = STEPS) -> np.ndarray:
     """Weights (last: intercept) of a logistic scorer by gradient steps with momentum on the soft labels."""
-    x = np.hstack([features, np.ones((len(features), 1), dtype=np.float32)])
+    x = np.ones((len(features), DIMENSIONS + 1), dtype=np.float32)
+    for row, own in zip(x, features):
+        row[:-1] = own
     w, speed = np.zeros(x.shape[1], dtype=np.float32), np.zeros(x.shape[1], dtype=np.float32)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -215,7 +219,7 @@ def classify(docs: DataFrame, reject: float = REJECT, train_rows: int = TRAIN_RO
                 table = features()[some] if len(some) else []
                 yield record_batch({
                     "pattern": np.concatenate([kinds, pattern[some]]), "n": [*n.tolist(), *[None] * len(some)],
-                    "features": [*[None] * len(kinds), *[x.tobytes() for x in table]],
+                    "features": [*[None] * len(kinds), *[x.astype(np.float16).tobytes() for x in table]],
                 }, schema)
 
     seen = materialise(source.mapInArrow(first_pass, "pattern long, n long, features binary"), "votes")
@@ -225,12 +229,12 @@ def classify(docs: DataFrame, reject: float = REJECT, train_rows: int = TRAIN_RO
     posterior, _ = estimate(patterns, np.array([r["n"] for r in counted])) if len(codes) else (np.zeros(0), None)
     known = dict(zip(codes.tolist(), posterior.tolist()))
     # The sample has about train_rows rows whatever the corpus; twice that is never passed.
-    sample = seen.where("n IS NULL").orderBy(F.xxhash64("features"), "pattern").limit(2 * train_rows).collect()
-    if sample:
-        x = np.array([np.frombuffer(r["features"], dtype=np.float32) for r in sample])
-        weights = fit(x, np.array([known[r["pattern"]] for r in sample], dtype=np.float32))
-    else:
-        weights = np.zeros(DIMENSIONS + 1, dtype=np.float32)
+    x, target = [], []
+    for r in seen.where("n IS NULL").limit(2 * train_rows).toLocalIterator():
+        x.append(np.frombuffer(r["features"], dtype=np.float16))
+        target.append(known[r["pattern"]])
+    weights = fit(x, np.array(target, dtype=np.float32)) if x else np.zeros(DIMENSIONS + 1, dtype=np.float32)
+    del x
     shared = spark.sparkContext.broadcast((weights, known))
 
     names = docs.columns if with_text else ["doc_id"]

@@ -45,8 +45,8 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def slices(column, max_bytes: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) for runs of rows of an Arrow string column of about ``max_bytes``; nulls are empty."""
+def slices(column, max_bytes: int = 1 << 20, max_rows: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) for runs of rows of an Arrow string column of about ``max_bytes``, at most ``max_rows``; nulls are empty."""
     import pyarrow as pa
 
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -59,7 +59,7 @@ def slices(column, max_bytes: int = 1 << 20) -> Iterator[tuple[int, np.ndarray,
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + max_bytes, "right")) - 1)
-        last = min(last, len(column))
+        last = min(last, len(column), first + max_rows)
         at = offsets[first : last + 1]
         yield first, data[at[0] : at[-1]], at - at[0]
         first = last
