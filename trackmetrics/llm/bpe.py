@@ -17,7 +17,7 @@ import numpy as np
 _IRREGULAR = re.compile(r"\s ")
 _MARK = "\x00"
 #: Pieces kept per worker (about 200 bytes each).
-TABLE_PIECES = 1_000_000
+TABLE_PIECES = 700_000
 _PER_CALL = 500
 
 
@@ -84,8 +84,8 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def encoded_batches(texts, path: str, end_id: int, max_chars: int = 4_000_000):
-    """(first index, list of id bytes with the end id) for slices of an Arrow text column, a few MB each."""
+def encoded_batches(texts, path: str, end_id: int, max_chars: int = 1_000_000):
+    """(first index, list of id bytes with the end id) for slices of an Arrow text column, about a MB each."""
     end = np.array([end_id], dtype="<u4").tobytes()
     enc, start, size, some = encoder(path), 0, 0, []
     for i in range(len(texts)):
