@@ -10,13 +10,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackmetrics.session import materialise
 
-# A table of at most this many rows of a few numbers (some 20 MB) may be broadcast; its size is counted first.
+# A table of at most this many rows of a few numbers (some 20 MB) may be broadcast; its size is counted first, and so are the
+# bytes of columns without a fixed width.
 BROADCAST_ROWS = 400_000
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when a count shows at most ``limit`` rows; otherwise unchanged, so that joins shuffle."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS, width: Column | None = None) -> DataFrame:
+    """``df`` with a broadcast hint when a count shows at most ``limit`` rows, whose ``width`` sums to at most BROADCAST_BYTES; otherwise unchanged, so that joins shuffle."""
+    if df.limit(limit + 1).count() > limit:
+        return df
+    if width is not None and (df.agg(F.sum(width)).first()[0] or 0) > BROADCAST_BYTES:
+        return df
+    return F.broadcast(df)
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, spread: Sequence[str]) -> DataFrame:

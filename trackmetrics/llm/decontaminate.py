@@ -92,7 +92,7 @@ def contamination(
     shingles = materialise(shingles.select(key.alias("h"), "words", F.monotonically_increasing_id().alias("shingle")), "shingles")
     parts = materialise(parts.join(shingles, "words").select("window", "len", "k", "off", "shingle"), "parts")
 
-    hits = materialise(_hits(docs, id_col, text_col, broadcast_if_small(shingles), sizes), "hits")
+    hits = materialise(_hits(docs, id_col, text_col, broadcast_if_small(shingles, width=F.octet_length(F.array_join("words", " "))), sizes), "hits")
     found = hits.where("pos >= 0").select("rid", "n_words", "pos", "shingle")
 
     counts = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("hits"))

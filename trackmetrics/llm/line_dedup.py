@@ -194,7 +194,7 @@ def _of_docs(source: DataFrame, lines: DataFrame) -> DataFrame:
     """
     per_doc = lines.groupBy("doc_id", "doc_hash").agg(F.sort_array(F.collect_list(F.struct("line", "h"))).alias("l"))
     per_doc = per_doc.select("doc_id", "doc_hash", F.col("l.line").alias("lines"), F.col("l.h").alias("hs"))
-    return source.join(broadcast_if_small(per_doc, 50_000), ["doc_id", "doc_hash"])
+    return source.join(broadcast_if_small(per_doc, width=F.size("lines") * 16), ["doc_id", "doc_hash"])
 
 
 def kept_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
