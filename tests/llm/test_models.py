@@ -95,6 +95,29 @@ def test_surrogates_keep_type_format_and_identity(spark):
     assert re.fullmatch(r'token = "[0-9a-f]{40}" password=[a-z]{3}[A-Z]{3}\d{6} AKIA[A-Z0-9]{16}', d) and "04dbebab" not in d and "IOSFODNN" not in d
 
 
+@pytest.mark.parametrize("number", [
+    "(415) 555-7713", "(415)555-7713", "415-555-7713", "415.555.7713", "1-415-555-7713", "1 (415) 555-7713", "+1 (415) 555-7713", "+14155557713", "+1-415-555-7713",
+    "+49 30 1234567", "+49 (0)30 1234567", "+33 1 23 45 67 89", "+44 20 7946 0958", "+491234567890123", "+86-138-0013-8000", "030-1234567", "(030) 1234567", "020-7946-0958",
+])
+def test_phone_formats_are_masked_whole(number):
+    for before, after in (("", ""), ("Call ", " now"), ("(see ", ")"), ("(", ")"), ("12 ", ", 7"), ("tel:", ".")):
+        text = before + number + after
+        found = pii.detect(text)
+        assert [(text[a:b], kind) for a, b, kind, _ in found] == [(number, "phone")]
+        # the runs that are searched lose nothing against a search of the whole text
+        assert [e[:2] for e in found] == [m.span() for m in pii._PHONE.finditer(text)]
+    hidden = pii.render(number, "phone", pii.surrogate(KEY, "phone", found[0][3]))
+    assert re.sub(r"\d", "0", hidden) == re.sub(r"\d", "0", number) and hidden[-4:] != number[-4:]
+
+
+def test_phone_formats_of_one_number_are_one_entity():
+    assert {pii.detect(x)[0][3] for x in ("(415) 555-7713", "415-555-7713", "+14155557713", "1-415-555-7713")} == {"14155557713"}
+    for other in ("01-02-2024", "2024-01-02 10:30", "(2010) 123-130", "10-415-555-7713", "415-555-7713-1234", "+12345", "1.2.3.4.5"):
+        assert not [e for e in pii.detect(other) if e[2] == "phone"]
+    (start, stop, kind, _), = pii.detect("+4111 1111 1111 1111")
+    assert (start, stop, kind) == (1, 20, "card")
+
+
 def test_surrogates_never_collide(spark, monkeypatch):
     entities = spark.createDataFrame([("phone", f"1{i:02d}") for i in range(40)], "kind string, canonical string")
     plain = pii.surrogate

@@ -3,7 +3,7 @@
 Detected: e-mail addresses, telephone numbers, IPv4 addresses, payment card numbers (Luhn), person names after a title, access keys and
 assigned secrets.  Each entity gets a replacement drawn from a keyed hash of its canonical form: the same type, gender,
 script, length, case and punctuation; equal entities get equal replacements wherever they stand, in any
-formatting, and a name keeps its parts (a later "Mr Smith" matches an earlier "Mr John Smith").
+formatting (a national number of ten digits equals the one with +1), and a name keeps its parts (a later "Mr Smith" matches an earlier "Mr John Smith").
 
 Replacements are checked against each other and against all detected originals: of entities that collide all but the first
 draw again until none is left, so different entities stay different.
@@ -44,8 +44,18 @@ ENDINGS = {
 #: First octets of replacements: a block that is reserved and never routed.
 RESERVED_OCTETS = (240, 255)
 
-_DIGITS = re.compile(r"[+0-9][0-9().+ -]{5,}")
-_PHONE = re.compile(r"\+1 ?\(\d{3}\) ?\d{3}-\d{4}(?!\d)|\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]\d{2,4}){2,3}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)")
+_DIGITS = re.compile(r"[+(0-9][0-9().+ -]{5,}")
+# In this order: +1 and ten digits; international, 8 to 15 digits in any groups; short international groups; bracketed and
+# dashed or dotted numbers of ten digits without +1; numbers with a trunk 0, bracketed or dashed.
+_PHONE = re.compile(
+    r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    r"|\+\(?\d(?:(?: - |[ .-]?\(?|\)[ .-]?)\d){7,14}(?!\d)"
+    r"|\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]\d{2,4}){2,3}(?!\d)"
+    r"|(?P<ten>(?:(?<!\w)(?<!\d[.-])1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    r"|(?<!\w)(?<!\d[.-])(?:1[ .-])?\d{3}([.-])\d{3}\2\d{4}(?![.-]?\d))"
+    r"|\(0\d{1,4}\)[ .-]?\d{2,8}(?:[ .-]\d{2,8}){0,3}(?!\d)"
+    r"|(?<!\w)(?<!\d[.-])(?=(?:\d-?){9,11}(?![\d-]))0\d{1,4}(?:-\d{2,8}){1,4}(?![.-]?\d)"
+)
 _ADDRESS = re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)")
 _CARD = re.compile(r"(?<!\d)\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d)")
 _NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")(\.? )((?:[^\W\d_][\w'’-]+)(?: [^\W\d_][\w'’-]+)?)")
@@ -87,13 +97,16 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     for run in _DIGITS.finditer(text):
         a, b = run.start(), min(len(text), run.end() + 1)
         for m in _PHONE.finditer(text, a, b):
-            found.append((m.start(), m.end(), "phone", re.sub(r"\D", "", m[0])))
+            digits = re.sub(r"\D", "", m[0])
+            found.append((m.start(), m.end(), "phone", "1" + digits if m["ten"] and len(digits) == 10 and digits[0] != "0" else digits))
         for m in _ADDRESS.finditer(text, a, b):
             if all(int(x) < 256 for x in m[0].split(".")):
                 found.append((m.start(), m.end(), "address", ".".join(str(int(x)) for x in m[0].split("."))))
         for m in _CARD.finditer(text, a, b):
             digits = re.sub(r"\D", "", m[0])
             if 13 <= len(digits) <= 19 and luhn(digits):
+                # a number that ends within a card is a part of it
+                found = [e for e in found if not (e[2] == "phone" and e[0] < m.end() and m.start() < e[1] < m.end())]
                 found.append((m.start(), m.end(), "card", digits))
     for pattern in (_ACCESS, _ASSIGNED):
         if pattern is _ACCESS and "IA" not in text:
@@ -150,7 +163,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         host = _Stream(key, "domain", domain, attempt)  # equal domains stay equal
         return "".join(_like(c, draw) for c in local) + "@" + ".".join(["".join(_like(c, host) for c in x) for x in labels[:-1]] + labels[-1:])
     if kind == "phone":
-        keep = max(1, len(canonical) - 10)  # country code
+        keep = min(3, max(1, len(canonical) - 10))  # country code
         return canonical[:keep] + "".join(str(draw.below(10)) for _ in canonical[keep:])
     if kind == "address":
         return ".".join(map(str, (RESERVED_OCTETS[0] + draw.below(RESERVED_OCTETS[1] - RESERVED_OCTETS[0]), draw.below(256), draw.below(256), 1 + draw.below(254))))
@@ -170,7 +183,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
 def render(original: str, kind: str, replacement: str) -> str:
     """The replacement in the formatting of one mention."""
     if kind in ("phone", "card"):
-        digits = iter(replacement)
+        digits = iter(replacement[-sum(c.isdigit() for c in original) :])  # a mention may lack the country code
         return "".join(next(digits, "") if c.isdigit() else c for c in original)
     if kind in ("secret", "address"):
         return replacement
