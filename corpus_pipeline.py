@@ -21,9 +21,9 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weakly supervised classifier does not reject."""
+    """Documents that the weakly supervised classifier does not reject and that are not abusive."""
     on_workers(spark)
-    return quality.classify(docs, with_text=True).where("keep").select(docs.columns)
+    return quality.classify(docs, with_text=True).where("keep AND NOT toxic").select(docs.columns)
 
 
 def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import ROWS, components, docs, empty
@@ -22,6 +23,24 @@ def test_classifier_on_held_out_labels(spark):
     assert sum(not r["keep"] for r in bad) >= 0.9 * len(bad)
 
 
+def test_toxic_and_clean_labels(spark):
+    """English only for recall: the list finds next to none of the toxic texts of the invented other languages."""
+    scored = quality.classify(spark.read.parquet(f"{DATA}/documents.parquet"))
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").withColumnRenamed("toxic", "labelled_toxic")
+    rows = scored.join(labels, "doc_id").collect()
+    english = {r["doc_id"] for r in spark.read.parquet(f"{DATA}/documents.parquet").where("lang = 'en'").select("doc_id").collect()}
+    toxic = [r for r in rows if r["labelled_toxic"] == 1 and r["doc_id"] in english]
+    clean = [r for r in rows if r["quality"] == 1 and r["labelled_toxic"] == 0]
+    assert toxic and sum(r["toxic"] for r in toxic) >= 0.8 * len(toxic)
+    assert sum(r["keep"] and not r["toxic"] for r in clean) >= 0.99 * len(clean)
+
+
+def test_abuse_counts_whole_words_of_the_list():
+    texts = pa.array(["Idiot, idiot IDIOT!", "idiotproof xidiot", "cabrón,cabrón cabrónes", "", None, "a.b a b"])
+    assert quality.abuse(texts, ("idiot", "cabrón")).tolist() == [3, 0, 2, 0, 0, 0]
+    assert quality.abuse(texts, ("a.b",)).tolist() == [0] * 6 and quality.abuse(texts, ()).tolist() == [0] * 6
+
+
 def test_estimation_finds_accuracies():
     rng = np.random.default_rng(0)
     truth = rng.random(20_000) < 0.2

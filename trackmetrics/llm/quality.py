@@ -6,6 +6,9 @@
 3. The posteriors label a bounded sample (``TRAIN_ROWS`` rows of lowest hash) on which a logistic scorer over hashed
    features is fitted: strings of four byte classes, and how often words and lines repeat within the text.
 4. The scorer is applied to every whole text.
+5. Abuse is a verdict of its own, as a text may be well formed and abusive: ``abuse`` counts the words of a text that stand in a list
+   (a parameter; not case-sensitive, whole words), and ``toxic`` holds from ``ABUSE_LEAST`` such words that make up ``ABUSE_SHARE`` of the words.
+   ``keep`` does not depend on it.
 
 Texts without words get the score 1 and are rejected, as there is nothing to learn from; null is an empty text; repeated rows are scored one by one;
 an empty table gives no rows.
@@ -13,6 +16,9 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -30,6 +36,19 @@ ROUNDS = 50
 SLICE_ROWS = 512
 STEPS = 300
 REJECT = 0.7
+#: A general list of insults in the four languages of common corpora; callers pass their own.
+ABUSE_WORDS = tuple("""
+    arsehole arseholes asshole assholes bastard bastards bitch bitches bullshit clown clowns coward cowards creep creeps cretin cretins crap cunt cunts
+    degenerate degenerates dickhead dickheads dimwit dimwits disgrace disgusting dumb dumbass dumbest fool fools freak freaks fuck fucked fucker fuckers fucking
+    garbage hateful idiot idiotic idiots imbecile imbeciles jackass jerk jerks lame loser losers lowlife lowlifes lunatic maggot maggots moron moronic morons
+    motherfucker nitwit parasite parasites pathetic pig pigs piss prick pricks psycho pussy rat rats repulsive retard retarded retards scum scumbag scumbags
+    shit shithead shitty shut simpleton slut sluts stupid stupidity suck sucks swine trash twat twats twit ugly useless vermin vile whore whores worthless wretch
+    connard connards connasse crétin crétine débile enculé imbécile merde ordure pute salaud salope abruti abrutis
+    abschaum arschloch bastarde dummkopf drecksack hurensohn idioten miststück scheiße scheisse schlampe schwein trottel vollidiot wichser
+    basura cabrón cabrones estúpida estúpido gilipollas hijoputa idiota idiotas imbécil mierda puta puto tonto
+""".split())
+ABUSE_LEAST = 2
+ABUSE_SHARE = 0.01
 _OTHER, _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _STOP, _COMMA, _BANG, _BAR, _SIGN = range(11)
 
 
@@ -199,8 +218,23 @@ def fit(features: list[np.ndarray], target: np.ndarray, steps: int = STEPS) -> n
     return w
 
 
-def classify(docs: DataFrame, reject: float = REJECT, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """Per document: doc_id, weak_junk (posterior of its votes), score (junk by the hashed scorer), keep; with_text keeps the input columns instead of doc_id."""
+def abuse_pattern(words: Sequence[str]) -> str:
+    """RE2 pattern of the whole words; it takes the character before a word, as RE2 has no lookbehind and its word boundary knows ASCII only."""
+    return r"(?i)(?:^|[^\pL\pN])(?:" + "|".join(sorted(re.escape(w) for w in set(words))) + r")(?:[^\pL\pN]|$)"
+
+
+def abuse(column, words: Sequence[str]) -> np.ndarray:
+    """How many words of the list stand in each text."""
+    if not words:
+        return np.zeros(len(column), dtype=np.int32)
+    # Words that follow each other must not share the character between them.
+    apart = pa.compute.replace_substring_regex(pa.compute.fill_null(column, ""), r"[^\pL\pN]", "  ")
+    return pa.compute.count_substring_regex(apart, abuse_pattern(words)).to_numpy(zero_copy_only=False).astype(np.int32)
+
+
+def classify(docs: DataFrame, reject: float = REJECT, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False,
+             abuse_words: Sequence[str] = ABUSE_WORDS) -> DataFrame:
+    """Per document: doc_id, weak_junk (posterior of its votes), score (junk by the hashed scorer), keep, abuse (words of the list), toxic; with_text keeps the input columns instead of doc_id."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = max(docs.count(), 1)
@@ -238,22 +272,25 @@ def classify(docs: DataFrame, reject: float = REJECT, train_rows: int = TRAIN_RO
     shared = spark.sparkContext.broadcast((weights, known))
 
     names = docs.columns if with_text else ["doc_id"]
-    added = [f for f in ("weak_junk double", "score double", "keep boolean")]
+    added = [f for f in ("weak_junk double", "score double", "keep boolean", "abuse int", "toxic boolean")]
     entry = docs if with_text else source
-    fields = [(f.name, f.dataType.simpleString()) for f in entry.schema if f.name in names and f.name not in ("weak_junk", "score", "keep")]
+    fields = [(f.name, f.dataType.simpleString()) for f in entry.schema if f.name in names and f.name not in ("weak_junk", "score", "keep", "abuse", "toxic")]
 
     def second_pass(batches):
         w, table = shared.value
         for batch in batches:
-            weak, score = np.ones(len(batch)), np.ones(len(batch))
+            weak, score, size = np.ones(len(batch)), np.ones(len(batch)), np.zeros(len(batch), dtype=np.int64)
             texts = batch.column(text_col if with_text else "text").cast(pa.string())
             for first, vote, n_words, features in analysed(texts):
                 used = n_words > 0
                 x = features()
                 part = slice(first, first + len(vote))
+                size[part] = n_words
                 score[part] = np.where(used, 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))), 1.0)
                 weak[part] = [table.get(p, 1.0) if u else 1.0 for p, u in zip((vote * base).sum(1).tolist(), used)]
-            columns = [batch.column(n) for n, _ in fields] + [pa.array(weak), pa.array(score), pa.array(score < reject)]
-            yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields] + ["weak_junk", "score", "keep"])
+            found = abuse(texts, abuse_words)
+            toxic = (found >= ABUSE_LEAST) & (found >= ABUSE_SHARE * size)
+            columns = [batch.column(n) for n, _ in fields] + [pa.array(weak), pa.array(score), pa.array(score < reject), pa.array(found), pa.array(toxic)]
+            yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields] + ["weak_junk", "score", "keep", "abuse", "toxic"])
 
     return entry.mapInArrow(second_pass, ", ".join([f"`{n}` {t}" for n, t in fields] + added))
