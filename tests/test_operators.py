@@ -356,3 +356,22 @@ def test_replication_keeps_copy_zero(spark):
 def test_profile_runs_in_one_aggregate(spark):
     df = spark.range(10).selectExpr("id AS a", "id AS b")
     assert plan(P.null_rates(df)).count("Exchange") <= 2
+
+
+def test_forest_queries_use_the_published_size(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from trackmetrics.operators import models
+    from trackmetrics.plans import modelling
+
+    made = []
+    monkeypatch.setattr(modelling, "matrix", lambda *a, **k: None)
+    monkeypatch.setattr(modelling, "columns_of", lambda df, wanted: ["age"])
+    monkeypatch.setattr(modelling, "results", lambda t, rows: rows)
+    monkeypatch.setattr(models, "group_holdout", lambda df, group: None)
+    monkeypatch.setattr(models, "cross_validate", lambda df, target, make, name: made.append(make()))
+    monkeypatch.setattr(models, "holdout_auc", lambda df, target, make, side: made.append(make()))
+    modelling.random_forest(SimpleNamespace(spark=spark))
+    modelling.ablation(SimpleNamespace(spark=spark))
+    sizes = {(m.getNumTrees(), m.getMaxDepth(), m.getMinInstancesPerNode()) for m in (p.getStages()[-1] for p in made)}
+    assert len(made) == 8 and sizes == {(300, 30, 5)}

@@ -77,7 +77,7 @@ def class_weights(df: DataFrame, target: str) -> DataFrame:
     return df.withColumn("weight", F.when(F.col(target) == 1, F.lit(0.5) / share).otherwise(F.lit(0.5) / (F.lit(1.0) - share)))
 
 
-def forest(features: Sequence[str], target: str, trees: int = 300, depth: int = 12) -> Estimator:
+def forest(features: Sequence[str], target: str, trees: int = 300, depth: int = 30) -> Estimator:
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="x"),
         RandomForestClassifier(featuresCol="x", labelCol=target, weightCol="weight", numTrees=trees, maxDepth=depth,

@@ -109,7 +109,7 @@ def results(t, rows):
 def random_forest(t):
     df = matrix(t, "ml7")
     x = columns_of(df, _X)
-    return results(t, M.cross_validate(df, "is_hit", lambda: M.forest(x, "is_hit", trees=20, depth=6), "forest"))
+    return results(t, M.cross_validate(df, "is_hit", lambda: M.forest(x, "is_hit"), "forest"))
 
 
 @query("ml8_logistic_baseline")
@@ -169,10 +169,10 @@ def ablation(t):
     rows = []
     for name, wanted in sets.items():
         x = columns_of(df, wanted)
-        rows.append((name, 0, 0, M.holdout_auc(df, "is_hit", lambda x=x: M.forest(x, "is_hit", trees=10, depth=5), F.col("is_test")), None, None))
+        rows.append((name, 0, 0, M.holdout_auc(df, "is_hit", lambda x=x: M.forest(x, "is_hit"), F.col("is_test")), None, None))
     x = columns_of(df, sets["C_artist"])
     random_side = M.bucket(F.col("track_id"), M.SEED, 100) < 20
-    rows.append(("C_artist_random_split", 0, 0, M.holdout_auc(df, "is_hit", lambda: M.forest(x, "is_hit", trees=10, depth=5), random_side), None, None))
+    rows.append(("C_artist_random_split", 0, 0, M.holdout_auc(df, "is_hit", lambda: M.forest(x, "is_hit"), random_side), None, None))
     return results(t, rows)
 
 
@@ -187,7 +187,7 @@ def two_targets(t):
     sets = {"B_complete": context, "B_without_age": [c for c in context if c != "age"],
             "B_without_catalogue": [c for c in context if c != "artist_other_titles"], "age_only": ["age"]}
     rows = [
-        (f"{name}__{target}", 0, 0, M.holdout_auc(joined, target, lambda x=columns_of(joined, wanted), y=target: M.forest(x, y, trees=5, depth=4), F.col("is_test")), None, None)
+        (f"{name}__{target}", 0, 0, M.holdout_auc(joined, target, lambda x=columns_of(joined, wanted), y=target: M.forest(x, y), F.col("is_test")), None, None)
         for name, wanted in sets.items() for target in ("is_hit", "is_hit_common")
     ]
     return results(t, rows)
@@ -221,7 +221,7 @@ def feature_ranking(t):
     """Rank by impurity, rank by permutation, the gap, and the direction of the effect."""
     df = matrix(t, "ml15")
     x = columns_of(df, _X)
-    model = M.forest(x, "is_hit", trees=10, depth=5).fit(M.class_weights(df, "is_hit"))
+    model = M.forest(x, "is_hit").fit(M.class_weights(df, "is_hit"))
     impurity = {f: i for i, (f, _) in enumerate(M.impurity_ranking(model, x), 1)}
     paired = materialise(M.with_donor(df, x, "track_id"), "ml15-donors")
     loss = M.permutation_ranking(model, paired, "is_hit", x)
