@@ -194,3 +194,11 @@ def test_empty_tables_and_repeated_rows(spark, operator):
     twice = [r for r in found if r["doc_id"] == 12]
     assert len(twice) == 2 and twice[0] == twice[1]
     assert sum(r["doc_id"] is None for r in found) == 1
+
+
+def test_near_line_whose_first_copy_has_no_id(spark):
+    line = "one two three four five six seven eight nine ten"
+    rows = [(None, line), (1, line + "\nown words here"), (2, line.replace("five", "other") + "\nlast words")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["text"], r["n_exact"], r["n_near"]) for r in line_dedup.dedup_lines(table).collect()}
+    assert found == {None: (line, 0, 0), 1: ("own words here", 1, 0), 2: ("last words", 0, 1)}

@@ -14,7 +14,7 @@ result does not depend on an order of removal.
 4. Documents are rebuilt from the lines they keep, so a line that a third of all documents repeat is one row here.
 
 Lines without words are kept.  Null and empty texts come back as they are; rows that repeat doc_id and text are one
-document and get the same result; an empty table gives no rows.
+document and get the same result; documents without doc_id come before all others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -193,8 +193,9 @@ def _of_docs(source: DataFrame, lines: DataFrame) -> DataFrame:
     The arrays are bounded by the document; texts shuffle only if the documents are too many to be named in a broadcast.
     """
     per_doc = lines.groupBy("doc_id", "doc_hash").agg(F.sort_array(F.collect_list(F.struct("line", "h"))).alias("l"))
-    per_doc = per_doc.select("doc_id", "doc_hash", F.col("l.line").alias("lines"), F.col("l.h").alias("hs"))
-    return source.join(broadcast_if_small(per_doc, width=F.size("lines") * 16), ["doc_id", "doc_hash"])
+    per_doc = per_doc.select(F.col("doc_id").alias("__d"), F.col("doc_hash").alias("__h"), F.col("l.line").alias("lines"), F.col("l.h").alias("hs"))
+    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("doc_hash") == F.col("__h"))
+    return source.join(broadcast_if_small(per_doc, width=F.size("lines") * 16), same).drop("__d", "__h")
 
 
 def kept_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
