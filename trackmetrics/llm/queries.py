@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, periodic_runs, pii, quality, repeats, token_store
+from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, periodic_runs, pii, quality, repeats, source_audit, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,3 +170,30 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), change=periodic_runs.with_repetition)
     return periodic_runs.summarised(found)
+
+
+@query(
+    "op12_source_audit",
+    r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS r FROM documents),
+t AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, count(*) AS v, sum(total) AS nl FROM k GROUP BY lang),
+ng AS (SELECT lang, source, sum(n) AS ng FROM c GROUP BY ALL),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n, CAST(1 + 1000000000::HUGEINT * (coalesce(n, 0) + 2) // (coalesce(ng, 0) + 2 * v) AS BIGINT) AS p,
+        CAST(1 + 1000000000::HUGEINT * (total + 2) // (nl + 2 * v) AS BIGINT) AS q
+    FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN ng USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+x AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(table(spark, sf_dir, "documents"))
