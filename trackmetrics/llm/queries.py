@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, periodic_runs, pii, quality, repeats, source_audit, token_store
+from trackmetrics.llm import decontaminate, embedding_dedup, jaccard_join, kd_shards, line_dedup, packing, periodic_runs, pii, quality, repeats, source_audit, token_store, vp_trees
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,3 +197,18 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.divergence(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_nearest_neighbours",
+    """
+WITH u AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+ok AS (SELECT * FROM u WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+z AS (SELECT a.vec_id AS query_id, b.vec_id, list_zip(a.v, b.v) AS z FROM ok a JOIN ok b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+d AS (SELECT query_id, vec_id, sqrt(list_reduce(list_transform(z, lambda c: (c[1] - c[2]) * (c[1] - c[2])), lambda x, y: x + y)) AS score FROM z),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_trees.nearest(table(spark, sf_dir, "embeddings"))
