@@ -84,6 +84,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def release() -> None:
+    """Forget the tables of pieces; operators that do not encode call this on workers that did."""
+    _encoders.clear()
+
+
 def encoded_batches(texts, path: str, end_id: int, max_chars: int = 1_000_000):
     """(first index, list of id bytes with the end id) for slices of an Arrow text column, about a MB each."""
     end = np.array([end_id], dtype="<u4").tobytes()

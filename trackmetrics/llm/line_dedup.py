@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from trackmetrics.llm import textkernel
-from trackmetrics.llm.common import broadcast_if_small, record_batch
+from trackmetrics.llm.common import broadcast_if_small, lean, record_batch
 from trackmetrics.session import materialise
 
 EDITS = 1
@@ -109,7 +109,7 @@ def _line_table(source: DataFrame) -> DataFrame:
                     "words": lines.words[some], **dict(zip(names[5:], halves)),
                 }, schema)
 
-    return source.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return source.mapInArrow(lean(run), ", ".join(f"{c} long" for c in names))
 
 
 def _variant_table(chosen: DataFrame) -> DataFrame:
@@ -142,7 +142,7 @@ def _variant_table(chosen: DataFrame) -> DataFrame:
             "words": np.repeat(np.array([o[2] for o in out], dtype=np.int32), sizes), "h": np.repeat(np.array([o[3] for o in out], dtype=np.int64), sizes),
         }, schema)
 
-    return chosen.mapInArrow(run, "key long, place int, words int, h long")
+    return chosen.mapInArrow(lean(run), "key long, place int, words int, h long")
 
 
 def _words_of(chosen: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def _words_of(chosen: DataFrame) -> DataFrame:
                 lines = text.as_py().encode().split(b"\n")
                 yield record_batch({"h": hashes, "tokens": [lines[i].lower().split() for i in numbers]}, schema)
 
-    return chosen.mapInArrow(run, "h long, tokens array<binary>")
+    return chosen.mapInArrow(lean(run), "h long, tokens array<binary>")
 
 
 def within_one_edit(a: list[bytes], b: list[bytes]) -> bool:
@@ -179,7 +179,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
             rows = zip(batch.column("h").to_pylist(), batch.column("own").to_pylist(), batch.column("other").to_pylist())
             yield record_batch({"h": [h for h, a, b in rows if within_one_edit(a, b)]}, schema)
 
-    return pairs.mapInArrow(run, "h long")
+    return pairs.mapInArrow(lean(run), "h long")
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

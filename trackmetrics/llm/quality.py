@@ -25,7 +25,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from trackmetrics.llm import textkernel
-from trackmetrics.llm.common import record_batch
+from trackmetrics.llm.common import lean, record_batch
 from trackmetrics.session import materialise
 
 #: Bound of the fitting sample, number of hashed features, and the score from which a text is rejected (above one half, to spare good texts).
@@ -256,7 +256,7 @@ def classify(docs: DataFrame, reject: float = REJECT, train_rows: int = TRAIN_RO
                     "features": [*[None] * len(kinds), *[x.astype(np.float16).tobytes() for x in table]],
                 }, schema)
 
-    seen = materialise(source.mapInArrow(first_pass, "pattern long, n long, features binary"), "votes")
+    seen = materialise(source.mapInArrow(lean(first_pass), "pattern long, n long, features binary"), "votes")
     counted = seen.where("n IS NOT NULL").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
     codes = np.array([r["pattern"] for r in counted], dtype=np.int64)
     patterns = (codes[:, None] // base) % 3
@@ -280,17 +280,18 @@ def classify(docs: DataFrame, reject: float = REJECT, train_rows: int = TRAIN_RO
         w, table = shared.value
         for batch in batches:
             weak, score, size = np.ones(len(batch)), np.ones(len(batch)), np.zeros(len(batch), dtype=np.int64)
+            found = np.zeros(len(batch), dtype=np.int32)
             texts = batch.column(text_col if with_text else "text").cast(pa.string())
             for first, vote, n_words, features in analysed(texts):
                 used = n_words > 0
                 x = features()
                 part = slice(first, first + len(vote))
                 size[part] = n_words
+                found[part] = abuse(texts.slice(first, len(vote)), abuse_words)
                 score[part] = np.where(used, 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))), 1.0)
                 weak[part] = [table.get(p, 1.0) if u else 1.0 for p, u in zip((vote * base).sum(1).tolist(), used)]
-            found = abuse(texts, abuse_words)
             toxic = (found >= ABUSE_LEAST) & (found >= ABUSE_SHARE * size)
             columns = [batch.column(n) for n, _ in fields] + [pa.array(weak), pa.array(score), pa.array(score < reject), pa.array(found), pa.array(toxic)]
             yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields] + ["weak_junk", "score", "keep", "abuse", "toxic"])
 
-    return entry.mapInArrow(second_pass, ", ".join([f"`{n}` {t}" for n, t in fields] + added))
+    return entry.mapInArrow(lean(second_pass), ", ".join([f"`{n}` {t}" for n, t in fields] + added))
