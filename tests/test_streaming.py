@@ -24,7 +24,7 @@ class Run:
         ST.start_events(ST.event_stream(self.spark, self.folder, "*.parquet"), self.store, self.counts, self.state).awaitTermination()
 
     def counted(self):
-        return {(str(r["date"]), r["msid"]): r["listens"] for r in read_partitioned(self.spark, self.counts).collect()}
+        return {(str(r["date"]), r["msid"]): r["listens"] for r in ST.daily_counts(self.spark, self.counts).collect()}
 
     def stored(self):
         return sorted((str(r["ts"].date()), r["jour"]) for r in read_partitioned(self.spark, self.store).collect())
@@ -44,3 +44,37 @@ def test_no_event_is_lost_or_counted_twice(spark, tmp_path):
     before = run.stored()
     run.take()  # nothing new
     assert run.stored() == before and len(before) == 7
+
+
+def test_repeats_inside_the_bound_are_known_from_state(spark, tmp_path):
+    """Stored days inside the bound are emptied between micro-batches: nothing reads them, and a restart keeps the state."""
+    run = Run(spark, tmp_path)
+    run.take((1, "2024-01-10T10:00:00", 5), (2, "2024-01-11T11:00:00", 5))
+    for path in (tmp_path / "store").rglob("*.parquet"):
+        path.write_bytes(b"unreadable")
+    run.take((1, "2024-01-10T10:00:00", 5), (2, "2024-01-11T11:00:00", 5), (3, "2024-01-12T11:00:00", 5))
+    assert run.counted() == {("2024-01-10", "m5"): 1, ("2024-01-11", "m5"): 1, ("2024-01-12", "m5"): 1}
+
+
+def test_old_events_are_compared_with_what_is_stored(spark, tmp_path):
+    """State of an event is forgotten behind the bound; its repeats are then found in the store, wherever the event went."""
+    run = Run(spark, tmp_path)
+    run.take((1, "2024-01-10T10:00:00", 5))
+    run.take((2, "2024-06-01T10:00:00", 5))
+    run.take((1, "2024-01-10T10:00:00", 5), (3, "2024-01-10T11:00:00", 5))
+    run.take((1, "2024-01-10T10:00:00", 5), (3, "2024-01-10T11:00:00", 5), (2, "2024-06-01T10:00:00", 5))
+    assert run.counted() == {("2024-01-10", "m5"): 2, ("2024-06-01", "m5"): 1}
+    assert run.stored() == [("2024-01-10", "2024-01-10"), ("2024-01-10", "_ancien"), ("2024-06-01", "2024-06-01")]
+
+
+def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
+    """A stop after the sinks and before the commit: the micro-batch runs again with the same number and state."""
+    run = Run(spark, tmp_path)
+    run.take((1, "2024-01-10T10:00:00", 5), (2, "2024-01-11T11:00:00", 6))
+    run.take((1, "2024-01-10T10:00:00", 5), (3, "2024-01-12T11:00:00", 5))
+    before = run.counted(), run.stored()
+    commits = sorted((tmp_path / "state" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    run.take()
+    assert (run.counted(), run.stored()) == before

@@ -160,7 +160,7 @@ def streamed(t):
         SELECT date, msid, user_tok, epoch_us(ts) AS ts_us FROM listens_flat JOIN events USING (event_id)) AS x GROUP BY 1, 2""")
 def daily_stream(t):
     """Counts of all days, open ones included."""
-    return read_partitioned(t.spark, streamed(t)[1]).select(F.col("date").cast("string").alias("date"), "msid", "listens")
+    return ST.daily_counts(t.spark, streamed(t)[1]).select(F.col("date").cast("string").alias("date"), "msid", "listens")
 
 
 @query("st12_stream_partitions", """

@@ -1,16 +1,21 @@
 """Events and daily counts per title as a stream over arriving files.
 
-Nothing is dropped for being late: each micro-batch is joined with what is stored.
-An event already stored is a repeat; an event received more than ``late_days`` days
-after its day goes to the partition of old events; the counts of every day a
-micro-batch touches are replaced at once, so open days are published too.
+Nothing is dropped for being late.  Which events were seen before is keyed state: a value per event, forgotten by a timer once
+the newest event is more than ``late_days`` days ahead.  Only events older than that are compared with what is
+stored, and only with what is stored from before that bound.  An event received more than ``late_days`` days after its day goes to the
+partition of old events.  Daily counts are kept as one part per micro-batch and added up by ``daily_counts``, so open days
+are published too and no stored event is read again to count it.
 """
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from trackmetrics.functions import text as X
 from trackmetrics.functions.counting import n_rows
@@ -19,6 +24,8 @@ from trackmetrics.session import materialise
 from trackmetrics.sources.layout import has_partitions, read_partitioned, write_rebalanced
 
 EVENT_KEY = ["user_tok", "ts", "msid"]
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def event_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
@@ -32,43 +39,99 @@ def event_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     )
 
 
-def _stored(spark: SparkSession, store: str, months: list[str], without: int | None = None) -> DataFrame | None:
-    """Stored events of some months, without those of one micro-batch."""
-    if not has_partitions(spark, store):
-        return None
-    stored = read_partitioned(spark, store).where(F.col("mois").isin(months))
-    return stored if without is None else stored.where(F.col("dump") != str(without))
+def _processor() -> StatefulProcessor:
+    """Made inside a function, so that it travels to the workers by value."""
+
+    class FirstSeen(StatefulProcessor):
+        """Gives out each event once while its state lasts; events behind the watermark are given out as ``old``, for the caller to compare."""
+
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.seen = handle.getValueState("seen", "seen boolean")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            user, micros, title = key
+            newest = timerValues.getCurrentWatermarkInMs()
+            for _ in rows:  # repeats within a micro-batch
+                pass
+            old = micros is None or micros // 1000 < newest
+            if not old:
+                if self.seen.exists():
+                    return
+                self.seen.update((True,))
+                self.handle.registerTimer(micros // 1000)
+            yield Row(user_tok=user, ts_us=micros, msid=title, watermark_ms=newest, old=old)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            self.seen.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    return FirstSeen()
+
+
+def first_seen(events: DataFrame, late_days: int = LATE_DAYS) -> DataFrame:
+    """Stream of events not seen before, with the watermark they met.
+
+    The key is the time in microseconds, which carries no watermark: Spark would drop rows behind it, and these are wanted.
+    """
+    watched = events.withWatermark("ts", f"{late_days + 1} days").select("user_tok", F.unix_micros("ts").alias("ts_us"), "msid")
+    return watched.groupBy("user_tok", "ts_us", "msid").transformWithState(
+        statefulProcessor=_processor(), outputStructType="user_tok string, ts_us long, msid string, watermark_ms long, old boolean",
+        outputMode="append", timeMode="eventTime",
+    )
+
+
+def _not_stored(old: DataFrame, store: str, months: list[str], bound: str, batch_id: int) -> DataFrame:
+    """Old events that no other micro-batch stored; reads stored days up to the bound and the partition of old events, of their months."""
+    stored = read_partitioned(old.sparkSession, store).where(F.col("mois").isin(months) & ((F.col("jour") == OLD) | (F.col("jour") <= bound)))
+    known = stored.where(F.col("dump") != str(batch_id)).select("mois", *EVENT_KEY).alias("o")
+    same = reduce(lambda a, b: a & b, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in EVENT_KEY])
+    return old.alias("n").join(known, (F.col("n.mois") == F.col("o.mois")) & same, "left_anti")
+
+
+@contextmanager
+def _state_in_rocksdb(spark: SparkSession):
+    """Keyed state with timers needs this provider; a stream copies the settings when it starts."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
 
 
 def start_events(events: DataFrame, store: str, counts: str, checkpoint: str, late_days: int = LATE_DAYS):
-    """Keep every event once under (mois, jour, dump) and the counts per title under (mois, date).
+    """Keep every event once under (mois, jour, dump) and the counts per title under (mois, date, dump).
 
-    Reception is the latest event day seen so far.  A replayed micro-batch has the same number, replaces its own
-    partitions and is not compared with them, which makes both sinks exactly-once.
+    Reception is the latest event day seen so far, which the watermark carries from one micro-batch to the next.  A replayed
+    micro-batch has the same number and the same state as at first, and replaces its own partitions, which makes both sinks exactly-once.
     """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        dated = batch.withColumn("date", F.to_date("ts")).withColumn("mois", X.month_of(F.col("date")))
-        once = materialise(dated.dropDuplicates(EVENT_KEY), "micro-batch")
-        seen = once.agg(F.max("date").alias("last"), F.collect_set("mois").alias("months")).first()  # months: bounded by the calendar
+        dated = batch.withColumn("ts", F.timestamp_micros("ts_us")).withColumn("date", F.to_date("ts")).withColumn("mois", X.month_of(F.col("date")))
+        once = materialise(dated.select(*EVENT_KEY, "date", "mois", "watermark_ms", "old"), "micro-batch")
+        months = F.collect_set(F.when(F.col("old"), F.col("mois")))  # bounded by the calendar
+        seen = once.agg(F.max("date").alias("last"), F.max("watermark_ms").alias("watermark"), months.alias("old_months")).first()
         if seen["last"] is None:
             return
-        reception = seen["last"]
-        known = _stored(spark, store, seen["months"], batch_id)
-        if known is not None:
-            same = reduce(lambda a, b: a & b, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in EVENT_KEY])
-            months = F.col("n.mois") == F.col("o.mois")
-            once = once.alias("n").join(known.select("mois", *EVENT_KEY).alias("o"), months & same, "left_anti")
-            newest = read_partitioned(spark, store).where((F.col("dump") != str(batch_id)) & (F.col("jour") != OLD)).agg(F.max("jour")).first()[0]
-            reception = max(reception, X.day_from_text(newest)) if newest else reception
-        routed = route_late(once.withColumn("reception", F.lit(reception)), "reception", "date", late_days)
+        bound = datetime.datetime.fromtimestamp(seen["watermark"] / 1000, datetime.timezone.utc).date()
+        reception = max(seen["last"], bound + datetime.timedelta(days=late_days + 1))
+        fresh = once.drop("watermark_ms")
+        if seen["old_months"] and has_partitions(batch.sparkSession, store):
+            old = _not_stored(fresh.where("old"), store, seen["old_months"], str(bound), batch_id)
+            fresh = fresh.where("NOT old").unionByName(old)
+        routed = route_late(fresh.drop("old").withColumn("reception", F.lit(reception)), "reception", "date", late_days)
         routed = materialise(routed.withColumn("dump", F.lit(batch_id)), "routed")
         write_rebalanced(routed, store, ["mois", "jour", "dump"])
-        days = [r["date"] for r in routed.select("date").distinct().collect()]  # bounded by the calendar
-        stored = _stored(spark, store, seen["months"])
-        if days and stored is not None:
-            counted = stored.where(F.col("date").isin(days)).groupBy("mois", "date", "msid").agg(n_rows().alias("listens"))
-            write_rebalanced(counted, counts, ["mois", "date"])
+        write_rebalanced(routed.groupBy("mois", "date", "msid", "dump").agg(n_rows().alias("listens")), counts, ["mois", "date", "dump"])
+
+    with _state_in_rocksdb(events.sparkSession):
+        return first_seen(events, late_days).writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
 
-    return events.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def daily_counts(spark: SparkSession, counts: str) -> DataFrame:
+    """Counts per day and title over all micro-batches."""
+    return read_partitioned(spark, counts).groupBy("mois", "date", "msid").agg(F.sum("listens").alias("listens"))
