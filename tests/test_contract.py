@@ -9,6 +9,7 @@ from trackmetrics.operators import contract as CT
 from trackmetrics.operators import loading as LD
 from trackmetrics.operators import privacy as PV
 from trackmetrics.operators import structure as SV
+from trackmetrics.sources import layout as LY
 
 TOKEN = "0123456789abcdef0123456789abcdef"
 
@@ -135,6 +136,52 @@ def test_old_events_go_to_the_old_partition(spark, tmp_path):
     assert (tmp_path / "flat" / "mois=2024-01" / "jour=_ancien" / "dump=7").exists()
 
 
+def files_of(folder):
+    return {str(p.relative_to(folder)): p.read_bytes() for p in folder.rglob("*") if p.is_file()}
+
+
+def test_a_load_that_fails_its_check_leaves_the_old_batch_as_it_was(spark, tmp_path):
+    lines = [listen(i) for i in range(4)] + ["{cut"]
+    assert load(spark, tmp_path, lines, 5)[0]["outcome"] == "APLATI_OK"
+    before = files_of(tmp_path)
+    report, _ = load(spark, tmp_path, lines * 2, 10, max_duplicates=0.25)
+    assert (report["outcome"], report["written"], report["duplicates"]) == ("APLATI_ECHEC", 4, 4)
+    assert files_of(tmp_path) == before
+
+
+@pytest.mark.parametrize("stop_at", ["first", "second", "delete"])
+def test_a_stopped_publication_is_finished_by_the_next_load(spark, tmp_path, monkeypatch, stop_at):
+    """The driver stops between the moves; readers skip the marker and the staging folder, and the next load ends the work."""
+    target = str(tmp_path / "flat")
+
+    def days(*numbers):
+        rows = [(f"2024-01-{n:02d}", listen(n, timestamp=1704067200 + 86400 * (n - 1))) for n in numbers]
+        lines = spark.createDataFrame(rows, "date string, value string").select(F.col("date").cast("date"), F.lit("2024-01").alias("mois"), "value")
+        return LD.load_batch(lines, CT.LISTENS, "7", "2024-01-09", target, str(tmp_path / "rejects"), len(numbers))
+
+    assert days(1, 2, 3).first()["outcome"] == "APLATI_OK"
+    real, calls = LY._file_system, []
+
+    def failing(session, path):
+        place = path.rsplit("/flat/", 1)[-1]
+        calls.append(place)
+        moves = [c for c in calls if c.startswith("mois=")]
+        if (stop_at == "first" and len(moves) == 1) or (stop_at == "second" and len(moves) == 2):
+            raise KeyboardInterrupt
+        return real(session, path)
+
+    monkeypatch.setattr(LY, "_file_system", failing)
+    if stop_at == "delete":
+        monkeypatch.setattr(LY, "delete_folders", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        days(2, 3, 4)
+    monkeypatch.undo()
+    assert (tmp_path / "flat" / "_publication.json").exists()
+    assert LY.resume_publication(spark, target) and not LY.resume_publication(spark, target)
+    assert {str(r["date"]) for r in spark.read.parquet(target).collect()} == {"2024-01-02", "2024-01-03", "2024-01-04"}
+    assert not [p for p in (tmp_path / "flat").iterdir() if p.name.startswith("_") and p.name != "_SUCCESS"]
+
+
 def test_registration_needs_a_good_load(spark, tmp_path):
     bad = LD.load_batch(frame(spark, [listen()]), CT.LISTENS, "8", "2024-01-02", str(tmp_path / "f"), str(tmp_path / "r"), 2)
     with pytest.raises(ValueError):

@@ -1,14 +1,16 @@
-"""Batch loading: check, then write, then verify what was written, then register."""
+"""Batch loading: check the contract, write aside, verify what was written, publish, then register."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackmetrics.functions.counting import n_rows
 from trackmetrics.operators import contract as CT
 from trackmetrics.operators.incremental import OLD, routing_errors
 from trackmetrics.session import materialise
-from trackmetrics.sources.layout import delete_folders, has_partitions, partition_folder, read_partitioned, write_rebalanced
+from trackmetrics.sources.layout import STAGING, delete_folders, has_partitions, partition_folder, publish, read_partitioned, resume_publication, write_rebalanced
 
 LEDGER = "no int, start_s bigint, end_s bigint, announced bigint, n_rows bigint, recent bigint, old bigint, registered_s bigint, verdict string"
 
@@ -22,27 +24,38 @@ def load_batch(
     rejected: str,
     expected: int,
     control_only: bool = False,
+    max_duplicates: float = 1.0,
 ) -> DataFrame:
     """Load one batch of raw lines all or nothing; one row with the outcome and the counts.
 
-    The verdict is one row on the driver: it decides whether anything is written.
+    The lines are parsed once and stored.  The contract decides on one row whether anything is written.  The batch
+    is then written to a staging folder and checked there: routing, row count, and at most a share ``max_duplicates`` of repeats.
+    Only a batch that passes is published, by renaming its partitions into the table; otherwise the table stays as it was, byte for byte.
     Reloading a batch replaces exactly its partitions.
     """
     spark = lines.sparkSession
-    parsed = CT.parse(lines, contract)
+    for path in (target, rejected):
+        resume_publication(spark, path)
+    parsed = materialise(CT.parse(lines, contract), "parsed")
     decision = CT.batch_outcome(CT.measures(parsed), contract, expected).first()
     outcome, written, bad_routing = decision["outcome"], 0, 0
     if outcome == "ECRIRE" and control_only:
         outcome = "CONTROLE_OK"
     if outcome == "ECRIRE":
-        flat = CT.incremental_flat(parsed, dump, F.lit(reception).cast("date"))
-        _replace_batch(materialise(flat, "load"), target, ["mois", "jour", "dump"], dump)
-        _replace_batch(materialise(CT.rejects(parsed).withColumn("dump", F.lit(dump)), "load-rejects"), rejected, ["mois", "dump"], dump)
-        stored = read_partitioned(spark, target).where(F.col("dump") == dump)
-        check = routing_errors(stored.withColumn("r", F.lit(reception).cast("date")), "r", "date").first()
+        staged = {path: f"{path.rstrip('/')}/{STAGING}-{uuid.uuid4().hex}" for path in (target, rejected)}
+        write_rebalanced(CT.incremental_flat(parsed, dump, F.lit(reception).cast("date")), staged[target], _PARTS[0])
+        check = routing_errors(read_partitioned(spark, staged[target]).withColumn("r", F.lit(reception).cast("date")), "r", "date").first()
         written = check["n"]
         bad_routing = check["recent_in_old"] + check["old_in_recent"] + check["wrong_day"]
-        outcome = "APLATI_OK" if bad_routing == 0 and 0 < written <= decision["kept"] else "APLATI_ECHEC"
+        passed = bad_routing == 0 and 0 < written <= decision["kept"] and decision["kept"] - written <= max_duplicates * decision["kept"]
+        outcome = "APLATI_OK" if passed else "APLATI_ECHEC"
+        if passed:
+            if decision["rejected"]:
+                write_rebalanced(CT.rejects(parsed).withColumn("dump", F.lit(dump)), staged[rejected], _PARTS[1])
+            for path, partitions in zip((target, rejected), _PARTS):
+                _publish_batch(spark, staged[path], path, partitions, dump)
+        else:
+            delete_folders(spark, list(staged.values()))
     row = (dump, outcome, decision["n_read"], expected, decision["kept"], decision["rejected"], decision["private"], written,
            decision["kept"] - written if written else 0, bad_routing)
     return spark.createDataFrame([row], (
@@ -51,15 +64,22 @@ def load_batch(
     ))
 
 
-def _replace_batch(rows: DataFrame, path: str, partitions: list[str], dump: str) -> None:
-    """Write a batch and remove what an earlier load of it left in partitions that it no longer fills."""
-    spark = rows.sparkSession
-    names = lambda df: {tuple(r) for r in df.select(*partitions).distinct().collect()}  # noqa: E731  partitions of one batch
-    stale = names(read_partitioned(spark, path).where(F.col("dump") == dump)) if has_partitions(spark, path) else set()
-    filled = names(rows)
-    if filled:
-        write_rebalanced(rows, path, partitions)
-    delete_folders(spark, [partition_folder(path, **dict(zip(partitions, map(str, p)))) for p in sorted(stale - filled, key=str)])
+_PARTS = (["mois", "jour", "dump"], ["mois", "dump"])
+
+
+def _publish_batch(spark: SparkSession, staging: str, path: str, partitions: list[str], dump: str) -> None:
+    """Publish a staged batch and remove what an earlier load of it left in partitions that it no longer fills."""
+
+    def names(folder: str) -> set[str]:  # partitions of one batch
+        if not has_partitions(spark, folder):
+            return set()
+        found = read_partitioned(spark, folder).where(F.col("dump") == dump).select(*partitions).distinct().collect()
+        return {partition_folder("", **{c: str(v) for c, v in r.asDict().items()}).lstrip("/") for r in found}
+
+    filled = names(staging)
+    stale = names(path) - filled
+    if filled or stale:
+        publish(spark, staging, path, filled, stale)
 
 
 def register_batch(spark: SparkSession, ledger: str, no: int, bounds: tuple[int, int], report: DataFrame, target: str, now_s: int, verdict: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -100,6 +101,56 @@ def delete_folders(spark: SparkSession, paths: Sequence[str]) -> int:
     return gone
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def publish(spark: SparkSession, staging: str, target: str, filled: Sequence[str], stale: Sequence[str] = ()) -> None:
+    """Move checked partitions from a staging folder into a table by rename, and delete the stale ones.
+
+    ``filled`` and ``stale`` are partition paths below both folders.  A marker that names every move is written first and deleted
+    last: a publication that was stopped is finished by ``resume_publication``, and one that never began has changed nothing.
+    The moves are driver calls, one per partition of a batch, which the calendar bounds; no data passes the driver.
+    """
+    text = json.dumps({"staging": staging, "filled": sorted(filled), "stale": sorted(stale)})
+    marker, fs = _file_system(spark, f"{target.rstrip('/')}/{_MARKER}")
+    # Written aside and renamed, so that a marker is whole or absent.
+    part, _ = _file_system(spark, f"{target.rstrip('/')}/{_MARKER}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, marker):
+        raise OSError(f"another publication to {target} has not ended")
+    resume_publication(spark, target)
+
+
+#: Folders and files whose names begin with an underscore are not read as data.
+_MARKER = "_publication.json"
+STAGING = "_staging"
+
+
+def resume_publication(spark: SparkSession, target: str) -> bool:
+    """Finish a publication that was stopped; whether there was one.  Every step may be repeated."""
+    marker, fs = _file_system(spark, f"{target.rstrip('/')}/{_MARKER}")
+    if not fs.exists(marker):
+        return False
+    stream = fs.open(marker)
+    moves = json.loads(bytes(stream.readAllBytes()))
+    stream.close()
+    for name in moves["filled"]:
+        staged, _ = _file_system(spark, f"{moves['staging']}/{name}")
+        if fs.exists(staged):  # else it was moved before the stop
+            place, _ = _file_system(spark, f"{target.rstrip('/')}/{name}")
+            fs.delete(place, True)
+            fs.mkdirs(place.getParent())
+            if not fs.rename(staged, place):
+                raise OSError(f"could not publish {name}")
+    delete_folders(spark, [f"{target.rstrip('/')}/{name}" for name in moves["stale"]] + [moves["staging"]])
+    fs.delete(marker, False)
+    return True
+
+
 def partition_folder(base: str, **values: str) -> str:
     """Path of one partition, values written as the Parquet writer escapes them."""
     escape = lambda v: "".join(c if c.isalnum() or c in "_-. " else f"%{ord(c):02X}" for c in v)

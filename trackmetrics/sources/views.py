@@ -267,3 +267,10 @@ def raw_json(t: Tables) -> DataFrame:
     cut = F.when(c("truncated"), F.substring(line, F.lit(1), F.length(line) - 7)).otherwise(line)
     # Computed once: a filter on the text must not copy the writer expression below itself.
     return compute_once(t.raw_listens, value=cut).select("event_id", "date", "mois", "value")
+
+
+def loadable_json(t: Tables) -> DataFrame:
+    """Raw JSON lines (date, mois, value) without those that make the contract refuse a whole batch: forbidden or new keys, a
+    mandatory field gone.  Cut lines, drifted types, discarded keys and private events stay."""
+    fit = t.raw_listens.where("NOT (has_ip OR has_new OR no_track)").select("event_id")
+    return raw_json(t).join(fit, "event_id", "left_semi").drop("event_id")
