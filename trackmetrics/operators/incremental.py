@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from trackmetrics.operators.bloom import may_hold
 from trackmetrics.operators.ranks import existing_quantile, value_ranks
 from trackmetrics.operators.skew import null_safe_join
 from trackmetrics.session import materialise
@@ -202,11 +203,12 @@ def without_full_load(batches: DataFrame, full: DataFrame, keys: Sequence[str] =
     """Events of the batches, once each, minus those the full load already holds.
 
     Only months present on both sides can overlap, so the full load is read for
-    those months only; a month filter from a subquery prunes its partitions.
+    those months only; a month filter from a subquery prunes its partitions.  Of these rows only
+    those that a Bloom filter of the batches lets through are shuffled.
     """
-    once = batches.groupBy(*keys, month).agg(F.count(F.lit(1)).alias("copies"))
-    shared = batches.select(month).distinct()
-    held = full.join(F.broadcast(shared), month, "left_semi").select(*keys).distinct()
+    once = materialise(batches.groupBy(*keys, month).agg(F.count(F.lit(1)).alias("copies")), "batch-events")
+    shared = once.select(month).distinct()
+    held = may_hold(full.join(F.broadcast(shared), month, "left_semi").select(*keys), once, keys).distinct()
     return once.join(held, list(keys), "left_anti")
 
 

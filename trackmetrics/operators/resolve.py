@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trackmetrics.functions import text as X
+from trackmetrics.operators.bloom import may_hold
 from trackmetrics.operators.skew import first_by, lookup
 from trackmetrics.session import materialise
 
@@ -218,11 +219,12 @@ def witness_overlap(batch: DataFrame, table: DataFrame, pair: list[str], token:
     """Overlap on a pair that ignores the token, and on the triple with it.
 
     Many pairs but no triple found means that the two tables were tokenised
-    differently.  Both sides are reduced to distinct triples and pairs first.
+    differently.  Both sides are reduced to distinct triples and pairs first;
+    rows of the table without a pair of the batch are left out by a Bloom filter before they are shuffled.
     """
-    triples = batch.select(*pair, token).distinct()
-    stored = table.select(*pair, token).distinct()
+    triples = materialise(batch.select(*pair, token).distinct(), "triples")
     pairs = triples.select(*pair).distinct()
+    stored = may_hold(table.select(*pair, token), pairs, pair).distinct()
     size = F.count(F.lit(1))
     found_pairs = pairs.join(stored.select(*pair).distinct(), pair, "left_semi").agg(size).scalar()
     found_triples = triples.join(stored, [*pair, token], "left_semi").agg(size).scalar()

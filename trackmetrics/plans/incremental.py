@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from trackmetrics.functions import text as X
 from trackmetrics.functions.counting import n_rows
+from trackmetrics.operators import digest_tree as DT
 from trackmetrics.operators import facts as A
 from trackmetrics.operators import incremental as I
 from trackmetrics.operators import loading as LD
@@ -208,6 +209,52 @@ def merge_proof(t):
     return Q.union(*parts)
 
 
+#: The first days with facts from these on are damaged: recounted, one title gone, gone as a whole, one title new.
+_DAMAGED = ("2000-03-14", "2000-05-20", "2000-08-03", "2001-05-01")
+
+
+def falsified(t):
+    """Facts, and a damaged copy."""
+    facts = t.day_facts.select("date", "msid", "listens", "listeners", "mois")
+    day = F.col("date").cast("string")
+    recounted, thinned, gone, grown = facts.agg(*[F.min(F.when(day >= d, day)) for d in _DAMAGED]).first()
+    lowest = facts.where(day == F.lit(thinned)).agg(F.min("msid")).scalar()
+    copy = facts.withColumn("listens", F.when(day.eqNullSafe(F.lit(recounted)), F.col("listens") + 1).otherwise(F.col("listens")))
+    copy = copy.where(~(day.eqNullSafe(F.lit(thinned)) & (F.col("msid") == lowest)) & ~day.eqNullSafe(F.lit(gone)))
+    extra = facts.where(day == F.lit(grown)).agg(F.min("date").alias("date")).where("date IS NOT NULL").select(
+        "date", F.lit("new").alias("msid"), F.lit(1).cast("long").alias("listens"), F.lit(1).cast("long").alias("listeners"), X.month_of(F.col("date")).alias("mois"))
+    return facts, copy.unionByName(extra)
+
+
+_FALSE = f"""
+    WITH f AS (SELECT CAST(date AS STRING) AS date, msid, listens, listeners FROM day_facts),
+         d AS (SELECT {", ".join(f"min(date) FILTER (date >= '{d}') AS d{k}" for k, d in enumerate(_DAMAGED))} FROM f),
+         g AS (SELECT date, msid, listens + CASE WHEN date = d0 THEN 1 ELSE 0 END AS listens, listeners FROM f, d
+               WHERE NOT (date = d1 AND msid = (SELECT min(msid) FROM f, d WHERE date = d1)) AND date <> d2
+               UNION ALL SELECT d3, 'new', 1, 1 FROM d WHERE d3 IS NOT NULL),
+         x AS (SELECT coalesce(f.date, g.date) AS date, coalesce(f.msid, g.msid) AS msid,
+                      CASE WHEN g.date IS NULL THEN 'missing' WHEN f.date IS NULL THEN 'added' ELSE 'changed' END AS kind
+               FROM f FULL JOIN g ON f.date = g.date AND f.msid = g.msid WHERE (f.listens, f.listeners) IS DISTINCT FROM (g.listens, g.listeners))"""
+
+
+@query("st14_digest_tree", _FALSE + " SELECT date, msid, kind FROM x")
+def digest_tree(t):
+    """What differs between two tables, read from the days their digest trees point to."""
+    facts, copy = (materialise(x, "st14-tree") for x in falsified(t))
+    trees = [DT.digest_tree(x, "msid", ["listens", "listeners"]) for x in (facts, copy)]
+    return DT.changed_rows(facts, copy, DT.differing(*trees, level=2), "msid", ["listens", "listeners"])
+
+
+@query("st14_rows_read", _FALSE + """
+    SELECT (SELECT count(DISTINCT date) FROM x) AS days, (SELECT count(*) FROM f WHERE date IN (SELECT date FROM x)) AS left_rows,
+           (SELECT count(*) FROM g WHERE date IN (SELECT date FROM x)) AS right_rows""")
+def rows_read(t):
+    """Days that differ and the rows that have to be read for them."""
+    trees = [DT.digest_tree(x, "msid", ["listens", "listeners"]) for x in falsified(t)]
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return DT.differing(*trees, level=2).agg(n_rows().alias("days"), total("left_n").alias("left_rows"), total("right_n").alias("right_rows"))
+
+
 @query("st15_batch_manifest", """
     SELECT mois, count(*) AS n, count(DISTINCT date) AS days, CAST(min(date) AS STRING) AS first_day, CAST(max(date) AS STRING) AS last_day FROM plays GROUP BY mois""")
 def batch_manifest(t):

@@ -8,8 +8,10 @@ from trackmetrics.operators import incremental as I
 from trackmetrics.operators import profiling as P
 from trackmetrics.operators import resolve as R
 from trackmetrics.operators import warehouse as W
+from trackmetrics.operators.bloom import may_hold
 from trackmetrics.operators.skew import null_safe_join
 from trackmetrics.plans.registry import query
+from trackmetrics.session import materialise
 
 
 
@@ -152,6 +154,25 @@ def exclude_full_load(t):
     return I.without_full_load(t.dumps, t.full_load).select("user_tok", "ts_s", "msid")
 
 
+@query("jn14_bloom_filter", """
+    WITH k AS (SELECT DISTINCT user_tok, ts_s, msid FROM dumps WHERE reception - date > 30),
+         f AS (SELECT (user_tok, ts_s, msid) IN (SELECT (user_tok, ts_s, msid) FROM k) AS held FROM full_load)
+    SELECT (SELECT count(*) FROM k) AS keys, count(*) AS full_rows, count(*) FILTER (held) AS held_rows, 0 AS missed, 1 AS within_bound FROM f""")
+def bloom_filter(t):
+    """Rows of the full load that a filter of the late events lets through: all that they hold, and at most a twentieth of the others."""
+    old = t.dumps.where(I.lateness("reception", "date") > I.LATE_DAYS).select(*I.EVENT_KEY).distinct()
+    keys = materialise(old, "jn14")
+    full = t.full_load.select(*I.EVENT_KEY)
+    passed = may_hold(full, keys, I.EVENT_KEY).join(keys.withColumn("held", F.lit(1)), list(I.EVENT_KEY), "left")
+    found = passed.agg(F.count("held").alias("passed_held"), n_rows().alias("passed"))
+    exact = full.join(keys, list(I.EVENT_KEY), "left_semi").agg(n_rows()).scalar()
+    size = full.agg(n_rows().alias("full_rows"), exact.alias("held_rows"))
+    other = (F.col("passed") - F.col("passed_held")) <= 0.05 * (F.col("full_rows") - F.col("held_rows")) + 5
+    return size.crossJoin(found).select(  # one row a side
+        F.lit(keys.count()).cast("long").alias("keys"), "full_rows", "held_rows", (F.col("held_rows") - F.col("passed_held")).alias("missed"), other.cast("int").alias("within_bound")
+    )
+
+
 @query("jn15_pair_and_triple", """
     WITH a AS (SELECT DISTINCT ts_s, msid, user_tok FROM dumps WHERE reception - date > 30)
     SELECT (SELECT count(*) FROM a) AS triples, (SELECT count(*) FROM (SELECT DISTINCT ts_s, msid FROM a)) AS pairs,
