@@ -10,12 +10,14 @@ from trackmetrics.operators import incremental as I
 from trackmetrics.operators import profiling as P
 from trackmetrics.operators import ranks as K
 from trackmetrics.operators import resolve as R
+from trackmetrics.operators import sketches as SK
 from trackmetrics.operators import stats as S
 from trackmetrics.operators import tags as G
 from trackmetrics.operators import warehouse as W
 from trackmetrics.operators.catalog import AUDIO, BOUNDS, clean_catalog
 from trackmetrics.operators.skew import first_by, null_safe_join
 from trackmetrics.plans.registry import query
+from trackmetrics.session import materialise
 
 
 def union_sql(template: str, columns) -> str:
@@ -231,6 +233,20 @@ def group_percentile(t):
     return K.quantiles(t.listens, "value", {"median": K.existing_quantile(0.5), "p90": K.existing_quantile(0.9)}, ["event_type"])
 
 
+_RANKS = {"p10": 0.1, "median": 0.5, "p90": 0.9, "p99": 0.99}
+
+
+@query("ag21_mergeable_quantiles", """
+    SELECT event_type, count(value) AS n, count(DISTINCT CASE WHEN value IS NOT NULL THEN date END) AS parts, 1 AS within_bound FROM listens WHERE value IS NOT NULL GROUP BY event_type""")
+def mergeable_quantiles(t):
+    """Quantiles from stored sketches of single days, merged per type; their rank error is measured on the rows."""
+    days = materialise(SK.quantile_sketches(t.listens, "value", ["event_type", "date"]), "ag21")
+    merged = materialise(SK.merged_quantiles(days, ["event_type"], _RANKS), "ag21-merged")
+    errors = SK.rank_errors(t.listens, "value", merged, ["event_type"], _RANKS)
+    worst = errors.select("event_type", (F.greatest(*_RANKS) <= SK.RANK_ERROR).cast("int").alias("within_bound"))
+    return merged.select("event_type", "n", "parts").join(worst, "event_type")
+
+
 _TAGS = """
     WITH n AS (SELECT DISTINCT nom, NULLIF(trim(regexp_replace(regexp_replace(replace(lower(nom), '&', ' and '), '[/_-]+', ' ', 'g'), '\\s+', ' ', 'g')), '') AS tag
                FROM tags_raw WHERE votes > 0)"""

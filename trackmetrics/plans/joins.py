@@ -7,6 +7,7 @@ from trackmetrics.functions.counting import n_rows
 from trackmetrics.operators import incremental as I
 from trackmetrics.operators import profiling as P
 from trackmetrics.operators import resolve as R
+from trackmetrics.operators import sketches as SK
 from trackmetrics.operators import warehouse as W
 from trackmetrics.operators.bloom import may_hold
 from trackmetrics.operators.skew import null_safe_join
@@ -42,6 +43,17 @@ def overlap_measure(t):
     return R.overlap(t.dumps, t.full_load, ["user_tok", "ts_s", "msid"], ["ts_s", "msid"])
 
 
+@query("jn3_overlap_sketch", """
+    SELECT mois, count(*) AS common, 1 AS within_5_pct FROM (SELECT DISTINCT mois, user_tok, ts_s, msid FROM dumps INTERSECT SELECT mois, user_tok, ts_s, msid FROM full_load) AS x GROUP BY mois""")
+def overlap_sketch(t):
+    """Triples of a month that both tables hold: exact, and from one stored sketch per month and table."""
+    keys = ["user_tok", "ts_s", "msid"]
+    sides = [materialise(SK.key_sketches(x, keys, ["mois"]), "jn3") for x in (t.dumps, t.full_load)]
+    exact = t.dumps.select("mois", *keys).intersect(t.full_load.select("mois", *keys)).groupBy("mois").agg(n_rows().alias("common"))
+    close = F.abs(F.col("estimate") - F.col("common")) <= 0.05 * F.col("common") + 1
+    return exact.join(SK.overlap_estimates(*sides, ["mois"]), "mois", "left").select("mois", "common", F.coalesce(close, F.lit(False)).cast("int").alias("within_5_pct"))
+
+
 @query("jn4_reconcile_counts", """
     WITH a AS (SELECT mois, count(*) AS n FROM plays GROUP BY mois),
          b AS (SELECT substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 7) AS mois, count(*) AS n FROM orders GROUP BY 1)
