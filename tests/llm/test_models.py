@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import ROWS, components, docs, empty
 from trackmetrics.llm import embedding_dedup, pii, quality
@@ -55,6 +56,20 @@ def test_estimation_finds_accuracies():
     assert ((posterior[inverse.ravel()] > 0.5) == truth).mean() > 0.93
 
 
+def test_scores_do_not_depend_on_ids_or_copies_in_the_sample(spark):
+    table = spark.read.parquet(f"{DATA}/documents.parquet")
+    with_ids = {r["text"]: r["score"] for r in quality.classify(table, train_rows=300, with_text=True).select("text", "score").collect()}
+    without = quality.classify(table.withColumn("doc_id", F.lit(None).cast("long")).repartition(5), train_rows=300, with_text=True).select("text", "score").collect()
+    assert all(abs(r["score"] - with_ids[r["text"]]) < 1e-6 for r in without) and len({r["score"] for r in without}) > 100
+    assert any(s >= quality.REJECT for s in with_ids.values())
+
+
+def test_an_empty_sample_leaves_the_posterior_as_score(spark):
+    rows = [(i, "BUY NOW!!! " * 30) for i in range(40)] + [(99, "A plain sentence of some words stands here. " * 8)]
+    found = quality.classify(spark.createDataFrame(rows, "doc_id long, text string"), train_rows=0).collect()
+    assert all(r["score"] == r["weak_junk"] for r in found) and not any(r["keep"] for r in found if r["doc_id"] != 99)
+
+
 def test_classifier_on_awkward_rows(spark):
     found = quality.classify(docs(spark)).collect()
     assert len(found) == len(ROWS) and not any(r["keep"] for r in found if r["doc_id"] in (1, 2, 3))

@@ -29,9 +29,10 @@ def test_token_store_round_trip(spark, tmp_path):
     source = docs(spark)
     manifest = token_store.write_store(source, folder, VOCABULARY)
     found = token_store.read_store(spark, folder, manifest, with_ids=True).orderBy("start").collect()
-    order = sorted(((i, t) for i, t in ROWS if i is not None), key=lambda r: r[0])
-    start = len(ids_of(ROWS[-1][1]))  # the row without an id sorts first
-    for r, (i, t) in zip(found[1:], order):
+    order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0]))  # the row without an id comes first
+    start = 0
+    assert len(found) == len(order)
+    for r, (i, t) in zip(found, order):
         ids = ids_of(t)
         assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (i, start, len(ids), zlib.crc32(ids.tobytes()))
         assert bytes(r["ids"]) == ids.tobytes()
@@ -39,6 +40,8 @@ def test_token_store_round_trip(spark, tmp_path):
     file = next(r["file"] for r in found if r["doc_id"] == 5)
     assert token_store.read_document(folder, file, 5).tolist() == ids_of(ROWS[5][1]).tolist()
     assert token_store.read_document(folder, file, 999) is None
+    first = next(r["file"] for r in found if r["doc_id"] == 0)
+    assert token_store.read_document(folder, first, 0).tolist() == ids_of(ROWS[0][1]).tolist()
     assert token_store.tokenise_to_files(empty(spark), VOCABULARY).count() == 0
 
 

@@ -3,8 +3,9 @@
 1. Overlapping heuristic labellers vote junk, good or nothing on every document.
 2. Expectation-maximisation over the counts of vote patterns (at most 3^labellers rows, from all documents) estimates each
    labeller's accuracy per class and the posterior of each pattern; no true label is used.
-3. The posteriors label a bounded sample (``TRAIN_ROWS`` rows of lowest hash) on which a logistic scorer over hashed
-   features is fitted: strings of four byte classes, and how often words and lines repeat within the text.
+3. The posteriors label a bounded sample of distinct texts (chosen by a hash of the text, about ``TRAIN_ROWS`` at most) on which a logistic scorer
+   over hashed features is fitted: strings of four byte classes, and how often words and lines repeat within the text.  If the sample
+   is empty, as copies of few texts may leave it, the posterior of its votes is the score of a text.
 4. The scorer is applied to every whole text.
 5. Abuse is a verdict of its own, as a text may be well formed and abusive: ``abuse`` counts the words of a text that stand in a list
    (a parameter; not case-sensitive, whole words), and ``toxic`` holds from ``ABUSE_LEAST`` such words that make up ``ABUSE_SHARE`` of the words.
@@ -152,7 +153,7 @@ def _features(kinds, rows, n_rows, n_words, word_counts, bounds) -> np.ndarray:
     four = np.zeros(len(kinds), dtype=np.uint64)
     for j in range(4):
         shifted = np.full(len(kinds), 15, dtype=np.uint64)
-        shifted[: len(kinds) - j] = kinds[j:]
+        shifted[: len(kinds) - j] = np.where(rows[j:] == rows[: len(kinds) - j], kinds[j:], 15)  # not beyond the text
         four = four * np.uint64(16) + shifted
     cell = (textkernel.mix(four) % np.uint64(DIMENSIONS)).astype(np.int64)
     out = np.sqrt(np.bincount(rows * DIMENSIONS + cell, minlength=n_rows * DIMENSIONS).reshape(n_rows, DIMENSIONS).astype(np.float32))
@@ -236,38 +237,45 @@ def classify(docs: DataFrame, reject: float = REJECT, train_rows: int = TRAIN_RO
              abuse_words: Sequence[str] = ABUSE_WORDS) -> DataFrame:
     """Per document: doc_id, weak_junk (posterior of its votes), score (junk by the hashed scorer), keep, abuse (words of the list), toxic; with_text keeps the input columns instead of doc_id."""
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    marked = docs.select(F.xxhash64(text).alias("mark"), text.alias("text"))
     rows = max(docs.count(), 1)
     share = np.uint64(min(1.0, train_rows / rows) * (2**64 - 2**12))
-    schema = pa.schema([("pattern", pa.int64()), ("n", pa.int64()), ("features", pa.binary())])
+    schema = pa.schema([("pattern", pa.int64()), ("n", pa.int64()), ("mark", pa.int64()), ("features", pa.binary())])
     base = 3 ** np.arange(len(LABELLERS))
 
     def first_pass(batches):
+        given = np.zeros(0, dtype=np.int64)  # chosen texts of this task, a share of them gets through
         for batch in batches:
-            ids = pa.compute.fill_null(batch.column("doc_id"), -1).to_numpy().view(np.uint64)
-            chosen = textkernel.mix(ids + np.uint64(0x7F4A7C15)) <= share
+            marks = batch.column("mark").to_numpy()
+            chosen = textkernel.mix(marks.view(np.uint64) + np.uint64(0x7F4A7C15)) <= share
             for first, vote, n_words, features in analysed(batch.column("text")):
                 pattern = (vote * base).sum(1)
                 kinds, n = np.unique(pattern[n_words > 0], return_counts=True)
                 some = np.flatnonzero(chosen[first : first + len(vote)] & (n_words > 0))
+                own, once = np.unique(marks[first + some], return_index=True)
+                fresh = ~np.isin(own, given)
+                some, given = some[once[fresh]], np.append(given, own[fresh])
                 table = features()[some] if len(some) else []
                 yield record_batch({
                     "pattern": np.concatenate([kinds, pattern[some]]), "n": [*n.tolist(), *[None] * len(some)],
+                    "mark": [*[None] * len(kinds), *marks[first + some].tolist()],
                     "features": [*[None] * len(kinds), *[x.astype(np.float16).tobytes() for x in table]],
                 }, schema)
 
-    seen = materialise(source.mapInArrow(lean(first_pass), "pattern long, n long, features binary"), "votes")
+    seen = materialise(marked.mapInArrow(lean(first_pass), "pattern long, n long, mark long, features binary"), "votes")
     counted = seen.where("n IS NOT NULL").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
     codes = np.array([r["pattern"] for r in counted], dtype=np.int64)
     patterns = (codes[:, None] // base) % 3
     posterior, _ = estimate(patterns, np.array([r["n"] for r in counted])) if len(codes) else (np.zeros(0), None)
     known = dict(zip(codes.tolist(), posterior.tolist()))
-    # The sample has about train_rows rows whatever the corpus; twice that is never passed.
+    # Each distinct text is chosen with the probability train_rows / rows, so about train_rows are at most.
     x, target = [], []
-    for r in seen.where("n IS NULL").limit(2 * train_rows).toLocalIterator():
+    for r in seen.where("n IS NULL").dropDuplicates(["mark"]).sort("mark").toLocalIterator():
         x.append(np.frombuffer(r["features"], dtype=np.float16))
         target.append(known[r["pattern"]])
-    weights = fit(x, np.array(target, dtype=np.float32)) if x else np.zeros(DIMENSIONS + 1, dtype=np.float32)
+    weights = fit(x, np.array(target, dtype=np.float32)) if x else None
     del x
     shared = spark.sparkContext.broadcast((weights, known))
 
@@ -284,12 +292,11 @@ def classify(docs: DataFrame, reject: float = REJECT, train_rows: int = TRAIN_RO
             texts = batch.column(text_col if with_text else "text").cast(pa.string())
             for first, vote, n_words, features in analysed(texts):
                 used = n_words > 0
-                x = features()
                 part = slice(first, first + len(vote))
                 size[part] = n_words
                 found[part] = abuse(texts.slice(first, len(vote)), abuse_words)
-                score[part] = np.where(used, 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))), 1.0)
                 weak[part] = [table.get(p, 1.0) if u else 1.0 for p, u in zip((vote * base).sum(1).tolist(), used)]
+                score[part] = weak[part] if w is None else np.where(used, 1 / (1 + np.exp(-np.clip(features() @ w[:-1] + w[-1], -30, 30))), 1.0)
             toxic = (found >= ABUSE_LEAST) & (found >= ABUSE_SHARE * size)
             columns = [batch.column(n) for n, _ in fields] + [pa.array(weak), pa.array(score), pa.array(score < reject), pa.array(found), pa.array(toxic)]
             yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields] + ["weak_junk", "score", "keep", "abuse", "toxic"])

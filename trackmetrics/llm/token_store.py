@@ -5,13 +5,13 @@ A file holds consecutive documents in ascending doc_id order::
     magic "TMTOK001" | sha256 of the dictionary (32 bytes) | frames | index | index offset (8) | documents (8) | magic
 
 and an index entry is doc_id, frame offset, number of ids, doc position of its first id in the file (4 x 8 bytes,
-little-endian).  A frame compresses the ids as little-endian unsigned 16-bit integers, or 32-bit ones if the
+little-endian; a negative number of ids marks a document without doc_id).  A frame compresses the ids as little-endian unsigned 16-bit integers, or 32-bit ones if the
 vocabulary needs them (flag byte in front), so a short document is read with one range request.
 
 Files are written by tasks through the Arrow file systems (local mounts, object stores, HDFS), each attempt
 under its own name; the manifest lists the files of the attempts that Spark accepted, so a lost executor leaves at most an
 unlisted file.  The dictionary is trained on a bounded sample; null and empty texts hold the end id only;
-repeated rows stay; an empty table gives an empty manifest.
+repeated rows stay; rows without doc_id come first and come back without one; an empty table gives an empty manifest.
 """
 
 from __future__ import annotations
@@ -107,7 +107,7 @@ def write_store(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END
                     at, ids = at + len(frame), ids + len(raw) // 4
         if out is None:
             return
-        table = np.array([(0 if d is None else d, a, n, s) for d, a, n, s in index], dtype="<i8")
+        table = np.array([(0, a, -n, s) if d is None else (d, a, n, s) for d, a, n, s in index], dtype="<i8")
         out.write(table.tobytes() + struct.pack("<QQ", at, len(index)) + MAGIC)
         out.close()
         known = [d for d, *_ in index if d is not None]
@@ -140,7 +140,7 @@ def read_document(folder: str, file: str, doc_id: int) -> np.ndarray | None:
     files, root = open_file_system(folder)
     with files.open_input_file(f"{root}/dictionary") as f:
         dictionary = f.read()
-    rows = np.flatnonzero(index[:, 0] == doc_id)
+    rows = np.flatnonzero((index[:, 0] == doc_id) & (index[:, 2] > 0))
     if not len(rows):
         return None
     with files.open_input_file(f"{root}/{file}") as f:
@@ -174,6 +174,7 @@ def read_store(spark: SparkSession, folder: str, manifest: DataFrame, with_ids:
                         for (doc, at, n, s), stop in zip(index[lo : lo + 1000].tolist(), stops[lo : lo + 1000]):
                             # the last frame ends where the index begins; a frame ends by itself, so what follows is not read
                             raw = deserialise(decompress(f.read(stop - at)) if stop is not None else _last(decompress, f, index, path, local, file))
+                            doc, n = (None, -n) if n < 0 else (doc, n)
                             if len(raw) != 4 * n:
                                 raise ValueError(f"{file}: document {doc} has {len(raw) // 4} ids, its index says {n}")
                             for name, value in (("doc_id", doc), ("file", file), ("start", first + s), ("n_tokens", n), ("ids_crc32", zlib.crc32(raw))):
