@@ -168,3 +168,36 @@ def test_surrogates_on_awkward_rows(spark):
     assert pii.pseudonymise(empty(spark), KEY).count() == 0
     with pytest.raises(ValueError):
         pii.pseudonymise(docs(spark), b"short")
+
+
+def test_replacements_grow_when_a_space_is_full(spark):
+    """All addresses of one letter before and after the sign, and numbers of one short length."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [("email", f"{a}@{b}.co") for a in letters for b in letters]
+    found = pii.surrogates(spark.createDataFrame(rows, "kind string, canonical string"), KEY).collect()
+    new = {r["canonical"]: r["surrogate"] for r in found}
+    assert len(found) == 676 and len(set(new.values())) == 676 and not set(new) & set(new.values())
+    domains = {}
+    for old, x in new.items():
+        domains.setdefault(old.split("@")[1], set()).add(x.split("@")[1])
+    assert all(len(x) == 1 for x in domains.values())
+
+
+def test_full_space_ends_with_an_error(spark, monkeypatch):
+    monkeypatch.setattr(pii, "surrogate", lambda key, kind, canonical, attempt=0: "same")
+    monkeypatch.setattr(pii, "MAX_ATTEMPTS", 3)
+    monkeypatch.setattr(pii, "_drawn", lambda rows, key: rows.withColumn("surrogate", F.lit("same")))
+    with pytest.raises(RuntimeError, match="no free replacements"):
+        pii.surrogates(spark.createDataFrame([("secret", "a"), ("secret", "b")], "kind string, canonical string"), KEY)
+
+
+def test_longer_numbers_keep_their_format():
+    assert pii.render("(415) 555-7713", "phone", "123456789012", 2) == "(123) 456-789012" and pii.render("555-7713", "phone", "1234567890") == "456-7890"
+
+
+def test_a_name_is_masked_wherever_it_stands(spark):
+    text = "Mr John Smith met Smith. Smith left with John, not with Johnson or Smithers. Dr. Smith stayed."
+    row = pii.pseudonymise(spark.createDataFrame([(1, text)], "doc_id long, text string"), KEY).first()
+    words = re.findall(r"\w+", row["text"])
+    assert "John" not in words and "Smith" not in words and {"Johnson", "Smithers"} <= set(words) and row["n_entities"] == 6
+    assert words[2] == words[4] == words[5] and words[1] == words[8]

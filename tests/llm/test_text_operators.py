@@ -202,3 +202,17 @@ def test_near_line_whose_first_copy_has_no_id(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: (r["text"], r["n_exact"], r["n_near"]) for r in line_dedup.dedup_lines(table).collect()}
     assert found == {None: (line, 0, 0), 1: ("own words here", 1, 0), 2: ("last words", 0, 1)}
+
+
+def test_contamination_with_shingles_too_many_to_broadcast(spark, monkeypatch):
+    """No table is broadcast by hint: the same result, and no exchange carries the words of whole documents."""
+    table, items = (spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet") for n in ("documents", "benchmark"))
+    awkward = docs(spark)
+    expected = [sorted(map(repr, decontaminate.contamination(x, items).collect())) for x in (table, awkward)]
+    monkeypatch.setattr(decontaminate, "broadcast_if_small", lambda df, **kw: df)
+    plans, real = [], decontaminate.materialise
+    monkeypatch.setattr(decontaminate, "materialise", lambda df, name: (plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())), real(df, name))[1])
+    assert [sorted(map(repr, decontaminate.contamination(x, items).collect())) for x in (table, awkward)] == expected
+    join = next(p for n, p in plans if n == "hits")
+    left = join[join.index("Join LeftOuter") :].split("\n")[1]
+    assert "__own" in left and "__w#" not in left.split("AS __own")[-1]

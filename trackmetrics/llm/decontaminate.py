@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackmetrics.llm.common import broadcast_if_small
+from trackmetrics.operators.bloom import may_hold
 from trackmetrics.session import materialise
 
 WINDOW = 13
@@ -62,8 +63,16 @@ def _hits(docs: DataFrame, id_col: str, text: str, shingles: DataFrame, sizes: l
         first = first + n
     flat = base.select("rid", "doc_id", "__w", F.posexplode_outer(F.concat(*hashes)).alias("__i", "h"))
     placed = flat.select("rid", "doc_id", F.size(w).alias("n_words"), "__w", "h", size.alias("__k"), place.alias("pos"))
-    found = placed.join(shingles, "h", "left")
     same = F.expr("slice(__w, pos + 1, __k)") == F.col("words")
+    small = broadcast_if_small(shingles, width=F.octet_length(F.array_join("words", " ")))
+    if small is shingles:
+        # Too large to broadcast: places that a filter of the shingles lets through are shuffled, each with its own few words; the row
+        # of the document itself has no hash and passes with the null key.
+        no_hash = shingles.sparkSession.range(1).select(F.lit(None).cast("long").alias("h"))
+        placed = may_hold(placed, shingles.select("h").distinct().unionByName(no_hash), ["h"])
+        placed = placed.withColumn("__own", F.when(F.col("pos") >= 0, F.expr("slice(__w, pos + 1, __k)"))).drop("__w")
+        same = F.col("__own") == F.col("words")
+    found = placed.join(small, "h", "left")
     return found.where((F.col("pos") < 0) | same).select("rid", "doc_id", "n_words", "pos", "shingle")
 
 
@@ -92,7 +101,7 @@ def contamination(
     shingles = materialise(shingles.select(key.alias("h"), "words", F.monotonically_increasing_id().alias("shingle")), "shingles")
     parts = materialise(parts.join(shingles, "words").select("window", "len", "k", "off", "shingle"), "parts")
 
-    hits = materialise(_hits(docs, id_col, text_col, broadcast_if_small(shingles, width=F.octet_length(F.array_join("words", " "))), sizes), "hits")
+    hits = materialise(_hits(docs, id_col, text_col, shingles, sizes), "hits")
     found = hits.where("pos >= 0").select("rid", "n_words", "pos", "shingle")
 
     counts = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("hits"))

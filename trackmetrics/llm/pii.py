@@ -113,6 +113,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             continue
         for m in pattern.finditer(text):
             found.append((m.start(2), m.end(2), "secret", m[2]))
+    names: dict[str, tuple[str, str]] = {}
     for m in _NAME.finditer(text):
         parts = [p for p in m[3].split(" ") if p[0].isupper() or not p[0].islower() and not p[0].isupper()]
         if not parts or not m[3].startswith(parts[0]):
@@ -120,8 +121,13 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         gender, start = TITLES[m[1]], m.start(3)
         for k, part in enumerate(parts):
             kind = "family" if k == len(parts) - 1 else f"given_{gender}"
-            found.append((start, start + len(part), f"{kind}:{_script(part)}", part.casefold()))
+            entity = (f"{kind}:{_script(part)}", part.casefold())
+            found.append((start, start + len(part), *entity))
+            names.setdefault(part, entity)
             start += len(part) + 1
+    if names:  # the same name without a title, anywhere in the document
+        known = "|".join(map(re.escape, sorted(names, key=len, reverse=True)))
+        found += [(m.start(), m.end(), *names[m[0]]) for m in re.finditer(rf"(?<!\w)(?:{known})(?!\w)", text)]
     found.sort(key=lambda e: (e[0], -e[1]))
     out: list[tuple[int, int, str, str]] = []
     for e in found:
@@ -154,37 +160,43 @@ def _like(c: str, draw: _Stream) -> str:
     return c
 
 
+#: Attempts after which replacements grow by one more letter, digit or syllable each, and those after which the run fails.
+GROW_AFTER = 3
+MAX_ATTEMPTS = 60
+
+
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
-    """Canonical form of the replacement; attempts after the first draw anew."""
-    draw = _Stream(key, kind, canonical, attempt)
+    """Canonical form of the replacement; attempts after the first draw anew, in a space that grows with them."""
+    draw, more = _Stream(key, kind, canonical, attempt), attempt // GROW_AFTER
     if kind == "email":
         local, _, domain = canonical.rpartition("@")
         labels = domain.split(".")
-        host = _Stream(key, "domain", domain, attempt)  # equal domains stay equal
-        return "".join(_like(c, draw) for c in local) + "@" + ".".join(["".join(_like(c, host) for c in x) for x in labels[:-1]] + labels[-1:])
+        host = _Stream(key, "domain", domain, 0)  # equal domains stay equal
+        return "".join(_like(c, draw) for c in local + "a" * more) + "@" + ".".join(["".join(_like(c, host) for c in x) for x in labels[:-1]] + labels[-1:])
     if kind == "phone":
         keep = min(3, max(1, len(canonical) - 10))  # country code
-        return canonical[:keep] + "".join(str(draw.below(10)) for _ in canonical[keep:])
-    if kind == "address":
-        return ".".join(map(str, (RESERVED_OCTETS[0] + draw.below(RESERVED_OCTETS[1] - RESERVED_OCTETS[0]), draw.below(256), draw.below(256), 1 + draw.below(254))))
+        return canonical[:keep] + "".join(str(draw.below(10)) for _ in canonical[keep:] + "0" * more)
+    if kind == "address":  # beyond the reserved range when that is full
+        low, high = RESERVED_OCTETS if not more else (1, 255)
+        return ".".join(map(str, (low + draw.below(high - low), draw.below(256), draw.below(256), 1 + draw.below(254))))
     if kind == "card":
         body = canonical[0] + "".join(str(draw.below(10)) for _ in canonical[1:-1])
         return next(body + str(c) for c in range(10) if luhn(body + str(c)))
     if kind == "secret":
         hexadecimal = re.fullmatch(r"[0-9a-f]+", canonical)
-        return "".join("0123456789abcdef"[draw.below(16)] if hexadecimal else _like(c, draw) for c in canonical)
+        return "".join("0123456789abcdef"[draw.below(16)] if hexadecimal else _like(c, draw) for c in canonical + "0" * more)
     part, _, script = kind.partition(":")
     pool = SYLLABLES[script]
-    stem = "".join(pool[draw.below(len(pool))] for _ in range(2 + (len(canonical) > 5) + draw.below(2)))
+    stem = "".join(pool[draw.below(len(pool))] for _ in range(2 + (len(canonical) > 5) + draw.below(2) + more))
     endings = ENDINGS[script][part[-1] if part.startswith("given") else "n"]
     return stem + endings[draw.below(3)]
 
 
-def render(original: str, kind: str, replacement: str) -> str:
-    """The replacement in the formatting of one mention."""
+def render(original: str, kind: str, replacement: str, more: int = 0) -> str:
+    """The replacement in the formatting of one mention; ``more``: digits it has beyond those of the original."""
     if kind in ("phone", "card"):
-        digits = iter(replacement[-sum(c.isdigit() for c in original) :])  # a mention may lack the country code
-        return "".join(next(digits, "") if c.isdigit() else c for c in original)
+        digits = iter(replacement[-sum(c.isdigit() for c in original) - more :])  # a mention may lack the country code
+        return "".join(next(digits, "") if c.isdigit() else c for c in original) + "".join(digits)
     if kind in ("secret", "address"):
         return replacement
     if kind == "email":
@@ -221,18 +233,24 @@ def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
 
 
 def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, canonical, surrogate) for distinct entities, checked: surrogates of a kind are distinct and equal no original."""
-    originals = entities.select("kind", F.col("canonical").alias("surrogate")).withColumn("taken", F.lit(True))
-    current = materialise(_drawn(entities.withColumn("attempt", F.lit(0)), key), "surrogates")
-    while True:
-        keepers = current.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "canonical")).alias("first"))
-        checked = current.join(keepers, ["kind", "surrogate"]).join(originals, ["kind", "surrogate"], "left")
-        again = F.col("taken").isNotNull() | (F.struct("attempt", "canonical") != F.col("first"))
-        checked = materialise(checked.select("kind", "canonical", "attempt", "surrogate", again.alias("again")), "surrogates")
-        if checked.where("again").limit(1).count() == 0:
-            return checked.select("kind", "canonical", "surrogate")
-        redrawn = _drawn(checked.where("again").withColumn("attempt", F.col("attempt") + 1), key)
-        current = materialise(checked.where("NOT again").drop("again").unionByName(redrawn), "surrogates")
+    """(kind, canonical, surrogate) for distinct entities, checked: surrogates of a kind are distinct and equal no original.
+
+    Each round draws for the entities that are still without a replacement only, and keeps what meets neither an original nor a
+    replacement kept before; of equal draws the smallest canonical form keeps it.
+    """
+    taken = materialise(entities.select("kind", F.col("canonical").alias("surrogate")), "originals")
+    left, kept = materialise(entities.select("kind", "canonical"), "entities"), None
+    for attempt in range(MAX_ATTEMPTS):
+        drawn = materialise(_drawn(left.withColumn("attempt", F.lit(attempt)), key), "drawn")
+        free = drawn.join(taken, ["kind", "surrogate"], "left_anti")
+        settled = materialise(free.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical")).select("kind", "canonical", "surrogate"), "surrogates")
+        kept = settled if kept is None else kept.unionByName(settled)
+        left = materialise(left.join(settled, ["kind", "canonical"], "left_anti"), "entities")
+        if not left.head(1):
+            return kept
+        taken = taken.unionByName(settled.select("kind", "surrogate"))
+    kinds = sorted(r["kind"] for r in left.select("kind").distinct().collect())
+    raise RuntimeError(f"no free replacements after {MAX_ATTEMPTS} attempts: {', '.join(kinds)}")
 
 
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,7 +278,7 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
                         table = {(k["kind"], k["canonical"]): k["surrogate"] for k in known.as_py()}
                         entities, at, pieces = detect(raw), 0, []
                         for a, b, kind, canonical in entities:
-                            pieces += [raw[at:a], render(raw[a:b], kind, table[kind, canonical])]
+                            pieces += [raw[at:a], render(raw[a:b], kind, table[kind, canonical], max(0, len(table[kind, canonical]) - len(canonical)))]
                             at = b
                         raw = "".join([*pieces, raw[at:]])
                     for n, v in zip(schema.names, (doc, raw, len(entities), sorted({e[2].split(":")[0] for e in entities}))):
