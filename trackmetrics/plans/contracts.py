@@ -263,3 +263,21 @@ def raw_zone_check(t):
     WHERE path IS NOT NULL GROUP BY path, type""")
 def structure_survey(t):
     return SV.survey(raw_json(t), "event_id").drop("months")
+
+
+@query("src16_type_conflicts", """
+    WITH r AS (SELECT CASE WHEN drift THEN 'BIGINT' ELSE 'STRING' END AS type, mois FROM raw_listens WHERE NOT truncated),
+         n AS (SELECT type, count(*) AS n, min(mois) AS first, max(mois) AS last FROM r GROUP BY type)
+    SELECT 'track_metadata.release_name' AS path, type, n, first, last FROM n WHERE (SELECT count(*) FROM n) > 1""")
+def type_conflicts(t):
+    """Paths that hold more than one type, with the lines and months of each."""
+    return SV.type_conflicts(SV.survey(raw_json(t), "event_id")).select("path", "type", "n", "first", "last")
+
+
+@query("src16_forbidden_paths", """
+    SELECT 'track_metadata.additional_info.ip_addr' AS path, 'STRING' AS type, count(*) AS n, min(mois) AS first, max(mois) AS last
+    FROM raw_listens WHERE has_ip AND NOT truncated HAVING count(*) > 0""")
+def forbidden_paths(t):
+    """Paths whose last name the contract forbids or purges at some level."""
+    names = CT.LISTENS.forbidden.union(*[level.purged for level in CT.LISTENS.levels.values()])
+    return SV.forbidden_paths(SV.survey(raw_json(t), "event_id"), sorted(names)).select("path", "type", "n", "first", "last")
