@@ -136,13 +136,13 @@ def correspondence(t):
 @query("dq23_table_properties")
 def table_properties(t):
     """License and usage properties of a registered table, required and exact."""
-    from trackmetrics.sources.tables import check_properties, register
+    from trackmetrics.sources.tables import check_properties, register, unique_name
     from trackmetrics.session import work_folder
 
     path = work_folder(t.spark, "dq23")
     G.tag_statistics(G.item_tags(t.tags_raw, "doc_id")).write.parquet(path)
     wanted = {"licence": "CC-BY-NC-SA-3.0-US", "usage": "academique-non-diffusable-labels"}
-    name = register(t.spark, "dq23_vocabulary", path, "Tag vocabulary", wanted)
+    name = register(t.spark, unique_name("dq23_vocabulary"), path, "Tag vocabulary", wanted)
     return check_properties(t.spark, name, wanted)
 
 

@@ -13,7 +13,7 @@ from trackmetrics.plans.registry import query
 from trackmetrics.session import materialise, work_folder
 from trackmetrics.sources import layout as L
 from trackmetrics.sources import readers as RD
-from trackmetrics.sources.tables import register, update_properties
+from trackmetrics.sources.tables import register, unique_name, update_properties
 from trackmetrics.sources.views import raw_json
 
 
@@ -171,7 +171,7 @@ def text_partitions(t):
 def external_table(t):
     path = work_folder(t.spark, "src14")
     t.day_facts.hint("rebalance", F.col("mois")).write.partitionBy("mois").parquet(path)
-    table = t.spark.table(register(t.spark, "src14_facts", path, "Facts by month", {}, ["mois"]))
+    table = t.spark.table(register(t.spark, unique_name("src14_facts"), path, "Facts by month", {}, ["mois"]))
     return table.where("mois >= '2000-01'").groupBy("mois").agg(n_rows().alias("n"), F.sum("listens").alias("listens"))
 
 
@@ -313,7 +313,7 @@ def catalog_registration(t):
     """Register a table with a comment and properties, update them, read both back."""
     path = work_folder(t.spark, "snk14")
     W.engagement(t.history).write.parquet(path)
-    name = register(t.spark, "snk14_engagement", path, "Plays and listeners per track", {"licence": "test", "donnees_personnelles": "non"})
+    name = register(t.spark, unique_name("snk14_engagement"), path, "Plays and listeners per track", {"licence": "test", "donnees_personnelles": "non"})
     update_properties(t.spark, name, {"usage": "analyse"})
     stored = t.spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key").isin("licence", "usage", "donnees_personnelles"))
     return stored.withColumn("n", t.spark.table(name).agg(n_rows()).scalar())

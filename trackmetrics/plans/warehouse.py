@@ -8,7 +8,7 @@ from trackmetrics.operators import warehouse as W
 from trackmetrics.plans.registry import query
 from trackmetrics.session import work_folder
 from trackmetrics.sources import layout as L
-from trackmetrics.sources.tables import register
+from trackmetrics.sources.tables import register, unique_name
 
 _QA = """
     SELECT track_id, CAST(sum(playcount) AS BIGINT) AS plays, count(DISTINCT user_id) AS listeners FROM {h} GROUP BY track_id ORDER BY plays DESC, track_id LIMIT 10"""
@@ -73,10 +73,11 @@ def physical_footprint(t):
 def plan_evidence(t):
     """Bucketed facts and dimension: the join and the aggregate run without an exchange on the key."""
     # The bucketed tables live in this session's warehouse: external location in the shared folder.
-    for name, df in (("qe_fact", t.history), ("qe_dim", t.catalog.select("track_id", "genre"))):
+    names = [unique_name("qe_fact"), unique_name("qe_dim")]
+    for name, df in zip(names, (t.history, t.catalog.select("track_id", "genre"))):
         t.spark.sql(f"DROP TABLE IF EXISTS {name}")
         (df.write.mode("overwrite").option("path", work_folder(t.spark, name)).bucketBy(8, "track_id").sortBy("track_id").saveAsTable(name))
-    fact, dim = t.spark.table("qe_fact"), t.spark.table("qe_dim")
+    fact, dim = map(t.spark.table, names)
     plans = {
         "aggregate_on_bucket_key": fact.groupBy("track_id").agg(F.sum("playcount").alias("plays")),
         "merge_join_on_bucket_key": fact.hint("merge").join(dim, "track_id"),
@@ -122,7 +123,7 @@ def recent_titles(t):
     UNION ALL SELECT 'without_predicate', count(*), CAST(sum(listens) AS BIGINT), 0 FROM day_facts WHERE date >= DATE '1996-06-01' AND date < DATE '1996-07-01'""")
 def pruned_external(t):
     """The same month of an external table with and without the partition predicate."""
-    name = register(t.spark, "qj_facts", written_facts(t, "qj"), "Facts by month", {"usage": "test"}, ["mois"])
+    name = register(t.spark, unique_name("qj_facts"), written_facts(t, "qj"), "Facts by month", {"usage": "test"}, ["mois"])
     table = t.spark.table(name)
     day = F.col("date")
     plain = table.where((day >= F.lit("1996-06-01").cast("date")) & (day < F.lit("1996-07-01").cast("date")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,6 +21,11 @@ def _identifier(name: str) -> str:
     return name
 
 
+def unique_name(prefix: str) -> str:
+    """A table name of its own, so that sessions that share a catalog do not replace each other's tables."""
+    return f"{prefix}_{uuid.uuid4().hex}"
+
+
 def register(
     spark: SparkSession, name: str, path: str, comment: str, properties: Mapping[str, str], partitions: Sequence[str] = ()
 ) -> str:
