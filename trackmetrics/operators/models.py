@@ -7,13 +7,14 @@ from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trackmetrics.functions.counting import n_rows
+from trackmetrics.operators import boosting as leafwise
 from trackmetrics.operators.ranks import average_rank, value_ranks
 from trackmetrics.operators.skew import attach
 from trackmetrics.session import materialise
@@ -23,7 +24,7 @@ SEED = 42
 
 
 class Setting(NamedTuple):
-    """Boosting setting; a tree of so many leaves gets the depth that holds them."""
+    """Boosting setting of :mod:`trackmetrics.operators.boosting`."""
 
     step: float
     leaves: int
@@ -96,14 +97,6 @@ def logistic(features: Sequence[str], target: str, indicators: Sequence[str] = (
     ])
 
 
-def boosting(features: Sequence[str], target: str, setting: Setting = BOOSTING[0], iterations: int | None = None) -> Estimator:
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="x"),
-        GBTClassifier(featuresCol="x", labelCol=target, weightCol="weight", stepSize=setting.step, maxDepth=setting.leaves.bit_length(),
-                      minInstancesPerNode=setting.leaf_rows, maxIter=iterations or setting.rounds, seed=SEED),
-    ])
-
-
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", vector_to_array("probability")[1])
 
@@ -172,11 +165,29 @@ def held_out(train: DataFrame, test: DataFrame, target: str, make: Callable[[],
 def cross_validate(df: DataFrame, target: str, make: Callable[[], Estimator], name: str) -> list[tuple]:
     """(name, fold, rows, AUC, AUC-PR, threshold at the recall level) per fold; ``df`` has a ``fold`` column."""
     out = []
-    folds = [r["fold"] for r in df.select("fold").distinct().orderBy("fold").collect()]  # a handful of folds
-    for fold in folds:
+    for fold in folds_of(df):
         scored = held_out(df.where(F.col("fold") != fold), df.where(F.col("fold") == fold), target, make, name)
-        roc, area, cut = auc(scored, target).first(), average_precision(scored, target).first(), precision_at_recall(scored, target).first()
-        out.append((name, fold, roc["n"], roc["auc"], area["auc_pr"], cut["threshold"]))
+        out.append(fold_result(scored, target, name, fold))
+    return out
+
+
+def folds_of(df: DataFrame) -> list[int]:
+    return [r["fold"] for r in df.select("fold").distinct().orderBy("fold").collect()]  # a handful of folds
+
+
+def fold_result(scored: DataFrame, target: str, name: str, fold: int) -> tuple:
+    roc, area, cut = auc(scored, target).first(), average_precision(scored, target).first(), precision_at_recall(scored, target).first()
+    return name, fold, roc["n"], roc["auc"], area["auc_pr"], cut["threshold"]
+
+
+def cross_validate_boosting(df: DataFrame, features: Sequence[str], target: str, key: str, setting: Setting, name: str) -> list[tuple]:
+    """As :func:`cross_validate`, for the leaf-wise trees: the models of all folds are fitted side by side."""
+    folds = folds_of(df)
+    models = leafwise.load(leafwise.fit(df, features, target, key, {f: leafwise.Task(setting, F.col("fold") != f) for f in folds}))
+    out = []
+    for fold in folds:
+        scored = leafwise.score(df.where(F.col("fold") == fold), features, models.get(fold)).select(target, "score")
+        out.append(fold_result(materialise(scored, f"scored-{name}"), target, name, fold))
     return out
 
 
@@ -219,8 +230,11 @@ def permutation_ranking(model: PipelineModel, paired: DataFrame, target: str, fe
     return sorted(drops, key=lambda x: (-x[1], x[0]))
 
 
-def publish(model: PipelineModel, path: str, metadata: Mapping[str, object]) -> None:
-    """Write the model and a JSON document with its features, threshold and score."""
-    model.write().overwrite().save(f"{path}/model")
+def publish(model: PipelineModel | DataFrame, path: str, metadata: Mapping[str, object]) -> None:
+    """Write the model (a pipeline, or a table of trees) and a JSON document with its features, threshold and score."""
+    if isinstance(model, DataFrame):
+        model.write.mode("overwrite").parquet(f"{path}/model")
+    else:
+        model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.active()
     spark.createDataFrame([(json.dumps(dict(metadata), sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")

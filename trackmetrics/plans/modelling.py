@@ -1,8 +1,9 @@
 """Feature tables and models."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from trackmetrics.functions.counting import n_rows
+from trackmetrics.operators import boosting as B
 from trackmetrics.operators import features as FT
 from trackmetrics.operators import models as M
 from trackmetrics.operators import profiling as P
@@ -120,14 +121,16 @@ def logistic_baseline(t):
 
 @query("ml9_boosting_grid")
 def boosting_grid(t):
-    """The eight settings on a grouped hold-out; few rounds, as a registered query only shows the protocol."""
+    """The eight settings, leaf-wise with all their rounds, on one grouped hold-out; all held-out rows are scored."""
     df = M.group_holdout(matrix(t, "ml9"), "artist")
     x = columns_of(df, _X)
-    rows = [
-        (f"boosting_{i}", 0, 0, M.holdout_auc(df, "is_hit", lambda s=s: M.boosting(x, "is_hit", s, iterations=5), F.col("is_test")), None, None)
-        for i, s in enumerate(M.BOOSTING, 1)
-    ]
-    return results(t, rows)
+    tasks = {i: B.Task(s, ~F.col("is_test")) for i, s in enumerate(M.BOOSTING, 1)}
+    models = B.load(B.fit(df, x, "is_hit", "track_id", tasks))
+    scored = df.where("is_test").select("is_hit", *x)
+    for i in tasks:
+        scored = B.score(scored, x, models.get(i), f"score_{i}")
+    scored = materialise(scored.drop(*x), "ml9-scored")
+    return results(t, [(f"boosting_{i}", 0, scored.count(), M.auc(scored, "is_hit", f"score_{i}").first()["auc"], None, None) for i in tasks])
 
 
 @query("ml10_metrics", """
@@ -195,24 +198,28 @@ def two_targets(t):
 
 @query("ml14_published_model")
 def published_model(t):
-    """Best of three families by mean AUC, refitted on all rows, published with its mean threshold at the recall level and read back to score."""
+    """Best of three families at their published size by mean AUC, refitted on all rows, published with its mean threshold at the recall level and read back to score."""
     from pyspark.ml import PipelineModel
 
     df = matrix(t, "ml14", filled=False)
     complete = FT.fill_missing(df, _X).select(*df.columns)
     x = columns_of(complete, _X)
     families = {
-        "forest": (complete, lambda: M.forest(x, "is_hit", trees=20, depth=6)),
-        "boosting": (complete, lambda: M.boosting(x, "is_hit", iterations=5)),
+        "forest": (complete, lambda: M.forest(x, "is_hit")),
         "logistic": (df, lambda: M.logistic(_X, "is_hit", indicators(df))),
     }
-    table = M.mean_auc(results(t, [r for name, (rows, make) in families.items() for r in M.cross_validate(rows, "is_hit", make, name)]))
-    best = table.orderBy(F.desc("mean_auc"), "model").first()
-    rows, make = families[best["model"]]
+    found = [r for name, (rows, make) in families.items() for r in M.cross_validate(rows, "is_hit", make, name)]
+    found += M.cross_validate_boosting(complete, x, "is_hit", "track_id", M.BOOSTING[0], "boosting")
+    best = M.mean_auc(results(t, found)).orderBy(F.desc("mean_auc"), "model").first()
     path = work_folder(t.spark, "ml14-model")
     facts = {"model": best["model"], "features": x, "mean_auc": best["mean_auc"], "threshold": best["threshold"]}
-    M.publish(make().fit(M.class_weights(rows, "is_hit")), path, facts)
-    scored = M.score(PipelineModel.load(f"{path}/model"), rows)
+    if best["model"] == "boosting":
+        M.publish(B.fit(complete, x, "is_hit", "track_id", {0: B.Task(M.BOOSTING[0], F.lit(True))}), path, facts)
+        scored = B.score(complete, x, B.load(t.spark.read.parquet(f"{path}/model"))[0])
+    else:
+        rows, make = families[best["model"]]
+        M.publish(make().fit(M.class_weights(rows, "is_hit")), path, facts)
+        scored = M.score(PipelineModel.load(f"{path}/model"), rows)
     return M.metrics(scored, "is_hit", cut=best["threshold"]).withColumn("model", F.lit(best["model"]))
 
 
@@ -231,6 +238,38 @@ def feature_ranking(t):
     return ranks.join(direction, "variable")
 
 
+def direction(value, contribution):
+    """Pearson correlation; null when either side is constant."""
+    return F.try_divide(F.covar_pop(value, contribution), F.stddev_pop(value) * F.stddev_pop(contribution))
+
+
+@query("ml15_shapley")
+def shapley_ranking(t):
+    """Rank by mean absolute Shapley value over all rows, rank by gain, the gap, and the direction of the effect of a boosted model."""
+    df = matrix(t, "ml15s")
+    x = columns_of(df, _X)
+    trees = B.fit(df, x, "is_hit", "track_id", {0: B.Task(M.BOOSTING[3], F.lit(True))})
+    told = materialise(B.explain(df.select(*x), x, B.load(trees)[0]), "ml15s-told")
+    # The contributions of a row add up to its score less the expected one.
+    exact = told.agg(F.max(F.abs(F.col("raw") - F.col("base") - F.aggregate("shap", F.lit(0.0), lambda a, v: a + v))) < 1e-6).scalar()
+    measured = told.agg(*[
+        m.alias(f"{c}__{name}") for i, c in enumerate(x)
+        for name, m in (("mean", F.avg(F.abs(F.col("shap")[i]))), ("effect", direction(F.col(c), F.col("shap")[i])))
+    ])
+    gains = trees.where("feature >= 0").groupBy(F.element_at(F.array(*map(F.lit, x)), F.col("feature") + 1).alias("variable")).agg(F.sum("gain").alias("gain"))
+    rows = measured.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(f"{c}__mean").alias("mean_abs_shap"), F.col(f"{c}__effect").alias("effect")) for c in x
+    ])))
+    # One row per column of the model: these windows never see data rows.
+    found = rows.join(gains, "variable", "left").fillna(0.0, ["gain"])
+    ranked = found.select(
+        "variable", F.round("mean_abs_shap", 6).alias("mean_abs_shap"), F.round("effect", 4).alias("effect"),
+        F.row_number().over(Window.orderBy(F.desc("mean_abs_shap"), "variable")).alias("shap_rank"),
+        F.row_number().over(Window.orderBy(F.desc("gain"), "variable")).alias("gain_rank"),
+    )
+    return ranked.withColumns({"gap": F.abs(F.col("gain_rank") - F.col("shap_rank")), "within_bound": exact})
+
+
 _ALT = """
     WITH l AS (SELECT track_id, total_plays, CASE WHEN total_plays >= (SELECT quantile_disc(total_plays, 0.75) FROM engagement JOIN catalog USING (track_id)) THEN 1 ELSE 0 END AS is_hit
                FROM engagement JOIN catalog USING (track_id)),
