@@ -1,5 +1,7 @@
 """Sources, sinks and layout."""
 
+import datetime
+
 from pyspark.sql import Window, functions as F
 
 from trackmetrics.functions import text as X
@@ -11,6 +13,7 @@ from trackmetrics.operators.catalog import CATALOG_SCHEMA, clean_catalog
 from trackmetrics.operators.facts import day_facts
 from trackmetrics.plans.registry import query
 from trackmetrics.session import materialise, work_folder
+from trackmetrics.sources import clustering as C
 from trackmetrics.sources import layout as L
 from trackmetrics.sources import readers as RD
 from trackmetrics.sources.tables import register, unique_name, update_properties
@@ -378,3 +381,43 @@ def storage_order_probe(t):
         probe = L.order_probe(t.spark.read.parquet(path), "date")
         out.append(probe.agg(F.lit(name).alias("layout"), n_rows().alias("files"), F.sum("n").alias("n"), F.round(F.avg(F.datediff("highest", "lowest")), 1).alias("avg_days")))
     return out[0].unionByName(out[1])
+
+
+# Half-open ranges of the box queries: a month of days, a range of titles, and both.
+_DAYS, _TITLES = ("1996-06-01", "1996-07-01"), (20, 60)
+
+
+def written_plays(t, name: str, arrange):
+    """Path of the plays written in some order, with their numeric title."""
+    path = work_folder(t.spark, name)
+    arrange(t.plays.select("date", "track_id", "user_id", "qty")).write.parquet(path)
+    return path
+
+
+@query("prj21_box_on_curve", f"""
+    SELECT count(*) AS n, CAST(sum(qty) AS BIGINT) AS plays, count(DISTINCT track_id) AS titles FROM plays
+    WHERE date >= DATE '{_DAYS[0]}' AND date < DATE '{_DAYS[1]}' AND track_id >= {_TITLES[0]} AND track_id < {_TITLES[1]}""")
+def box_on_curve(t):
+    """A box of days and titles, read from a table stored along a curve over both."""
+    stored = t.spark.read.parquet(written_plays(t, "prj21", lambda df: C.clustered(df, ["date", "track_id"], 32)))
+    day = F.col("date")
+    inside = (day >= F.lit(_DAYS[0]).cast("date")) & (day < F.lit(_DAYS[1]).cast("date")) & (F.col("track_id") >= _TITLES[0]) & (F.col("track_id") < _TITLES[1])
+    picked = stored.where(inside)
+    return picked.agg(n_rows().alias("n"), F.sum("qty").alias("plays"), F.count_distinct("track_id").alias("titles"))
+
+
+@query("tk7_files_touched")
+def files_touched(t):
+    """Files a box query must open, by layout: hash, range by day, and the curve over day and title."""
+    day = tuple(datetime.date.fromisoformat(d) for d in _DAYS)
+    boxes = {"days": {"date": day}, "titles": {"track_id": _TITLES}, "both": {"date": day, "track_id": _TITLES}}
+    layouts = {
+        "hash": lambda df: df.repartition(32, "user_id"),
+        "range": lambda df: df.repartitionByRange(32, "date", "track_id"),
+        "curve": lambda df: C.clustered(df, ["date", "track_id"], 32),
+    }
+    found = [
+        C.touched(C.file_ranges(t.spark.read.parquet(written_plays(t, "tk7", arrange)), ["date", "track_id"]), boxes).withColumn("layout", F.lit(name))
+        for name, arrange in layouts.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])

@@ -7,6 +7,7 @@ from trackmetrics.operators import profiling as P
 from trackmetrics.operators import warehouse as W
 from trackmetrics.plans.registry import query
 from trackmetrics.session import work_folder
+from trackmetrics.sources import clustering as C
 from trackmetrics.sources import layout as L
 from trackmetrics.sources.tables import register, unique_name
 
@@ -62,11 +63,13 @@ def written_facts(t, name: str, bucketed: bool = False):
 
 @query("qd_physical_footprint")
 def physical_footprint(t):
-    """Files, bytes and rows per month of a written table, with the skew of its key."""
+    """Files, bytes and rows per month of a written table, the share of rows out of order, and the skew of its key."""
     path = written_facts(t, "qd")
     table = L.read_partitioned(t.spark, path)
     skew = P.key_skew(table, "msid").select("factor").scalar()
-    return L.file_report(table, r"mois=([^/]+)").withColumn("key_skew", skew)
+    month = r"mois=([^/]+)"
+    order = C.unsorted_share(C.file_ranges(table, ["date"]), "date", F.regexp_extract("file", month, 1))
+    return L.file_report(table, month).join(order, "part").withColumn("key_skew", skew)
 
 
 @query("qe_plan_evidence")
