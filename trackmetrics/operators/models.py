@@ -8,7 +8,6 @@ from typing import NamedTuple
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -224,9 +223,11 @@ def with_donor(df: DataFrame, columns: Sequence[str], row: str, seed: int = SEED
 
 def permutation_ranking(model: PipelineModel, paired: DataFrame, target: str, features: Sequence[str]) -> list[tuple[str, float]]:
     """Loss of AUC when one feature comes from the donor row; ``paired`` is a stored :func:`with_donor`."""
-    evaluator = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="probability")
-    base = evaluator.evaluate(model.transform(paired))
-    drops = [(f, float(base - evaluator.evaluate(model.transform(paired.withColumn(f, F.col(f"donor.{f}")))))) for f in features]
+    def exact(df: DataFrame) -> float:
+        return auc(materialise(score(model, df).select(target, "score"), "permuted"), target).first()["auc"]
+
+    base = exact(paired)
+    drops = [(f, round(base - exact(paired.withColumn(f, F.col(f"donor.{f}"))), 6)) for f in features]
     return sorted(drops, key=lambda x: (-x[1], x[0]))
 
 
