@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import ROWS, VOCABULARY, docs, empty
@@ -105,3 +106,23 @@ def test_shards_are_gapless_and_near_equal(spark):
     assert kd_shards.assign(empty(spark), leaves=7).count() == 0
     assert kd_shards.assign(docs(spark, rows), target_bytes=20_000).agg({"shard": "max"}).first()[0] >= 3
     assert kd_shards.assign(docs(spark), leaves=3).count() == len(ROWS)
+
+
+def test_equal_texts_share_a_shard_whatever_the_partitions(spark):
+    rows = [(i, "x" * ((i * 37) % 200 + 1) + str(i)) for i in range(600)]
+    rows += [(1000 + 10 * i + k, f"copy {i} " * 5) for i in range(40) for k in range(i % 4 + 1)]  # small groups
+    rows += [(2000 + i, "one text of a third of all rows") for i in range(300)]
+    rows += [(3000, "the very same row") for _ in range(150)] + [(None, None)] * 90
+    leaves, found = 7, {}
+    for parts in (1, 3, 8):
+        source = docs(spark, rows).repartition(parts, F.xxhash64("doc_id", F.lit(parts)))
+        found[parts] = sorted(map(tuple, kd_shards.assign(source, leaves=leaves).drop("slot").collect()), key=str)
+    assert found[1] == found[3] == found[8] and len(found[1]) == len(rows)
+    texts = dict(rows)
+    shards, sizes = {}, Counter()
+    for doc_id, size, _, shard in found[1]:
+        shards.setdefault(texts[doc_id], set()).add(shard)
+        sizes[shard] += size
+    target = sum(sizes.values()) / leaves
+    assert len(sizes) == leaves and max(abs(b - target) for b in sizes.values()) <= 240
+    assert sum(len(s) > 1 for s in shards.values()) <= leaves - 1

@@ -3,10 +3,16 @@
 All nodes of a level are split at once.  A node that must still make n leaves is cut
 along its widest dimension where the lower side reaches floor(n/2)/n of its bytes: a weighted median,
 found by histograms of at most ``BINS`` bins per node that zoom in on the bin holding the cut.
-Keys are 62-bit integers, the dimension's value above and a hash of the row below, so equal values
-split too.  Only one row per node (at most one per leaf) comes to the driver.
+Keys are 62-bit integers, the dimension's value above and a hash of the text below, so equal values split too.
 
-Null texts have no bytes (size 16), null metadata counts as the lowest value,
+Equal texts form a group that stands where its row of smallest doc_id stands, so a cut passes beside it.  Only when that
+would leave a side off its bytes by more than ``TOLERANCE`` of a leaf per leaf does the cut go through the group, along a hash of
+its rows: at most one group per cut, so at most leaves - 1 of all groups lie in several shards.
+
+Rows of equal doc_id and text are counted, not numbered, and dealt in portions, so the shards of a table do
+not depend on its files or partitions.  Only one row per node (at most one per leaf) comes to the driver.
+
+Null texts have no bytes (size 16) and form one group, null metadata counts as the lowest value,
 repeated rows are placed one by one, an empty table gives no rows.
 """
 
@@ -17,12 +23,16 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trackmetrics.llm.common import numbered
 from trackmetrics.functions.staging import compute_once
+from trackmetrics.llm.common import numbered
+from trackmetrics.operators.skew import attach
 from trackmetrics.session import materialise
 
 BINS = 2048
 ROW_BYTES = 16
+TOLERANCE = 0.005  # share of a leaf by which a cut may miss its aim, per leaf of a side, to keep a group whole
+PORTIONS = 1000  # portions of a leaf into which copies of one row are dealt
+MAX_COPIES = 1 << 20  # copies in a portion
 _HALF = 1 << 31
 
 
@@ -38,9 +48,9 @@ def default_dimensions() -> dict[str, Column]:
     }
 
 
-def _scaled(df: DataFrame, dims: list[str]) -> DataFrame:
-    """Each dimension as an integer from 0 to 2^31 - 1 over its range in the whole table."""
-    ends = df.agg(*[f(d).alias(f"{d}_{n}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))]).first()
+def _scaled(df: DataFrame, ranges: DataFrame, dims: list[str]) -> DataFrame:
+    """Each dimension as an integer from 0 to 2^31 - 1 over its range in ``ranges``."""
+    ends = ranges.agg(*[f(d).alias(f"{d}_{n}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))]).first()
     out = df
     for d in dims:
         lo, hi = ends[f"{d}_lo"], ends[f"{d}_hi"]
@@ -68,8 +78,8 @@ def assign(
     """Per document: doc_id, size, text_crc32, shard (0 to leaves - 1), slot (gapless from 0 within the shard).
 
     Give ``leaves``, or ``target_bytes`` for as many leaves as the bytes need.
-    Every cut is exact up to one document or one ten-thousandth of its node, so leaves differ by a
-    small multiple of the largest document.
+    Every cut is exact up to one document, ``TOLERANCE`` or one ten-thousandth of its node, so leaves differ by a
+    small multiple of the largest document or some hundredths.
     """
     # Columns that share a name with the working columns would clash: only the dimensions' inputs are read.
     text = F.col(text_col).cast("string")
@@ -77,66 +87,108 @@ def assign(
     dims = dict(dimensions or default_dimensions())
     names = [f"d{i}" for i in range(len(dims))]
     rows = sized.select(
-        F.monotonically_increasing_id().alias("rid"),
         F.col(id_col).alias("doc_id"),
         F.col("__size").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.xxhash64(text).alias("same"),
         *[c.alias(n) for n, c in zip(names, dims.values())],
     )
-    rows = materialise(rows, "sized")
-    rows = _scaled(rows, names)
-    total = rows.agg(F.sum("size")).first()[0] or 0
+    place = F.struct(*names)
+    units = rows.groupBy("doc_id", "size", "text_crc32", "same").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("place"))
+    units = materialise(units.select("doc_id", "size", "text_crc32", "same", "copies", "place.*"), "sized")
+    total = units.agg(F.sum(F.col("size") * F.col("copies"))).first()[0] or 0
     leaves = leaves or max(1, math.ceil(total / (target_bytes or max(total, 1))))
-    rows = materialise(rows.withColumn("node", F.lit(0)), "scaled")
+    rows = _scaled(_placed_by_group(units, names), units, names)
+    rows = materialise(_portions(rows, max(total // (leaves * PORTIONS), 1)).withColumn("node", F.lit(0)), "scaled")
     # node number = first shard below it; `open` holds how many leaves a node must still make
     open_nodes = {0: leaves}
     while open_nodes := {k: n for k, n in open_nodes.items() if n > 1}:
         cut = _cut_level(rows, names, open_nodes)
         rows = materialise(_route(rows, cut), "level")  # a few numbers per row; keeps the plan of the next level flat
         open_nodes = {k2: n2 for k, n in open_nodes.items() for k2, n2 in ((k, n // 2), (k + n // 2, n - n // 2))}
-    placed = rows.select("rid", "doc_id", "size", "text_crc32", F.col("node").alias("shard"))
-    return numbered(placed, ["shard"], [F.col("doc_id"), F.col("rid")], "slot", ["rid"]).drop("rid")
+    alike = ["doc_id", "same", "part", "copy"]
+    placed = rows.select(
+        "doc_id", "size", "text_crc32", F.col("node").alias("shard"), "same", "part", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")
+    )
+    return numbered(placed, ["shard"], [F.col(c) for c in alike], "slot", alike).drop("same", "part", "copy")
+
+
+def _placed_by_group(units: DataFrame, names: list[str]) -> DataFrame:
+    """Units of one text all get the metadata of the one with the smallest doc_id."""
+    first = F.min(F.struct("doc_id", *names)).alias("__first")
+    groups = units.groupBy("same").agg(F.count(F.lit(1)).alias("__units"), first).where("__units > 1")
+    joined = attach(units, groups, ["same"], "__units", ["doc_id"])
+    inside = F.col("__first").isNotNull()
+    return joined.select(
+        *[c for c in units.columns if c not in names],
+        *[F.when(inside, F.col(f"__first.{n}")).otherwise(F.col(n)).alias(n) for n in names],
+    )
+
+
+def _portions(units: DataFrame, portion_bytes: int) -> DataFrame:
+    """Each unit's ``copies`` equal rows as portions (part, n) of about ``portion_bytes`` at most."""
+    per = F.greatest(F.lit(1), F.least(F.lit(MAX_COPIES), F.floor(F.lit(portion_bytes) / F.col("size")))).cast("long")
+    dealt = units.withColumn("__per", per)
+    dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / F.col("__per")))))
+    return dealt.withColumn("n", F.least(F.col("__per"), F.col("copies") - F.col("part") * F.col("__per"))).drop("__per", "copies")
 
 
 def _key(axis: Mapping[int, int], names: list[str]) -> Column:
-    """The row's key along the axis of its node: value above, hash of the row below."""
+    """The row's key along the axis of its node: value above, hash of the text below."""
     value = F.lit(0).cast("long")
     for i, name in enumerate(names):
         nodes = [k for k, a in axis.items() if a == i]
         if nodes:
             value = F.when(F.col("node").isin(nodes), F.col(name)).otherwise(value)
-    return value * _HALF + F.pmod(F.xxhash64("rid"), F.lit(_HALF))
+    return value * _HALF + F.pmod(F.xxhash64("same"), F.lit(_HALF))
+
+
+def _within() -> Column:
+    """The row's place inside its group."""
+    return F.pmod(F.xxhash64("doc_id", "same", "part"), F.lit(_HALF * _HALF))
 
 
 def _cut_level(rows: DataFrame, names: list[str], open_nodes: dict[int, int]) -> dict:
-    """For each open node the axis, the key below which rows go to the lower side, and the upper side's number."""
+    """For each open node the axis, the (key, place inside a group) from which rows go to the upper side, and that side's number."""
     inside = rows.where(F.col("node").isin(list(open_nodes)))
-    stats = inside.groupBy("node").agg(F.sum("size").alias("bytes"), *[f(n).alias(f"{n}_{k}") for n in names for k, f in (("lo", F.min), ("hi", F.max))]).collect()
+    weight = F.col("size") * F.col("n")
+    stats = inside.groupBy("node").agg(F.sum(weight).alias("bytes"), *[f(n).alias(f"{n}_{k}") for n in names for k, f in (("lo", F.min), ("hi", F.max))]).collect()
     axis = {r["node"]: max(range(len(names)), key=lambda i: r[f"{names[i]}_hi"] - r[f"{names[i]}_lo"]) for r in stats}
     aim = {r["node"]: r["bytes"] * (open_nodes[r["node"]] // 2) / open_nodes[r["node"]] for r in stats}
     whole = {r["node"]: r["bytes"] for r in stats}
+    spare = {k: TOLERANCE * whole[k] / open_nodes[k] * (open_nodes[k] // 2) for k in axis}
     lo = {r["node"]: r[f"{names[axis[r['node']]]}_lo"] * _HALF for r in stats}
     hi = {r["node"]: (r[f"{names[axis[r['node']]]}_hi"] + 1) * _HALF - 1 for r in stats}
     below = dict.fromkeys(axis, 0)  # bytes of the node under lo
-    at: dict[int, int] = {}
-    keyed = compute_once(inside.select("node", "size", "rid", *names), key=_key(axis, names))
+    split: dict[int, int] = {}  # key of the group that the cut goes through
+    at: dict[int, tuple[int, int]] = {}
+    keyed = compute_once(inside.select("node", weight.alias("weight"), "doc_id", "same", "part", *names), key=_key(axis, names), within=_within())
     while todo := [k for k in axis if k not in at]:
         low, width = _pick({k: lo[k] for k in todo}, 0, "long"), _pick({k: (hi[k] - lo[k]) // BINS + 1 for k in todo}, 1, "long")
-        zone = keyed.where(F.col("node").isin(todo)).where((F.col("key") >= low) & (F.col("key") <= _pick({k: hi[k] for k in todo}, 0, "long")))
-        bins = zone.groupBy("node", F.expr("1").alias("one"), ((F.col("key") - low) / width).cast("long").alias("bin")).agg(
-            F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last")
+        high, group = _pick({k: hi[k] for k in todo}, 0, "long"), _pick(split, -1, "long")
+        along = F.when(group < 0, F.col("key")).when(F.col("key") == group, F.col("within"))
+        zone = keyed.where(F.col("node").isin(todo)).withColumn("along", along).where((F.col("along") >= low) & (F.col("along") <= high))
+        bins = zone.groupBy("node", ((F.col("along") - low) / width).cast("long").alias("bin")).agg(
+            F.sum("weight").alias("b"), F.count(F.lit(1)).alias("n"), F.min("along").alias("first"), F.max("along").alias("last")
         )
         upto = F.sum("b").over(Window.partitionBy("node").orderBy("bin")) + _pick({k: below[k] for k in todo}, 0, "long")
         reached = bins.withColumn("upto", upto).where(F.col("upto") >= _pick({k: aim[k] for k in todo}, 0.0, "double"))
         for r in reached.groupBy("node").agg(F.min(F.struct("bin", "upto", "b", "n", "first", "last")).alias("r")).select("node", "r.*").collect():
             k, under = r["node"], r["upto"] - r["b"]
-            if r["n"] == 1 or r["first"] == r["last"] or r["b"] <= whole[k] * 1e-4:
-                at[k] = r["last"] + 1 if r["upto"] - aim[k] <= aim[k] - under else r["first"]
+            off = min(r["upto"] - aim[k], aim[k] - under)
+            one_key = r["first"] == r["last"]
+            if r["n"] == 1 or r["b"] <= whole[k] * 1e-4 or (one_key and (k in split or off <= spare[k])):
+                edge = r["last"] + 1 if r["upto"] - aim[k] <= aim[k] - under else r["first"]
+                at[k] = (split[k], edge) if k in split else (edge, 0)
+            elif one_key:
+                split[k], below[k], lo[k], hi[k] = r["first"], under, 0, _HALF * _HALF - 1
             else:
                 below[k], lo[k], hi[k] = under, r["first"], r["last"]
     return {"axis": axis, "at": at, "upper": {k: k + open_nodes[k] // 2 for k in axis}, "names": names}
 
 
 def _route(rows: DataFrame, cut: dict) -> DataFrame:
-    goes_up = F.col("node").isin(list(cut["axis"])) & (_key(cut["axis"], cut["names"]) >= _pick(cut["at"], 0, "long"))
+    key, place = (_pick({k: at[i] for k, at in cut["at"].items()}, 0, "long") for i in (0, 1))
+    own = _key(cut["axis"], cut["names"])
+    goes_up = F.col("node").isin(list(cut["axis"])) & ((own > key) | ((own == key) & (_within() >= place)))
     return rows.withColumn("node", F.when(goes_up, _pick(cut["upper"], 0, "int")).otherwise(F.col("node")))
