@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("projections", "joins", "aggregates", "quality", "contracts", "privacy", "incremental", "modelling", "warehouse", "storage")
+FAMILIES = ("projections", "joins", "aggregates", "quality", "faults", "contracts", "privacy", "incremental", "modelling", "warehouse", "storage")
 
 
 def load() -> None:

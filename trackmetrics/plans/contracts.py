@@ -15,7 +15,7 @@ from trackmetrics.session import materialise, work_folder
 from trackmetrics.sources.layout import has_partitions, read_partitioned, write_rebalanced
 from trackmetrics.sources.views import loadable_json, raw_json
 
-_ROUTED = """
+ROUTED = """
     WITH r AS (SELECT *, CASE WHEN truncated THEN 'json_invalide' WHEN drift THEN 'type_modifie:tm.release_name'
                               WHEN no_track THEN 'champ_disparu:tm.track_name' END AS reason FROM raw_listens),
          p AS (SELECT *, CASE WHEN reason IS NOT NULL THEN 'rebut' WHEN private_flag THEN 'incognito' ELSE 'aplati' END AS category FROM r)"""
@@ -25,7 +25,7 @@ def parsed(t):
     return CT.parse(raw_json(t), CT.LISTENS)
 
 
-@query("prj11_row_router", _ROUTED + "SELECT category, reason, count(*) AS n FROM p GROUP BY 1, 2")
+@query("prj11_row_router", ROUTED + "SELECT category, reason, count(*) AS n FROM p GROUP BY 1, 2")
 def row_router(t):
     return CT.reasons(parsed(t))
 
@@ -58,7 +58,7 @@ def compiled_schema(t):
     return lines.agg(*[F.count(f"e.{f.name}").alias(f.name) for f in CT.schema(CT.LISTENS).fields])
 
 
-@query("ct2_parse_and_reject", _ROUTED + """
+@query("ct2_parse_and_reject", ROUTED + """
     SELECT count(*) AS n, count(*) FILTER (reason = 'json_invalide') AS invalid_json, count(*) FILTER (reason = 'type_non_conforme') AS wrong_type FROM p""")
 def parse_and_reject(t):
     return parsed(t).agg(
@@ -108,7 +108,7 @@ def absent_fields(t):
     return found.where("present > 0").unionByName(missing)
 
 
-@query("ct8_drift_tolerance", _ROUTED + """
+@query("ct8_drift_tolerance", ROUTED + """
     SELECT 'TYPE_MODIFIE' AS "check", 'tm.release_name' AS detail, count(*) FILTER (reason LIKE 'type_modifie%') AS n,
            CASE WHEN count(*) FILTER (reason LIKE 'type_modifie%') <= 0.0001 * count(*) THEN 0 ELSE 1 END AS failed FROM p""")
 def drift_tolerance(t):
@@ -119,7 +119,7 @@ def drift_tolerance(t):
 #: The listen contract with room for the drifted lines of a loadable batch (a seven-hundredth of all).
 TOLERANT = replace(CT.LISTENS, drift_rate=0.01)
 
-_LOADABLE = _ROUTED + """,
+_LOADABLE = ROUTED + """,
          b AS (SELECT * FROM p WHERE NOT (has_ip OR has_new OR no_track)),
          c AS (SELECT count(*) AS n, count(*) FILTER (category = 'aplati') AS kept, count(*) FILTER (category = 'rebut') AS rejected,
                       count(*) FILTER (category = 'incognito') AS private, count(DISTINCT (user_tok, ts_s, msid)) FILTER (category = 'aplati') AS written FROM b),
@@ -175,7 +175,7 @@ def empty_batch(t):
     )
 
 
-@query("ct11_flatten", _ROUTED + """
+@query("ct11_flatten", ROUTED + """
     SELECT user_tok AS user_id, ts_s AS timestamp, CAST(date AS STRING) AS date, mois, msid AS recording_msid, artist_name, track_name,
            concat('Record no. ', k % 4) AS release_name, mbid AS mbid_enregistrement, CASE WHEN mbid IS NOT NULL THEN 'recording_mbid' END AS mbid_provenance,
            CASE WHEN k % 13 <> 0 THEN k % 17 + 1 END AS tracknumber, k * 997 + 61000 AS duration_ms,
@@ -188,7 +188,7 @@ def flatten(t):
     )
 
 
-@query("ct12_verify_written", _ROUTED + """
+@query("ct12_verify_written", ROUTED + """
     SELECT count(*) AS n, count(DISTINCT mois) AS months, 0 AS bad_tokens, 0 AS bad_dates, count(mbid) AS with_mbid,
            count(*) FILTER (k % 13 <> 0) AS with_tracknumber, count(mbid) AS from_recording, '' AS leaked_columns,
            (SELECT count(*) FROM p WHERE category = 'rebut') AS rejects FROM p WHERE category = 'aplati'""")
@@ -235,11 +235,20 @@ def altered_batches(t):
 
 
 @query("src15_raw_zone_check", """
-    SELECT count(*) AS n, count(*) FILTER (truncated) AS rejects, count(*) FILTER (has_ip AND NOT truncated) AS forbidden, 0 AS bad_tokens, 0 AS outside_day FROM raw_listens""")
+    WITH r AS (SELECT *, CASE WHEN event_id % 241 = 0 THEN concat('X', user_tok) ELSE user_tok END AS tok FROM raw_listens)
+    SELECT count(*) AS n, count(DISTINCT tok) FILTER (NOT truncated) AS listeners, count(mbid) FILTER (NOT truncated) AS with_mbid,
+           min(ts_s) FILTER (NOT truncated) AS ts_min, max(ts_s) FILTER (NOT truncated) AS ts_max,
+           count(*) FILTER (truncated) AS rejects, count(*) FILTER (has_ip AND NOT truncated) AS forbidden,
+           count(*) FILTER (event_id % 241 = 0 AND NOT truncated) AS bad_tokens, count(*) FILTER (event_id % 251 = 0 AND NOT truncated) AS outside_day FROM r""")
 def raw_zone_check(t):
-    """Write the raw lines by day, read them back as text and check them."""
+    """Write the raw lines by day, some with a bad token or under the wrong day, read them back as text and check them."""
     path = work_folder(t.spark, "src15")
-    raw_json(t).select("date", "value").write.partitionBy("date").text(path)
+    bad_token = F.replace("value", F.lit('"user_id":"'), F.lit('"user_id":"X'))
+    lines = raw_json(t).select(
+        F.when(F.col("event_id") % 251 == 0, F.date_add("date", 1)).otherwise(F.col("date")).alias("date"),
+        F.when(F.col("event_id") % 241 == 0, bad_token).otherwise(F.col("value")).alias("value"),
+    )
+    lines.write.partitionBy("date").text(path)
     return CT.raw_audit(t.spark.read.option("basePath", path).text(path), "date")
 
 

@@ -34,14 +34,14 @@ def one_history_check(name):
     return lambda t: Q.run(tokenised(t), [Q.history_checks(MIN_HISTORY)[name]]).select(*PICK)
 
 
-_nulls = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in AUDIO)
-_outside = " + ".join(f"count(*) FILTER ({c} < {lo} OR {c} > {hi})" for c, (lo, hi) in BOUNDS.items())
+audio_nulls = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in AUDIO)
+out_of_bounds = " + ".join(f"count(*) FILTER ({c} < {lo} OR {c} > {hi})" for c, (lo, hi) in BOUNDS.items())
 
 query("dq1_catalog_rows", oracle("dq1", Q.BLOCK, "concat('n=', count(*))", f"count(*) >= {MIN_CATALOG}", "FROM catalog"))(one_catalog_check("dq1"))
 query("dq2_unique_key", oracle("dq2", Q.BLOCK, "concat('duplicates=', count(*) - count(DISTINCT track_id), ', nulls=', count(*) FILTER (track_id IS NULL))",
       "count(*) = count(DISTINCT track_id)", "FROM catalog"))(one_catalog_check("dq2"))
-query("dq3_audio_complete", oracle("dq3", Q.BLOCK, f"concat('nulls=', {_nulls})", f"{_nulls} = 0", "FROM catalog"))(one_catalog_check("dq3"))
-query("dq4_bounds", oracle("dq4", Q.BLOCK, f"concat('out_of_bounds=', {_outside})", f"{_outside} = 0", "FROM catalog"))(one_catalog_check("dq4"))
+query("dq3_audio_complete", oracle("dq3", Q.BLOCK, f"concat('nulls=', {audio_nulls})", f"{audio_nulls} = 0", "FROM catalog"))(one_catalog_check("dq3"))
+query("dq4_bounds", oracle("dq4", Q.BLOCK, f"concat('out_of_bounds=', {out_of_bounds})", f"{out_of_bounds} = 0", "FROM catalog"))(one_catalog_check("dq4"))
 query("dq5_genre_nulls", oracle("dq5", Q.WARN, "concat('null_pct=', round(100.0 * count(*) FILTER (genre IS NULL) / count(*), 3)::DOUBLE)",
       "100.0 * count(*) FILTER (genre IS NULL) / count(*) <= 60", "FROM catalog"))(one_catalog_check("dq5"))
 query("dq6_year_nulls", oracle("dq6", Q.WARN, "concat('null_pct=', round(100.0 * count(*) FILTER (year IS NULL) / count(*), 3)::DOUBLE)", "TRUE", "FROM catalog"))(one_catalog_check("dq6"))
@@ -193,6 +193,6 @@ def calendar(t):
          k AS (SELECT CASE WHEN n >= 150 THEN 1 ELSE 0 END + 1 + CASE WHEN nulls = 0 THEN 1 ELSE 0 END + CASE WHEN outside = 0 THEN 1 ELSE 0 END AS blocks,
                       CASE WHEN g <= 60 THEN 1 ELSE 0 END + 1 AS warns FROM c)
     SELECT 6 AS checks, blocks + warns AS passed, 4 - blocks AS blocking_failures, 2 - warns AS warnings,
-           CASE WHEN blocks < 4 THEN 'ECHEC' ELSE 'SUCCES' END AS status FROM k""".format(nulls=_nulls, outside=_outside))
+           CASE WHEN blocks < 4 THEN 'ECHEC' ELSE 'SUCCES' END AS status FROM k""".format(nulls=audio_nulls, outside=out_of_bounds))
 def gate_report(t):
     return Q.verdict(Q.run(t.catalog, list(Q.catalog_checks(MIN_CATALOG).values())))

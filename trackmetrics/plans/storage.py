@@ -11,6 +11,8 @@ from trackmetrics.operators import quality as Q
 from trackmetrics.operators import warehouse as W
 from trackmetrics.operators.catalog import CATALOG_SCHEMA, clean_catalog
 from trackmetrics.operators.facts import day_facts
+from trackmetrics.plans.contracts import ROUTED
+from trackmetrics.plans.quality import audio_nulls, out_of_bounds
 from trackmetrics.plans.registry import query
 from trackmetrics.session import materialise, work_folder
 from trackmetrics.sources import clustering as C
@@ -120,7 +122,7 @@ def parquet_scan(t):
     return t.lineitem.groupBy("l_returnflag").agg(n_rows().alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
 
 
-@query("src10_config_document")
+@query("src10_config_document", ROUTED + "SELECT category, reason, count(*) AS n FROM p GROUP BY 1, 2")
 def config_document(t):
     """A contract document written, read back whole, compiled and used on the raw lines."""
     import json
@@ -272,7 +274,15 @@ def sliced_processing(t):
     return t.spark.read.parquet(path).select(F.col("date").cast("string").alias("date"), "msid", "n")
 
 
-@query("snk10_slice_planner")
+@query("snk10_slice_planner", """
+    SELECT * FROM (
+        WITH RECURSIVE m AS (SELECT row_number() OVER (ORDER BY mois) AS i, mois, count(*) AS n FROM plays GROUP BY mois),
+             t AS (SELECT count(*) // 7 AS target FROM plays),
+             s AS (SELECT i, mois, n, 1 AS no, n AS total FROM m WHERE i = 1
+                   UNION ALL
+                   SELECT m.i, m.mois, m.n, CASE WHEN total + m.n > target THEN no + 1 ELSE no END, CASE WHEN total + m.n > target THEN m.n ELSE total + m.n END
+                   FROM s JOIN m ON m.i = s.i + 1 CROSS JOIN t)
+        SELECT no, min(mois) AS first, max(mois) AS last, CAST(sum(n) AS BIGINT) AS n, count(*) AS lots FROM s GROUP BY no) AS x""")
 def slice_planner(t):
     months = t.plays.groupBy("mois").agg(n_rows().alias("n"))
     target = t.plays.agg(F.floor(n_rows() / 7)).first()[0]
@@ -292,12 +302,14 @@ def reject_archive(t):
         t.spark.read.parquet(kept).agg(F.lit("kept").alias("what"), n_rows().alias("n")))
 
 
-@query("snk12_json_report", "SELECT 6 AS checks, count(*) AS failed FROM (SELECT 1) AS x WHERE FALSE")
+@query("snk12_json_report", """
+    WITH c AS (SELECT count(*) AS n, count(DISTINCT track_id) AS d, {nulls} AS nulls, {outside} AS outside, 100.0 * count(*) FILTER (genre IS NULL) / count(*) AS g FROM catalog),
+         f AS (SELECT unnest([n < 150, d < n, nulls > 0, outside > 0, g > 60, FALSE]) AS failed FROM c)
+    SELECT count(*) AS checks, count(*) FILTER (failed) AS failed FROM f""".format(nulls=audio_nulls, outside=out_of_bounds))
 def json_report(t):
-    """Gate report written as JSON and read back."""
+    """Gate report over the catalogue as it is, written as JSON and read back."""
     path = work_folder(t.spark, "snk12")
-    checks = Q.run(t.catalog.withColumns({"valence": F.coalesce("valence", F.lit(0.0)), "energy": F.least("energy", F.lit(1.0))}), list(Q.catalog_checks(150).values()))
-    checks.coalesce(1).write.json(path)
+    Q.run(t.catalog, list(Q.catalog_checks(150).values())).coalesce(1).write.json(path)
     return t.spark.read.json(path).agg(n_rows().alias("checks"), F.count_if(F.col("ok") == 0).alias("failed"))
 
 
