@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from trackmetrics.functions.counting import n_rows
 from trackmetrics.operators import contract as CT
+from trackmetrics.operators import quality as Q
 from trackmetrics.operators.incremental import OLD, routing_errors
 from trackmetrics.session import materialise
-from trackmetrics.sources.layout import STAGING, delete_folders, has_partitions, partition_folder, publish, read_partitioned, resume_publication, write_rebalanced
+from trackmetrics.sources.layout import STAGING, delete_folders, has_partitions, partition_folder, partition_paths, publish, read_partitioned, resume_publication, write_rebalanced
 
 LEDGER = "no int, start_s bigint, end_s bigint, announced bigint, n_rows bigint, recent bigint, old bigint, registered_s bigint, verdict string"
 
@@ -64,6 +66,31 @@ def load_batch(
     ))
 
 
+def gated_write(df: DataFrame, path: str, partitions: Sequence[str], checks: Sequence[Q.Check]) -> DataFrame:
+    """Write a partitioned table behind a gate that reads nothing twice; one row per check, ``published`` 0 or 1 on each.
+
+    The metrics of the checks are observed on the rows as the last stage writes them to a staging folder, where a task that runs again is counted
+    once.  If no blocking check fails, the partitions of ``df`` replace those of the table by rename;
+    otherwise the staging folder goes and the table stays as it was.  Metrics must be plain aggregates: a distinct count
+    cannot be observed and is refused by Spark.  Empty input writes nothing and is published as nothing, if the checks allow it.
+    """
+    spark = df.sparkSession
+    resume_publication(spark, path)
+    staging = f"{path.rstrip('/')}/{STAGING}-{uuid.uuid4().hex}"
+    seen = Observation(f"gate-{uuid.uuid4().hex}")
+    metrics = [column.alias(f"{check.name}.{m}") for check in checks for m, column in check.metrics.items()]
+    balanced = df.hint("rebalance", *[F.col(p) for p in partitions])
+    balanced.observe(seen, *metrics).write.partitionBy(*partitions).parquet(staging)
+    row = Row(*[Row(*[seen.get[f"{check.name}.{m}"] for m in check.metrics]) for check in checks])
+    report = Q.judged(spark.createDataFrame([row], Q.measured(df, checks).schema), checks)
+    refused = report.where((F.col("severity") == Q.BLOCK) & (F.col("ok") == 0)).count() > 0
+    if refused:
+        delete_folders(spark, [staging])
+    else:
+        publish(spark, staging, path, partition_paths(spark, staging, len(partitions)))
+    return report.withColumn("published", F.lit(int(not refused)))
+
+
 _PARTS = (["mois", "jour", "dump"], ["mois", "dump"])
 
 

@@ -41,10 +41,17 @@ class Check:
 
 def run(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Evaluate the checks of one table: one aggregate, one row per check."""
-    measured = df.agg(*[
-        F.struct(*[c.alias(m) for m, c in check.metrics.items()]).alias(check.name) for check in checks
-    ])
-    return measured.select(F.inline(F.array(*[c.row() for c in checks])))
+    return judged(measured(df, checks), checks)
+
+
+def measured(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row with a struct of metrics per check."""
+    return df.agg(*[F.struct(*[c.alias(m) for m, c in check.metrics.items()]).alias(check.name) for check in checks])
+
+
+def judged(metrics: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per check from the row of :func:`measured`."""
+    return metrics.select(F.inline(F.array(*[c.row() for c in checks])))
 
 
 def union(*parts: DataFrame) -> DataFrame:
@@ -161,12 +168,16 @@ def exact_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:
 
 
 def flat_coherence(df: DataFrame, token: str, seconds: str, day: str, month: str) -> DataFrame:
+    return run(df, [coherence_check(token, seconds, day, month)])
+
+
+def coherence_check(token: str, seconds: str, day: str, month: str) -> Check:
     col = F.col
-    return run(df, [Check("dq18", "flat", BLOCK, "tokens and dates coherent", {
+    return Check("dq18", "flat", BLOCK, "tokens and dates coherent", {
         "n": n_rows(), "bad_tokens": F.count_if(~F.coalesce(col(token), F.lit("")).rlike(X.HEX32)),
         "bad_dates": F.count_if(X.day_of(col(seconds)) != col(day)), "bad_months": F.count_if(X.month_of(col(day)) != col(month)),
         "nulls": F.count_if(col(seconds).isNull() | col(day).isNull()),
-    }, (col("dq18.n") > 0) & (col("dq18.bad_tokens") == 0) & (col("dq18.bad_dates") == 0) & (col("dq18.bad_months") == 0) & (col("dq18.nulls") == 0))])
+    }, (col("dq18.n") > 0) & (col("dq18.bad_tokens") == 0) & (col("dq18.bad_dates") == 0) & (col("dq18.bad_months") == 0) & (col("dq18.nulls") == 0))
 
 
 def volume_check(name: str, series: DataFrame, lot: str, n: str, window: int, high: float, low: float, history: int = 6) -> DataFrame:

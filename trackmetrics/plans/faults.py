@@ -2,12 +2,16 @@
 
 from pyspark.sql import functions as F
 
+from trackmetrics.functions.counting import n_rows
 from trackmetrics.operators import contract as CT
+from trackmetrics.operators import loading
 from trackmetrics.operators import quality as Q
 from trackmetrics.operators import resolve as R
 from trackmetrics.operators import warehouse as W
 from trackmetrics.plans.quality import MIN_HISTORY, PICK, oracle
 from trackmetrics.plans.registry import query
+from trackmetrics.session import work_folder
+from trackmetrics.sources.layout import read_partitioned
 from trackmetrics.sources.views import raw_json
 
 _TOKEN = "md5(concat('u', CAST(user_id AS STRING)))"
@@ -92,3 +96,30 @@ def faulty_calendar(t):
     first, last = span.getField("a"), span.getField("b")
     days = W.calendar(t.spark, first, last).where("day(date) <> 13")
     return Q.calendar(days.withColumn("weekday", F.when(F.day("date") == 14, 8).otherwise(F.col("weekday"))), first, last).select(*PICK)
+
+
+@query("dq26_gated_write", f"""
+    WITH v AS (SELECT mois, event_type FROM listens_flat),
+         f AS (SELECT {', '.join(_FAULTY_LISTENS)} FROM listens_flat),
+         s AS (SELECT count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'click') AS clicks,
+                      count(*) FILTER (event_type = 'view' AND mois NOT IN (SELECT mois FROM v WHERE event_type = 'click')) AS old_views FROM v)
+    SELECT 'views' AS load, concat('n=', views, ', bad_tokens=0, bad_dates=0, bad_months=0, nulls=0') AS observed, 1 AS ok, 1 AS published, views AS stored FROM s
+    UNION ALL
+    SELECT 'faulty', (SELECT concat('n=', count(*), ', bad_tokens=', count(*) FILTER (user_tok IS NULL OR length(user_tok) <> 32),
+           ', bad_dates=', count(*) FILTER (CAST(to_timestamp(ts_s) AS DATE) <> date), ', bad_months=', count(*) FILTER (strftime(date, '%Y-%m') <> mois),
+           ', nulls=', count(*) FILTER (ts_s IS NULL OR date IS NULL)) FROM f), 0, 0, views FROM s
+    UNION ALL SELECT 'clicks', concat('n=', clicks, ', bad_tokens=0, bad_dates=0, bad_months=0, nulls=0'), 1, 1, clicks + old_views FROM s""")
+def gated_write(t):
+    """Three loads of one table, measured while they are written: a sound one, a faulty one that is refused, and a sound one that replaces its months."""
+    path = work_folder(t.spark, "dq26-gated")
+    fields = ["user_tok", "ts_s", "date", "mois"]
+    loads = {
+        "views": t.listens_flat.where("event_type = 'view'").select(*fields), "faulty": t.listens_flat.selectExpr(*_FAULTY_LISTENS),
+        "clicks": t.listens_flat.where("event_type = 'click'").select(*fields),
+    }
+    out = []
+    for load, rows in loads.items():
+        report = loading.gated_write(rows, path, ["mois"], [Q.coherence_check("user_tok", "ts_s", "date", "mois")])
+        stored = read_partitioned(t.spark, path).agg(n_rows()).first()[0]  # before the next load
+        out.append(report.select(F.lit(load).alias("load"), "observed", "ok", "published", F.lit(stored).alias("stored")))
+    return Q.union(*out)

@@ -92,6 +92,14 @@ def has_partitions(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def partition_paths(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders of a table with ``depth`` partition columns, as paths below it; no file is opened."""
+    base = path.rstrip("/")
+    inside = spark._jvm.org.apache.hadoop.fs.Path("/".join([base, *["*=*"] * depth]))
+    found = inside.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(inside) or []
+    return ["/".join(f.getPath().toUri().getPath().split("/")[-depth:]) for f in found]
+
+
 def delete_folders(spark: SparkSession, paths: Sequence[str]) -> int:
     """Delete partition folders with their files; returns how many existed."""
     gone = 0
