@@ -208,6 +208,12 @@ def test_purge_leaves_valid_json(spark, body):
     assert json.loads(out["value"]) == wanted and out["purged"] == 1
 
 
+@pytest.mark.parametrize("body", ['{"a":1,"ip_addr":"198.51.', '{"ip_addr":"19', '{"a":1,"ip_addr":"x\\', '{"a":1,"ip_addr":', '{"a":1,"ip_addr":tru', '{"a":1,"ip_addr":12'])
+def test_purge_of_a_member_cut_by_the_end_of_its_line(spark, body):
+    out = PV.purge_keys(frame(spark, [body]), ["ip_addr"]).first()
+    assert out["purged"] == 1 and out["value"] == ('{"a":1' if '"a"' in body else "{")
+
+
 def test_purge_of_an_object_value_raises(spark):
     with pytest.raises(Exception, match="sensitive key"):
         PV.purge_keys(frame(spark, [listen(info={"ip_addr": {"v": 1}})]), ["ip_addr"]).collect()

@@ -37,10 +37,12 @@ def key_scan(lines: DataFrame, keys: Sequence[str], day: str = "date") -> DataFr
 def purge_keys(lines: DataFrame, keys: Sequence[str], object_key: str = "additional_info") -> DataFrame:
     """Remove string, number or boolean members named ``keys`` from the lines that hold them; other lines stay byte for byte.
 
+    A line may be cut short: a member whose value is cut by the end of the line goes too.
+
     Returns the lines with ``purged`` (1 for a changed line).  A sensitive key
     that survives, because it sits elsewhere or holds an object, raises.
     """
-    member = r'"(?:' + "|".join(keys) + r')"\s*:\s*(?:"(?:[^"\\]|\\.)*"|[-0-9.eE+]+|true|false|null)'
+    member = r'"(?:' + "|".join(keys) + r')"\s*:\s*(?:"(?:[^"\\]|\\.)*+(?:"|\\?\z)|[-0-9.eE+]+|true|false|null|[a-z]*\z)'
     marked = compute_once(lines, __touched=reduce(lambda a, b: a | b, [_holds(k) for k in keys]))
     cut = F.regexp_replace("value", member + r"\s*,\s*", "")
     cut = F.regexp_replace(F.regexp_replace(cut, r"\s*,\s*" + member, ""), member, "")
