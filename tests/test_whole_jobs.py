@@ -32,3 +32,8 @@ def test_volume_audit_counts_cut_lines(spark):
     row = BODIES["ag7_raw_volume_audit"](tables(spark, raw_listens=raw_listens(spark, (), ("truncated",)))).first()
     assert (row["n"], row["listeners"], row["with_mbid"], row["rejects"]) == (2, 2, 2, 1)
     assert row["ts_max"] - row["ts_min"] == 1
+
+
+def test_load_takes_lines_with_forbidden_and_new_keys(spark):
+    lines = raw_listens(spark, (), ("has_ip",), ("has_new",), ("has_ip", "truncated"), ("no_track",))
+    assert [r["n"] for r in BODIES["st1_incremental_load"](tables(spark, raw_listens=lines)).collect()] == [3]
