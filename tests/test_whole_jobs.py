@@ -44,3 +44,18 @@ def test_sketches_are_not_carried_by_every_distinct_value(spark):
     found = BODIES["ag6_approx_distinct"](tables(spark, listens_flat=listens))
     assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.first()[:] == (2, 2, 2, 2, True)
+
+
+def test_shuffles_grow_with_the_input_and_tasks_do_not(spark, tmp_path):
+    from trackmetrics.session import ADVISORY_CONF, INPUT_BYTES, TASK_BYTES, shuffle_width
+
+    before = spark.conf.get(ADVISORY_CONF)
+    try:
+        (tmp_path / "lineitem.parquet").write_bytes(b"0" * (20 * INPUT_BYTES + 1))
+        Tables(spark, str(tmp_path))
+        assert shuffle_width(spark) == 21 and spark.conf.get(ADVISORY_CONF) == str(TASK_BYTES)
+        spark.conf.set(ADVISORY_CONF, "1m")
+        Tables(spark, "/nowhere")
+        assert shuffle_width(spark) == 8 and spark.conf.get(ADVISORY_CONF) == "1m"
+    finally:
+        spark.conf.set(ADVISORY_CONF, before)

@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+INITIAL_CONF = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+ADVISORY_CONF = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+# Compressed shuffle bytes of one task; narrow rows take some thirty times as much in a sort or a hash map.
+TASK_BYTES = 16 * 2**20
+INPUT_BYTES = 4 * 2**20
 
 
 def build_session(app: str = "trackmetrics", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,6 +38,29 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, folder: str) -> None:
+    """Let shuffles begin with a number of partitions that follows the bytes of the input folder, and join them to at most ``TASK_BYTES`` each.
+
+    A task then holds the same share of a sort or an aggregate however large the input is; a session with smaller tasks keeps them.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = system.getContentSummary(place).getLength() if system.exists(place) else 0
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // INPUT_BYTES))
+    spark.conf.set(INITIAL_CONF, str(width))
+    if _bytes(spark, spark.conf.get(ADVISORY_CONF)) > TASK_BYTES:
+        spark.conf.set(ADVISORY_CONF, str(TASK_BYTES))
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """The number of partitions that shuffles begin with."""
+    return int(spark.conf.get(INITIAL_CONF, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bytes(spark: SparkSession, text: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from trackmetrics.functions.staging import compute_once
-from trackmetrics.session import materialise, pin_utc
+from trackmetrics.session import materialise, pin_utc, size_shuffles
 
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -210,6 +210,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = pin_utc(spark)
         self.folder = folder.rstrip("/")
+        size_shuffles(spark, self.folder)
         self._kept: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
