@@ -59,3 +59,20 @@ def test_shuffles_grow_with_the_input_and_tasks_do_not(spark, tmp_path):
         assert shuffle_width(spark) == 8 and spark.conf.get(ADVISORY_CONF) == "1m"
     finally:
         spark.conf.set(ADVISORY_CONF, before)
+
+
+def test_item_tags_shuffle_votes_once(spark):
+    from trackmetrics.operators import tags as G
+
+    rows = [(1, "Pop & Rock", 2), (1, "pop and  rock", 1), (1, "ﬁlm", 1), (2, "Été-pop", 3), (2, "ÉTÉ\\tpop", 1), (2, "  ", 4), (2, None, 5), (None, "x", 1), (3, "x", 0)]
+    found = G.item_tags(spark.createDataFrame(rows, "item int, nom string, votes int"), "item")
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {tuple(r) for r in found.collect()} == {(1, "pop and rock", 3), (1, "film", 1), (2, "été pop", 4), (None, "x", 1)}
+
+
+def test_item_tags_follow_synonyms(spark):
+    from trackmetrics.operators import tags as G
+
+    tags = spark.createDataFrame([(1, "hiphop", 2), (1, "Hip-Hop", 1), (2, "rap", 1)], "item int, nom string, votes int")
+    pairs = spark.createDataFrame([("hiphop", "hip hop")], "from_tag string, to_tag string")
+    assert {tuple(r) for r in G.item_tags(tags, "item", synonyms=pairs).collect()} == {(1, "hip hop", 3), (2, "rap", 1)}

@@ -29,12 +29,16 @@ def merges(spellings: DataFrame) -> DataFrame:
 def item_tags(tags: DataFrame, item: str, name: str = "nom", votes: str = "votes", synonyms: DataFrame | None = None) -> DataFrame:
     """Votes per (item, normal tag), counting positive votes only.
 
-    Votes are summed per (item, name) before names are looked up.
+    The normal form of a name is an expression of the row, so votes are shuffled once, by (item, tag).
     """
-    positive = tags.where(F.col(votes) > 0).groupBy(item, name).agg(F.sum(votes).alias("votes"))
-    forms = X.normalise_names(positive, name, synonyms).where(F.col("tag").isNotNull())
-    named = lookup(positive, forms, name, [item]).where(F.col("tag").isNotNull())
-    return named.groupBy(item, "tag").agg(F.sum("votes").alias("votes"))
+    positive = tags.where((F.col(votes) > 0) & F.col(name).isNotNull()).select(item, name, votes)
+    formed = X.with_normal_form(positive, name).where(F.col("tag").isNotNull())
+    named = formed.groupBy(item, "tag").agg(F.sum(votes).alias("votes"))
+    if synonyms is None:
+        return named
+    pairs = synonyms.select(F.col("from_tag").alias("tag"), F.col("to_tag").alias("__to"))
+    merged = lookup(named, pairs, "tag", [item]).withColumn("tag", F.nullif(F.coalesce("__to", "tag"), F.lit("")))
+    return merged.where(F.col("tag").isNotNull()).groupBy(item, "tag").agg(F.sum("votes").alias("votes"))
 
 
 def tag_statistics(per_item: DataFrame) -> DataFrame:
