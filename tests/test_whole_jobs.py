@@ -76,3 +76,13 @@ def test_item_tags_follow_synonyms(spark):
     tags = spark.createDataFrame([(1, "hiphop", 2), (1, "Hip-Hop", 1), (2, "rap", 1)], "item int, nom string, votes int")
     pairs = spark.createDataFrame([("hiphop", "hip hop")], "from_tag string, to_tag string")
     assert {tuple(r) for r in G.item_tags(tags, "item", synonyms=pairs).collect()} == {(1, "hip hop", 3), (2, "rap", 1)}
+
+
+def test_altered_batches_write_the_lines_once(spark, monkeypatch):
+    from trackmetrics.operators import contract as CT
+
+    parsed, parse = [], CT.parse
+    monkeypatch.setattr(CT, "parse", lambda lines, contract: parsed.append(lines.count()) or parse(lines, contract))
+    found = BODIES["ct14_altered_batches"](tables(spark, raw_listens=raw_listens(spark, *[()] * 18, ("drift",), ("no_track",)))).collect()
+    assert sum(parsed) == 18 + 5 * 2
+    assert {tuple(r) for r in found} == {("temoin", 0, 0, 1, 1), ("champ_nouveau", 2, 0, 1, 1), ("type_modifie", 0, 0, 3, 1), ("champ_disparu", 0, 0, 1, 3), ("champ_purge", 0, 2, 1, 1)}
