@@ -86,3 +86,11 @@ def test_altered_batches_write_the_lines_once(spark, monkeypatch):
     found = BODIES["ct14_altered_batches"](tables(spark, raw_listens=raw_listens(spark, *[()] * 18, ("drift",), ("no_track",)))).collect()
     assert sum(parsed) == 18 + 5 * 2
     assert {tuple(r) for r in found} == {("temoin", 0, 0, 1, 1), ("champ_nouveau", 2, 0, 1, 1), ("type_modifie", 0, 0, 3, 1), ("champ_disparu", 0, 0, 1, 3), ("champ_purge", 0, 2, 1, 1)}
+
+
+def test_copies_of_the_history_are_not_shuffled(spark):
+    history = spark.createDataFrame([(1, 7, 3), (2, 7, 9), (2, 8, 1), (None, 8, 2)], "user_id int, track_id int, playcount int")
+    found = BODIES["qm_top_tracks_x10"](tables(spark, history=history))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.rindex("Exchange") and plan[: plan.index("Generate")].count("Exchange hashpartitioning(track_id") == 1
+    assert {tuple(r) for r in found.collect()} == {(7, 120, 20), (8, 30, 19)}  # a null user is no listener, its copies are

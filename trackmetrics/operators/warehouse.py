@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,13 +13,15 @@ from trackmetrics.operators.skew import null_safe_join
 
 
 
-def engagement(history: DataFrame, user: str = "user_id") -> DataFrame:
+def engagement(history: DataFrame, user: str = "user_id", part: Sequence[str] = ()) -> DataFrame:
     """Per track: plays, distinct listeners, heaviest listener, loyal listeners, two ratios.
 
+    ``part`` names columns that follow from the user.  Rows that lie together by track and those are counted where they lie.
+
     Two levels in place of ``count(DISTINCT)``: the inner group is (track, user),
     which is near unique, so a hot track reaches its final task as partial sums.
     """
-    per_user = history.groupBy("track_id", user).agg(
+    per_user = history.groupBy("track_id", *part, user).agg(
         F.sum("playcount").alias("p"), F.max("playcount").alias("m"), F.count_if(F.col("playcount") > 5).alias("l")
     )
     per_track = per_user.groupBy("track_id").agg(
