@@ -94,3 +94,12 @@ def test_copies_of_the_history_are_not_shuffled(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Generate") < plan.rindex("Exchange") and plan[: plan.index("Generate")].count("Exchange hashpartitioning(track_id") == 1
     assert {tuple(r) for r in found.collect()} == {(7, 120, 20), (8, 30, 19)}  # a null user is no listener, its copies are
+
+
+def test_models_run_side_by_side_in_order():
+    from threading import Barrier
+
+    from trackmetrics.operators import models as M
+
+    together = Barrier(2, timeout=20)  # broken if one job waits for the other
+    assert M.side_by_side(lambda i: together.wait() * 0 + i, [1, 2]) == [1, 2]

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -20,6 +21,8 @@ from trackmetrics.session import materialise
 
 FOLDS = 5
 SEED = 42
+# Models fitted, or columns permuted, at a time.
+SIDE_BY_SIDE = 4
 
 
 class Setting(NamedTuple):
@@ -155,6 +158,15 @@ def precision_at_recall(scored: DataFrame, target: str, p: str = "score", recall
 # -- protocols ----------------------------------------------------------------------------
 
 
+def side_by_side(job: Callable, of: Iterable) -> list:
+    """Results of independent jobs, in order; the driver only submits them, and a few run at a time.
+
+    Most levels of a deep forest give the cluster one small stage, so one model after another leaves most cores idle.
+    """
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return list(pool.map(job, of))
+
+
 def held_out(train: DataFrame, test: DataFrame, target: str, make: Callable[[], Estimator], name: str) -> DataFrame:
     """Stored scores of ``test`` by a model that saw only ``train``, its class weights included."""
     model = make().fit(class_weights(train, target))
@@ -163,11 +175,11 @@ def held_out(train: DataFrame, test: DataFrame, target: str, make: Callable[[],
 
 def cross_validate(df: DataFrame, target: str, make: Callable[[], Estimator], name: str) -> list[tuple]:
     """(name, fold, rows, AUC, AUC-PR, threshold at the recall level) per fold; ``df`` has a ``fold`` column."""
-    out = []
-    for fold in folds_of(df):
+    def run(fold: int) -> tuple:
         scored = held_out(df.where(F.col("fold") != fold), df.where(F.col("fold") == fold), target, make, name)
-        out.append(fold_result(scored, target, name, fold))
-    return out
+        return fold_result(scored, target, name, fold)
+
+    return side_by_side(run, folds_of(df))
 
 
 def folds_of(df: DataFrame) -> list[int]:
@@ -183,11 +195,12 @@ def cross_validate_boosting(df: DataFrame, features: Sequence[str], target: str,
     """As :func:`cross_validate`, for the leaf-wise trees: the models of all folds are fitted side by side."""
     folds = folds_of(df)
     models = leafwise.load(leafwise.fit(df, features, target, key, {f: leafwise.Task(setting, F.col("fold") != f) for f in folds}))
-    out = []
-    for fold in folds:
+
+    def run(fold: int) -> tuple:
         scored = leafwise.score(df.where(F.col("fold") == fold), features, models.get(fold)).select(target, "score")
-        out.append(fold_result(materialise(scored, f"scored-{name}"), target, name, fold))
-    return out
+        return fold_result(materialise(scored, f"scored-{name}"), target, name, fold)
+
+    return side_by_side(run, folds)
 
 
 def mean_auc(results: DataFrame) -> DataFrame:
@@ -226,8 +239,8 @@ def permutation_ranking(model: PipelineModel, paired: DataFrame, target: str, fe
     def exact(df: DataFrame) -> float:
         return auc(materialise(score(model, df).select(target, "score"), "permuted"), target).first()["auc"]
 
-    base = exact(paired)
-    drops = [(f, round(base - exact(paired.withColumn(f, F.col(f"donor.{f}"))), 6)) for f in features]
+    base, *permuted = side_by_side(exact, [paired, *[paired.withColumn(f, F.col(f"donor.{f}")) for f in features]])
+    drops = [(f, round(base - a, 6)) for f, a in zip(features, permuted)]
     return sorted(drops, key=lambda x: (-x[1], x[0]))
 
 

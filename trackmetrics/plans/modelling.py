@@ -169,14 +169,15 @@ def ablation(t):
         "A_audio": AUDIO, "B_context": AUDIO + context, "C_artist": AUDIO + context + artist, "D_renown": AUDIO + context + artist + ["nb_tags"],
         "E_listeners": AUDIO + ["unique_listeners"], "F_engagement": AUDIO + FT.GROUPS["E_engagement"],
     }
-    rows = []
-    for name, wanted in sets.items():
-        x = columns_of(df, wanted)
-        rows.append((name, 0, 0, M.holdout_auc(df, "is_hit", lambda x=x: M.forest(x, "is_hit"), F.col("is_test")), None, None))
-    x = columns_of(df, sets["C_artist"])
     random_side = M.bucket(F.col("track_id"), M.SEED, 100) < 20
-    rows.append(("C_artist_random_split", 0, 0, M.holdout_auc(df, "is_hit", lambda: M.forest(x, "is_hit"), random_side), None, None))
-    return results(t, rows)
+    trials = [(name, columns_of(df, wanted), F.col("is_test")) for name, wanted in sets.items()]
+    trials.append(("C_artist_random_split", columns_of(df, sets["C_artist"]), random_side))
+
+    def run(trial):
+        name, x, side = trial
+        return name, 0, 0, M.holdout_auc(df, "is_hit", lambda: M.forest(x, "is_hit"), side), None, None
+
+    return results(t, M.side_by_side(run, trials))
 
 
 @query("ml13_two_targets")
@@ -189,11 +190,13 @@ def two_targets(t):
     context = AUDIO + ["age", "duration_min", "artist_other_titles"]
     sets = {"B_complete": context, "B_without_age": [c for c in context if c != "age"],
             "B_without_catalogue": [c for c in context if c != "artist_other_titles"], "age_only": ["age"]}
-    rows = [
-        (f"{name}__{target}", 0, 0, M.holdout_auc(joined, target, lambda x=columns_of(joined, wanted), y=target: M.forest(x, y), F.col("is_test")), None, None)
-        for name, wanted in sets.items() for target in ("is_hit", "is_hit_common")
-    ]
-    return results(t, rows)
+    trials = [(name, columns_of(joined, wanted), target) for name, wanted in sets.items() for target in ("is_hit", "is_hit_common")]
+
+    def run(trial):
+        name, x, target = trial
+        return f"{name}__{target}", 0, 0, M.holdout_auc(joined, target, lambda: M.forest(x, target), F.col("is_test")), None, None
+
+    return results(t, M.side_by_side(run, trials))
 
 
 @query("ml14_published_model")
