@@ -103,3 +103,16 @@ def test_models_run_side_by_side_in_order():
 
     together = Barrier(2, timeout=20)  # broken if one job waits for the other
     assert M.side_by_side(lambda i: together.wait() * 0 + i, [1, 2]) == [1, 2]
+
+
+def test_models_score_in_a_session_that_observed_a_query(spark):
+    from pyspark.sql import Observation, functions as F
+
+    from trackmetrics.operators import models as M
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    df = spark.createDataFrame([(float(i % 7), i % 7 // 4, i % 2) for i in range(60)], "a double, is_hit int, fold int")
+    for make in (lambda: M.forest(["a"], "is_hit", 2, 3), lambda: M.logistic(["a"], "is_hit")):
+        assert [r[1:4] for r in M.cross_validate(df, "is_hit", make, "observed")] == [(0, 30, 1.0), (1, 30, 1.0)]

@@ -99,6 +99,18 @@ def logistic(features: Sequence[str], target: str, indicators: Sequence[str] = (
     ])
 
 
+def fitted(make: Callable[[], Estimator], train: DataFrame, target: str) -> PipelineModel:
+    """A model of ``train`` with balanced weights, without its training summary.
+
+    Scoring sends the model to the tasks.  The summary holds the session, which cannot be sent once any query was observed in it.
+    """
+    model = make().fit(class_weights(train, target))
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+    return model
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", vector_to_array("probability")[1])
 
@@ -169,7 +181,7 @@ def side_by_side(job: Callable, of: Iterable) -> list:
 
 def held_out(train: DataFrame, test: DataFrame, target: str, make: Callable[[], Estimator], name: str) -> DataFrame:
     """Stored scores of ``test`` by a model that saw only ``train``, its class weights included."""
-    model = make().fit(class_weights(train, target))
+    model = fitted(make, train, target)
     return materialise(score(model, test).select(target, "score"), f"scored-{name}")
 
 

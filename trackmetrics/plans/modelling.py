@@ -221,7 +221,7 @@ def published_model(t):
         scored = B.score(complete, x, B.load(t.spark.read.parquet(f"{path}/model"))[0])
     else:
         rows, make = families[best["model"]]
-        M.publish(make().fit(M.class_weights(rows, "is_hit")), path, facts)
+        M.publish(M.fitted(make, rows, "is_hit"), path, facts)
         scored = M.score(PipelineModel.load(f"{path}/model"), rows)
     return M.metrics(scored, "is_hit", cut=best["threshold"]).withColumn("model", F.lit(best["model"]))
 
@@ -231,7 +231,7 @@ def feature_ranking(t):
     """Rank by impurity, rank by permutation, the gap, and the direction of the effect."""
     df = matrix(t, "ml15")
     x = columns_of(df, _X)
-    model = M.forest(x, "is_hit").fit(M.class_weights(df, "is_hit"))
+    model = M.fitted(lambda: M.forest(x, "is_hit"), df, "is_hit")
     impurity = {f: i for i, (f, _) in enumerate(M.impurity_ranking(model, x), 1)}
     paired = materialise(M.with_donor(df, x, "track_id"), "ml15-donors")
     loss = M.permutation_ranking(model, paired, "is_hit", x)
