@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from tests.llm.helpers import ROWS, components, docs, empty
+from tests.llm.helpers import LONG, ROWS, components, docs, empty
 from trackmetrics.llm import decontaminate, jaccard_join, line_dedup, repeats, textkernel
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -216,3 +216,31 @@ def test_contamination_with_shingles_too_many_to_broadcast(spark, monkeypatch):
     join = next(p for n, p in plans if n == "hits")
     left = join[join.index("Join LeftOuter") :].split("\n")[1]
     assert "__own" in left and "__w#" not in left.split("AS __own")[-1]
+
+
+def test_documents_without_repeats_stay_where_they_are_read(spark):
+    """The branch that holds them has no exchange; the one that meets the ranges takes the others only."""
+    rows = [(i, f"text {i} " + LONG[900 * i : 900 * (i + 1)]) for i in range(20)] + [(20, "x" + LONG[:400]), (None, LONG[:300]), (21, None)]
+    found = repeats.remove_repeats(docs(spark, rows))
+    branches = found._jdf.queryExecution().optimizedPlan().children()
+    plans = [str(branches.apply(i)) for i in range(branches.size())]
+    assert ["Join" in p for p in plans] == [True, False]
+    assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {**{r[0]: 0 for r in rows}, 20: 400}
+
+
+def test_span_hashes_are_those_of_the_windows():
+    data = np.frombuffer(LONG[:2000].encode(), dtype=np.uint8)
+    first, last = np.array([0, 7, 700, 1899]), np.array([0, 83, 738, 1900])
+    total, down = repeats._sums(data), repeats._tables(len(data) + 1)[1]
+    cores = (total[first + 100] - total[last]) * down[last]
+    outer = np.concatenate([data[x] for a, b in zip(first, last) for x in (slice(a, b), slice(a + 100, b + 100))])
+    wanted = repeats._string_hashes(data, 100)
+    assert (repeats._span_hashes(outer, cores, last - first + 1, 100) == np.concatenate([wanted[a : b + 1] for a, b in zip(first, last)])).all()
+
+
+def test_ranges_known_in_a_task_are_joined(spark):
+    """Half a text again, with other words before it: its windows are one row, though they have many representatives."""
+    source = repeats._source(spark.createDataFrame([(0, LONG[:4000]), (1, "other words " + LONG[:2000])], "doc_id long, text string").coalesce(1), "doc_id", "text")
+    every = spark.sparkContext.broadcast(np.full((1 << repeats.BITMAP_BITS) // 8, 255, dtype=np.uint8))
+    found = repeats._candidates(source, every, repeats.LENGTH, repeats.GRAM).where("doc_id = 1 AND bytes IS NULL").collect()
+    assert len(found) == 1 and found[0]["last"] - found[0]["first"] > 1800

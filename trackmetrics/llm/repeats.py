@@ -10,10 +10,11 @@ its ``GRAM``-byte string of lowest hash, so equal windows have equal representat
 
 1. Representatives (about one per 39 bytes) are named by their hash; names that occur once leave.  A bitmap of fixed size
    keeps the names that occur more often; a false hit costs work, never a wrong result.
-2. Representatives with a repeated name are sorted by (name, doc_id, place) with the bytes their windows span.  Within
-   a name equal windows are found in order; the first stays, later ones are removed.  A task gives equal strings of its own only once,
+2. Representatives with a repeated name are sorted by (name, doc_id, place) with the bytes their windows span, the part that all
+   of them share as the value of its polynomial.  Within a name equal windows are found in order; the first stays, later ones are removed.  A task gives equal strings of its own only once,
    so a passage of a third of all documents is a row per task here.
-3. Removed ranges are merged per document.
+3. Removed ranges are merged per document.  Only documents with a range meet them in a shuffle: a second bitmap of the same fixed size
+   keeps the others where they are read, and a false hit moves a text for nothing.
 
 Windows are compared by name and a second 64-bit hash.  Null and empty texts have no bytes; rows that repeat doc_id and text are one document;
 an empty table gives no rows.
@@ -56,12 +57,35 @@ def _string_hashes(data: np.ndarray, length: int) -> np.ndarray:
     n = len(data) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    up, down = _tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[data] * up[: len(data)], out=total[1:])
+    down, total = _tables(len(data) + 1)[1], _sums(data)
     return textkernel.mix((total[length:] - total[:-length]) * down[:n])
 
 
+def _sums(data: np.ndarray) -> np.ndarray:
+    """Sums of the polynomial over the bytes before each place; a string's value is the difference at its ends, moved to its start."""
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_VALUES[data] * _tables(len(data) + 1)[0][: len(data)], out=total[1:])
+    return total
+
+
+def _span_hashes(data: np.ndarray, cores: np.ndarray, sizes: np.ndarray, length: int) -> np.ndarray:
+    """The hashes that :func:`_string_hashes` gives the windows of each span, from its outer bytes and the value of its core.
+
+    A span of n windows is n - 1 bytes, a core that lies in all its windows, and n - 1 bytes: window s has the core, the bytes
+    before it but the first s, and s bytes behind it.
+    """
+    up, down = _tables(max(len(data), length) + 1)
+    total = _sums(data)
+    stop = np.cumsum(2 * (sizes - 1))
+    index = np.repeat(np.arange(len(sizes)), sizes)
+    step = np.arange(len(index)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    middle = (stop - sizes + 1)[index]
+    left = middle - sizes[index] + 1 + step
+    before = (total[middle] - total[left]) * down[left]
+    behind = (total[middle + step] - total[middle]) * down[middle]
+    return textkernel.mix(before + cores[index] * up[sizes[index] - 1 - step] + behind * up[length - step])
+
+
 def representatives(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     """(row, place, first window, last window, name) of each representative; places count from the start of the row's text."""
     names = _string_hashes(data, gram)
@@ -135,8 +159,8 @@ def _repeated_names(source: DataFrame, length: int, gram: int) -> np.ndarray:
 
 
 def _candidates(source: DataFrame, bitmap, length: int, gram: int) -> DataFrame:
-    """Representatives with a repeated name and the bytes their windows span; a text seen earlier in the task is given as one range."""
-    fields = [("name", pa.int64()), ("doc_id", pa.int64()), ("doc_hash", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("bytes", pa.binary())]
+    """Representatives with a repeated name, the value of the bytes that all their windows share and the bytes around it; what was seen earlier in the task is given as ranges."""
+    fields = [(c, pa.int64()) for c in ("name", "doc_id", "doc_hash", "first", "last", "core")] + [("bytes", pa.binary())]
     schema = pa.schema(fields)
 
     def run(batches):
@@ -166,20 +190,24 @@ def _candidates(source: DataFrame, bitmap, length: int, gram: int) -> DataFrame:
                 keep &= ~skip[row]
                 row, first, last, names = row[keep], first[keep], last[keep], names[keep]
                 start = offsets[row]
-                raw, rows = data.tobytes(), []
-                for name, k, s, a, b in zip(names.view(np.int64).tolist(), row.tolist(), start.tolist(), first.tolist(), last.tolist()):
+                total, down = _sums(data), _tables(len(data) + 1)[1]
+                cores = ((total[start + first + length] - total[start + last]) * down[start + last]).view(np.int64)
+                raw, rows, ended = data.tobytes(), [], None
+                for name, k, s, a, b, core in zip(names.view(np.int64).tolist(), row.tolist(), start.tolist(), first.tolist(), last.tolist(), cores.tolist()):
                     span, place = raw[s + a : s + b + length], (ids[base + k], a)
                     known = spans.get(h := hash(span))
                     if known is None or place < known:
                         spans[h] = place
-                        rows.append((name, place[0], marks[base + k], a, b, span))
+                        rows.append((name, place[0], marks[base + k], a, b, core, span[: b - a] + span[length:]))
                     elif known < place:  # all its windows stand earlier in this task: a range needs no comparison
-                        rows.append((place[0], place[0], marks[base + k], a, b, None))
-                rows += [(doc, doc, mark, 0, last, None) for doc, mark, last in whole]
+                        begin = rows.pop()[3] if ended == (k, a) else a
+                        rows.append((place[0], place[0], marks[base + k], begin, b, None, None))
+                        ended = (k, b + 1)
+                rows += [(doc, doc, mark, 0, last, None, None) for doc, mark, last in whole]
                 if rows:
                     yield record_batch(dict(zip(schema.names, zip(*rows))), schema)
 
-    return source.mapInArrow(run, "name long, doc_id long, doc_hash long, first long, last long, bytes binary")
+    return source.mapInArrow(run, "name long, doc_id long, doc_hash long, first long, last long, core long, bytes binary")
 
 
 def _ranges(candidates: DataFrame, length: int) -> DataFrame:
@@ -198,7 +226,7 @@ def _ranges(candidates: DataFrame, length: int) -> DataFrame:
                 part = part.filter(pa.compute.is_valid(part.column("bytes")))
                 if not len(part):
                     continue
-                c = {k: part.column(k).to_numpy() for k in ("name", "doc_id", "doc_hash", "first", "last")}
+                c = {k: part.column(k).to_numpy() for k in ("name", "doc_id", "doc_hash", "first", "last", "core")}
                 # a row that repeats the row before it is the same place of the same document
                 same = np.ones(len(part), dtype=bool)
                 for k in ("name", "doc_id", "doc_hash", "first"):
@@ -206,11 +234,9 @@ def _ranges(candidates: DataFrame, length: int) -> DataFrame:
                 previous = {k: v[-1] for k, v in c.items()}
                 sizes = (c["last"] - c["first"] + 1)
                 blob = np.frombuffer(b"".join(part.column("bytes").to_pylist()), dtype=np.uint8)
-                ends = np.cumsum(sizes + length - 1)
-                hashes = _string_hashes(blob, length)
                 index = np.repeat(np.arange(len(sizes)), sizes)
                 step = np.arange(len(index)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                windows = hashes[(ends - sizes - length + 1)[index] + step]
+                windows = _span_hashes(blob, c["core"].view(np.uint64), sizes, length)
                 key = textkernel.mix(windows + c["name"].view(np.uint64)[index] * _MULT)
                 live = np.flatnonzero(~same[index])
                 _, at, inverse = np.unique(key[live], return_index=True, return_inverse=True)
@@ -234,6 +260,17 @@ def _ranges(candidates: DataFrame, length: int) -> DataFrame:
     return ordered.mapInArrow(run, "doc_id long, doc_hash long, start long, stop long")
 
 
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bitmap of the column ``cell``, lowest bit of a byte first."""
+    at = F.col("cell") + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    bitmap = np.zeros((1 << BITMAP_BITS) // 8, dtype=np.uint8)
+    for r in parts.toLocalIterator():  # together the bitmap at most
+        start = (r["bucket"] - 1) * len(r["bits"])
+        bitmap[start : start + len(r["bits"])] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return bitmap
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (and kept, the remaining bytes)."""
     source = _source(docs, id_col, text_col)
@@ -246,8 +283,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         ("stops", pa.list_(pa.int64())), *([("kept", pa.binary())] if with_kept else []),
     ])
 
+    cell = F.shiftrightunsigned(F.xxhash64("doc_id", "doc_hash"), 64 - BITMAP_BITS)
+    touched = source.sparkSession.sparkContext.broadcast(_bitmap(spans.select(cell.alias("cell"))))
+
+    def having(batch, wanted):
+        cells = batch.column("cell").to_numpy()
+        return batch.filter(pa.array(((touched.value[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1) == wanted))
+
+    def moved(batches):
+        for batch in batches:
+            yield having(batch, True).select(["doc_id", "doc_hash", "text"])
+
     def cut(batches):
         for batch in batches:
+            if "cell" in batch.schema.names:
+                batch = having(batch, False)
             for lo in range(0, len(batch), 500):
                 part = batch.slice(lo, 500)
                 rows = {f.name: [] for f in schema}
@@ -269,5 +319,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
                         rows[f.name].append(v)
                 yield record_batch(rows, schema)
 
-    joined = source.join(spans, ["doc_id", "doc_hash"], "left").select("doc_id", "text", "starts", "stops")
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, stops array<long>" + (", kept binary" if with_kept else ""))
+    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, stops array<long>" + (", kept binary" if with_kept else "")
+    marked = source.withColumn("cell", cell)
+    joined = marked.mapInArrow(moved, "doc_id long, doc_hash long, text string").join(spans, ["doc_id", "doc_hash"], "left").select("doc_id", "text", "starts", "stops")
+    none = F.lit(None).cast("array<long>")
+    still = marked.select("doc_id", "text", none.alias("starts"), none.alias("stops"), "cell")
+    return joined.mapInArrow(cut, out).unionByName(still.mapInArrow(cut, out))
