@@ -14,6 +14,9 @@ from trackmetrics.llm.common import broadcast_if_small
 from trackmetrics.llm.queries import on_workers, vocabulary
 from trackmetrics.session import materialise
 
+#: Encoded pieces a worker keeps: after four stages the executors have grown, so fewer than where encoding runs alone.
+TABLE_PIECES = 150_000
+
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Documents whose doc_id is not in ``ids`` (a list of rejected ones, far fewer than the documents)."""
@@ -52,7 +55,7 @@ def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents and their places in sequences."""
     on_workers(spark)
-    return packing.pack(docs, vocabulary())
+    return packing.pack(docs, vocabulary(), table_pieces=TABLE_PIECES)
 
 
 STAGES = [

@@ -33,6 +33,7 @@ class Encoder:
         self.specials = [content for _, content in special]
         self.joint, self.joint_id = (special[0][1], special[0][0]) if special else (None, None)
         self.table: dict[str, bytes] = {}
+        self.limit = TABLE_PIECES
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -63,7 +64,7 @@ class Encoder:
         unseen = set().union(*[pieces for _, pieces in cut]).difference(table) - {""}
         extra = self._learn(list(unseen))
         extra[""] = b""
-        if len(table) < TABLE_PIECES:
+        if len(table) < self.limit:
             table.update(extra)
             for i, pieces in cut:
                 out[i] = b"".join(map(table.__getitem__, pieces))
@@ -89,10 +90,11 @@ def release() -> None:
     _encoders.clear()
 
 
-def encoded_batches(texts, path: str, end_id: int, max_chars: int = 1_000_000):
-    """(first index, list of id bytes with the end id) for slices of an Arrow text column, about a MB each."""
+def encoded_batches(texts, path: str, end_id: int, max_chars: int = 1_000_000, table_pieces: int | None = None):
+    """(first index, list of id bytes with the end id) for slices of an Arrow text column, about a MB each; the worker keeps ``table_pieces`` pieces."""
     end = np.array([end_id], dtype="<u4").tobytes()
     enc, start, size, some = encoder(path), 0, 0, []
+    enc.limit = table_pieces or TABLE_PIECES
     for i in range(len(texts)):
         text = texts[i].as_py() or ""
         some.append(text)

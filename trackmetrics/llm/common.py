@@ -95,6 +95,11 @@ def give_back() -> None:
     bpe = sys.modules.get("trackmetrics.llm.bpe")
     if bpe is not None:
         bpe.release()
+    trim()
+
+
+def trim() -> None:
+    """Return freed buffers that the allocators keep."""
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         ctypes.CDLL(None).malloc_trim(0)

@@ -20,22 +20,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from trackmetrics.llm.bpe import encoded_batches
-from trackmetrics.llm.common import numbered
+from trackmetrics.llm.common import numbered, trim
 from trackmetrics.session import materialise
 
 CAPACITY = 1024
 END_ID = 2
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, table_pieces: int | None = None) -> DataFrame:
     """Tokenised documents cut to the capacity: doc_id, rid, piece, start, length, ids_crc32 (and ids)."""
     schema = "doc_id long, rid long, piece int, start long, length int, ids_crc32 long" + (", ids binary" if with_ids else "")
     names = [f.split()[0] for f in schema.split(", ")]
 
     def cut(batches):
+        trim()  # workers come from earlier stages; their tables of pieces are this stage's own
         for batch in batches:
             ids_col, rids = batch.column("doc_id"), batch.column("rid")
-            for first, encoded in encoded_batches(batch.column("text"), vocabulary, end_id):
+            for first, encoded in encoded_batches(batch.column("text"), vocabulary, end_id, table_pieces=table_pieces):
                 rows = {n: [] for n in names}
                 for k, raw in enumerate(encoded):
                     n = len(raw) // 4
@@ -142,6 +143,6 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, table_pieces: int | None = None) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
-    return place(materialise(pieces(docs, vocabulary, capacity, end_id, id_col, text_col, with_ids), "pieces"), capacity)
+    return place(materialise(pieces(docs, vocabulary, capacity, end_id, id_col, text_col, with_ids, table_pieces), "pieces"), capacity)
