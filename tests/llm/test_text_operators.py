@@ -244,3 +244,11 @@ def test_ranges_known_in_a_task_are_joined(spark):
     every = spark.sparkContext.broadcast(np.full((1 << repeats.BITMAP_BITS) // 8, 255, dtype=np.uint8))
     found = repeats._candidates(source, every, repeats.LENGTH, repeats.GRAM).where("doc_id = 1 AND bytes IS NULL").collect()
     assert len(found) == 1 and found[0]["last"] - found[0]["first"] > 1800
+
+
+def test_names_spread_over_buckets_and_bitmap():
+    """A name is the lowest hash of its window; unmixed, nine tenths of them would lie in the lowest 32nd."""
+    data = np.random.default_rng(5).integers(97, 123, 200_000).astype(np.uint8)
+    names = repeats.representatives(data, np.array([0, len(data)]))[4]
+    shares = np.bincount((names >> np.uint64(59)).astype(np.int64), minlength=32) / len(names)
+    assert len(names) > 4_000 and shares.max() < 0.05 and shares.min() > 0.015

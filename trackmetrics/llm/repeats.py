@@ -110,7 +110,8 @@ def representatives(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH,
     last = start[np.append(np.flatnonzero(fresh)[1:] - 1, len(start) - 1)] if len(start) else start
     place, row = place[fresh], row[first]
     base = offsets[row]
-    return row, place - base, first - base, last - base, names[place]
+    # The lowest hashes of their windows crowd at the low end; mixed again, names spread over the buckets and the bitmap.
+    return row, place - base, first - base, last - base, textkernel.mix(names[place])
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
