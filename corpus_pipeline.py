@@ -16,6 +16,17 @@ from trackmetrics.session import materialise
 
 #: Encoded pieces a worker keeps: after four stages the executors have grown, so fewer than where encoding runs alone.
 TABLE_PIECES = 150_000
+#: Rows handed to a Python worker at a time: a batch of texts or shingle sets stands in the executor, in the worker and in its results.
+BATCH_ROWS = 1_000
+
+
+def _on_workers(spark: SparkSession) -> None:
+    on_workers(spark)
+    if int(spark.conf.get(_BATCH_CONF)) > BATCH_ROWS:  # a session with smaller batches keeps them
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -25,13 +36,13 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised classifier does not reject and that are not abusive."""
-    on_workers(spark)
+    _on_workers(spark)
     return quality.classify(docs, with_text=True).where("keep AND NOT toxic").select(docs.columns)
 
 
 def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that stand earlier; documents that lose their last word this way go, n_chars follows the text."""
-    on_workers(spark)
+    _on_workers(spark)
     cleaned = line_dedup.dedup_lines(docs)
     emptied = (F.col("n_exact") + F.col("n_near") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     cleaned = cleaned.where(~F.coalesce(emptied, F.lit(False)))
@@ -40,21 +51,21 @@ def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of smallest doc_id, of each group linked by equal or similar shingle sets."""
-    on_workers(spark)
+    _on_workers(spark)
     groups = materialise(jaccard_join.similar_sets(docs), "groups")
     return _without(docs, groups.where("component_id <> doc_id"))
 
 
 def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark does not contaminate."""
-    on_workers(spark)
+    _on_workers(spark)
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _without(docs, materialise(found.where("contaminated").select("doc_id"), "contaminated"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents and their places in sequences."""
-    on_workers(spark)
+    _on_workers(spark)
     return packing.pack(docs, vocabulary(), table_pieces=TABLE_PIECES)
 
 

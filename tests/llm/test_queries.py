@@ -35,3 +35,18 @@ def test_pipeline(spark):
     assert len({tuple(x.encode().lower().split()) for x in lines}) == len(lines)
     packed = corpus_pipeline.run(spark, FOLDER).collect()
     assert {r["doc_id"] for r in packed} == set(kept["benchmark_filter"])
+
+
+def test_pipeline_stages_hand_small_batches_to_workers(spark):
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, "10000")
+        docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+        assert corpus_pipeline.pack_sequences(spark, docs, FOLDER).count() == 2
+        assert int(spark.conf.get(conf)) <= 1_000
+        spark.conf.set(conf, "10")
+        corpus_pipeline.pack_sequences(spark, docs, FOLDER)
+        assert spark.conf.get(conf) == "10"
+    finally:
+        spark.conf.set(conf, before)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from trackmetrics.llm import textkernel
-from trackmetrics.llm.common import broadcast_if_small, components, merge_labels, record_batch
+from trackmetrics.llm.common import broadcast_if_small, components, lean, merge_labels, record_batch
 from trackmetrics.session import materialise
 
 WORDS = 5
@@ -64,7 +64,7 @@ def _summaries(source: DataFrame, k: int) -> DataFrame:
             zero = [0] * len(parts)
             yield record_batch({"kind": [1] * len(parts), "doc_id": list(range(len(parts))), "n": zero, "d1": zero, "d2": zero, "cells": [p.tobytes() for p in parts]}, schema)
 
-    return source.mapInArrow(run, "kind int, doc_id long, n long, d1 long, d2 long, cells binary")
+    return source.mapInArrow(lean(run), "kind int, doc_id long, n long, d1 long, d2 long, cells binary")
 
 
 def _count(counts: np.ndarray, found: list[np.ndarray]) -> None:
@@ -88,7 +88,7 @@ def _levels(parts: DataFrame) -> np.ndarray:
         yield record_batch({"part": list(total), "levels": scaled}, schema)
 
     levels = np.zeros(CELLS, dtype=np.uint8)
-    summed = parts.select(F.col("doc_id").alias("part"), "cells").repartition("part").mapInArrow(run, "part long, levels binary")
+    summed = parts.select(F.col("doc_id").alias("part"), "cells").repartition("part").mapInArrow(lean(run), "part long, levels binary")
     for r in summed.toLocalIterator():  # CELLS bytes in all, whatever the corpus
         levels[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["levels"], dtype=np.uint8)
     return levels
@@ -131,7 +131,7 @@ def _postings(source: DataFrame, k: int, percent: int, levels) -> DataFrame:
             "d2": np.repeat(np.array([p[2][1] for p in parts], dtype=np.int64), sizes),
         }, schema)
 
-    return source.mapInArrow(run, "token long, n int, pos int, d1 long, d2 long")
+    return source.mapInArrow(lean(run), "token long, n int, pos int, d1 long, d2 long")
 
 
 def _keep_members(n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
@@ -211,7 +211,7 @@ def _leaders(postings: DataFrame, percent: int) -> DataFrame:
         return record_batch({"l1": rows[:, 0], "l2": rows[:, 1], "d1": rows[:, 2], "d2": rows[:, 3], "n": rows[:, 4].astype(np.int32)}, schema)
 
     ordered = postings.repartition("token").sortWithinPartitions("token", "n", "d1", "d2")
-    return ordered.mapInArrow(run, "l1 long, l2 long, d1 long, d2 long, n int")
+    return ordered.mapInArrow(lean(run), "l1 long, l2 long, d1 long, d2 long, n int")
 
 
 def _sets(source: DataFrame, k: int) -> DataFrame:
@@ -230,7 +230,7 @@ def _sets(source: DataFrame, k: int) -> DataFrame:
             if rows:
                 yield record_batch({"doc_id": ids.take(pa.array(rows)), "d1": d1, "d2": d2, "values": out}, schema)
 
-    return source.mapInArrow(run, "doc_id long, d1 long, d2 long, values binary")
+    return source.mapInArrow(lean(run), "doc_id long, d1 long, d2 long, values binary")
 
 
 def group_links(sets: list[np.ndarray], leader: int, percent: int, left: np.ndarray | None = None) -> np.ndarray:
@@ -309,7 +309,7 @@ def _links(units: DataFrame, percent: int) -> DataFrame:
             yield record_batch({"a": [ids[i] for i in own], "b": [ids[labels[i]] for i in own]}, schema)
 
     ordered = units.repartition("l1", "l2", "bi", "bj").sortWithinPartitions("l1", "l2", "bi", "bj", "d1", "d2")
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(lean(run), "a long, b long")
 
 
 def similar_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
