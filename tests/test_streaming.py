@@ -78,3 +78,17 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
     (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
     run.take()
     assert (run.counted(), run.stored()) == before
+
+
+def test_state_has_a_row_per_bucket_and_not_per_event(spark, tmp_path):
+    """One call of the processor takes a bucket's events; repeats of a later micro-batch are found among all entries of the bucket."""
+    run = Run(spark, tmp_path)
+    events = [(u, f"2024-01-10T10:{u % 60:02d}:00", 5) for u in range(4 * ST.BUCKETS)]
+    add(spark, run.folder, events)
+    query = ST.start_events(ST.event_stream(spark, run.folder, "*.parquet"), run.store, run.counts, run.state)
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(kept) <= 2 * ST.BUCKETS
+    run.take(*events[:100], (9_999, "2024-01-10T12:00:00", 5))
+    run.take(*events[50:150], (9_999, "2024-01-10T12:00:00", 5))
+    assert run.counted() == {("2024-01-10", "m5"): 4 * ST.BUCKETS + 1}

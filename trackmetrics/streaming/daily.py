@@ -1,7 +1,7 @@
 """Events and daily counts per title as a stream over arriving files.
 
-Nothing is dropped for being late.  Which events were seen before is keyed state: a value per event, forgotten by a timer once
-the newest event is more than ``late_days`` days ahead.  Only events older than that are compared with what is
+Nothing is dropped for being late.  Which events were seen before is keyed state: the events of a bucket of a day, forgotten by a timer once
+the newest event is more than ``late_days`` days ahead of the day.  Only events older than that are compared with what is
 stored, and only with what is stored from before that bound.  An event received more than ``late_days`` days after its day goes to the
 partition of old events.  Daily counts are kept as one part per micro-batch and added up by ``daily_counts``, so open days
 are published too and no stored event is read again to count it.
@@ -14,7 +14,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from trackmetrics.functions import text as X
@@ -24,6 +25,10 @@ from trackmetrics.session import materialise
 from trackmetrics.sources.layout import has_partitions, read_partitioned, write_rebalanced
 
 EVENT_KEY = ["user_tok", "ts", "msid"]
+EVENT_STATE = ["user_tok", "ts_us", "msid"]
+DAY_MS = 86_400_000
+#: Buckets of a day's events in the state; a bucket's events of the open days are held by one task at a time.
+BUCKETS = 256
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -42,27 +47,37 @@ def event_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
 def _processor() -> StatefulProcessor:
     """Made inside a function, so that it travels to the workers by value."""
 
+    def plain(events: pd.DataFrame) -> tuple[list, ...]:
+        """Columns as lists, None for a missing value: pandas has several."""
+        columns = [events[c].astype(object) for c in EVENT_STATE]
+        return tuple(c.where(c.notna(), None).tolist() for c in columns)
+
     class FirstSeen(StatefulProcessor):
-        """Gives out each event once while its state lasts; events behind the watermark are given out as ``old``, for the caller to compare."""
+        """Gives out each event of a day's bucket once while its state lasts; events behind the watermark are given out as ``old``, for the caller to compare."""
 
         def init(self, handle) -> None:
             self.handle = handle
-            self.seen = handle.getValueState("seen", "seen boolean")
+            # An entry per micro-batch, so that a new one does not write the earlier ones again.
+            self.seen = handle.getListState("seen", "user_tok array<string>, ts_us array<bigint>, msid array<string>")
 
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            user, micros, title = key
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             newest = timerValues.getCurrentWatermarkInMs()
-            for _ in rows:  # repeats within a micro-batch
-                pass
-            old = micros is None or micros // 1000 < newest
-            if not old:
-                if self.seen.exists():
-                    return
-                self.seen.update((True,))
-                self.handle.registerTimer(micros // 1000)
-            yield Row(user_tok=user, ts_us=micros, msid=title, watermark_ms=newest, old=old)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            found = pd.concat([r[EVENT_STATE] for r in rows], ignore_index=True).drop_duplicates()
+            found["old"] = found["ts_us"].isna() | (found["ts_us"] // 1000 < newest)
+            fresh = found[~found["old"]]
+            if len(fresh) and self.seen.exists():
+                known = set()
+                for entry in self.seen.get():
+                    known.update(zip(*entry))
+                repeated = pd.Series([event in known for event in zip(*plain(fresh))], index=fresh.index, dtype=bool)
+                found, fresh = found.drop(fresh.index[repeated]), fresh[~repeated]
+            if len(fresh):
+                self.seen.appendValue(plain(fresh))
+                self.handle.registerTimer((int(key[0]) + 1) * DAY_MS)  # from then on all events of the day are old
+            if len(found):
+                yield found.assign(ts_us=found["ts_us"].astype("Int64"), watermark_ms=newest)[[*EVENT_STATE, "watermark_ms", "old"]]
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
             self.seen.clear()
             return iter(())
 
@@ -75,10 +90,13 @@ def _processor() -> StatefulProcessor:
 def first_seen(events: DataFrame, late_days: int = LATE_DAYS) -> DataFrame:
     """Stream of events not seen before, with the watermark they met.
 
-    The key is the time in microseconds, which carries no watermark: Spark would drop rows behind it, and these are wanted.
+    Events are dealt by a hash into ``BUCKETS`` buckets a day: a call of Python and of the state takes a bucket's events of a micro-batch,
+    not one event.  The key is the day as a number, which carries no watermark: Spark would drop rows behind it, and these are wanted.
     """
     watched = events.withWatermark("ts", f"{late_days + 1} days").select("user_tok", F.unix_micros("ts").alias("ts_us"), "msid")
-    return watched.groupBy("user_tok", "ts_us", "msid").transformWithState(
+    day = F.coalesce(F.floor(F.col("ts_us") / F.lit(1000 * DAY_MS)), F.lit(-1 << 40)).cast("long")  # events without a time keep no state
+    keyed = watched.withColumn("__day", day).withColumn("__bucket", F.pmod(F.xxhash64(*EVENT_STATE), F.lit(BUCKETS)).cast("int"))
+    return keyed.groupBy("__day", "__bucket").transformWithStateInPandas(
         statefulProcessor=_processor(), outputStructType="user_tok string, ts_us long, msid string, watermark_ms long, old boolean",
         outputMode="append", timeMode="eventTime",
     )
