@@ -140,3 +140,30 @@ def test_sample_is_bounded_and_edge_cases_are_defined(spark):
     assert len(constant.roots) == 0
     nothing = B.load(B.fit(df.withColumn("a", F.lit(None).cast("double")), ["a"], "y", "id", tasks))[0]
     assert B.score(df.limit(2), ["a"], nothing).agg(F.min("score")).first()[0] == 0.5
+
+
+def test_contributions_of_more_rows_integrate_nothing_again(monkeypatch):
+    """Rows look up what a leaf gives: the integrals belong to the model."""
+    x, y = sample(n=200, seed=9)
+    model = flat(*B.grow(x, y, (0.2, 8, 5, 4)))
+    known = B.lookup(B.paths(model), x.shape[1])
+    direct = B.lookup(B.paths(model), x.shape[1])._replace(leaves=[(limits, leaf, None) for limits, leaf, _ in known.leaves])
+    rows = np.concatenate([x, [[np.inf] * 4, [-np.inf] * 4, [np.nan] * 4]])
+    want = B.contributions(direct, rows)
+    monkeypatch.setattr(np.polynomial.legendre, "leggauss", None)
+    assert (B.contributions(known, rows) == want).all()
+    assert B.contributions(known, rows[:0]).shape == (0, 4)
+
+
+def test_scoring_holds_no_block_of_rows_times_trees():
+    import tracemalloc
+
+    x, y = sample(n=256)
+    base, trees = B.grow(x, y, SETTING)
+    model = flat(base, trees * 200)
+    tracemalloc.start()
+    scores = B.raw_scores(model, x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8_000_000
+    assert scores == pytest.approx(200 * B.raw_scores(flat(base, trees), x))

@@ -188,21 +188,20 @@ def load(trees: DataFrame) -> dict[int, Model]:
 
 
 def raw_scores(model: Model, x: np.ndarray) -> np.ndarray:
-    """Log odds of each row; all trees of a block of rows descend together."""
+    """Log odds of each row; a node of a tree parts the rows that reach it, so a row costs its own depth and no block of rows times trees is held."""
     out = np.full(len(x), model.base)
-    if not len(model.roots):
-        return out
-    for start in range(0, len(x), 256):
-        block = x[start:start + 256]
-        at = np.tile(model.roots, (len(block), 1))
-        while True:
-            feature = model.feature[at]
-            inner = feature >= 0
-            if not inner.any():
-                break
-            high = np.take_along_axis(block, np.maximum(feature, 0), axis=1) > model.threshold[at]
-            at = np.where(inner, np.where(high, model.above[at], model.below[at]), at)
-        out[start:start + 256] += model.value[at].sum(axis=1)
+    columns = np.ascontiguousarray(x.T)
+    feature, threshold, below, above, value = (a.tolist() for a in (model.feature, model.threshold, model.below, model.above, model.value))
+    every = np.arange(len(x))
+    for root in model.roots.tolist():
+        todo = [(root, every)]
+        while todo:
+            node, rows = todo.pop()
+            if feature[node] < 0:
+                out[rows] += value[node]
+            elif len(rows):
+                high = columns[feature[node]].take(rows) > threshold[node]  # a null is on the lower side
+                todo += [(above[node], rows.compress(high)), (below[node], rows.compress(~high))]
     return out
 
 
@@ -256,39 +255,84 @@ def expected(model: Model, leaves: Sequence[Path]) -> float:
     return model.base + sum(p.value * float(np.prod(p.share)) for p in leaves)
 
 
-def contributions(leaves: Sequence[Path], x: np.ndarray) -> np.ndarray:
-    """Exact Shapley value of each feature for each row, unknown features following the training shares of the tree.
+def _gains(leaf: Path, stays: np.ndarray) -> np.ndarray:
+    """Contribution of each feature of a leaf, for rows that stay on its way by the features that are 1.
 
-    In a leaf, a known feature counts 1 or 0 (the row stays on its way or not), an unknown one its share.  The weight of a set of
-    known features, k! (d-1-k)! / d!, is the integral of t^k (1-t)^(d-1-k) over [0, 1].  The sum over all sets is thus the integral
-    of a product of d - 1 linear factors, which Gauss-Legendre nodes integrate exactly: d steps instead of 2^d sets.
+    A known feature counts 1 or 0 (the row stays or not), an unknown one its share.  The weight of a set of known features,
+    k! (d-1-k)! / d!, is the integral of t^k (1-t)^(d-1-k) over [0, 1].  The sum over all sets is thus the integral of a product of
+    d - 1 linear factors, which Gauss-Legendre nodes integrate exactly: d steps instead of 2^d sets.
     """
-    out = np.zeros(x.shape)
-    low_nan = np.where(np.isnan(x), -np.inf, x)
+    nodes, weights = np.polynomial.legendre.leggauss((len(leaf.features) + 1) // 2)
+    gain = np.zeros(stays.shape)
+    for t, w in zip((nodes + 1) / 2, weights / 2):
+        factor = stays * t + leaf.share * (1 - t)  # positive: no share is 0
+        gain += w * factor.prod(axis=1, keepdims=True) / factor
+    return leaf.value * (stays - leaf.share) * gain
+
+
+#: A leaf of at most so many features has a table of its contributions: a column per set of features that a row stays by.
+TABLE_FEATURES = 9
+
+
+class Lookup(NamedTuple):
+    """What contributions need of a model, whatever the rows: thresholds per feature, and per leaf its (feature, place of low, place of high), path and table."""
+
+    bounds: list[np.ndarray]
+    leaves: list[tuple[list[tuple[int, int, int]], Path, np.ndarray | None]]
+
+
+def lookup(leaves: Sequence[Path], n_features: int) -> Lookup:
+    found: list[set[float]] = [set() for _ in range(n_features)]
+    for leaf in leaves:
+        for f, low, high in zip(leaf.features.tolist(), leaf.low.tolist(), leaf.high.tolist()):
+            found[f].update((low, high))
+    bounds = [np.array(sorted(s)) for s in found]
+    place = [{v: i for i, v in enumerate(b.tolist())} for b in bounds]
+    out = []
     for leaf in leaves:
         d = len(leaf.features)
         if not d:
             continue
-        own = low_nan[:, leaf.features]
-        # -inf is a null, which is below every threshold
-        stays = ((own > leaf.low) | np.isneginf(leaf.low)) & (own <= leaf.high)
-        nodes, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
-        gain = np.zeros(own.shape)
-        for t, w in zip((nodes + 1) / 2, weights / 2):
-            factor = stays * t + leaf.share * (1 - t)  # positive: no share is 0
-            gain += w * factor.prod(axis=1, keepdims=True) / factor
-        out[:, leaf.features] += leaf.value * (stays - leaf.share) * gain
-    return out
+        # -inf as the lower end holds every row, a null too
+        limits = [(f, -1 if low == -np.inf else place[f][low], place[f][high]) for f, low, high in zip(leaf.features.tolist(), leaf.low.tolist(), leaf.high.tolist())]
+        table = np.ascontiguousarray(_gains(leaf, (np.arange(1 << d)[:, None] >> np.arange(d)) & 1).T) if d <= TABLE_FEATURES else None
+        out.append((limits, leaf, table))
+    return Lookup(bounds, out)
+
+
+def contributions(known: Lookup | Sequence[Path], x: np.ndarray) -> np.ndarray:
+    """Exact Shapley value of each feature for each row, unknown features following the training shares of the tree.
+
+    A row enters a leaf only by the features it stays with: rows look their contributions up in the leaf's table, unless the leaf has many features.
+    """
+    if not isinstance(known, Lookup):
+        known = lookup(known, x.shape[1])
+    out = np.zeros(x.shape[::-1])
+    # A null is below every threshold.  Places among the thresholds decide as the numbers do, and are small.
+    codes = [np.searchsorted(b, np.where(np.isnan(c), -np.inf, c)).astype(np.int32) for b, c in zip(known.bounds, x.T)]
+    for limits, leaf, table in known.leaves:
+        own = [codes[f] <= high if low < 0 else (codes[f] > low) & (codes[f] <= high) for f, low, high in limits]
+        if table is None:
+            out[leaf.features] += _gains(leaf, np.stack(own, axis=1)).T
+            continue
+        at = own[0].astype(np.uint16)
+        for i, stays in enumerate(own[1:], 1):
+            at |= np.left_shift(stays, i, dtype=np.uint16)
+        at = at.astype(np.intp)
+        for (f, _, _), gain in zip(limits, table):
+            out[f] += gain.take(at)
+    return out.T
 
 
 def explain(df: DataFrame, features: Sequence[str], model: Model) -> DataFrame:
     """All rows with ``raw`` (log odds), ``base`` (expected log odds) and ``shap``, an array with one value per feature."""
     leaves = paths(model)
     base = expected(model, leaves)
+    known = df.sparkSession.sparkContext.broadcast(lookup(leaves, len(features)))  # the model's own size, whatever the rows
 
     @F.pandas_udf("raw double, base double, shap array<double>")
     def shapley(*columns: pd.Series) -> pd.DataFrame:
         x = features_of(columns)
-        return pd.DataFrame({"raw": raw_scores(model, x), "base": base, "shap": list(contributions(leaves, x))})
+        return pd.DataFrame({"raw": raw_scores(model, x), "base": base, "shap": list(contributions(known.value, x))})
 
     return df.withColumn("__e", shapley(*[F.col(c).cast("double") for c in features])).select(*df.columns, "__e.*")
