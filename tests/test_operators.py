@@ -298,6 +298,20 @@ def test_planned_write_replaces_only_its_partitions(spark, tmp_path):
     assert spark.read.parquet(path).where("p = 1").count() == 5
 
 
+def test_small_planned_files_are_written_many_by_a_task(spark, tmp_path, monkeypatch):
+    """Tasks follow the bytes: several files each, and no partition beyond its plan, however its rows fall into buckets."""
+    df = spark.range(3000).selectExpr("id", "id % 7 AS s", "CASE WHEN id < 2500 THEN 'a' WHEN id < 2999 THEN 'b' ELSE 'c' END AS p")
+    for task_bytes, n_tasks in ((L.TASK_BYTES, 3), (8_000, 15)):
+        monkeypatch.setattr(L, "TASK_BYTES", task_bytes)
+        path = str(tmp_path / str(task_bytes))
+        assert L.write_planned(df, path, ["p"], ["id"], row_bytes=10.0, target_bytes=500) == 61
+        found = spark.read.parquet(path).selectExpr("*", "_metadata.file_name AS f").cache()
+        files = {r["p"]: r["count"] for r in found.select("p", "f").distinct().groupBy("p").count().collect()}
+        assert 45 <= files["a"] <= 50 and 8 <= files["b"] <= 10 and files["c"] == 1
+        assert 0 < found.selectExpr("substring(f, 1, 10)").distinct().count() <= n_tasks
+        assert sorted(r["id"] for r in found.collect()) == list(range(3000))
+
+
 def test_path_audit(spark):
     paths = ["a/date=2024-01-31/f", "a/date=2024-02-31/f", "a/date=2024-1-31/f", "b/mois=2024-13/f", "b/mois=2024-12/f", "x"]
     got = L.path_audit(spark.createDataFrame([(p,) for p in paths], "path string"), "path",

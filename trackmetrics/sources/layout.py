@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from trackmetrics.session import TASK_BYTES
+
 FILE_BYTES = 256 * 2**20
 
 
@@ -32,16 +34,24 @@ def write_planned(
     """Write a partitioned table with as many files per partition as its volume asks for.
 
     A hot partition is cut in buckets by a hash of ``spread``; partitions present
-    in ``df`` are replaced, all others stay.  Returns the number of planned files.
+    in ``df`` are replaced, all others stay.  A bucket is a file, or a task's share of small files, cut by
+    rows: what tasks report to the driver follows the bytes and not the files.  Returns the number of planned files.
     """
-    plan = file_plan(df, partitions, row_bytes, target_bytes)
-    total = plan.agg(F.coalesce(F.sum("files"), F.lit(1))).first()[0]  # one number
+    per_task = max(1, TASK_BYTES // target_bytes)
+    sizes = df.groupBy(*partitions).agg(F.count(F.lit(1)).alias("__n"))
+    files = files_for(F.col("__n").cast("double"), row_bytes, target_bytes)
+    plan = sizes.withColumn("__files", files).withColumn("__buckets", F.ceil(F.col("__files") / per_task).cast("int"))
+    # The last file of each bucket may be short, so all but one of the buckets have a file less to fill.
+    rows = F.ceil(F.col("__n") / (F.col("__files") - F.col("__buckets") + 1))
+    total, tasks, longest = plan.agg(*[F.coalesce(x, F.lit(1)) for x in (F.sum("__files"), F.sum("__buckets"), F.max(rows))]).first()  # three numbers
     # One plan row per partition value (days or months): the calendar bounds the broadcast.
-    placed = df.join(F.broadcast(plan), list(partitions)).withColumn("__bucket", F.pmod(F.xxhash64(*spread), F.col("files")))
-    shuffled = placed.repartition(int(total), *partitions, "__bucket").drop("files", "__bucket")
+    buckets = plan.select(*partitions, "__buckets")
+    placed = df.join(F.broadcast(buckets), list(partitions)).withColumn("__bucket", F.pmod(F.xxhash64(*spread), F.col("__buckets")))
+    shuffled = placed.repartition(int(tasks), *partitions, "__bucket").drop("__buckets", "__bucket")
     writer = shuffled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    limits = [x for x in (rows_per_file, int(longest) if per_task > 1 else 0) if x]
+    if limits:
+        writer = writer.option("maxRecordsPerFile", min(limits))
     writer.parquet(path)
     return int(total)
 
