@@ -130,7 +130,8 @@ def boosting_grid(t):
     for i in tasks:
         scored = B.score(scored, x, models.get(i), f"score_{i}")
     scored = materialise(scored.drop(*x), "ml9-scored")
-    return results(t, [(f"boosting_{i}", 0, scored.count(), M.auc(scored, "is_hit", f"score_{i}").first()["auc"], None, None) for i in tasks])
+    n = scored.count()
+    return results(t, [(f"boosting_{i}", 0, n, M.auc(scored, "is_hit", f"score_{i}").first()["auc"], None, None) for i in tasks])
 
 
 @query("ml10_metrics", """
