@@ -127,3 +127,35 @@ def test_models_score_in_a_session_that_observed_a_query(spark):
     df = spark.createDataFrame([(float(i % 7), i % 7 // 4, i % 2) for i in range(60)], "a double, is_hit int, fold int")
     for make in (lambda: M.forest(["a"], "is_hit", 2, 3), lambda: M.logistic(["a"], "is_hit")):
         assert [r[1:4] for r in M.cross_validate(df, "is_hit", make, "observed")] == [(0, 30, 1.0), (1, 30, 1.0)]
+
+
+def test_facts_are_computed_once_for_the_merge_proof(spark):
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    rows = [(datetime.date(2001, month, 1), f"2001-{month:02d}", f"m{k}", k, 1) for month in (6, 7, 8) for k in range(4)]
+    facts = spark.createDataFrame(rows, "date date, mois string, msid string, listens long, listeners long").withColumn("listens", counted("listens"))
+    found = {r["state"]: r[1:] for r in BODIES["st14_merge_proof"](tables(spark, day_facts=facts)).collect()}
+    assert found == {"initial": (12, 1, None), "damaged": (8, 0, 8), "merged": (12, 1, 0), "merged_again": (12, 1, 0)}
+    assert seen.value == len(rows)
+
+
+def test_lines_loaded_more_than_once_are_parsed_once(spark, monkeypatch):
+    from trackmetrics.operators import contract
+
+    parsed, parse = [], contract.parse
+    monkeypatch.setattr(contract, "parse", lambda lines, c: parsed.append(lines) or parse(lines, c))
+    lines = raw_listens(spark, *[()] * 300, ("truncated",), ("drift",), ("has_ip",))
+    t = tables(spark, raw_listens=lines, listens=lines)
+    found = [(r["dump"], r["outcome"], r["n_read"], r["kept"], r["rejected"], r["written"], r["stored"]) for r in BODIES["ct9_all_or_nothing"](t).collect()]
+    assert found == [
+        ("1", "REFUSE", 303, 301, 2, 0, 0), ("2", "REFUSE", 302, 300, 2, 0, 0), ("3", "REFUSE", 302, 300, 2, 0, 0),
+        ("4", "CONTROLE_OK", 302, 300, 2, 0, 0), ("5", "APLATI_OK", 302, 300, 2, 300, 300), ("5", "APLATI_ECHEC", 604, 600, 4, 300, 300),
+    ]
+    assert len(parsed) == 2

@@ -17,6 +17,11 @@ from trackmetrics.sources.layout import STAGING, delete_folders, has_partitions,
 LEDGER = "no int, start_s bigint, end_s bigint, announced bigint, n_rows bigint, recent bigint, old bigint, registered_s bigint, verdict string"
 
 
+def parse_batch(lines: DataFrame, contract: CT.Contract) -> DataFrame:
+    """Lines parsed and stored: loads of the same lines share them, if their contracts have the same fields (tolerances may differ)."""
+    return materialise(CT.parse(lines, contract), "parsed")
+
+
 def load_batch(
     lines: DataFrame,
     contract: CT.Contract,
@@ -27,10 +32,11 @@ def load_batch(
     expected: int,
     control_only: bool = False,
     max_duplicates: float = 1.0,
+    parsed: DataFrame | None = None,
 ) -> DataFrame:
     """Load one batch of raw lines all or nothing; one row with the outcome and the counts.
 
-    The lines are parsed once and stored.  The contract decides on one row whether anything is written.  The batch
+    The lines are parsed once and stored; ``parsed`` is what :func:`parse_batch` stored of the same lines before.  The contract decides on one row whether anything is written.  The batch
     is then written to a staging folder and checked there: routing, row count, and at most a share ``max_duplicates`` of repeats.
     Only a batch that passes is published, by renaming its partitions into the table; otherwise the table stays as it was, byte for byte.
     Reloading a batch replaces exactly its partitions.
@@ -38,7 +44,7 @@ def load_batch(
     spark = lines.sparkSession
     for path in (target, rejected):
         resume_publication(spark, path)
-    parsed = materialise(CT.parse(lines, contract), "parsed")
+    parsed = parse_batch(lines, contract) if parsed is None else parsed
     decision = CT.batch_outcome(CT.measures(parsed), contract, expected).first()
     outcome, written, bad_routing = decision["outcome"], 0, 0
     if outcome == "ECRIRE" and control_only:
