@@ -92,3 +92,14 @@ def test_state_has_a_row_per_bucket_and_not_per_event(spark, tmp_path):
     run.take(*events[:100], (9_999, "2024-01-10T12:00:00", 5))
     run.take(*events[50:150], (9_999, "2024-01-10T12:00:00", 5))
     assert run.counted() == {("2024-01-10", "m5"): 4 * ST.BUCKETS + 1}
+
+
+def test_events_without_user_title_or_time_are_kept_once(spark, tmp_path):
+    run = Run(spark, tmp_path)
+    rows = [(None, datetime.datetime(2024, 1, 10), '{"k": 5}'), (1, datetime.datetime(2024, 1, 10), "{}"), (1, datetime.datetime(1960, 1, 1, 5), '{"k": 5}')]
+    timeless = (1, None, '{"k": 5}')  # comes in one micro-batch only: it has no month whose stored events it could be compared with
+    spark.createDataFrame([*rows, timeless] * 2, SCHEMA).coalesce(1).write.parquet(run.folder)
+    for _ in range(2):
+        run.take()
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(run.folder)
+    assert run.counted() == {("2024-01-10", "m5"): 1, ("2024-01-10", None): 1, ("1960-01-01", "m5"): 1, ("None", "m5"): 1}

@@ -27,6 +27,8 @@ from trackmetrics.sources.layout import has_partitions, read_partitioned, write_
 EVENT_KEY = ["user_tok", "ts", "msid"]
 EVENT_STATE = ["user_tok", "ts_us", "msid"]
 DAY_MS = 86_400_000
+#: Stands for the day of events without a time; they are old and keep no state.
+NO_DAY = -1 << 40
 #: Buckets of a day's events in the state; a bucket's events of the open days are held by one task at a time.
 BUCKETS = 256
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -47,10 +49,12 @@ def event_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
 def _processor() -> StatefulProcessor:
     """Made inside a function, so that it travels to the workers by value."""
 
+    def told(column: pd.Series) -> list[str]:
+        """Texts that tell a missing value from an empty one: an array of the state does not keep nulls."""
+        return ["" if gone else f"={value}" for value, gone in zip(column, column.isna())]
+
     def plain(events: pd.DataFrame) -> tuple[list, ...]:
-        """Columns as lists, None for a missing value: pandas has several."""
-        columns = [events[c].astype(object) for c in EVENT_STATE]
-        return tuple(c.where(c.notna(), None).tolist() for c in columns)
+        return told(events["user_tok"]), events["ts_us"].astype(object).tolist(), told(events["msid"])
 
     class FirstSeen(StatefulProcessor):
         """Gives out each event of a day's bucket once while its state lasts; events behind the watermark are given out as ``old``, for the caller to compare."""
@@ -63,7 +67,8 @@ def _processor() -> StatefulProcessor:
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             newest = timerValues.getCurrentWatermarkInMs()
             found = pd.concat([r[EVENT_STATE] for r in rows], ignore_index=True).drop_duplicates()
-            found["old"] = found["ts_us"].isna() | (found["ts_us"] // 1000 < newest)
+            timeless = int(key[0]) == NO_DAY
+            found["old"] = timeless | (found["ts_us"] // 1000 < newest)
             fresh = found[~found["old"]]
             if len(fresh) and self.seen.exists():
                 known = set()
@@ -75,7 +80,8 @@ def _processor() -> StatefulProcessor:
                 self.seen.appendValue(plain(fresh))
                 self.handle.registerTimer((int(key[0]) + 1) * DAY_MS)  # from then on all events of the day are old
             if len(found):
-                yield found.assign(ts_us=found["ts_us"].astype("Int64"), watermark_ms=newest)[[*EVENT_STATE, "watermark_ms", "old"]]
+                times = pd.array([None] * len(found), "Int64") if timeless else found["ts_us"].astype("Int64")
+                yield found.assign(ts_us=times, watermark_ms=newest)[[*EVENT_STATE, "watermark_ms", "old"]]
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
             self.seen.clear()
@@ -94,8 +100,9 @@ def first_seen(events: DataFrame, late_days: int = LATE_DAYS) -> DataFrame:
     not one event.  The key is the day as a number, which carries no watermark: Spark would drop rows behind it, and these are wanted.
     """
     watched = events.withWatermark("ts", f"{late_days + 1} days").select("user_tok", F.unix_micros("ts").alias("ts_us"), "msid")
-    day = F.coalesce(F.floor(F.col("ts_us") / F.lit(1000 * DAY_MS)), F.lit(-1 << 40)).cast("long")  # events without a time keep no state
-    keyed = watched.withColumn("__day", day).withColumn("__bucket", F.pmod(F.xxhash64(*EVENT_STATE), F.lit(BUCKETS)).cast("int"))
+    day = F.coalesce(F.floor(F.col("ts_us") / F.lit(1000 * DAY_MS)), F.lit(NO_DAY)).cast("long")
+    dealt = watched.withColumn("__day", day).withColumn("__bucket", F.pmod(F.xxhash64(*EVENT_STATE), F.lit(BUCKETS)).cast("int"))
+    keyed = dealt.withColumn("ts_us", F.coalesce("ts_us", F.lit(0).cast("long")))  # one null would make floats of a batch's times
     return keyed.groupBy("__day", "__bucket").transformWithStateInPandas(
         statefulProcessor=_processor(), outputStructType="user_tok string, ts_us long, msid string, watermark_ms long, old boolean",
         outputMode="append", timeMode="eventTime",
