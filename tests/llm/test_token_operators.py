@@ -25,6 +25,35 @@ def test_pieces_encode_like_whole_texts(monkeypatch):
     assert enc.encode(texts) == bpe.Encoder(VOCABULARY).encode(texts)
 
 
+def test_any_characters_encode_like_whole_texts():
+    rng = np.random.default_rng(0)
+    parts = [*"abzAZ09 '.,|_-~^`\n\t\r\x0b\x1c\x1f\x7f\x85\xa0", *"éßÀÿ×÷ªºµ²½ɏɐǃ\u0300\u0345\u180e\u2003\u200b§ж中😀", " ", " ", "'s", "'ll", "'S", " 're", "\n\n", ".\nThe", " the", " of,", "***"]
+    texts = ["".join(rng.choice(parts, rng.integers(1, 30))) for _ in range(3000)] + [a + b for a in parts for b in parts] + [a + b + "a" for a in parts for b in parts]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    expected = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    enc = bpe.Encoder(VOCABULARY)
+    assert enc.encode(texts) == expected and enc.encode(texts) == expected  # unseen, then from the table
+
+
+def test_known_words_in_new_company_are_not_encoded_again(monkeypatch):
+    enc = bpe.Encoder(VOCABULARY)
+    enc.encode(["The river is wide, and the old bridge, built in 1871, isn't.\nIt was the river's."])
+    calls = []
+    monkeypatch.setattr(enc.table, "tokenize", lambda word: calls.append(word) or enc.table.tokenizer.model.tokenize(word))
+    monkeypatch.setattr(enc.table, "whole", lambda text: pytest.fail(f"{text!r} takes the whole path"))
+    text = "The river, 1871, is the bridge.\nIt was built wide, and old, isn't it, river's bridge."
+    assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == ids_of(text)[:-1].tolist()
+    assert len(calls) == 1  # " it"
+
+
+def test_table_of_pieces_is_bounded():
+    enc = bpe.Encoder(VOCABULARY)
+    enc.table.limit = 50
+    texts = [f"word{i} another{i}, Ende{i}.\nUnd" for i in range(200)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == [ids_of(t)[:-1].tolist() for t in texts]
+    assert len(enc.table) == 50
+
+
 def test_token_store_round_trip(spark, tmp_path):
     folder = f"file://{tmp_path}/tokens"
     source = docs(spark)

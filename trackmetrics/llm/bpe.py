@@ -4,74 +4,97 @@ The byte-level vocabularies never merge across a space that follows a
 non-space character, so a text is the concatenation of its pieces cut before such spaces.
 Each piece is encoded once per worker and kept in a bounded table; texts with other runs of white space or
 with a special token in them are encoded whole.
+
+A piece that is not in the table is mostly a known word in new company, or one new word.  If it holds only letters of
+the Latin blocks, ASCII digits and marks, spaces and line ends, it is cut into the words of the byte-level pre-tokenizer, whose pattern is plain
+there, and new words go to the library's model one by one.  All other pieces take the library's whole path.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 
 # White space before a space: the only places where pieces cut before every space would differ from the whole text.
 _IRREGULAR = re.compile(r"\s ")
 _MARK = "\x00"
+# The pattern of the byte-level pre-tokenizer for the plain characters; all others are left out of its matches.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[!-/:-@\[-`{{-~]+|[ \n]+(?![^ \n])|[ \n]+")
+_PLAIN = [c for c in map(chr, range(0x250)) if _WORDS.fullmatch(c)]
 #: Pieces kept per worker (about 200 bytes each).
 TABLE_PIECES = 700_000
-_PER_CALL = 500
+
+
+class _Table(dict):
+    """Ids of pieces and words, each encoded when it is first asked for; at most ``limit`` are kept."""
+
+    def __init__(self, tokenizer):
+        super().__init__({"": b""})
+        self.tokenizer, self.limit = tokenizer, TABLE_PIECES
+        self.tokenize, self.letters = tokenizer.model.tokenize, self._spelling()
+
+    def _spelling(self) -> dict[int, str] | None:
+        """How the pre-tokenizer spells the plain characters; None unless it is the byte-level one with its pattern and nothing else changes a word."""
+        from tokenizers import models, pre_tokenizers
+
+        kind, model = self.tokenizer.pre_tokenizer, self.tokenizer.model
+        if not (isinstance(kind, pre_tokenizers.ByteLevel) and kind.use_regex and not kind.add_prefix_space and self.tokenizer.normalizer is None):
+            return None
+        if not isinstance(model, models.BPE) or model.dropout:
+            return None
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        return {ord(c): "".join(word for word, _ in spell(c)) for c in _PLAIN}
+
+    def __missing__(self, piece: str) -> bytes:
+        worth = True
+        if self.letters is None:
+            ids = self.whole(piece)
+        elif _WORD.fullmatch(piece):
+            ids = self.word(piece)
+        elif len("".join(words := _WORDS.findall(piece))) < len(piece):
+            ids = self.whole(piece)
+        elif len(words) == 1:
+            ids = self.word(piece)
+        else:
+            known = len(self)
+            ids = b"".join([self[x] for x in words])
+            worth = known == len(self)  # with new words in it, a piece hardly comes again
+        if worth and len(self) < self.limit:
+            self[piece] = ids
+        return ids
+
+    def word(self, word: str) -> bytes:
+        ids = [t.id for t in self.tokenize(word.translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
 
 class Encoder:
-    """Encodes lists of texts; ``joint`` is a special token of the vocabulary that separates pieces in one call."""
+    """Encodes lists of texts."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items())
-        self.specials = [content for _, content in special]
-        self.joint, self.joint_id = (special[0][1], special[0][0]) if special else (None, None)
-        self.table: dict[str, bytes] = {}
-        self.limit = TABLE_PIECES
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        got: dict[str, bytes] = {}
-        for i in range(0, len(pieces), _PER_CALL):
-            some = pieces[i : i + _PER_CALL]
-            encoded = self.tokenizer.encode_batch_fast([self.joint.join(some)], add_special_tokens=False)[0]
-            ids = np.array(encoded.ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.joint_id) * 4
-            raw, starts, stops = ids.tobytes(), [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(ids) * 4]
-            got.update(zip(some, (raw[a:b] for a, b in zip(starts, stops))))
-        return got
+        tokenizer = Tokenizer.from_file(path)
+        self.specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.table = _Table(tokenizer)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes | None] = [None] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        for i, text in enumerate(texts):
-            if self.joint is None or _MARK in text or _IRREGULAR.search(text) or any(s in text for s in self.specials):
-                out[i] = self._whole(text)
-            elif text:
-                cut.append((i, text.replace(" ", _MARK + " ").split(_MARK)))
+        out, ids = [], self.table.__getitem__
+        for text in texts:
+            if _MARK in text or _IRREGULAR.search(text) or any(s in text for s in self.specials):
+                out.append(self.table.whole(text))
             else:
-                out[i] = b""
-        table = self.table
-        unseen = set().union(*[pieces for _, pieces in cut]).difference(table) - {""}
-        extra = self._learn(list(unseen))
-        extra[""] = b""
-        if len(table) < self.limit:
-            table.update(extra)
-            for i, pieces in cut:
-                out[i] = b"".join(map(table.__getitem__, pieces))
-        else:
-            seen = table.get
-            for i, pieces in cut:
-                out[i] = b"".join([x if (x := seen(p)) is not None else extra[p] for p in pieces])
+                out.append(b"".join(map(ids, text.replace(" ", _MARK + " ").split(_MARK))))
         return out
 
 
@@ -94,7 +117,7 @@ def encoded_batches(texts, path: str, end_id: int, max_chars: int = 1_000_000, t
     """(first index, list of id bytes with the end id) for slices of an Arrow text column, about a MB each; the worker keeps ``table_pieces`` pieces."""
     end = np.array([end_id], dtype="<u4").tobytes()
     enc, start, size, some = encoder(path), 0, 0, []
-    enc.limit = table_pieces or TABLE_PIECES
+    enc.table.limit = table_pieces or TABLE_PIECES
     for i in range(len(texts)):
         text = texts[i].as_py() or ""
         some.append(text)
