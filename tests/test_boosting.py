@@ -167,3 +167,18 @@ def test_scoring_holds_no_block_of_rows_times_trees():
     tracemalloc.stop()
     assert peak < 8_000_000
     assert scores == pytest.approx(200 * B.raw_scores(flat(base, trees), x))
+
+
+def many_rows(spark, n=40_000):
+    """More rows than a model once learned from (32 768)."""
+    at = F.col("id")
+    return spark.range(n, numPartitions=6).select(
+        at.alias("track_id"), (at % 5).cast("int").alias("fold"), (at % 97 > 60).cast("int").alias("is_hit"),
+        (at % 97).cast("double").alias("a"), F.when(at % 11 > 0, at % 1000).cast("double").alias("b"))
+
+
+def test_a_model_learns_from_all_rows(spark):
+    df = many_rows(spark)
+    tasks = {3: B.Task((0.1, 3, 5, 1), F.col("fold") != 0), 1: B.Task((0.1, 3, 5, 2), F.lit(True))}
+    found = {r["model"]: r["cover"] for r in B.fit(df, ["a", "b"], "is_hit", "track_id", tasks).where("tree = -1").collect()}
+    assert found == {3: 32_000, 1: 40_000}

@@ -1,8 +1,8 @@
 """Leaf-wise gradient boosting on binned features: many models fitted side by side, scored on all rows.
 
 A boosted tree needs the sums of the tree before it, so one model is sequential: a split as a Spark job each would be some ten
-thousand jobs a model.  What Spark distributes are the models (settings, folds) and the scoring.  A model is fitted in one task
-on a bounded sample of the labelled rows, ``TRAIN_ROWS``, chosen by a hash of the row key; every row is scored.
+thousand jobs a model.  What Spark distributes are the models (settings, folds), the thresholds and the scoring.  A model is fitted
+in one task on all labelled rows, which it holds as one byte a feature; every row is scored.
 
 Rows whose label is null are not learned from.  A null feature counts as smaller than every number, in fitting and in scoring.
 Without labelled rows a model does not exist and scores are null; with one class only it is its base score.
@@ -11,17 +11,17 @@ Without labelled rows a model does not exist and scores are null; with one class
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from trackmetrics.operators import binned
 from trackmetrics.session import materialise
 
-#: Documented bound: a model learns from about as many labelled rows.
-TRAIN_ROWS = 32_768
 #: Distinct values a feature is cut to.
 BINS = 255
 #: A side of a split must hold this much curvature, so that its value is finite.
@@ -64,14 +64,18 @@ def best_split(hist: np.ndarray, leaf_rows: int) -> tuple[float, int, int] | Non
     return (found, *divmod(at, hist.shape[2])) if found > 1e-10 else None
 
 
+#: A leaf of fewer rows is summed for all features at once.
+FEW_ROWS = 2000
+
+
 class _Tree:
-    """One tree, its best leaf cut first until the leaves are used up."""
+    """One tree, its best leaf cut first until the leaves are used up; ``codes`` has a line of bins per feature."""
 
     def __init__(self, codes: np.ndarray, g: np.ndarray, h: np.ndarray, cuts: Sequence[np.ndarray], setting) -> None:
         self.codes, self.g, self.h, self.cuts = codes, g, h, cuts
         self.step, self.leaves, self.leaf_rows, _ = setting
-        self.width = BINS + 1
-        self.shift = np.arange(codes.shape[1], dtype=np.int64) * self.width
+        self.width = max(map(len, cuts)) + 1
+        self.shift = np.arange(len(codes), dtype=np.intp)[:, None] * self.width
         self.nodes: list[list] = []
         self.rows: dict[int, np.ndarray] = {}
         self.open: list[tuple] = []
@@ -80,10 +84,17 @@ class _Tree:
             self.cut(*heapq.heappop(self.open))
 
     def histogram(self, rows: np.ndarray) -> np.ndarray:
-        shape = self.codes.shape[1], self.width
-        place = (self.codes[rows] + self.shift).ravel()
-        sums = [np.bincount(place, np.repeat(w[rows], shape[0]), shape[0] * self.width).reshape(shape) for w in (self.g, self.h)]
-        return np.stack([*sums, np.bincount(place, minlength=shape[0] * self.width).reshape(shape)])
+        g, h = self.g[rows], self.h[rows]
+        shape = len(self.codes), self.width
+        if len(rows) < FEW_ROWS:
+            place = (self.codes[:, rows] + self.shift).ravel()
+            sums = [np.bincount(place, np.tile(w, shape[0]), shape[0] * self.width).reshape(shape) for w in (g, h)]
+            return np.stack([*sums, np.bincount(place, minlength=shape[0] * self.width).reshape(shape)])
+        out = np.empty((3, *shape))
+        for j, line in enumerate(self.codes):
+            place = (line if len(rows) == len(line) else line.take(rows)).astype(np.intp)
+            out[0, j], out[1, j], out[2, j] = np.bincount(place, g, self.width), np.bincount(place, h, self.width), np.bincount(place, minlength=self.width)
+        return out
 
     def add(self, rows: np.ndarray, hist: np.ndarray | None) -> int:
         node = len(self.nodes)
@@ -92,14 +103,14 @@ class _Tree:
         value = -self.step * self.g[rows].sum() / curvature if curvature > 0 else 0.0
         self.nodes.append([-1, 0.0, -1, -1, float(value), float(len(rows)), 0.0])
         self.rows[node] = rows
-        split = best_split(hist, self.leaf_rows)
+        split = best_split(hist, self.leaf_rows) if len(rows) >= 2 * self.leaf_rows else None
         if split:
             heapq.heappush(self.open, (-split[0], node, split[1], split[2], hist))
         return node
 
     def cut(self, loss: float, node: int, feature: int, code: int, hist: np.ndarray) -> None:
         rows = self.rows.pop(node)
-        low = self.codes[rows, feature] <= code
+        low = self.codes[feature].take(rows) <= code
         sides = rows[low], rows[~low]
         # The histogram of the larger side is what the smaller one leaves of the parent's.
         small = int(len(sides[0]) > len(sides[1]))
@@ -113,7 +124,11 @@ class _Tree:
 def grow(x: np.ndarray, y: np.ndarray, setting) -> tuple[float, list[list[list]]]:
     """(base score, trees) of logistic boosting with balanced classes; a tree is a list of nodes in the order of ``TREES``."""
     cuts = [cut_points(x[:, j]) for j in range(x.shape[1])]
-    codes = np.stack([np.where(np.isnan(x[:, j]), 0, np.searchsorted(c, x[:, j])) for j, c in enumerate(cuts)], axis=1).astype(np.int64)
+    return grow_binned(binned.codes_of(cuts, x), y, cuts, setting)
+
+
+def grow_binned(codes: np.ndarray, y: np.ndarray, cuts: Sequence[np.ndarray], setting) -> tuple[float, list[list[list]]]:
+    """As :func:`grow`, for rows that are cut to bins: a line of codes per feature."""
     share = y.mean()
     if share in (0.0, 1.0):
         return (30.0 if share else -30.0), []
@@ -130,31 +145,40 @@ def grow(x: np.ndarray, y: np.ndarray, setting) -> tuple[float, list[list[list]]
     return 0.0, trees
 
 
-def fit(df: DataFrame, features: Sequence[str], target: str, key: str, tasks: Mapping[int, Task], limit: int = TRAIN_ROWS) -> DataFrame:
+def fit(df: DataFrame, features: Sequence[str], target: str, key: str, tasks: Mapping[int, Task], limit: int | None = None) -> DataFrame:
     """Stored trees of all ``tasks``, one task of the cluster each.  Row ``tree = -1`` of a model is its base score.
 
-    Each row is copied to the models that may learn from it, after the sample was taken: at most ``limit`` rows a model.
+    A model learns from all its labelled rows.  Only a caller that gives a ``limit`` gets a sample of about as many, drawn by a hash of the key.
     """
     known = df.where(F.col(target).isNotNull())
-    share = F.lit(float(limit)) / F.greatest(F.lit(1), known.agg(F.count(F.lit(1))).scalar())
-    drawn = known.where(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
-    models = F.array_compact(F.array(*[F.when(t.rows, F.lit(m)) for m, t in tasks.items()]))
-    copied = drawn.select(
-        F.explode(models).alias("model"), F.col(key).cast("string").alias("__key"), F.col(target).cast("double").alias("__y"),
-        F.array(*[F.col(c).cast("double") for c in features]).alias("__x"),
-    )
-    settings = {m: tuple(t.setting) for m, t in tasks.items()}
-
-    def one_model(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["__key", "__y"], kind="stable")  # sums do not depend on the order of arrival
-        model = int(rows["model"].iloc[0])
-        base, trees = grow(np.array([list(v) for v in rows["__x"]], dtype=float), rows["__y"].to_numpy(), settings[model])
-        out = [(model, -1, 0, -1, 0.0, -1, -1, base, float(len(rows)), 0.0)]
-        out += [(model, t, i, *node) for t, nodes in enumerate(trees) for i, node in enumerate(nodes)]
-        return pd.DataFrame(out, columns=[c.split()[0] for c in TREES.split(", ")])
-
-    # Ranges give each model a task of its own, and a stated count keeps adaptive execution from joining them.
-    return materialise(copied.repartitionByRange(len(tasks), "model").groupBy("model").applyInPandas(one_model, TREES), "trees")
+    if limit is not None:
+        share = F.lit(float(limit)) / F.greatest(F.lit(1), known.agg(F.count(F.lit(1))).scalar())
+        known = known.where(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
+    width, models, settings = len(features), list(tasks), {m: tuple(t.setting) for m, t in tasks.items()}
+    rows = binned.with_bits(known, features, target, {m: t.rows for m, t in tasks.items()}, F.col(key).cast("string").alias("__key"))
+    cuts = binned.thresholds(rows.drop("__key"), width, models, lambda x, _: cut_points(x))
+    # Sums do not depend on the order of arrival.
+    ordered = rows.orderBy(F.col("__key").asc_nulls_last(), "__y", "__x").drop("__key")
+    names = [c.split()[0] for c in TREES.split(", ")]
+
+    def one_model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for model, *block in zip(*(batch.column(c).to_pylist() for c in ("model", "part", "seq", "codes", "y"))):
+                found.setdefault(model, []).append(tuple(block))
+        for model in sorted(found):
+            codes, y = binned.joined(found.pop(model), width)
+            base, trees = grow_binned(codes, y, cuts[model], settings[model])
+            out = [(model, -1, 0, -1, 0.0, -1, -1, base, float(len(y)), 0.0)]
+            out += [(model, t, i, *node) for t, nodes in enumerate(trees) for i, node in enumerate(nodes)]
+            kinds = [pa.float64() if c.endswith("double") else pa.int32() for c in TREES.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(zip(*out), kinds)], names)
+
+    # A number each: every model has a task of its own, and those that take longest begin.
+    longest = sorted(models, key=lambda m: -settings[m][1] * settings[m][3])
+    place = F.create_map(*[F.lit(v) for i, m in enumerate(longest) for v in (m, i)])
+    dealt = binned.blocks(ordered, width, models, cuts).repartitionById(len(tasks), F.element_at(place, F.col("model")))
+    return materialise(dealt.mapInArrow(one_model, TREES), "trees")
 
 
 # -- scoring ---------------------------------------------------------------------------
