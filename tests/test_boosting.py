@@ -182,3 +182,17 @@ def test_a_model_learns_from_all_rows(spark):
     tasks = {3: B.Task((0.1, 3, 5, 1), F.col("fold") != 0), 1: B.Task((0.1, 3, 5, 2), F.lit(True))}
     found = {r["model"]: r["cover"] for r in B.fit(df, ["a", "b"], "is_hit", "track_id", tasks).where("tree = -1").collect()}
     assert found == {3: 32_000, 1: 40_000}
+
+
+def test_shapley_query_explains_a_model_of_all_rows(spark, monkeypatch):
+    from trackmetrics.operators import models as M
+    from trackmetrics.plans import modelling
+
+    explain, seen = B.explain, []
+    monkeypatch.setattr(modelling, "matrix", lambda *a, **k: many_rows(spark))
+    monkeypatch.setattr(modelling, "columns_of", lambda df, wanted: ["a", "b"])
+    monkeypatch.setattr(M, "BOOSTING", [(0.1, 3, 5, 2)] * 8)
+    monkeypatch.setattr(B, "explain", lambda df, x, model: seen.append(model) or explain(df, x, model))
+    rows = modelling.shapley_ranking(None).collect()
+    assert {(r["variable"], r["shap_rank"], r["within_bound"]) for r in rows} == {("a", 1, True), ("b", 2, True)}
+    assert [seen[0].cover[root] for root in seen[0].roots] == [40_000] * 2
