@@ -196,3 +196,13 @@ def test_shapley_query_explains_a_model_of_all_rows(spark, monkeypatch):
     rows = modelling.shapley_ranking(None).collect()
     assert {(r["variable"], r["shap_rank"], r["within_bound"]) for r in rows} == {("a", 1, True), ("b", 2, True)}
     assert [seen[0].cover[root] for root in seen[0].roots] == [40_000] * 2
+
+
+def test_models_of_the_folds_learn_from_all_other_folds(spark, monkeypatch):
+    from trackmetrics.operators import models as M
+
+    fit, seen = B.fit, []
+    monkeypatch.setattr(B, "fit", lambda *a, **k: seen.append(fit(*a, **k)) or seen[-1])
+    found = M.cross_validate_boosting(many_rows(spark), ["a", "b"], "is_hit", "track_id", (0.1, 3, 5, 1), "boosting")
+    assert [r[1:3] for r in found] == [(f, 8_000) for f in range(5)]
+    assert [r["cover"] for r in seen[0].where("tree = -1").collect()] == [32_000] * 5
