@@ -8,13 +8,13 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trackmetrics.functions.counting import n_rows
-from trackmetrics.operators import boosting as leafwise
+from trackmetrics.operators import boosting as leafwise, forest as bagged
 from trackmetrics.operators.ranks import average_rank, value_ranks
 from trackmetrics.operators.skew import attach
 from trackmetrics.session import materialise
@@ -81,11 +81,7 @@ def class_weights(df: DataFrame, target: str) -> DataFrame:
 
 
 def forest(features: Sequence[str], target: str, trees: int = 300, depth: int = 30) -> Estimator:
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="x"),
-        RandomForestClassifier(featuresCol="x", labelCol=target, weightCol="weight", numTrees=trees, maxDepth=depth,
-                               minInstancesPerNode=5, seed=SEED),
-    ])
+    return Pipeline(stages=[bagged.Forest(features, target, trees, depth, leaf_rows=5, seed=SEED)])
 
 
 def logistic(features: Sequence[str], target: str, indicators: Sequence[str] = ()) -> Estimator:
@@ -112,6 +108,9 @@ def fitted(make: Callable[[], Estimator], train: DataFrame, target: str) -> Pipe
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Rows with ``score``; a forest gives the label and the score alone."""
+    if isinstance(model.stages[-1], bagged.ForestModel):
+        return model.transform(df)
     return model.transform(df).withColumn("score", vector_to_array("probability")[1])
 
 
@@ -181,6 +180,9 @@ def side_by_side(job: Callable, of: Iterable) -> list:
 
 def held_out(train: DataFrame, test: DataFrame, target: str, make: Callable[[], Estimator], name: str) -> DataFrame:
     """Stored scores of ``test`` by a model that saw only ``train``, its class weights included."""
+    estimator = make().getStages()[-1]
+    if isinstance(estimator, bagged.Forest):
+        return materialise(estimator.held_out(train, test), f"scored-{name}")
     model = fitted(make, train, target)
     return materialise(score(model, test).select(target, "score"), f"scored-{name}")
 
@@ -247,11 +249,10 @@ def with_donor(df: DataFrame, columns: Sequence[str], row: str, seed: int = SEED
 
 
 def permutation_ranking(model: PipelineModel, paired: DataFrame, target: str, features: Sequence[str]) -> list[tuple[str, float]]:
-    """Loss of AUC when one feature comes from the donor row; ``paired`` is a stored :func:`with_donor`."""
-    def exact(df: DataFrame) -> float:
-        return auc(materialise(score(model, df).select(target, "score"), "permuted"), target).first()["auc"]
-
-    base, *permuted = side_by_side(exact, [paired, *[paired.withColumn(f, F.col(f"donor.{f}")) for f in features]])
+    """Loss of AUC when one feature of a forest comes from the donor row; ``paired`` is a stored :func:`with_donor`."""
+    scored = materialise(model.stages[-1].permuted(paired), "permuted")
+    exact = lambda i: auc(scored.select(target, F.col("scores")[i].alias("score")), target).first()["auc"]
+    base, *permuted = side_by_side(exact, range(len(features) + 1))
     drops = [(f, round(base - a, 6)) for f, a in zip(features, permuted)]
     return sorted(drops, key=lambda x: (-x[1], x[0]))
 
@@ -260,7 +261,14 @@ def publish(model: PipelineModel | DataFrame, path: str, metadata: Mapping[str,
     """Write the model (a pipeline, or a table of trees) and a JSON document with its features, threshold and score."""
     if isinstance(model, DataFrame):
         model.write.mode("overwrite").parquet(f"{path}/model")
+    elif isinstance(model.stages[-1], bagged.ForestModel):
+        model.stages[-1].save(f"{path}/model")
     else:
         model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.active()
     spark.createDataFrame([(json.dumps(dict(metadata), sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+
+
+def published(spark: SparkSession, path: str, name: str) -> PipelineModel:
+    """The pipeline that :func:`publish` wrote; ``name`` tells a forest from one of MLlib."""
+    return PipelineModel([bagged.load(spark, f"{path}/model")]) if name == "forest" else PipelineModel.load(f"{path}/model")

@@ -203,8 +203,6 @@ def two_targets(t):
 @query("ml14_published_model")
 def published_model(t):
     """Best of three families at their published size by mean AUC, refitted on all rows, published with its mean threshold at the recall level and read back to score."""
-    from pyspark.ml import PipelineModel
-
     df = matrix(t, "ml14", filled=False)
     complete = FT.fill_missing(df, _X).select(*df.columns)
     x = columns_of(complete, _X)
@@ -223,7 +221,7 @@ def published_model(t):
     else:
         rows, make = families[best["model"]]
         M.publish(M.fitted(make, rows, "is_hit"), path, facts)
-        scored = M.score(PipelineModel.load(f"{path}/model"), rows)
+        scored = M.score(M.published(t.spark, path, best["model"]), rows)
     return M.metrics(scored, "is_hit", cut=best["threshold"]).withColumn("model", F.lit(best["model"]))
 
 
