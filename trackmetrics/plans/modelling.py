@@ -210,8 +210,9 @@ def published_model(t):
         "forest": (complete, lambda: M.forest(x, "is_hit")),
         "logistic": (df, lambda: M.logistic(_X, "is_hit", indicators(df))),
     }
-    found = [r for name, (rows, make) in families.items() for r in M.cross_validate(rows, "is_hit", make, name)]
-    found += M.cross_validate_boosting(complete, x, "is_hit", "track_id", M.BOOSTING[0], "boosting")
+    runs = [lambda name=name, rows=rows, make=make: M.cross_validate(rows, "is_hit", make, name) for name, (rows, make) in families.items()]
+    runs.append(lambda: M.cross_validate_boosting(complete, x, "is_hit", "track_id", M.BOOSTING[0], "boosting"))
+    found = [r for rows in M.side_by_side(lambda run: run(), runs) for r in rows]
     best = M.mean_auc(results(t, found)).orderBy(F.desc("mean_auc"), "model").first()
     path = work_folder(t.spark, "ml14-model")
     facts = {"model": best["model"], "features": x, "mean_auc": best["mean_auc"], "threshold": best["threshold"]}
